@@ -125,9 +125,15 @@ class _EmaChannels:
             carry = F.coalesce(c[f"y_{e.name}"], F.col(f"_f_{e.name}"))
             b = F.lit(e.beta)
             y = F.col(f"_L_{e.name}") + F.pow(b, kb + 1) * carry
+            # the series' first row is its input exactly (a*x + b*x can differ in the last bit)
+            y = F.when(c.isNull() & (kb == 0), F.col(f"_x_{e.name}")).otherwise(y)
             df = df.withColumn(e.name, nan_to_null(y))
             if self.with_prev:
-                prev = F.when(kb == 0, c[f"y_{e.name}"]).otherwise(F.col(f"_pL_{e.name}") + F.pow(b, kb) * carry)
+                prev = (
+                    F.when(kb == 0, c[f"y_{e.name}"])
+                    .when(c.isNull() & (kb == 1), F.col(f"_f_{e.name}"))
+                    .otherwise(F.col(f"_pL_{e.name}") + F.pow(b, kb) * carry)
+                )
                 df = df.withColumn(f"prev_{e.name}", nan_to_null(prev))
         return df
 

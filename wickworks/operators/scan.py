@@ -232,3 +232,35 @@ def series_lag(
             prefix + c, F.when(F.col("_kb") == 0, F.col("_c")[c]).otherwise(F.col(f"_lag_{c}"))
         )
     return out.drop("_bucket", "_sub", "_kb", "_c", *[f"_lag_{c}" for c in cols])
+
+
+def series_ffill(
+    df: DataFrame,
+    cols: Sequence[str],
+    keys: Sequence[str],
+    time_col: str = "event_time",
+    timeframe_col: str | None = "timeframe",
+    prefix: str = "last_",
+    min_timeframe_ms: int = 60_000,
+) -> DataFrame:
+    """Last non-null value of ``cols`` up to and including the row (forward fill).
+
+    In-block ``last(ignorenulls)`` window; the blocks' last non-null values are
+    combined with a keep-the-later-non-null rule to fill the start of a block."""
+    keys = list(keys)
+    blocked = add_blocks(df, keys, [time_col], time_col, timeframe_col)
+    run = block_window(keys).rowsBetween(Window.unboundedPreceding, 0)
+    for c in cols:
+        blocked = blocked.withColumn(f"_ff_{c}", F.last(c, ignorenulls=True).over(run))
+    elems = blocked.groupBy(*keys, "_bucket", "_sub").agg(
+        F.struct(*[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("_kb"))).alias(c) for c in cols]).alias("_st")
+    )
+
+    def combine(a: Column, b: Column) -> Column:
+        return F.struct(*[F.coalesce(b[c], a[c]).alias(c) for c in cols])
+
+    carries = exclusive_carries(elems, keys, "_st", combine, levels_for(min_timeframe_ms, BLOCK_ROWS))
+    out = attach_carries(blocked, carries, keys)
+    for c in cols:
+        out = out.withColumn(prefix + c, F.coalesce(F.col(f"_ff_{c}"), F.col("_c")[c]))
+    return out.drop("_bucket", "_sub", "_kb", "_c", *[f"_ff_{c}" for c in cols])
