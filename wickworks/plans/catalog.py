@@ -332,6 +332,128 @@ def q_unknown_timeframes(spark, sf):
     return present(contract.unknown_timeframes(d).select("event_time", "symbol", "timeframe"))
 
 
+# ----------------------------------------------------------------- storage round trips
+
+
+def _scratch(spark, name):
+    from wickworks.session import scratch_path
+
+    return scratch_path(spark, name)
+
+
+def _lake_of_candles(spark, sf) -> str:
+    from wickworks.sinks.lake import write_lake
+
+    root = _scratch(spark, "lake")
+    write_lake(inputs.candles(spark, sf), root, mode="overwrite", max_rows_per_file=500)
+    return root
+
+
+def q_parquet_roundtrip(spark, sf):
+    from wickworks.sources.lake import read_lake
+
+    root = _lake_of_candles(spark, sf)
+    return present(read_lake(spark, root).select(*OHLCV_COLUMNS))
+
+
+def q_partition_read(spark, sf):
+    from wickworks.sources.lake import read_partition
+
+    root = _lake_of_candles(spark, sf)
+    return present(read_partition(spark, root, "events", "click", "1h", year=2024, month=1))
+
+
+def q_lake_info(spark, sf):
+    from wickworks.sources.lake import lake_info, read_lake
+
+    root = _lake_of_candles(spark, sf)
+    return present(lake_info(read_lake(spark, root)).drop("file_count"))
+
+
+def q_lake_files(spark, sf):
+    from wickworks.sources.lake import lake_files, read_lake
+
+    root = _lake_of_candles(spark, sf)
+    return lake_files(read_lake(spark, root))
+
+
+def q_csv_roundtrip(spark, sf):
+    from wickworks.plans.medallion import bronze_to_silver
+    from wickworks.sinks.lake import write_csv_partitioned
+    from wickworks.sources.lake import read_bronze_csv
+
+    root = _scratch(spark, "bronze")
+    write_csv_partitioned(inputs.candles(spark, sf), root)
+    silver = bronze_to_silver(read_bronze_csv(spark, root))
+    return present(silver.drop("year", "month"))
+
+
+def q_json_records(spark, sf):
+    from wickworks.schema import OHLCV_SCHEMA
+    from wickworks.sinks.lake import JSON_TS_FORMAT, json_records
+
+    js = json_records(inputs.candles(spark, sf))
+    back = js.select(F.from_json("json", OHLCV_SCHEMA, {"timestampFormat": JSON_TS_FORMAT}).alias("r")).select("r.*")
+    return present(back)
+
+
+def q_medallion_gold(spark, sf):
+    from wickworks.plans import medallion
+    from wickworks.sinks.lake import write_csv_partitioned
+
+    bronze = _scratch(spark, "bronze")
+    write_csv_partitioned(inputs.candles(spark, sf), bronze)
+    gold = medallion.run(spark, bronze, _scratch(spark, "silver"), _scratch(spark, "gold"), min_timeframe="1h")
+    return present(gold.select(*GOLD_COLS))
+
+
+# ----------------------------------------------------------------- streaming
+
+
+def _event_stream(spark, sf):
+    schema = spark.read.parquet(f"{sf}/events.parquet").schema
+    ev = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    return ev.select(
+        F.lit("events").alias("source"), F.col("event_type").alias("symbol"), F.col("ts").cast("timestamp").alias("ts"),
+        F.col("value").alias("price"), F.col("value").alias("size"), F.col("event_id").alias("seq"),
+    )
+
+
+def _run_stream(spark, stream, name):
+    from wickworks.streaming.candles import read_sink, run_to_parquet
+
+    out = _scratch(spark, f"{name}-out")
+    run_to_parquet(stream, out, _scratch(spark, f"{name}-ckpt"))
+    return read_sink(spark, out)
+
+
+def q_stream_candles(spark, sf):
+    from wickworks.streaming.candles import stream_candles
+
+    return present(_run_stream(spark, stream_candles(_event_stream(spark, sf)), "stream-candles"))
+
+
+def q_stream_dedup(spark, sf):
+    from wickworks.streaming.candles import stream_dedup
+
+    rows = _event_stream(spark, sf).select("symbol", F.date_trunc("minute", "ts").alias("event_time"), "price")
+    out = _run_stream(spark, stream_dedup(rows, ["symbol", "event_time"]), "stream-dedup")
+    return present(out.select("symbol", "event_time"))
+
+
+def q_stream_ema(spark, sf):
+    from wickworks.sinks.lake import write_table
+    from wickworks.streaming.candles import stream_ema
+
+    landed = _scratch(spark, "stream-candles-in")
+    c = inputs.candles(spark, sf)
+    c.write.mode("overwrite").parquet(landed)
+    stream = spark.readStream.schema(c.schema).parquet(landed)
+    out = _run_stream(spark, stream_ema(stream, ema_alpha(50), "ema_50"), "stream-ema")
+    del write_table
+    return present(out)
+
+
 QUERIES: dict[str, Query] = {
     "candles_1h": q_candles_1h,
     "resample_1d": q_resample_1d,
@@ -369,6 +491,16 @@ QUERIES: dict[str, Query] = {
     "missing_candles": q_missing_candles,
     "gap_fill": q_gap_fill,
     "completeness": q_completeness,
+    "parquet_roundtrip": q_parquet_roundtrip,
+    "partition_read": q_partition_read,
+    "lake_info": q_lake_info,
+    "lake_files": q_lake_files,
+    "csv_roundtrip": q_csv_roundtrip,
+    "json_records": q_json_records,
+    "medallion_gold": q_medallion_gold,
+    "stream_candles": q_stream_candles,
+    "stream_dedup": q_stream_dedup,
+    "stream_ema": q_stream_ema,
 }
 
 
@@ -521,4 +653,17 @@ ORACLE: dict[str, str] = {
         CAST((date_diff('day', CAST(min(event_time) AS DATE), CAST(max(event_time) AS DATE)) + 1) * 24 AS BIGINT) AS estimated,
         {r6('count(*) / (floor(epoch_ms(max(event_time)) / 3600000) - floor(epoch_ms(min(event_time)) / 3600000) + 1)')} AS ratio
         FROM ({CANDLES_SQL.format(where='')}) GROUP BY 1, 2, 3""",
+    "parquet_roundtrip": f"SELECT {OHLCV_SELECT} FROM ({CANDLES_SQL.format(where='')})",
+    "partition_read": f"""SELECT {OHLCV_SELECT} FROM ({CANDLES_SQL.format(where='')})
+        WHERE source = 'events' AND symbol = 'click' AND timeframe = '1h' AND year(event_time) = 2024 AND month(event_time) = 1""",
+    "lake_info": f"""SELECT source, symbol, timeframe, count(*) AS total_rows, min(event_time) AS first_event,
+        max(event_time) AS last_event FROM ({CANDLES_SQL.format(where='')}) GROUP BY 1, 2, 3""",
+    "csv_roundtrip": f"""SELECT source, symbol, timeframe, event_time, {r6('open')} AS open, {r6('high')} AS high,
+        {r6('low')} AS low, {r6('close')} AS close, {r6('volume')} AS volume FROM ({CANDLES_SQL.format(where='')})""",
+    "json_records": f"SELECT {OHLCV_SELECT} FROM ({CANDLES_SQL.format(where='')})",
+    "medallion_gold": _gold_from(CANDLES_SQL.format(where=""), GOLD_SELECT),
+    "stream_candles": f"""SELECT {OHLCV_SELECT} FROM ({CANDLES_SQL.format(where='')})
+        WHERE event_time + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
+    "stream_dedup": "SELECT DISTINCT event_type AS symbol, date_trunc('minute', ts) AS event_time FROM events",
+    "stream_ema": _gold_from(CANDLES_SQL.format(where=""), f"source, symbol, timeframe, event_time, {r6('close')} AS close, {r6('ema_50')} AS ema_50"),
 }

@@ -54,7 +54,7 @@ def write_csv_partitioned(df: DataFrame, root: str, keys: tuple[str, ...] = tupl
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("header", True)
-        .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSSXXX")
+        .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSSxxx")
         .partitionBy(*parts)
         .csv(root)
     )
@@ -76,8 +76,11 @@ def write_table(df: DataFrame, path: str, partitions: tuple[str, ...] = (*SERIES
     )
 
 
+JSON_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
+
+
 def json_records(df: DataFrame) -> DataFrame:
     """One JSON text per row, timestamps as ISO-8601."""
     return df.select(
-        F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}).alias("json")
+        F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"timestampFormat": JSON_TS_FORMAT}).alias("json")
     )

@@ -27,18 +27,15 @@ LAKE_SCHEMA = T.StructType(
     ]
 )
 
+# Bronze CSV: data columns as text in file order, then the partition directories.
 BRONZE_SCHEMA = T.StructType(
-    [
-        T.StructField("event_time", T.StringType()),
+    [T.StructField(c, T.StringType()) for c in ("event_time", "open", "high", "low", "close", "volume", "ingestion_time")]
+    + [
+        T.StructField("source", T.StringType()),
         T.StructField("symbol", T.StringType()),
         T.StructField("timeframe", T.StringType()),
-        T.StructField("open", T.StringType()),
-        T.StructField("high", T.StringType()),
-        T.StructField("low", T.StringType()),
-        T.StructField("close", T.StringType()),
-        T.StructField("volume", T.StringType()),
-        T.StructField("source", T.StringType()),
-        T.StructField("ingestion_time", T.StringType()),
+        T.StructField("year", T.IntegerType()),
+        T.StructField("month", T.IntegerType()),
     ]
 )
 
