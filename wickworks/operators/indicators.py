@@ -78,22 +78,22 @@ class _EmaChannels:
         self.specs = list(specs)
         self.with_prev = with_prev
 
-    def window_cols(self, df: DataFrame, wb: Window) -> DataFrame:
+    def window_phases(self, wb: Window) -> list[dict[str, Column]]:
         run = wb.rowsBetween(_UNB, 0)
         kb = F.col("_kb")
+        xs, local = {}, {}
         for e in self.specs:
-            x = _nan_coded(e.source)
+            xs[f"_x_{e.name}"] = _nan_coded(e.source)
+            x = F.col(f"_x_{e.name}")
             if e.beta == 0.0:
-                local = F.lit(e.alpha) * x
+                lv = F.lit(e.alpha) * x
             else:
                 b = F.lit(e.beta)
-                local = F.pow(b, kb) * F.sum(F.lit(e.alpha) * x * F.pow(b, -kb)).over(run)
-            df = df.withColumn(f"_x_{e.name}", x).withColumn(f"_L_{e.name}", local)
-            df = df.withColumn(f"_f_{e.name}", F.first(f"_x_{e.name}").over(run))
-        if self.with_prev:
-            for e in self.specs:
-                df = df.withColumn(f"_pL_{e.name}", F.lag(f"_L_{e.name}", 1).over(wb))
-        return df
+                lv = F.pow(b, kb) * F.sum(F.lit(e.alpha) * x * F.pow(b, -kb)).over(run)
+            local[f"_L_{e.name}"] = lv
+            local[f"_f_{e.name}"] = F.first(x).over(run)
+        lags = {f"_pL_{e.name}": F.lag(f"_L_{e.name}", 1).over(wb) for e in self.specs} if self.with_prev else {}
+        return [xs, local, lags]
 
     def elem_aggs(self) -> list[Column]:
         out = []
@@ -110,32 +110,33 @@ class _EmaChannels:
             out.append((s + F.pow(F.lit(e.beta), F.col("_n")) * F.col(f"_fx_{e.name}")).alias(f"y_{e.name}"))
         return out
 
-    def combine_fields(self, a: Column, b: Column) -> list[Column]:
+    def combine_fields(self, a: str, b: str) -> list[str]:
         out = []
         for e in self.specs:
-            decay = F.pow(F.lit(e.beta), b["n"])
-            out.append((b[f"s_{e.name}"] + decay * a[f"s_{e.name}"]).alias(f"s_{e.name}"))
-            out.append((b[f"s_{e.name}"] + decay * a[f"y_{e.name}"]).alias(f"y_{e.name}"))
+            decay = f"pow({e.beta!r}D, {b}.n)"
+            out.append(f"'s_{e.name}', {b}.s_{e.name} + {decay} * {a}.s_{e.name}")
+            out.append(f"'y_{e.name}', {b}.s_{e.name} + {decay} * {a}.y_{e.name}")
         return out
 
-    def finalize(self, df: DataFrame) -> DataFrame:
+    def finalize_cols(self) -> dict[str, Column]:
         kb = F.col("_kb")
         c = F.col("_c")
+        out = {}
         for e in self.specs:
             carry = F.coalesce(c[f"y_{e.name}"], F.col(f"_f_{e.name}"))
             b = F.lit(e.beta)
             y = F.col(f"_L_{e.name}") + F.pow(b, kb + 1) * carry
             # the series' first row is its input exactly (a*x + b*x can differ in the last bit)
             y = F.when(c.isNull() & (kb == 0), F.col(f"_x_{e.name}")).otherwise(y)
-            df = df.withColumn(e.name, nan_to_null(y))
+            out[e.name] = nan_to_null(y)
             if self.with_prev:
                 prev = (
                     F.when(kb == 0, c[f"y_{e.name}"])
                     .when(c.isNull() & (kb == 1), F.col(f"_f_{e.name}"))
                     .otherwise(F.col(f"_pL_{e.name}") + F.pow(b, kb) * carry)
                 )
-                df = df.withColumn(f"prev_{e.name}", nan_to_null(prev))
-        return df
+                out[f"prev_{e.name}"] = nan_to_null(prev)
+        return out
 
     def temp_cols(self) -> list[str]:
         out = []
@@ -150,14 +151,15 @@ class _SmaChannel:
     def __init__(self, name: str, source: str, window: int, with_prev: bool = False):
         self.name, self.source, self.w, self.with_prev = name, source, window, with_prev
 
-    def window_cols(self, df: DataFrame, wb: Window) -> DataFrame:
+    def window_phases(self, wb: Window) -> list[dict[str, Column]]:
         x = F.col(self.source)
         cur = wb.rowsBetween(-(self.w - 1), 0)
-        df = df.withColumn("_sin", F.sum(x).over(cur)).withColumn("_cin", F.count(x).over(cur))
+        cols = {"_sin": F.sum(x).over(cur), "_cin": F.count(x).over(cur)}
         if self.with_prev:
             prv = wb.rowsBetween(-self.w, -1)
-            df = df.withColumn("_sinp", F.sum(x).over(prv)).withColumn("_cinp", F.count(x).over(prv))
-        return df.withColumn("_nblk", F.count(F.lit(1)).over(wb.rowsBetween(_UNB, Window.unboundedFollowing)))
+            cols.update({"_sinp": F.sum(x).over(prv), "_cinp": F.count(x).over(prv)})
+        cols["_nblk"] = F.count(F.lit(1)).over(wb.rowsBetween(_UNB, Window.unboundedFollowing))
+        return [{}, cols, {}]
 
     def elem_aggs(self) -> list[Column]:
         tail_item = F.when(F.col("_kb") >= F.col("_nblk") - self.w, F.struct("_kb", F.col(self.source).alias("v")))
@@ -170,9 +172,10 @@ class _SmaChannel:
         m = F.greatest(m, F.lit(0))
         return F.slice(arr, F.greatest(F.size(arr) - m + 1, F.lit(1)), m)
 
-    def combine_fields(self, a: Column, b: Column) -> list[Column]:
-        joined = F.concat(a["tail"], b["tail"])
-        return [F.when(F.size(b["tail"]) >= self.w, b["tail"]).otherwise(self._last(joined, F.lit(self.w))).alias("tail")]
+    def combine_fields(self, a: str, b: str) -> list[str]:
+        w = self.w
+        return [f"'tail', CASE WHEN size({b}.tail) >= {w} THEN {b}.tail ELSE "
+                f"slice(concat({a}.tail, {b}.tail), greatest(size({a}.tail) + size({b}.tail) - {w} + 1, 1), {w}) END"]
 
     def carry_fields(self, c: Column) -> Column:
         """Adds ``suf`` to the carry: suf[j+1] = (sum, count) of the last j non-null tail values,
@@ -197,16 +200,15 @@ class _SmaChannel:
         total_s = F.coalesce(s_in, F.lit(0.0)) + F.coalesce(e["s"], F.lit(0.0))
         return F.when(total_c > 0, total_s / total_c)
 
-    def finalize(self, df: DataFrame) -> DataFrame:
+    def finalize_cols(self) -> dict[str, Column]:
         kb = F.col("_kb")
-        df = df.withColumn(self.name, self._avg_with_tail(F.col("_sin"), F.col("_cin"), F.lit(self.w) - (kb + 1)))
+        out = {self.name: self._avg_with_tail(F.col("_sin"), F.col("_cin"), F.lit(self.w) - (kb + 1))}
         if self.with_prev:
-            df = df.withColumn(
-                f"prev_{self.name}",
+            out[f"prev_{self.name}"] = (
                 F.when(kb == 0, F.when(F.col("_c").isNotNull(), self._avg_with_tail(F.lit(None), F.lit(0), F.lit(self.w))))
-                .otherwise(self._avg_with_tail(F.col("_sinp"), F.col("_cinp"), F.lit(self.w) - kb)),
+                .otherwise(self._avg_with_tail(F.col("_sinp"), F.col("_cinp"), F.lit(self.w) - kb))
             )
-        return df
+        return out
 
     def temp_cols(self) -> list[str]:
         return ["_sin", "_cin", "_sinp", "_cinp", "_nblk", "_tail"]
@@ -218,8 +220,8 @@ class _LastChannel:
     def __init__(self, source: str):
         self.source = source
 
-    def window_cols(self, df: DataFrame, wb: Window) -> DataFrame:
-        return df.withColumn(f"_lag_{self.source}", F.lag(self.source, 1).over(wb))
+    def window_phases(self, wb: Window) -> list[dict[str, Column]]:
+        return [{}, {f"_lag_{self.source}": F.lag(self.source, 1).over(wb)}, {}]
 
     def elem_aggs(self) -> list[Column]:
         return [F.max_by(self.source, "_kb").alias(f"_last_{self.source}")]
@@ -227,12 +229,12 @@ class _LastChannel:
     def state_fields(self) -> list[Column]:
         return [F.col(f"_last_{self.source}").alias(f"last_{self.source}")]
 
-    def combine_fields(self, a: Column, b: Column) -> list[Column]:
-        return [b[f"last_{self.source}"].alias(f"last_{self.source}")]
+    def combine_fields(self, a: str, b: str) -> list[str]:
+        return [f"'last_{self.source}', {b}.last_{self.source}"]
 
-    def finalize(self, df: DataFrame) -> DataFrame:
+    def finalize_cols(self) -> dict[str, Column]:
         prev = F.when(F.col("_kb") == 0, F.col("_c")[f"last_{self.source}"]).otherwise(F.col(f"_lag_{self.source}"))
-        return df.withColumn(f"prev_{self.source}", prev)
+        return {f"prev_{self.source}": prev}
 
     def temp_cols(self) -> list[str]:
         return [f"_lag_{self.source}", f"_last_{self.source}"]
@@ -252,8 +254,11 @@ def _scan_pass(
     """Window stage, block states, carries, finalisation for a set of channels."""
     wb = block_window(keys)
     df = blocked
-    for ch in channels:
-        df = ch.window_cols(df, wb)
+    phases = [ch.window_phases(wb) for ch in channels]
+    for i in range(3):
+        cols = {k: v for ph in phases for k, v in ph[i].items()}
+        if cols:
+            df = df.withColumns(cols)
     aggs = [F.count(F.lit(1)).alias("_n")]
     for ch in channels:
         aggs += ch.elem_aggs()
@@ -263,20 +268,21 @@ def _scan_pass(
         fields += ch.state_fields()
     elems = elems.select(*keys, "_bucket", "_sub", F.struct(*fields).alias("_st"))
 
-    def combine(a: Column, b: Column) -> Column:
-        out = [(a["n"] + b["n"]).alias("n")]
+    def combine(a: str, b: str) -> str:
+        out = [f"'n', {a}.n + {b}.n"]
         for ch in channels:
             out += ch.combine_fields(a, b)
-        return F.struct(*out)
+        return "named_struct(" + ", ".join(out) + ")"
 
     carries = exclusive_carries(elems, keys, "_st", combine, levels)
     for ch in channels:
         if hasattr(ch, "carry_fields"):
             carries = carries.withColumn("_carry", F.when(F.col("_carry").isNotNull(), ch.carry_fields(F.col("_carry"))))
     df = attach_carries(df, carries, keys)
-    df = df.withColumn("_pos", F.coalesce(F.col("_c")["n"], F.lit(0)) + F.col("_kb"))
+    fin = {"_pos": F.coalesce(F.col("_c")["n"], F.lit(0)) + F.col("_kb")}
     for ch in channels:
-        df = ch.finalize(df)
+        fin.update(ch.finalize_cols())
+    df = df.withColumns(fin)
     drop = ["_c"]
     for ch in channels:
         drop += ch.temp_cols()
@@ -373,26 +379,26 @@ def indicators(
     ]
     a = _scan_pass(blocked, keys, pass_a, levels)
     delta = F.when(F.col("_pos") == 0, F.lit(0.0)).otherwise(F.col("close") - F.col("prev_close"))
-    a = (
-        a.withColumn("_delta", delta)
-        .withColumn("_gain", F.when(F.col("_delta").isNull(), None).when(F.col("_delta") > 0, F.col("_delta")).otherwise(0.0))
-        .withColumn("_loss", F.when(F.col("_delta").isNull(), None).when(F.col("_delta") < 0, -F.col("_delta")).otherwise(0.0))
-        .withColumn("macd", F.col("_ema_fast") - F.col("_ema_slow"))
-        .withColumn("prev_macd", F.col("prev__ema_fast") - F.col("prev__ema_slow"))
-        .withColumnRenamed("_pos", "_pos_a")
-    )
+    a = a.withColumn("_delta", delta).withColumnRenamed("_pos", "_pos_a")
+    d = F.col("_delta")
+    a = a.withColumns({
+        "_gain": F.when(d.isNull(), None).when(d > 0, d).otherwise(0.0),
+        "_loss": F.when(d.isNull(), None).when(d < 0, -d).otherwise(0.0),
+        "macd": F.col("_ema_fast") - F.col("_ema_slow"),
+        "prev_macd": F.col("prev__ema_fast") - F.col("prev__ema_slow"),
+    })
     pass_b = [_EmaChannels([Ema("_avg_gain", "_gain", a_rsi), Ema("_avg_loss", "_loss", a_rsi),
                             Ema("macd_signal", "macd", a_sig)], with_prev=True)]
     b = _scan_pass(a, keys, pass_b, levels)
     rsi_name = f"rsi_{rsi_period}"
     gain, loss = F.col("_avg_gain"), F.col("_avg_loss")
-    out = (
-        b.withColumn(rsi_name, F.when(F.col("_pos") == 0, F.lit(None).cast("double"))
-                     .when(loss == 0, F.lit(100.0))
-                     .otherwise(F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + gain / loss)))
-        .withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
-        .withColumn("idx", F.col("_pos").cast("int"))
-    )
+    out = b.withColumns({
+        rsi_name: F.when(F.col("_pos") == 0, F.lit(None).cast("double"))
+        .when(loss == 0, F.lit(100.0))
+        .otherwise(F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + gain / loss)),
+        "macd_hist": F.col("macd") - F.col("macd_signal"),
+        "idx": F.col("_pos").cast("int"),
+    })
     internal = ["_delta", "_gain", "_loss", "_avg_gain", "_avg_loss", "_ema_fast", "_ema_slow",
                 "prev__ema_fast", "prev__ema_slow", "prev__avg_gain", "prev__avg_loss", "_pos_a", "_pos",
                 "_bucket", "_sub", "_kb"]

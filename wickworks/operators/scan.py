@@ -40,7 +40,10 @@ FANOUT = 64
 PLANNED_RANGE_US = 130 * 365 * 86_400 * 1_000_000  # 1970 .. 2100
 DEFAULT_TIMEFRAME_MS = 3_600_000
 
-Combine = Callable[[Column, Column], Column]
+# combine(a, b) -> SQL text of the state struct for "a then b" (a, b are SQL references).
+# Written as SQL text so that the fold lambdas are parsed once instead of being
+# assembled from hundreds of Column calls.
+Combine = Callable[[str, str], str]
 
 
 def floor_div(c: Column, m: int) -> Column:
@@ -85,8 +88,10 @@ def add_blocks(
     df = df.withColumn("_bucket", ((micros - F.pmod(micros, span)) / span).cast("bigint"))
     w = Window.partitionBy(*keys, "_bucket").orderBy(*order_cols)
     df = df.withColumn("_k", F.row_number().over(w) - 1)
-    df = df.withColumn("_sub", F.floor(F.col("_k") / F.lit(block_rows)).cast("int"))
-    return df.withColumn("_kb", (F.col("_k") - F.col("_sub") * F.lit(block_rows)).cast("int")).drop("_k")
+    return df.withColumns({
+        "_sub": F.floor(F.col("_k") / F.lit(block_rows)).cast("int"),
+        "_kb": F.pmod(F.col("_k"), F.lit(block_rows)).cast("int"),
+    }).drop("_k")
 
 
 def block_window(keys: Sequence[str]) -> Window:
@@ -119,12 +124,8 @@ def _nullable(dt: T.DataType) -> T.DataType:
     return dt
 
 
-def _combine_opt(combine: Combine, a: Column, b: Column, st_type: T.DataType) -> Column:
-    return (
-        F.when(a.isNull(), b)
-        .when(b.isNull(), a)
-        .otherwise(combine(a, b).cast(st_type))
-    )
+def _combine_opt(combine: Combine, a: str, b: str, ddl: str) -> str:
+    return f"CASE WHEN {a} IS NULL THEN {b} WHEN {b} IS NULL THEN {a} ELSE CAST({combine(a, b)} AS {ddl}) END"
 
 
 def exclusive_carries(
@@ -138,14 +139,13 @@ def exclusive_carries(
     """For each element (keys, ``_bucket``, ``_sub``, state) return the combined state of
     all earlier elements of its series as ``_carry`` (null for the first element)."""
     st_type = _nullable(elems.schema[state_col].dataType)
-    init = F.struct(
-        F.lit(None).cast(st_type).alias("tot"),
-        F.array().cast(T.ArrayType(st_type)).alias("pre"),
+    ddl = st_type.simpleString()
+    fold = F.expr(
+        f"aggregate(_items, named_struct('tot', CAST(NULL AS {ddl}), 'pre', CAST(array() AS array<{ddl}>)), "
+        f"(acc, e) -> named_struct('tot', {_combine_opt(combine, 'acc.tot', 'e._st', ddl)}, "
+        f"'pre', concat(acc.pre, array(acc.tot))))"
     )
-
-    def merge(acc: Column, e: Column) -> Column:
-        tot = _combine_opt(combine, acc["tot"], e["_st"], st_type)
-        return F.struct(tot.alias("tot"), F.concat(acc["pre"], F.array(acc["tot"])).alias("pre"))
+    zipped = F.expr("transform(_items, (x, i) -> named_struct('it', x, 'pre', _f.pre[i]))")
 
     cur = elems.select(*keys, "_bucket", "_sub", F.col(state_col).cast(st_type).alias("_st"))
     item_cols = ["_bucket", "_sub"]
@@ -159,13 +159,7 @@ def exclusive_carries(
             group_cols = [gcol]
         item = F.struct(*[F.col(c) for c in item_cols], F.col("_st"))
         g = cur.groupBy(*keys, *group_cols).agg(F.sort_array(F.collect_list(item)).alias("_items"))
-        g = g.withColumn("_f", F.aggregate("_items", init, merge))
-        g = g.select(
-            *keys,
-            *group_cols,
-            F.transform("_items", lambda x, i: F.struct(x.alias("it"), F.col("_f.pre")[i].alias("pre"))).alias("_z"),
-            F.col("_f.tot").alias("_tot"),
-        )
+        g = g.withColumn("_f", fold).select(*keys, *group_cols, zipped.alias("_z"), F.col("_f.tot").alias("_tot"))
         folded.append((g, list(item_cols), group_cols))
         if group_cols:
             cur = g.select(*keys, *group_cols, F.col("_tot").alias("_st"))
@@ -177,11 +171,10 @@ def exclusive_carries(
         ex = g.select(*keys, *gcols, F.explode("_z").alias("_z"))
         ex = ex.select(*keys, *gcols, *[F.col("_z.it")[c].alias(c) for c in icols], F.col("_z.pre").alias("_pre"))
         if carry_tbl is None:
-            ex = ex.withColumn("_carry", F.col("_pre"))
+            ex = ex.withColumnRenamed("_pre", "_carry")
         else:
             ex = join_on_renamed(ex, carry_tbl, list(keys) + gcols).select(
-                *keys, *gcols, *icols,
-                _combine_opt(combine, F.col("_gc"), F.col("_pre"), st_type).alias("_carry"),
+                *keys, *gcols, *icols, F.expr(_combine_opt(combine, "_gc", "_pre", ddl)).alias("_carry"),
             )
         if icols == ["_bucket", "_sub"]:
             return ex.select(*keys, "_bucket", "_sub", "_carry")
@@ -256,8 +249,8 @@ def series_ffill(
         F.struct(*[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("_kb"))).alias(c) for c in cols]).alias("_st")
     )
 
-    def combine(a: Column, b: Column) -> Column:
-        return F.struct(*[F.coalesce(b[c], a[c]).alias(c) for c in cols])
+    def combine(a: str, b: str) -> str:
+        return "named_struct(" + ", ".join(f"'{c}', coalesce({b}.{c}, {a}.{c})" for c in cols) + ")"
 
     carries = exclusive_carries(elems, keys, "_st", combine, levels_for(min_timeframe_ms, BLOCK_ROWS))
     out = attach_carries(blocked, carries, keys)
