@@ -154,8 +154,16 @@ def _pages(spark, sf) -> DataFrame:
     return pages
 
 
+def _landed_pages(spark, sf) -> str:
+    """Write the pages as landed files (one folder per symbol, JSON Lines) and return the root."""
+    root = _scratch(spark, "pages")
+    _pages(spark, sf).select("symbol", "value").write.mode("overwrite").partitionBy("symbol").text(root)
+    return root
+
+
 def _parsed_klines(spark, sf, extras=False) -> DataFrame:
-    pages = _pages(spark, sf).select("symbol", F.from_json("value", klines.PAGE_TYPE).alias("page"))
+    pages = klines.read_pages(spark, _landed_pages(spark, sf), page_per_file=False)
+    pages = pages.withColumn("symbol", F.regexp_extract("file", r"symbol=([^/]+)/", 1))
     rows = klines.explode_pages(pages)
     return klines.klines_to_ohlcv(rows, F.col("symbol"), "1h", "exchange",
                                   F.to_timestamp(F.lit("2024-03-01 00:00:00")), extras=extras)
@@ -454,6 +462,27 @@ def q_stream_ema(spark, sf):
     return present(out)
 
 
+def q_backfill(spark, sf):
+    """Landed pages of one symbol -> backfill job -> store, read back (one month window)."""
+    from wickworks.plans import backfill
+    from wickworks.sources.lake import read_lake
+
+    pages = _landed_pages(spark, sf) + "/symbol=click"
+    lake = _scratch(spark, "backfill-lake")
+    backfill.run(spark, pages, lake, "click", "1h", "2024-01-03", "2024-01-20", source="exchange", page_per_file=False)
+    return present(read_lake(spark, lake).select(*[c for c in OHLCV_COLUMNS if c != "ingestion_time"]))
+
+
+def q_multi_timeframe(spark, sf):
+    """One frame over several timeframes (1h, 4h, 1d), keyed by timeframe, with per-series counts."""
+    ticks = event_ticks(spark, sf)
+    allc = None
+    for tf in ("1h", "4h", "1d"):
+        c = ticks_to_candles(ticks, tf)
+        allc = c if allc is None else allc.unionByName(c)
+    return present(allc.groupBy(*SERIES_KEY).agg(F.count(F.lit(1)).alias("candles"), F.sum("volume").alias("volume")))
+
+
 QUERIES: dict[str, Query] = {
     "candles_1h": q_candles_1h,
     "resample_1d": q_resample_1d,
@@ -501,6 +530,8 @@ QUERIES: dict[str, Query] = {
     "stream_candles": q_stream_candles,
     "stream_dedup": q_stream_dedup,
     "stream_ema": q_stream_ema,
+    "backfill": q_backfill,
+    "multi_timeframe": q_multi_timeframe,
 }
 
 
@@ -666,4 +697,14 @@ ORACLE: dict[str, str] = {
         WHERE event_time + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
     "stream_dedup": "SELECT DISTINCT event_type AS symbol, date_trunc('minute', ts) AS event_time FROM events",
     "stream_ema": _gold_from(CANDLES_SQL.format(where=""), f"source, symbol, timeframe, event_time, {r6('close')} AS close, {r6('ema_50')} AS ema_50"),
+    "backfill": f"""SELECT event_time, symbol, timeframe, {r6('open')} AS open, {r6('high')} AS high, {r6('low')} AS low,
+        {r6('close')} AS close, {r6('volume')} AS volume, 'exchange' AS source FROM ({CANDLES_SQL.format(where='')})
+        WHERE symbol = 'click' AND event_time >= TIMESTAMP '2024-01-03' AND event_time < TIMESTAMP '2024-01-21'""",
+    "multi_timeframe": """SELECT 'events' AS source, event_type AS symbol, tf AS timeframe, count(DISTINCT slot) AS candles,
+        round(CAST(sum(value) AS DOUBLE) + 2.5e-09, 6) AS volume FROM (
+          SELECT event_type, value, tf, CASE tf WHEN '1h' THEN date_trunc('hour', ts)
+              WHEN '1d' THEN date_trunc('day', ts)
+              ELSE make_timestamp(CAST(floor(epoch_us(ts) / 14400000000) * 14400000000 AS BIGINT)) END AS slot
+          FROM events, (VALUES ('1h'), ('4h'), ('1d')) t(tf))
+        GROUP BY 1, 2, 3""",
 }

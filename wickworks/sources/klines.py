@@ -22,9 +22,12 @@ from wickworks.schema import KLINE_POSITIONS, MAX_PAGE_LIMIT, OHLCV_COLUMNS
 PAGE_TYPE = "array<array<string>>"
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """One row per landed page file: ``page`` (array<array<string>>), ``file``."""
-    raw = spark.read.text(path, wholetext=True)
+def read_pages(spark: SparkSession, path: str, page_per_file: bool = True) -> DataFrame:
+    """Landed pages: ``page`` (array<array<string>>) and ``file``.
+
+    ``page_per_file=True`` reads each file as one JSON document (one request's
+    response per file); ``False`` reads JSON Lines, one page per line."""
+    raw = spark.read.text(path, wholetext=page_per_file)
     return raw.select(
         F.from_json("value", PAGE_TYPE).alias("page"), F.col("_metadata.file_path").alias("file")
     )
