@@ -10,7 +10,8 @@ def nan_to_null(c: Column | str) -> Column:
     """NaN -> null.  Spark orders NaN above every number, pandas compares it as false;
     turning it into null first gives the pandas-style result in greatest/least checks."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.when(~F.isnan(c), c)
+    # nanvl references the operand once (a CASE would duplicate it when Catalyst inlines).
+    return F.nanvl(c.cast("double"), F.lit(None).cast("double"))
 
 
 def to_double(c: Column | str) -> Column:

@@ -240,6 +240,19 @@ class _LastChannel:
         return [f"_lag_{self.source}", f"_last_{self.source}"]
 
 
+def _materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and continue from it.
+
+    Both consumers of a pass input (block states and per-row finalisation) then
+    read the written rows instead of recomputing the upstream plan each, and the
+    lineage of a multi-pass job is cut (an executor lost later recomputes from
+    the checkpoint).  The (key, bucket) partitioning is kept, so no re-shuffle."""
+    from wickworks.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _levels(min_timeframe: str | None, block_rows: int) -> int:
     ms = TIMEFRAME_MS.get(min_timeframe or "1m", TIMEFRAME_MS["1m"])
     return levels_for(ms, block_rows)
@@ -357,6 +370,7 @@ def indicators(
     timeframe_col: str | None = "timeframe",
     min_timeframe: str | None = None,
     keep_internal: bool = False,
+    materialize: bool = True,
 ) -> DataFrame:
     """Gold indicators on candle rows: SMA, EMA, MACD/signal/histogram and RSI.
 
@@ -370,6 +384,8 @@ def indicators(
     block = safe_block_rows([a_fast, a_slow, a_sig, a_rsi, a_ema])
     levels = _levels(min_timeframe, block)
     blocked = add_blocks(df, keys, ["event_time"], "event_time", timeframe_col, block)
+    if materialize:
+        blocked = _materialize(blocked)
 
     pass_a = [
         _EmaChannels([Ema(ema_name, "close", a_ema), Ema("_ema_fast", "close", a_fast), Ema("_ema_slow", "close", a_slow)],
@@ -378,6 +394,8 @@ def indicators(
         _LastChannel("close"),
     ]
     a = _scan_pass(blocked, keys, pass_a, levels)
+    if materialize:
+        a = _materialize(a)
     delta = F.when(F.col("_pos") == 0, F.lit(0.0)).otherwise(F.col("close") - F.col("prev_close"))
     a = a.withColumn("_delta", delta).withColumnRenamed("_pos", "_pos_a")
     d = F.col("_delta")
