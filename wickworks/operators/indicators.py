@@ -37,6 +37,7 @@ from wickworks.operators.scan import (
     block_window,
     exclusive_carries,
     levels_for,
+    materialize,
     safe_block_rows,
 )
 from wickworks.schema import (
@@ -241,16 +242,7 @@ class _LastChannel:
 
 
 def _materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and continue from it.
-
-    Both consumers of a pass input (block states and per-row finalisation) then
-    read the written rows instead of recomputing the upstream plan each, and the
-    lineage of a multi-pass job is cut (an executor lost later recomputes from
-    the checkpoint).  The (key, bucket) partitioning is kept, so no re-shuffle."""
-    from wickworks.session import checkpoint_dir
-
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return materialize(df)
 
 
 def _levels(min_timeframe: str | None, block_rows: int) -> int:
@@ -306,7 +298,7 @@ def _prepare(df: DataFrame, keys: Sequence[str], alphas: Sequence[float], timefr
              order_cols: Sequence[str] | None) -> tuple[DataFrame, int]:
     block = safe_block_rows(alphas)
     order = list(order_cols or ["event_time"])
-    return add_blocks(df, keys, order, "event_time", timeframe_col, block), block
+    return _materialize(add_blocks(df, keys, order, "event_time", timeframe_col, block)), block
 
 
 def ema(

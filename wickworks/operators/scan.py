@@ -94,6 +94,17 @@ def add_blocks(
     }).drop("_k")
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder (``spark.checkpoint.dir``) and
+    continue from it: the block states and the per-row pass both read the written
+    rows instead of recomputing the upstream plan, and the lineage is cut.  The
+    (key, bucket) hash partitioning is kept, so no re-shuffle follows."""
+    from wickworks.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def block_window(keys: Sequence[str]) -> Window:
     return Window.partitionBy(*keys, "_bucket", "_sub").orderBy("_kb")
 
@@ -211,7 +222,7 @@ def series_lag(
     the earlier blocks through ``exclusive_carries`` with a keep-the-later combine."""
     keys = list(keys) + list(partition_extra)
     order_cols = list(order_cols or [time_col])
-    blocked = add_blocks(df, keys, order_cols, time_col, timeframe_col)
+    blocked = materialize(add_blocks(df, keys, order_cols, time_col, timeframe_col))
     wb = block_window(keys)
     last = F.struct(*[F.col(c) for c in cols])
     for c in cols:
@@ -241,7 +252,7 @@ def series_ffill(
     In-block ``last(ignorenulls)`` window; the blocks' last non-null values are
     combined with a keep-the-later-non-null rule to fill the start of a block."""
     keys = list(keys)
-    blocked = add_blocks(df, keys, [time_col], time_col, timeframe_col)
+    blocked = materialize(add_blocks(df, keys, [time_col], time_col, timeframe_col))
     run = block_window(keys).rowsBetween(Window.unboundedPreceding, 0)
     for c in cols:
         blocked = blocked.withColumn(f"_ff_{c}", F.last(c, ignorenulls=True).over(run))
