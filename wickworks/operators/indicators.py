@@ -241,8 +241,8 @@ class _LastChannel:
         return [f"_lag_{self.source}", f"_last_{self.source}"]
 
 
-def _materialize(df: DataFrame) -> DataFrame:
-    return materialize(df)
+def _materialize(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return materialize(df, keys)
 
 
 def _levels(min_timeframe: str | None, block_rows: int) -> int:
@@ -298,7 +298,7 @@ def _prepare(df: DataFrame, keys: Sequence[str], alphas: Sequence[float], timefr
              order_cols: Sequence[str] | None) -> tuple[DataFrame, int]:
     block = safe_block_rows(alphas)
     order = list(order_cols or ["event_time"])
-    return _materialize(add_blocks(df, keys, order, "event_time", timeframe_col, block)), block
+    return _materialize(add_blocks(df, keys, order, "event_time", timeframe_col, block), keys), block
 
 
 def ema(
@@ -377,7 +377,7 @@ def indicators(
     levels = _levels(min_timeframe, block)
     blocked = add_blocks(df, keys, ["event_time"], "event_time", timeframe_col, block)
     if materialize:
-        blocked = _materialize(blocked)
+        blocked = _materialize(blocked, keys)
 
     pass_a = [
         _EmaChannels([Ema(ema_name, "close", a_ema), Ema("_ema_fast", "close", a_fast), Ema("_ema_slow", "close", a_slow)],
@@ -387,7 +387,7 @@ def indicators(
     ]
     a = _scan_pass(blocked, keys, pass_a, levels)
     if materialize:
-        a = _materialize(a)
+        a = _materialize(a, keys)
     delta = F.when(F.col("_pos") == 0, F.lit(0.0)).otherwise(F.col("close") - F.col("prev_close"))
     a = a.withColumn("_delta", delta).withColumnRenamed("_pos", "_pos_a")
     d = F.col("_delta")

@@ -94,15 +94,32 @@ def add_blocks(
     }).drop("_k")
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder (``spark.checkpoint.dir``) and
-    continue from it: the block states and the per-row pass both read the written
-    rows instead of recomputing the upstream plan, and the lineage is cut.  The
-    (key, bucket) hash partitioning is kept, so no re-shuffle follows."""
-    from wickworks.session import checkpoint_dir
-
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Write the blocked rows once, bucketed by (key, bucket), to the shared checkpoint
+    folder (``spark.checkpoint.dir``) and continue from that table.
+
+    * both consumers of a pass input (block states and per-row finalisation) read
+      the written rows instead of recomputing the upstream plan, and the lineage
+      of a multi-pass job is cut (a lost executor recomputes from the files);
+    * the bucketed scan reports hash partitioning on (key, bucket), so the block
+      windows and the carry join run without another shuffle of the rows."""
+    import uuid
+
+    from wickworks.session import scratch_path
+
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"wickworks_scan_{uuid.uuid4().hex}"
+    (
+        df.repartition(n, *keys, "_bucket")
+        .write.mode("overwrite")
+        .format("parquet")
+        .option("path", scratch_path(spark, "scan"))
+        .bucketBy(n, *keys, "_bucket")
+        .sortBy(*keys, "_bucket", "_sub", "_kb")
+        .saveAsTable(name)
+    )
+    return spark.table(name)
 
 
 def block_window(keys: Sequence[str]) -> Window:
@@ -222,7 +239,7 @@ def series_lag(
     the earlier blocks through ``exclusive_carries`` with a keep-the-later combine."""
     keys = list(keys) + list(partition_extra)
     order_cols = list(order_cols or [time_col])
-    blocked = materialize(add_blocks(df, keys, order_cols, time_col, timeframe_col))
+    blocked = materialize(add_blocks(df, keys, order_cols, time_col, timeframe_col), keys)
     wb = block_window(keys)
     last = F.struct(*[F.col(c) for c in cols])
     for c in cols:
@@ -252,7 +269,7 @@ def series_ffill(
     In-block ``last(ignorenulls)`` window; the blocks' last non-null values are
     combined with a keep-the-later-non-null rule to fill the start of a block."""
     keys = list(keys)
-    blocked = materialize(add_blocks(df, keys, [time_col], time_col, timeframe_col))
+    blocked = materialize(add_blocks(df, keys, [time_col], time_col, timeframe_col), keys)
     run = block_window(keys).rowsBetween(Window.unboundedPreceding, 0)
     for c in cols:
         blocked = blocked.withColumn(f"_ff_{c}", F.last(c, ignorenulls=True).over(run))
