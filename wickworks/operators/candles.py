@@ -47,7 +47,8 @@ def ticks_to_candles(
     """Trades/ticks -> OHLCV candles of ``timeframe`` (contract column order).
 
     ``ingestion_time`` is the time of the slot's last tick."""
-    order = F.struct(F.col(ts), F.col(tie)) if tie else F.col(ts)
+    # (time, tie-break, price): a total order even when tie-break values repeat
+    order = F.struct(F.col(ts), F.col(tie), F.col(price)) if tie else F.struct(F.col(ts), F.col(price))
     out = (
         ticks.withColumn("event_time", slot_start(ts, timeframe))
         .groupBy(*key, "event_time")

@@ -18,7 +18,7 @@ from wickworks.operators.candles import resample, ticks_to_candles, with_vwap
 from wickworks.operators.indicators import Ema, ema, indicators, row_index, sma
 from wickworks.operators.dedup import dedup_last
 from wickworks.plans import inputs
-from wickworks.plans.inputs import CANDLES_SQL, DAILY_SQL, DEDUP_SQL, DIRTY_SQL, LANDED_SQL
+from wickworks.plans.inputs import CANDLES_SQL, DAILY_SQL, DEDUP_SQL, DIRTY_SQL, LANDED_SQL, LINE_DAILY_SQL
 from wickworks.schema import OHLCV_COLUMNS, SERIES_KEY, ema_alpha, wilder_alpha
 from wickworks.sources import klines
 from wickworks.sources.tables import event_ticks
@@ -136,8 +136,8 @@ def _pages(spark, sf) -> DataFrame:
     """Exchange-style JSON pages built from the hourly candles: one page per symbol and day."""
     ticks = event_ticks(spark, sf)
     c = ticks.withColumn("event_time", F.date_trunc("hour", "ts")).groupBy("symbol", "event_time").agg(
-        F.min_by("price", F.struct("ts", "seq")).alias("open"), F.max("price").alias("high"),
-        F.min("price").alias("low"), F.max_by("price", F.struct("ts", "seq")).alias("close"),
+        F.min_by("price", F.struct("ts", "seq", "price")).alias("open"), F.max("price").alias("high"),
+        F.min("price").alias("low"), F.max_by("price", F.struct("ts", "seq", "price")).alias("close"),
         F.sum("size").alias("volume"), F.sum(F.col("price") * F.col("size")).alias("quote_volume"),
         F.count(F.lit(1)).alias("trades"),
         F.coalesce(F.sum(F.when(F.col("seq") % 2 == 0, F.col("size"))), F.lit(0.0)).alias("taker_buy_volume"),
@@ -483,6 +483,16 @@ def q_multi_timeframe(spark, sf):
     return present(allc.groupBy(*SERIES_KEY).agg(F.count(F.lit(1)).alias("candles"), F.sum("volume").alias("volume")))
 
 
+def q_line_candles(spark, sf):
+    """Daily candles of every lineitem line (the largest driver table)."""
+    return present(inputs.line_daily(spark, sf), ORDER_DECIMALS)
+
+
+def q_line_gold(spark, sf):
+    df = with_year_month(indicators(inputs.line_daily(spark, sf), min_timeframe="1d"))
+    return present(df.select(*GOLD_COLS), ORDER_DECIMALS)
+
+
 QUERIES: dict[str, Query] = {
     "candles_1h": q_candles_1h,
     "resample_1d": q_resample_1d,
@@ -532,6 +542,8 @@ QUERIES: dict[str, Query] = {
     "stream_ema": q_stream_ema,
     "backfill": q_backfill,
     "multi_timeframe": q_multi_timeframe,
+    "line_candles": q_line_candles,
+    "line_gold": q_line_gold,
 }
 
 
@@ -707,4 +719,6 @@ ORACLE: dict[str, str] = {
               ELSE make_timestamp(CAST(floor(epoch_us(ts) / 14400000000) * 14400000000 AS BIGINT)) END AS slot
           FROM events, (VALUES ('1h'), ('4h'), ('1d')) t(tf))
         GROUP BY 1, 2, 3""",
+    "line_candles": f"SELECT event_time, symbol, timeframe, {_sel(['open', 'high', 'low', 'close', 'volume'], DOUBLE_COLS, ORDER_DECIMALS)}, source, ingestion_time FROM ({LINE_DAILY_SQL})",
+    "line_gold": _gold_from(LINE_DAILY_SQL, _sel(GOLD_COLS, DOUBLE_COLS, ORDER_DECIMALS)),
 }

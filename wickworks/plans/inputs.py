@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from wickworks.operators.candles import ticks_to_candles
 from wickworks.operators.dedup import dedup_last
 from wickworks.schema import OHLCV_COLUMNS
-from wickworks.sources.tables import event_ticks, order_ticks, table
+from wickworks.sources.tables import event_ticks, lineitem_ticks, order_ticks, table
 
 RUN1_TS = "2024-02-01 00:00:00"
 RUN2_TS = "2024-02-02 00:00:00"
@@ -47,6 +47,11 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ticks_to_candles(order_ticks(spark, sf_dir), "1d")
 
 
+def line_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily candles of ``lineitem`` lines (symbol = returnflag || linestatus)."""
+    return ticks_to_candles(lineitem_ticks(spark, sf_dir), "1d")
+
+
 def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     eid, uid, v = F.col("event_id"), F.col("user_id"), F.col("value")
@@ -82,8 +87,8 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 CANDLES_SQL = """
 SELECT 'events' AS source, event_type AS symbol, '1h' AS timeframe,
        date_trunc('hour', ts) AS event_time,
-       arg_min(value, (ts, event_id)) AS open, max(value) AS high, min(value) AS low,
-       arg_max(value, (ts, event_id)) AS close, sum(value) AS volume, max(ts) AS ingestion_time
+       arg_min(value, (ts, event_id, value)) AS open, max(value) AS high, min(value) AS low,
+       arg_max(value, (ts, event_id, value)) AS close, sum(value) AS volume, max(ts) AS ingestion_time
 FROM events {where}
 GROUP BY 1, 2, 3, 4
 """
@@ -113,8 +118,8 @@ WHERE rn = 1
 DAILY_SQL = """
 SELECT 'orders' AS source, o_orderpriority AS symbol, '1d' AS timeframe,
        date_trunc('day', o_orderdate) AS event_time,
-       arg_min(o_totalprice, (o_orderdate, o_orderkey)) AS open, max(o_totalprice) AS high,
-       min(o_totalprice) AS low, arg_max(o_totalprice, (o_orderdate, o_orderkey)) AS close,
+       arg_min(o_totalprice, (o_orderdate, o_orderkey, o_totalprice)) AS open, max(o_totalprice) AS high,
+       min(o_totalprice) AS low, arg_max(o_totalprice, (o_orderdate, o_orderkey, o_totalprice)) AS close,
        sum(o_totalprice) AS volume, max(o_orderdate) AS ingestion_time
 FROM orders GROUP BY 1, 2, 3, 4
 """
@@ -135,3 +140,12 @@ FROM (SELECT event_id, user_id, ts AS event_time,
              CASE WHEN event_id % 89 = 0 THEN NULL ELSE value + CAST(((event_id % 7) - 3) * 0.5 AS DOUBLE) END AS close
       FROM events)
 """
+
+LINE_DAILY_SQL = """
+SELECT 'lineitem' AS source, l_returnflag || l_linestatus AS symbol, '1d' AS timeframe,
+       date_trunc('day', l_shipdate) AS event_time,
+       arg_min(l_extendedprice, (l_shipdate, l_orderkey * 8 + l_linenumber, l_extendedprice)) AS open, max(l_extendedprice) AS high,
+       min(l_extendedprice) AS low, arg_max(l_extendedprice, (l_shipdate, l_orderkey * 8 + l_linenumber, l_extendedprice)) AS close,
+       sum(l_quantity) AS volume, max(l_shipdate) AS ingestion_time
+FROM lineitem GROUP BY 1, 2, 3, 4
+"""

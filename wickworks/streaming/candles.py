@@ -25,7 +25,7 @@ from wickworks.schema import OHLCV_COLUMNS, SERIES_KEY
 
 def stream_candles(ticks: DataFrame, timeframe: str = "1 hour", tf_code: str = "1h", delay: str = "1 hour") -> DataFrame:
     """Ticks (source, symbol, ts, price, size, seq) -> candles in append mode."""
-    order = F.struct("ts", "seq")
+    order = F.struct("ts", "seq", "price")
     out = (
         ticks.withWatermark("ts", delay)
         .groupBy("source", "symbol", F.window("ts", timeframe).alias("w"))
