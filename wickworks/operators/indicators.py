@@ -37,6 +37,7 @@ from wickworks.operators.scan import (
     block_window,
     exclusive_carries,
     levels_for,
+    levels_for_span,
     materialize,
     safe_block_rows,
 )
@@ -241,7 +242,7 @@ class _LastChannel:
         return [f"_lag_{self.source}", f"_last_{self.source}"]
 
 
-def _materialize(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _materialize(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
     return materialize(df, keys)
 
 
@@ -296,9 +297,11 @@ def _scan_pass(
 
 def _prepare(df: DataFrame, keys: Sequence[str], alphas: Sequence[float], timeframe_col: str | None,
              order_cols: Sequence[str] | None) -> tuple[DataFrame, int]:
+    """Blocked, materialized rows and the fold depth their bucket span needs."""
     block = safe_block_rows(alphas)
     order = list(order_cols or ["event_time"])
-    return _materialize(add_blocks(df, keys, order, "event_time", timeframe_col, block), keys), block
+    blocked, span = _materialize(add_blocks(df, keys, order, "event_time", timeframe_col, block), keys)
+    return blocked, levels_for_span(span)
 
 
 def ema(
@@ -306,14 +309,13 @@ def ema(
     specs: Sequence[Ema],
     keys: Sequence[str] = SERIES_KEY,
     timeframe_col: str | None = "timeframe",
-    min_timeframe: str | None = None,
     order_cols: Sequence[str] | None = None,
     with_prev: bool = False,
     with_position: bool = False,
 ) -> DataFrame:
     """Adds one column per ``Ema`` spec (H1, P8 with free parameters)."""
-    blocked, block = _prepare(df, keys, [s.alpha for s in specs], timeframe_col, order_cols)
-    out = _scan_pass(blocked, keys, [_EmaChannels(specs, with_prev)], _levels(min_timeframe, block))
+    blocked, levels = _prepare(df, keys, [s.alpha for s in specs], timeframe_col, order_cols)
+    out = _scan_pass(blocked, keys, [_EmaChannels(specs, with_prev)], levels)
     if with_position:
         out = out.withColumnRenamed("_pos", "idx")
     return out.drop("_bucket", "_sub", "_kb", "_pos")
@@ -326,13 +328,12 @@ def sma(
     name: str | None = None,
     keys: Sequence[str] = SERIES_KEY,
     timeframe_col: str | None = "timeframe",
-    min_timeframe: str | None = None,
     with_prev: bool = False,
 ) -> DataFrame:
     """Mean of the current and up to ``window - 1`` preceding rows of the series."""
     name = name or f"sma_{window}"
-    blocked, block = _prepare(df, keys, [], timeframe_col, None)
-    out = _scan_pass(blocked, keys, [_SmaChannel(name, source, window, with_prev)], _levels(min_timeframe, block))
+    blocked, levels = _prepare(df, keys, [], timeframe_col, None)
+    out = _scan_pass(blocked, keys, [_SmaChannel(name, source, window, with_prev)], levels)
     return out.drop("_bucket", "_sub", "_kb", "_pos")
 
 
@@ -341,12 +342,11 @@ def row_index(
     keys: Sequence[str] = SERIES_KEY,
     name: str = "idx",
     timeframe_col: str | None = "timeframe",
-    min_timeframe: str | None = None,
     order_cols: Sequence[str] | None = None,
 ) -> DataFrame:
     """0-based row position in event_time order within each series (G1)."""
-    blocked, block = _prepare(df, keys, [], timeframe_col, order_cols)
-    out = _scan_pass(blocked, keys, [], _levels(min_timeframe, block))
+    blocked, levels = _prepare(df, keys, [], timeframe_col, order_cols)
+    out = _scan_pass(blocked, keys, [], levels)
     return out.withColumn(name, F.col("_pos").cast("int")).drop("_bucket", "_sub", "_kb", "_pos")
 
 
@@ -368,7 +368,11 @@ def indicators(
 
     Two scan passes share one (key, bucket) exchange: pass A (EMA fast/slow/trend,
     SMA tail, previous close) and pass B (RSI averages of the gains/losses that
-    pass A's previous close defines, and the MACD signal line)."""
+    pass A's previous close defines, and the MACD signal line).
+
+    ``materialize`` writes each pass input once as a bucketed table (see
+    ``scan.materialize``); the fold depth then follows the observed bucket span.
+    Without it the depth is planned statically from ``min_timeframe``."""
     sma_name = f"sma_{sma_window}"
     ema_name = f"ema_{ema_period}"
     a_fast, a_slow = ema_alpha(macd_fast), ema_alpha(macd_slow)
@@ -377,7 +381,8 @@ def indicators(
     levels = _levels(min_timeframe, block)
     blocked = add_blocks(df, keys, ["event_time"], "event_time", timeframe_col, block)
     if materialize:
-        blocked = _materialize(blocked, keys)
+        blocked, span = _materialize(blocked, keys)
+        levels = levels_for_span(span)
 
     pass_a = [
         _EmaChannels([Ema(ema_name, "close", a_ema), Ema("_ema_fast", "close", a_fast), Ema("_ema_slow", "close", a_slow)],
@@ -387,7 +392,7 @@ def indicators(
     ]
     a = _scan_pass(blocked, keys, pass_a, levels)
     if materialize:
-        a = _materialize(a, keys)
+        a, _ = _materialize(a, keys)
     delta = F.when(F.col("_pos") == 0, F.lit(0.0)).otherwise(F.col("close") - F.col("prev_close"))
     a = a.withColumn("_delta", delta).withColumnRenamed("_pos", "_pos_a")
     d = F.col("_delta")

@@ -18,8 +18,9 @@ block, the combined state of all earlier blocks of its series.  It is a
 parallel prefix scan: block states are folded in groups of at most ``fanout``
 consecutive elements (an ordered array fold), the group totals are folded at the
 next level, and so on up to one group per series; the carries then come back
-down by joins.  The depth is fixed from the bucket count of the supported time
-range, so no action is needed to plan it and every group stays bounded.
+down by joins.  The depth comes from the bucket span observed while the pass
+input is written (``materialize``), so no extra job plans it and every group
+stays bounded (``levels_for`` gives a static depth for unmaterialized input).
 """
 
 from __future__ import annotations
@@ -94,7 +95,7 @@ def add_blocks(
     }).drop("_k")
 
 
-def materialize(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def materialize(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
     """Write the blocked rows once, bucketed by (key, bucket), to the shared checkpoint
     folder (``spark.checkpoint.dir``) and continue from that table.
 
@@ -102,24 +103,44 @@ def materialize(df: DataFrame, keys: Sequence[str]) -> DataFrame:
       the written rows instead of recomputing the upstream plan, and the lineage
       of a multi-pass job is cut (a lost executor recomputes from the files);
     * the bucketed scan reports hash partitioning on (key, bucket), so the block
-      windows and the carry join run without another shuffle of the rows."""
+      windows and the carry join run without another shuffle of the rows.
+
+    Also returns the observed bucket span (max - min + 1 over all rows, gathered
+    by ``observe`` during the write, no extra job), which bounds the number of
+    blocks per series and so the fold depth."""
     import uuid
 
+    from pyspark.sql import Observation
+
     from wickworks.session import scratch_path
 
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"wickworks_scan_{uuid.uuid4().hex}"
+    tag = uuid.uuid4().hex
+    obs = Observation(f"span_{tag}")
     (
         df.repartition(n, *keys, "_bucket")
+        .observe(obs, F.min("_bucket").alias("lo"), F.max("_bucket").alias("hi"))
         .write.mode("overwrite")
         .format("parquet")
         .option("path", scratch_path(spark, "scan"))
         .bucketBy(n, *keys, "_bucket")
         .sortBy(*keys, "_bucket", "_sub", "_kb")
-        .saveAsTable(name)
+        .saveAsTable(f"wickworks_scan_{tag}")
     )
-    return spark.table(name)
+    m = obs.get
+    lo, hi = m.get("lo"), m.get("hi")
+    span = 1 if lo is None or hi is None else int(hi) - int(lo) + 1
+    return spark.table(f"wickworks_scan_{tag}"), span
+
+
+def levels_for_span(span: int, fanout: int = FANOUT) -> int:
+    """Fold levels so that a series spanning ``span`` buckets has a top group of at most
+    ``fanout`` elements (a bucket over-full with sub-blocks adds to its group only)."""
+    levels = 1
+    while fanout ** levels < span:
+        levels += 1
+    return levels
 
 
 def block_window(keys: Sequence[str]) -> Window:
@@ -231,7 +252,6 @@ def series_lag(
     timeframe_col: str | None = "timeframe",
     prefix: str = "prev_",
     partition_extra: Sequence[str] = (),
-    min_timeframe_ms: int = 60_000,
 ) -> DataFrame:
     """Value of ``cols`` on the previous row of the series (null on the first row).
 
@@ -239,13 +259,13 @@ def series_lag(
     the earlier blocks through ``exclusive_carries`` with a keep-the-later combine."""
     keys = list(keys) + list(partition_extra)
     order_cols = list(order_cols or [time_col])
-    blocked = materialize(add_blocks(df, keys, order_cols, time_col, timeframe_col), keys)
+    blocked, span = materialize(add_blocks(df, keys, order_cols, time_col, timeframe_col), keys)
     wb = block_window(keys)
     last = F.struct(*[F.col(c) for c in cols])
     for c in cols:
         blocked = blocked.withColumn(f"_lag_{c}", F.lag(c, 1).over(wb))
     elems = blocked.groupBy(*keys, "_bucket", "_sub").agg(F.max_by(last, F.col("_kb")).alias("_last"))
-    carries = exclusive_carries(elems, keys, "_last", lambda a, b: b, levels_for(min_timeframe_ms, BLOCK_ROWS))
+    carries = exclusive_carries(elems, keys, "_last", lambda a, b: b, levels_for_span(span))
     joined = attach_carries(blocked, carries, keys)
     out = joined
     for c in cols:
@@ -262,14 +282,13 @@ def series_ffill(
     time_col: str = "event_time",
     timeframe_col: str | None = "timeframe",
     prefix: str = "last_",
-    min_timeframe_ms: int = 60_000,
 ) -> DataFrame:
     """Last non-null value of ``cols`` up to and including the row (forward fill).
 
     In-block ``last(ignorenulls)`` window; the blocks' last non-null values are
     combined with a keep-the-later-non-null rule to fill the start of a block."""
     keys = list(keys)
-    blocked = materialize(add_blocks(df, keys, [time_col], time_col, timeframe_col), keys)
+    blocked, span = materialize(add_blocks(df, keys, [time_col], time_col, timeframe_col), keys)
     run = block_window(keys).rowsBetween(Window.unboundedPreceding, 0)
     for c in cols:
         blocked = blocked.withColumn(f"_ff_{c}", F.last(c, ignorenulls=True).over(run))
@@ -280,7 +299,7 @@ def series_ffill(
     def combine(a: str, b: str) -> str:
         return "named_struct(" + ", ".join(f"'{c}', coalesce({b}.{c}, {a}.{c})" for c in cols) + ")"
 
-    carries = exclusive_carries(elems, keys, "_st", combine, levels_for(min_timeframe_ms, BLOCK_ROWS))
+    carries = exclusive_carries(elems, keys, "_st", combine, levels_for_span(span))
     out = attach_carries(blocked, carries, keys)
     for c in cols:
         out = out.withColumn(prefix + c, F.coalesce(F.col(f"_ff_{c}"), F.col("_c")[c]))

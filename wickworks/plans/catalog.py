@@ -235,22 +235,22 @@ def q_distinct_years(spark, sf):
 
 
 def q_row_index(spark, sf):
-    df = row_index(inputs.candles(spark, sf), min_timeframe="1h")
+    df = row_index(inputs.candles(spark, sf))
     return present(df.select(*SERIES_KEY, "event_time", "close", "idx"))
 
 
 def q_chunk_no(spark, sf):
-    df = row_index(inputs.candles(spark, sf), min_timeframe="1h")
+    df = row_index(inputs.candles(spark, sf))
     return present(df.select(*SERIES_KEY, "event_time", "idx", F.floor(F.col("idx") / 100).cast("bigint").alias("chunk")))
 
 
 def q_sma_200(spark, sf):
-    df = sma(inputs.candles(spark, sf), min_timeframe="1h")
+    df = sma(inputs.candles(spark, sf))
     return present(df.select(*SERIES_KEY, "event_time", "close", "sma_200"))
 
 
 def q_ema_50(spark, sf):
-    df = ema(inputs.candles(spark, sf), [Ema("ema_50", "close", ema_alpha(50))], min_timeframe="1h")
+    df = ema(inputs.candles(spark, sf), [Ema("ema_50", "close", ema_alpha(50))])
     return present(df.select(*SERIES_KEY, "event_time", "close", "ema_50"))
 
 
