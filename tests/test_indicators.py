@@ -1,6 +1,5 @@
 """Indicators against the sequential definitions, incl. long multi-block series."""
 
-import math
 import random
 from datetime import datetime, timedelta
 

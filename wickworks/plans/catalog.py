@@ -16,9 +16,8 @@ from pyspark.sql import types as T
 from wickworks.operators import contract, quality, signals
 from wickworks.operators.candles import resample, ticks_to_candles, with_vwap
 from wickworks.operators.indicators import Ema, ema, indicators, row_index, sma
-from wickworks.operators.dedup import dedup_last
 from wickworks.plans import inputs
-from wickworks.plans.inputs import CANDLES_SQL, DAILY_SQL, DEDUP_SQL, DIRTY_SQL, LANDED_SQL, LINE_DAILY_SQL
+from wickworks.plans.inputs import CANDLES_SQL, DAILY_SQL, DEDUP_SQL, DIRTY_SQL, LINE_DAILY_SQL
 from wickworks.schema import OHLCV_COLUMNS, SERIES_KEY, ema_alpha, wilder_alpha
 from wickworks.sources import klines
 from wickworks.sources.tables import event_ticks
@@ -450,7 +449,6 @@ def q_stream_dedup(spark, sf):
 
 
 def q_stream_ema(spark, sf):
-    from wickworks.sinks.lake import write_table
     from wickworks.streaming.candles import stream_ema
 
     landed = _scratch(spark, "stream-candles-in")
@@ -458,7 +456,6 @@ def q_stream_ema(spark, sf):
     c.write.mode("overwrite").parquet(landed)
     stream = spark.readStream.schema(c.schema).parquet(landed)
     out = _run_stream(spark, stream_ema(stream, ema_alpha(50), "ema_50"), "stream-ema")
-    del write_table
     return present(out)
 
 
