@@ -139,7 +139,7 @@ def _pages(spark, sf) -> DataFrame:
         F.min("price").alias("low"), F.max_by("price", F.struct("ts", "seq", "price")).alias("close"),
         F.sum("size").alias("volume"), F.sum(F.col("price") * F.col("size")).alias("quote_volume"),
         F.count(F.lit(1)).alias("trades"),
-        F.coalesce(F.sum(F.when(F.col("seq") % 2 == 0, F.col("size"))), F.lit(0.0)).alias("taker_buy_volume"),
+        F.coalesce(F.sum(F.when(F.col("price") >= 100.0, F.col("size"))), F.lit(0.0)).alias("taker_buy_volume"),
     )
     open_ms = F.unix_millis("event_time")
     k = F.array(
@@ -567,16 +567,16 @@ _LAGGED = """, lag(ema_50) OVER w AS p_e, lag(sma_200) OVER w AS p_s, lag(macd)
   FROM g WINDOW w AS (PARTITION BY source, symbol, timeframe ORDER BY event_time)"""
 
 ORACLE: dict[str, str] = {
-    "candles_1h": f"SELECT {OHLCV_SELECT} FROM ({CANDLES_SQL.format(where='')})",
+    "candles_1h": f"SELECT {OHLCV_SELECT} FROM ({CANDLES_SQL.format(where='', price='value')})",
     "resample_1d": f"""SELECT date_trunc('day', event_time) AS event_time, symbol, '1d' AS timeframe,
         {r6('arg_min(open, event_time)')} AS open, {r6('max(high)')} AS high, {r6('min(low)')} AS low,
         {r6('arg_max(close, event_time)')} AS close, {r6('sum(volume)')} AS volume, source, max(ingestion_time) AS ingestion_time
-        FROM ({CANDLES_SQL.format(where='')}) GROUP BY source, symbol, date_trunc('day', event_time)""",
+        FROM ({CANDLES_SQL.format(where='', price='value')}) GROUP BY source, symbol, date_trunc('day', event_time)""",
     "kline_parse": f"""SELECT event_time, symbol, timeframe, {r6('open')} AS open, {r6('high')} AS high, {r6('low')} AS low,
         {r6('close')} AS close, {r6('volume')} AS volume, 'exchange' AS source, TIMESTAMP '2024-03-01 00:00:00' AS ingestion_time
-        FROM ({CANDLES_SQL.format(where='')})""",
+        FROM ({CANDLES_SQL.format(where='', price='value')})""",
     "kline_vwap": f"""SELECT date_trunc('hour', ts) AS event_time, event_type AS symbol, {r6('sum(value * value)')} AS quote_volume,
-        count(*) AS trades, {r6('coalesce(sum(CASE WHEN event_id % 2 = 0 THEN value END), 0)')} AS taker_buy_volume,
+        count(*) AS trades, {r6('coalesce(sum(CASE WHEN value >= 100.0 THEN value END), 0)')} AS taker_buy_volume,
         {r6('CASE WHEN sum(value) = 0 THEN NULL ELSE sum(value * value) / sum(value) END')} AS vwap
         FROM events GROUP BY 1, 2""",
     "fetch_windows": """WITH req AS (
@@ -627,25 +627,25 @@ ORACLE: dict[str, str] = {
         SELECT event_time, symbol, (['1m', '1M', '2m', '1h', '7d'])[CAST(hour(event_time) % 5 + 1 AS INTEGER)] AS timeframe
         FROM ({DIRTY_SQL})) WHERE timeframe NOT IN ('1m','3m','5m','15m','30m','1h','2h','4h','6h','8h','12h','1d','3d','1w','1M')""",
     "dedup_last": f"SELECT {OHLCV_SELECT} FROM ({DEDUP_SQL})",
-    "range_filter": f"""SELECT {OHLCV_SELECT} FROM ({CANDLES_SQL.format(where='')})
+    "range_filter": f"""SELECT {OHLCV_SELECT} FROM ({CANDLES_SQL.format(where='', price='value')})
         WHERE event_time >= TIMESTAMP '2024-01-05' AND event_time < TIMESTAMP '2024-01-13'""",
     "partition_counts": f"""SELECT source, symbol, timeframe, year(event_time) AS year, month(event_time) AS month, count(*) AS rows
-        FROM ({CANDLES_SQL.format(where='')}) GROUP BY 1, 2, 3, 4, 5""",
+        FROM ({CANDLES_SQL.format(where='', price='value')}) GROUP BY 1, 2, 3, 4, 5""",
     "distinct_years": f"SELECT DISTINCT year(event_time) AS year FROM ({DAILY_SQL})",
     "row_index": f"""SELECT source, symbol, timeframe, event_time, {r6('close')} AS close,
         row_number() OVER (PARTITION BY source, symbol, timeframe ORDER BY event_time) - 1 AS idx
-        FROM ({CANDLES_SQL.format(where='')})""",
+        FROM ({CANDLES_SQL.format(where='', price='value')})""",
     "chunk_no": f"""SELECT source, symbol, timeframe, event_time, idx, CAST(floor(idx / 100) AS BIGINT) AS chunk FROM (
         SELECT *, row_number() OVER (PARTITION BY source, symbol, timeframe ORDER BY event_time) - 1 AS idx
-        FROM ({CANDLES_SQL.format(where='')}))""",
+        FROM ({CANDLES_SQL.format(where='', price='value')}))""",
     "sma_200": f"""SELECT source, symbol, timeframe, event_time, {r6('close')} AS close,
         {r6('avg(close) OVER (PARTITION BY source, symbol, timeframe ORDER BY event_time ROWS BETWEEN 199 PRECEDING AND CURRENT ROW)')} AS sma_200
-        FROM ({CANDLES_SQL.format(where='')})""",
-    "ema_50": _gold_from(CANDLES_SQL.format(where=""), f"source, symbol, timeframe, event_time, {r6('close')} AS close, {r6('ema_50')} AS ema_50"),
-    "macd": _gold_from(CANDLES_SQL.format(where=""), f"source, symbol, timeframe, event_time, {r6('macd')} AS macd, {r6('macd_signal')} AS macd_signal, {r6('macd_hist')} AS macd_hist"),
-    "rsi_14": _gold_from(CANDLES_SQL.format(where=""), f"source, symbol, timeframe, event_time, {r6('close')} AS close, {r6('rsi_14')} AS rsi_14"),
+        FROM ({CANDLES_SQL.format(where='', price='value')})""",
+    "ema_50": _gold_from(CANDLES_SQL.format(where="", price="value"), f"source, symbol, timeframe, event_time, {r6('close')} AS close, {r6('ema_50')} AS ema_50"),
+    "macd": _gold_from(CANDLES_SQL.format(where="", price="value"), f"source, symbol, timeframe, event_time, {r6('macd')} AS macd, {r6('macd_signal')} AS macd_signal, {r6('macd_hist')} AS macd_hist"),
+    "rsi_14": _gold_from(CANDLES_SQL.format(where="", price="value"), f"source, symbol, timeframe, event_time, {r6('close')} AS close, {r6('rsi_14')} AS rsi_14"),
     "gold": _gold_from(DEDUP_SQL, GOLD_SELECT),
-    "indicator_params": gold_sql(CANDLES_SQL.format(where=""), 20, 20, 5, 35, 5, 7,
+    "indicator_params": gold_sql(CANDLES_SQL.format(where="", price="value"), 20, 20, 5, 35, 5, 7,
                                  extra="SELECT source, symbol, timeframe, event_time, "
                                  + _sel(["sma_20", "ema_20", "rsi_7", "macd", "macd_signal", "macd_hist"], DOUBLE_COLS) + " FROM g"),
     "daily_gold": _gold_from(DAILY_SQL, _sel(GOLD_COLS, DOUBLE_COLS, ORDER_DECIMALS)),
@@ -666,16 +666,16 @@ ORACLE: dict[str, str] = {
     "candle_geometry": f"""SELECT source, symbol, timeframe, event_time, close >= open AS is_up,
         {r6('least(open, close)')} AS body_low, {r6('greatest(open, close)')} AS body_high, {r6('abs(close - open)')} AS body_height,
         {r6('low')} AS wick_low, {r6('high')} AS wick_high, {r6('epoch_us(event_time) / 86400000000.0')} AS day_num
-        FROM ({CANDLES_SQL.format(where='')})""",
+        FROM ({CANDLES_SQL.format(where='', price='value')})""",
     "year_feed": _gold_from(DAILY_SQL, "year, symbol, event_time, " + _sel(
         ["open", "high", "low", "close", "volume", "sma_200", "ema_50", "rsi_14", "macd", "macd_signal"], DOUBLE_COLS,
         ORDER_DECIMALS)),
     "top_30": _gold_from(DEDUP_SQL, GOLD_SELECT, order="ORDER BY event_time, symbol LIMIT 30"),
-    "missing_candles": f"""WITH c AS ({CANDLES_SQL.format(where='')}),
+    "missing_candles": f"""WITH c AS ({CANDLES_SQL.format(where='', price='value')}),
         r AS (SELECT source, symbol, timeframe, min(event_time) AS lo, max(event_time) AS hi FROM c GROUP BY 1, 2, 3),
         grid AS (SELECT source, symbol, timeframe, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS event_time FROM r)
         SELECT source, symbol, timeframe, event_time FROM grid ANTI JOIN c USING (source, symbol, timeframe, event_time)""",
-    "gap_fill": f"""WITH c AS ({CANDLES_SQL.format(where='')}),
+    "gap_fill": f"""WITH c AS ({CANDLES_SQL.format(where='', price='value')}),
         r AS (SELECT source, symbol, timeframe, min(event_time) AS lo, max(event_time) AS hi FROM c GROUP BY 1, 2, 3),
         grid AS (SELECT source, symbol, timeframe, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS event_time FROM r),
         j AS (SELECT g.source, g.symbol, g.timeframe, g.event_time, c.open, c.high, c.low, c.close, c.volume,
@@ -692,22 +692,22 @@ ORACLE: dict[str, str] = {
         CAST(floor(epoch_ms(max(event_time)) / 3600000) - floor(epoch_ms(min(event_time)) / 3600000) + 1 AS BIGINT) AS expected,
         CAST((date_diff('day', CAST(min(event_time) AS DATE), CAST(max(event_time) AS DATE)) + 1) * 24 AS BIGINT) AS estimated,
         {r6('count(*) / (floor(epoch_ms(max(event_time)) / 3600000) - floor(epoch_ms(min(event_time)) / 3600000) + 1)')} AS ratio
-        FROM ({CANDLES_SQL.format(where='')}) GROUP BY 1, 2, 3""",
-    "parquet_roundtrip": f"SELECT {OHLCV_SELECT} FROM ({CANDLES_SQL.format(where='')})",
-    "partition_read": f"""SELECT {OHLCV_SELECT} FROM ({CANDLES_SQL.format(where='')})
+        FROM ({CANDLES_SQL.format(where='', price='value')}) GROUP BY 1, 2, 3""",
+    "parquet_roundtrip": f"SELECT {OHLCV_SELECT} FROM ({CANDLES_SQL.format(where='', price='value')})",
+    "partition_read": f"""SELECT {OHLCV_SELECT} FROM ({CANDLES_SQL.format(where='', price='value')})
         WHERE source = 'events' AND symbol = 'click' AND timeframe = '1h' AND year(event_time) = 2024 AND month(event_time) = 1""",
     "lake_info": f"""SELECT source, symbol, timeframe, count(*) AS total_rows, min(event_time) AS first_event,
-        max(event_time) AS last_event FROM ({CANDLES_SQL.format(where='')}) GROUP BY 1, 2, 3""",
+        max(event_time) AS last_event FROM ({CANDLES_SQL.format(where='', price='value')}) GROUP BY 1, 2, 3""",
     "csv_roundtrip": f"""SELECT source, symbol, timeframe, event_time, {r6('open')} AS open, {r6('high')} AS high,
-        {r6('low')} AS low, {r6('close')} AS close, {r6('volume')} AS volume FROM ({CANDLES_SQL.format(where='')})""",
-    "json_records": f"SELECT {OHLCV_SELECT} FROM ({CANDLES_SQL.format(where='')})",
-    "medallion_gold": _gold_from(CANDLES_SQL.format(where=""), GOLD_SELECT),
-    "stream_candles": f"""SELECT {OHLCV_SELECT} FROM ({CANDLES_SQL.format(where='')})
+        {r6('low')} AS low, {r6('close')} AS close, {r6('volume')} AS volume FROM ({CANDLES_SQL.format(where='', price='value')})""",
+    "json_records": f"SELECT {OHLCV_SELECT} FROM ({CANDLES_SQL.format(where='', price='value')})",
+    "medallion_gold": _gold_from(CANDLES_SQL.format(where="", price="value"), GOLD_SELECT),
+    "stream_candles": f"""SELECT {OHLCV_SELECT} FROM ({CANDLES_SQL.format(where='', price='value')})
         WHERE event_time + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
     "stream_dedup": "SELECT DISTINCT event_type AS symbol, date_trunc('minute', ts) AS event_time FROM events",
-    "stream_ema": _gold_from(CANDLES_SQL.format(where=""), f"source, symbol, timeframe, event_time, {r6('close')} AS close, {r6('ema_50')} AS ema_50"),
+    "stream_ema": _gold_from(CANDLES_SQL.format(where="", price="value"), f"source, symbol, timeframe, event_time, {r6('close')} AS close, {r6('ema_50')} AS ema_50"),
     "backfill": f"""SELECT event_time, symbol, timeframe, {r6('open')} AS open, {r6('high')} AS high, {r6('low')} AS low,
-        {r6('close')} AS close, {r6('volume')} AS volume, 'exchange' AS source FROM ({CANDLES_SQL.format(where='')})
+        {r6('close')} AS close, {r6('volume')} AS volume, 'exchange' AS source FROM ({CANDLES_SQL.format(where='', price='value')})
         WHERE symbol = 'click' AND event_time >= TIMESTAMP '2024-01-03' AND event_time < TIMESTAMP '2024-01-21'""",
     "multi_timeframe": """SELECT 'events' AS source, event_type AS symbol, tf AS timeframe, count(DISTINCT slot) AS candles,
         round(CAST(sum(value) AS DOUBLE) + 2.5e-09, 6) AS volume FROM (

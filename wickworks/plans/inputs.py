@@ -2,9 +2,11 @@
 equivalent SQL (for the DuckDB oracle).  Both sides must define the same rows.
 
 * ``candles``: hourly candles of ``events`` (symbol = event_type).
-* ``landed``: two ingestion runs of those candles — run 1 over all events
-  (ingested 2024-02-01, seq 1) and run 2 over events with event_id % 4 = 0
-  (ingested 2024-02-02, seq 2) — so keep-last deduplication has work to do.
+* ``landed``: two overlapping ingestion runs — run 1 over events before
+  2024-01-20 (ingested 2024-02-01, seq 1) and run 2, a corrected feed with
+  prices rounded to 0.1, over events from 2024-01-15 on (ingested 2024-02-02,
+  seq 2).  Together they cover every event; in the overlap keep-last must
+  return run 2's values.
 * ``dirty``: one 1-minute row per event with rule-based defects (null symbol,
   null close, NaN high, bad high/low, negative volume/price) for validation.
 * ``daily``: daily candles of ``orders`` (symbol = o_orderpriority), 1995-2001.
@@ -22,6 +24,8 @@ from wickworks.sources.tables import event_ticks, lineitem_ticks, order_ticks, t
 
 RUN1_TS = "2024-02-01 00:00:00"
 RUN2_TS = "2024-02-02 00:00:00"
+RUN1_END = "2024-01-20 00:00:00"
+RUN2_START = "2024-01-15 00:00:00"
 
 
 def candles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,9 +34,14 @@ def candles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     ticks = event_ticks(spark, sf_dir)
-    run1 = ticks_to_candles(ticks, "1h").withColumn("ingestion_time", F.to_timestamp(F.lit(RUN1_TS))).withColumn("seq", F.lit(1))
+    run1 = (
+        ticks_to_candles(ticks.where(F.col("ts") < F.lit(RUN1_END).cast("timestamp")), "1h")
+        .withColumn("ingestion_time", F.to_timestamp(F.lit(RUN1_TS)))
+        .withColumn("seq", F.lit(1))
+    )
+    corrected = ticks.where(F.col("ts") >= F.lit(RUN2_START).cast("timestamp")).withColumn("price", F.round("price", 1))
     run2 = (
-        ticks_to_candles(ticks.where(F.col("seq") % 4 == 0), "1h")
+        ticks_to_candles(corrected, "1h")
         .withColumn("ingestion_time", F.to_timestamp(F.lit(RUN2_TS)))
         .withColumn("seq", F.lit(2))
     )
@@ -87,24 +96,24 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 CANDLES_SQL = """
 SELECT 'events' AS source, event_type AS symbol, '1h' AS timeframe,
        date_trunc('hour', ts) AS event_time,
-       arg_min(value, (ts, event_id, value)) AS open, max(value) AS high, min(value) AS low,
-       arg_max(value, (ts, event_id, value)) AS close, sum(value) AS volume, max(ts) AS ingestion_time
-FROM events {where}
+       arg_min(price, (ts, event_id, price)) AS open, max(price) AS high, min(price) AS low,
+       arg_max(price, (ts, event_id, price)) AS close, sum(size) AS volume, max(ts) AS ingestion_time
+FROM (SELECT *, {price} AS price, value AS size FROM events) {where}
 GROUP BY 1, 2, 3, 4
 """
 
 
-def candles_sql(where: str = "", ingestion: str | None = None) -> str:
-    q = CANDLES_SQL.format(where=where)
+def candles_sql(where: str = "", ingestion: str | None = None, corrected: bool = False) -> str:
+    q = CANDLES_SQL.format(where=where, price="round(value, 1)" if corrected else "value")
     if ingestion is None:
         return q
     return f"SELECT * REPLACE (TIMESTAMP '{ingestion}' AS ingestion_time) FROM ({q})"
 
 
 LANDED_SQL = f"""
-SELECT *, 1 AS seq FROM ({candles_sql('', RUN1_TS)})
+SELECT *, 1 AS seq FROM ({candles_sql(f"WHERE ts < TIMESTAMP '{RUN1_END}'", RUN1_TS)})
 UNION ALL
-SELECT *, 2 AS seq FROM ({candles_sql('WHERE event_id % 4 = 0', RUN2_TS)})
+SELECT *, 2 AS seq FROM ({candles_sql(f"WHERE ts >= TIMESTAMP '{RUN2_START}'", RUN2_TS, corrected=True)})
 """
 
 DEDUP_SQL = f"""
