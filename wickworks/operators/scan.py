@@ -152,9 +152,7 @@ def join_on_renamed(left: DataFrame, right: DataFrame, cols: Sequence[str], how:
     sharing lineage never resolve to the same attribute, then dropped.  Series keys
     are non-null by contract, so plain equality keeps the join keys equal to the
     columns the rows are already hash-partitioned on."""
-    renamed = right
-    for c in cols:
-        renamed = renamed.withColumnRenamed(c, f"_r_{c}")
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in cols else F.col(c) for c in right.columns])
     cond = None
     for c in cols:
         e = F.col(c) == F.col(f"_r_{c}")
