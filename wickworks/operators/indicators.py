@@ -37,7 +37,7 @@ from wickworks.operators.scan import (
     block_window,
     exclusive_carries,
     levels_for,
-    levels_for_span,
+    FoldPlan,
     materialize,
     safe_block_rows,
 )
@@ -242,7 +242,7 @@ class _LastChannel:
         return [f"_lag_{self.source}", f"_last_{self.source}"]
 
 
-def _materialize(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
+def _materialize(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, FoldPlan]:
     return materialize(df, keys)
 
 
@@ -296,12 +296,11 @@ def _scan_pass(
 
 
 def _prepare(df: DataFrame, keys: Sequence[str], alphas: Sequence[float], timeframe_col: str | None,
-             order_cols: Sequence[str] | None) -> tuple[DataFrame, int]:
+             order_cols: Sequence[str] | None) -> tuple[DataFrame, FoldPlan]:
     """Blocked, materialized rows and the fold depth their bucket span needs."""
     block = safe_block_rows(alphas)
     order = list(order_cols or ["event_time"])
-    blocked, span = _materialize(add_blocks(df, keys, order, "event_time", timeframe_col, block), keys)
-    return blocked, levels_for_span(span)
+    return _materialize(add_blocks(df, keys, order, "event_time", timeframe_col, block), keys)
 
 
 def ema(
@@ -381,8 +380,7 @@ def indicators(
     levels = _levels(min_timeframe, block)
     blocked = add_blocks(df, keys, ["event_time"], "event_time", timeframe_col, block)
     if materialize:
-        blocked, span = _materialize(blocked, keys)
-        levels = levels_for_span(span)
+        blocked, levels = _materialize(blocked, keys)
 
     pass_a = [
         _EmaChannels([Ema(ema_name, "close", a_ema), Ema("_ema_fast", "close", a_fast), Ema("_ema_slow", "close", a_slow)],

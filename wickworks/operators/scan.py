@@ -120,7 +120,7 @@ def materialize(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
     obs = Observation(f"span_{tag}")
     (
         df.repartition(n, *keys, "_bucket")
-        .observe(obs, F.min("_bucket").alias("lo"), F.max("_bucket").alias("hi"))
+        .observe(obs, F.min("_bucket").alias("lo"), F.max("_bucket").alias("hi"), F.max("_sub").alias("subs"))
         .write.mode("overwrite")
         .format("parquet")
         .option("path", scratch_path(spark, "scan"))
@@ -129,18 +129,36 @@ def materialize(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
         .saveAsTable(f"wickworks_scan_{tag}")
     )
     m = obs.get
-    lo, hi = m.get("lo"), m.get("hi")
+    lo, hi, subs = m.get("lo"), m.get("hi"), m.get("subs")
     span = 1 if lo is None or hi is None else int(hi) - int(lo) + 1
-    return spark.table(f"wickworks_scan_{tag}"), span
+    return spark.table(f"wickworks_scan_{tag}"), FoldPlan.for_span(span, 1 + int(subs or 0))
 
 
-def levels_for_span(span: int, fanout: int = FANOUT) -> int:
-    """Fold levels so that a series spanning ``span`` buckets has a top group of at most
-    ``fanout`` elements (a bucket over-full with sub-blocks adds to its group only)."""
-    levels = 1
-    while fanout ** levels < span:
-        levels += 1
-    return levels
+class FoldPlan:
+    """Fold depth and first-level fan-in for a scan.
+
+    Elements are (bucket, sub) blocks.  The first level groups ``first`` consecutive
+    buckets, so a group holds at most ``first * subs`` blocks; with ``subs`` sub-blocks
+    per bucket at most, ``first = fanout // subs`` keeps it near ``fanout``.  Higher
+    levels group ``fanout`` groups each, up to one group per series."""
+
+    def __init__(self, levels: int, first: int):
+        self.levels, self.first = levels, first
+
+    @staticmethod
+    def for_span(span: int, subs: int = 1, fanout: int = FANOUT) -> "FoldPlan":
+        first = max(1, fanout // max(subs, 1))
+        levels, covered = 1, first
+        while covered < span:
+            levels += 1
+            covered *= fanout
+        if levels == 1:
+            first = fanout
+        return FoldPlan(levels, first)
+
+
+def levels_for_span(span: int, fanout: int = FANOUT) -> "FoldPlan":
+    return FoldPlan.for_span(span, 1, fanout)
 
 
 def block_window(keys: Sequence[str]) -> Window:
@@ -180,11 +198,15 @@ def exclusive_carries(
     keys: Sequence[str],
     state_col: str,
     combine: Combine,
-    levels: int,
+    levels: "int | FoldPlan",
     fanout: int = FANOUT,
 ) -> DataFrame:
     """For each element (keys, ``_bucket``, ``_sub``, state) return the combined state of
-    all earlier elements of its series as ``_carry`` (null for the first element)."""
+    all earlier elements of its series as ``_carry`` (null for the first element).
+
+    ``levels`` is a ``FoldPlan`` (or a plain depth with fan-in ``fanout`` everywhere)."""
+    plan = levels if isinstance(levels, FoldPlan) else FoldPlan(levels, fanout)
+    levels = plan.levels
     st_type = _nullable(elems.schema[state_col].dataType)
     ddl = st_type.simpleString()
     fold = F.expr(
@@ -202,7 +224,7 @@ def exclusive_carries(
         group_cols: list[str] = []
         if level < levels:
             gcol = f"_g{level}"
-            cur = cur.withColumn(gcol, floor_div(F.col(base), fanout))
+            cur = cur.withColumn(gcol, floor_div(F.col(base), plan.first if level == 1 else fanout))
             group_cols = [gcol]
         item = F.struct(*[F.col(c) for c in item_cols], F.col("_st"))
         g = cur.groupBy(*keys, *group_cols).agg(F.sort_array(F.collect_list(item)).alias("_items"))
@@ -263,7 +285,7 @@ def series_lag(
     for c in cols:
         blocked = blocked.withColumn(f"_lag_{c}", F.lag(c, 1).over(wb))
     elems = blocked.groupBy(*keys, "_bucket", "_sub").agg(F.max_by(last, F.col("_kb")).alias("_last"))
-    carries = exclusive_carries(elems, keys, "_last", lambda a, b: b, levels_for_span(span))
+    carries = exclusive_carries(elems, keys, "_last", lambda a, b: b, span)
     joined = attach_carries(blocked, carries, keys)
     out = joined
     for c in cols:
@@ -297,7 +319,7 @@ def series_ffill(
     def combine(a: str, b: str) -> str:
         return "named_struct(" + ", ".join(f"'{c}', coalesce({b}.{c}, {a}.{c})" for c in cols) + ")"
 
-    carries = exclusive_carries(elems, keys, "_st", combine, levels_for_span(span))
+    carries = exclusive_carries(elems, keys, "_st", combine, span)
     out = attach_carries(blocked, carries, keys)
     for c in cols:
         out = out.withColumn(prefix + c, F.coalesce(F.col(f"_ff_{c}"), F.col("_c")[c]))
