@@ -365,7 +365,7 @@ def indicators(
 ) -> DataFrame:
     """Gold indicators on candle rows: SMA, EMA, MACD/signal/histogram and RSI.
 
-    Two scan passes share one (key, bucket) exchange: pass A (EMA fast/slow/trend,
+    Two scan passes over the same (key, bucket) layout: pass A (EMA fast/slow/trend,
     SMA tail, previous close) and pass B (RSI averages of the gains/losses that
     pass A's previous close defines, and the MACD signal line).
 

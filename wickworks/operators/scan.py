@@ -10,17 +10,19 @@ A series (one value of the series key, ordered by ``event_time``) is cut into
 * ``_sub`` = row index inside the bucket div ``block_rows`` splits an
   over-full bucket (irregular input) so that no block exceeds ``block_rows``.
 
-Per-row work runs in windows partitioned by (key, bucket[, sub]), so one hash
-exchange on (key, bucket) spreads even a single hot series over all tasks.
+Per-row work runs in windows partitioned by (key, bucket[, sub]); the rows are
+hash-clustered on (key, bucket) once (``materialize`` writes them as a bucketed
+table), which spreads even a single hot series over all tasks.
 Each block is summarised by a *state* (a struct) and the states are combined
 with an associative ``combine``.  ``exclusive_carries`` computes, for every
 block, the combined state of all earlier blocks of its series.  It is a
 parallel prefix scan: block states are folded in groups of at most ``fanout``
 consecutive elements (an ordered array fold), the group totals are folded at the
 next level, and so on up to one group per series; the carries then come back
-down by joins.  The depth comes from the bucket span observed while the pass
-input is written (``materialize``), so no extra job plans it and every group
-stays bounded (``levels_for`` gives a static depth for unmaterialized input).
+down by joins.  The depth and first-level fan-in (``FoldPlan``) come from the
+bucket span and sub-block count observed while the pass input is written
+(``materialize``), so no extra job plans them and every group stays bounded
+(``levels_for`` gives a static depth for unmaterialized input).
 """
 
 from __future__ import annotations
