@@ -60,3 +60,17 @@ def test_per_year_lag(spark):
     df = spark.createDataFrame(rows, ["event_time", "symbol", "timeframe", "source", "v"]).withColumn("year", F.year("event_time"))
     out = signals.with_prev(df, ["v"], per_year=True).orderBy("event_time").collect()
     assert [r.prev_v for r in out] == [None, 0.0, None, 2.0]
+
+
+def test_calendar_month_and_week_grids(spark):
+    rows = []
+    for tf, times in (("1M", [datetime(2024, 1, 1), datetime(2024, 2, 1), datetime(2024, 5, 1)]),
+                      ("1w", [datetime(2024, 1, 1), datetime(2024, 1, 22)])):
+        for t in times:
+            rows.append((t, "S", tf, 1.0, 1.0, 1.0, 1.0, 1.0, "src", t))
+    df = spark.createDataFrame(rows, OHLCV_SCHEMA)
+    miss = sorted((r.timeframe, r.event_time.replace(tzinfo=None)) for r in quality.missing_candles(df).collect())
+    assert miss == [("1M", datetime(2024, 3, 1)), ("1M", datetime(2024, 4, 1)),
+                    ("1w", datetime(2024, 1, 8)), ("1w", datetime(2024, 1, 15))]
+    comp = {r.timeframe: (r.present, r.expected) for r in quality.completeness(df).collect()}
+    assert comp == {"1M": (3, 5), "1w": (2, 4)}

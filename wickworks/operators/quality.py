@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wickworks.functions.time import candles_per_day, timeframe_ms
@@ -20,18 +20,36 @@ from wickworks.schema import OHLCV_COLUMNS, SERIES_KEY
 CHUNK = 4096
 
 
+# Monday 1970-01-05: weekly slots start on Mondays, as weekly candles do.
+_WEEK_ORIGIN = "1970-01-05"
+
+
+def slot_index(ts: Column, tf: Column) -> Column:
+    """Slot number of ``ts`` for the timeframe code ``tf``: calendar months for ``1M``,
+    Monday weeks for ``1w``, epoch-aligned fixed lengths otherwise."""
+    months = (F.year(ts) - 1970) * 12 + F.month(ts) - 1
+    weeks = F.floor(F.datediff(F.to_date(ts), F.to_date(F.lit(_WEEK_ORIGIN))) / 7)
+    fixed = F.floor(F.unix_millis(ts) / timeframe_ms(tf))
+    return (F.when(tf == "1M", months).when(tf == "1w", weeks).otherwise(fixed)).cast("bigint")
+
+
+def slot_time(slot: Column, tf: Column) -> Column:
+    """Start time of slot number ``slot`` (inverse of ``slot_index``)."""
+    month_start = F.add_months(F.to_date(F.lit("1970-01-01")), slot.cast("int")).cast("timestamp")
+    week_start = F.date_add(F.to_date(F.lit(_WEEK_ORIGIN)), (slot * 7).cast("int")).cast("timestamp")
+    fixed = F.timestamp_millis(slot * timeframe_ms(tf))
+    return F.when(tf == "1M", month_start).when(tf == "1w", week_start).otherwise(fixed)
+
+
 def expected_grid(df: DataFrame, keys: Sequence[str] = SERIES_KEY) -> DataFrame:
     """Every slot between first and last candle of each series: keys + event_time."""
     keys = list(keys)
-    tf = timeframe_ms("timeframe")
-    ms = F.unix_millis(F.col("event_time"))
+    tf = F.col("timeframe")
     rng = (
-        df.where(tf.isNotNull())
+        df.where(timeframe_ms("timeframe").isNotNull())
+        .withColumn("_slot", slot_index(F.col("event_time"), tf))
         .groupBy(*keys)
-        .agg(F.min(ms).alias("_lo"), F.max(ms).alias("_hi"))
-        .withColumn("_tf", tf)
-        .withColumn("_slo", F.floor(F.col("_lo") / F.col("_tf")).cast("bigint"))
-        .withColumn("_shi", F.floor(F.col("_hi") / F.col("_tf")).cast("bigint"))
+        .agg(F.min("_slot").alias("_slo"), F.max("_slot").alias("_shi"))
     )
     chunks = rng.withColumn(
         "_chunk", F.explode(F.sequence(F.floor(F.col("_slo") / CHUNK).cast("bigint"), F.floor(F.col("_shi") / CHUNK).cast("bigint")))
@@ -45,7 +63,7 @@ def expected_grid(df: DataFrame, keys: Sequence[str] = SERIES_KEY) -> DataFrame:
             )
         ),
     )
-    return slots.select(*keys, F.timestamp_millis(F.col("_slot") * F.col("_tf")).alias("event_time"))
+    return slots.select(*keys, slot_time(F.col("_slot"), tf).alias("event_time"))
 
 
 def missing_candles(df: DataFrame, keys: Sequence[str] = SERIES_KEY) -> DataFrame:
@@ -77,16 +95,15 @@ def completeness(df: DataFrame, keys: Sequence[str] = SERIES_KEY) -> DataFrame:
     """Per series: candles present, expected slots on the grid, the day-based
     estimate (days + 1) x candles-per-day (F11), and present / grid ratio."""
     keys = list(keys)
-    tf = timeframe_ms("timeframe")
-    ms = F.unix_millis(F.col("event_time"))
+    slot = slot_index(F.col("event_time"), F.col("timeframe"))
     out = df.groupBy(*keys).agg(
         F.count(F.lit(1)).cast("bigint").alias("present"),
         F.min("event_time").alias("first_event"),
         F.max("event_time").alias("last_event"),
-        F.min(ms).alias("_lo"),
-        F.max(ms).alias("_hi"),
+        F.min(slot).alias("_lo"),
+        F.max(slot).alias("_hi"),
     )
-    out = out.withColumn("expected", (F.floor(F.col("_hi") / tf) - F.floor(F.col("_lo") / tf) + 1).cast("bigint"))
+    out = out.withColumn("expected", (F.col("_hi") - F.col("_lo") + 1).cast("bigint"))
     out = out.withColumn(
         "estimated",
         ((F.datediff(F.to_date("last_event"), F.to_date("first_event")) + 1) * candles_per_day("timeframe")).cast("bigint"),
