@@ -103,3 +103,15 @@ def test_fetch_windows(spark):
     w = klines.fetch_windows(req).orderBy("window_start").collect()
     assert [r.window_start for r in w] == [0, 3_600_000_000, 7_200_000_000]
     assert w[-1].window_end == 3_600_000 * 2500
+
+
+def test_fetch_windows_calendar_months(spark):
+    from datetime import datetime, timezone
+
+    def ms(y, m):
+        return int(datetime(y, m, 1, tzinfo=timezone.utc).timestamp() * 1000)
+
+    req = spark.createDataFrame([("BTCUSDT", "1M", ms(2020, 1), ms(2024, 1))], "symbol string, interval string, start_ms long, end_ms long")
+    w = klines.fetch_windows(req, limit=12).orderBy("window_start").collect()
+    assert [r.window_start for r in w] == [ms(2020, 1), ms(2021, 1), ms(2022, 1), ms(2023, 1)]
+    assert [r.window_end for r in w] == [ms(2021, 1), ms(2022, 1), ms(2023, 1), ms(2024, 1)]

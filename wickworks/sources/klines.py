@@ -93,14 +93,22 @@ def fetch_windows(requests: DataFrame, limit: int = MAX_PAGE_LIMIT) -> DataFrame
     one row per 1000 candles)."""
     limit = min(limit, MAX_PAGE_LIMIT)
     step = timeframe_ms(F.col("interval")) * F.lit(limit)
-    out = requests.withColumn(
-        "window_start",
-        F.explode(F.sequence(F.col("start_ms"), F.col("end_ms") - F.lit(1), step)),
+    months = F.make_ym_interval(F.lit(0), F.lit(limit))
+    # "1M" pages step by calendar months, not by the 30-day constant
+    monthly = F.transform(
+        F.sequence(F.timestamp_millis("start_ms"), F.timestamp_millis(F.col("end_ms") - 1), months),
+        lambda t: F.unix_millis(t),
+    )
+    fixed = F.sequence(F.col("start_ms"), F.col("end_ms") - F.lit(1), step)
+    is_month = F.col("interval") == "1M"
+    out = requests.withColumn("window_start", F.explode(F.when(is_month, monthly).otherwise(fixed)))
+    next_start = F.when(is_month, F.unix_millis(F.timestamp_millis("window_start") + months)).otherwise(
+        F.col("window_start") + step
     )
     return out.select(
         "symbol",
         "interval",
         "window_start",
-        F.least(F.col("window_start") + step, F.col("end_ms")).alias("window_end"),
+        F.least(next_start, F.col("end_ms")).alias("window_end"),
         F.lit(limit).alias("limit"),
     )
