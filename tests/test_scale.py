@@ -65,3 +65,23 @@ def test_stream_ema_state_across_batches(spark, tmp_dir):
     for i, r in enumerate(got):
         y = r.close if i == 0 else (2 / 51) * r.close + (1 - 2 / 51) * y
         assert abs(r.ema_50 - y) < 1e-9
+
+
+def test_stream_ema_drops_late_rows(spark, tmp_dir):
+    from wickworks.streaming.candles import read_sink, run_to_parquet, stream_ema
+
+    src = os.path.join(tmp_dir, "in")
+    c = _series(spark, 100, "S", tf="1m")
+    c.where(F.col("event_time") < F.lit("2024-01-01 01:00:00").cast("timestamp")).coalesce(1).write.parquet(src)
+    late = c.where(F.col("event_time") < F.lit("2024-01-01 00:10:00").cast("timestamp")).withColumn("close", F.lit(1e6))
+    late.unionByName(c.where(F.col("event_time") >= F.lit("2024-01-01 01:00:00").cast("timestamp"))) \
+        .coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(c.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    out_dir = os.path.join(tmp_dir, "out")
+    run_to_parquet(stream_ema(stream, 0.1, "e"), out_dir, os.path.join(tmp_dir, "ck"))
+    got = read_sink(spark, out_dir).orderBy("event_time").collect()
+    assert len(got) == 100 and max(r.close for r in got) < 1e5
+    y = None
+    for i, r in enumerate(got):
+        y = r.close if i == 0 else 0.1 * r.close + 0.9 * y
+        assert abs(r.e - y) < 1e-9

@@ -51,26 +51,34 @@ def stream_dedup(rows: DataFrame, keys: Sequence[str], time_col: str = "event_ti
 
 def stream_ema(candles: DataFrame, alpha: float, name: str = "ema", source: str = "close",
                keys: Sequence[str] = SERIES_KEY) -> DataFrame:
-    """EMA per series over a candle stream; state = last EMA value."""
+    """EMA per series over a candle stream; state = (last EMA value, last event time).
+
+    Rows of a micro-batch are applied in event-time order; a row at or before the
+    last applied event time arrives too late for a recurrence and is dropped."""
     keys = list(keys)
     out_schema = ", ".join([f"{k} string" for k in keys] + ["event_time timestamp", f"{source} double", f"{name} double"])
 
     def step(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(pdfs)).sort_values("event_time")
-        x = pdf[source].astype("float64")
+        pdf = pd.concat(list(pdfs)).sort_values("event_time").drop_duplicates("event_time", keep="last")
+        prev = None
         if state.exists:
-            (prev,) = state.get
+            prev, last_time = state.get
+            pdf = pdf[pdf["event_time"] > pd.Timestamp(last_time)]
+        if pdf.empty:
+            return
+        x = pdf[source].astype("float64").reset_index(drop=True)
+        if prev is not None:
             y = pd.concat([pd.Series([prev]), x], ignore_index=True).ewm(alpha=alpha, adjust=False).mean().iloc[1:]
         else:
-            y = x.reset_index(drop=True).ewm(alpha=alpha, adjust=False).mean()
+            y = x.ewm(alpha=alpha, adjust=False).mean()
         y = y.to_numpy()
-        state.update((float(y[-1]),))
+        state.update((float(y[-1]), pdf["event_time"].iloc[-1].to_pydatetime()))
         out = pdf[keys + ["event_time", source]].copy()
         out[name] = y
         yield out
 
     return candles.groupBy(*keys).applyInPandasWithState(
-        step, out_schema, "last double", "append", GroupStateTimeout.NoTimeout
+        step, out_schema, "last double, last_time timestamp", "append", GroupStateTimeout.NoTimeout
     )
 
 
