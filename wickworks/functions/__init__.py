@@ -11,6 +11,7 @@ from wickworks.functions.time import (
     timeframe_ms,
     to_epoch_ms,
     to_ntz,
+    to_utc_timestamp_col,
     zero_pad_month,
 )
 
@@ -26,5 +27,6 @@ __all__ = [
     "to_double",
     "to_epoch_ms",
     "to_ntz",
+    "to_utc_timestamp_col",
     "zero_pad_month",
 ]

@@ -64,10 +64,29 @@ def zero_pad_month(m: Column | str) -> Column:
 def iso_text(ts: Column | str) -> Column:
     """ISO-8601 text of a UTC timestamp, e.g. ``2024-01-01T00:00:00+00:00``."""
     ts = F.col(ts) if isinstance(ts, str) else ts
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ssXXX")
+    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ssxxx")
 
 
 def day_number(ts: Column | str) -> Column:
     """Fractional days since 1970-01-01 (the numeric date axis of chart feeds)."""
     ts = F.col(ts) if isinstance(ts, str) else ts
     return F.unix_micros(ts.cast("timestamp")) / F.lit(86_400_000_000.0)
+
+
+def to_utc_timestamp_col(df, name: str) -> Column:
+    """The column ``name`` of ``df`` as a UTC timestamp (C3, C4): zoned text is converted
+    from its offset, text or timestamps without a zone are taken as UTC wall clock,
+    numbers are epoch milliseconds."""
+    from pyspark.sql import types as T
+
+    dt = df.schema[name].dataType
+    c = F.col(name)
+    if isinstance(dt, T.StringType):
+        return F.try_to_timestamp(c)
+    if isinstance(dt, T.TimestampNTZType):
+        return c.cast("timestamp")
+    if isinstance(dt, (T.LongType, T.IntegerType)):
+        return F.timestamp_millis(c)
+    if isinstance(dt, T.DateType):
+        return c.cast("timestamp")
+    return c
