@@ -216,6 +216,151 @@ class _SmaChannel:
         return ["_sin", "_cin", "_sinp", "_cinp", "_nblk", "_tail"]
 
 
+def _geo_cross(a9: float, b: float, b9: float, k: Column | str) -> str | Column:
+    """sum_{j=0..k} a9 * b9^(k-j) * b^(j+1): how a carry-in C of an inner EMA (decay b)
+    reaches an outer EMA (smoothing a9, decay b9) k rows into a block."""
+    if isinstance(k, str):  # SQL text
+        if b == b9:
+            return f"({a9!r}D * ({k} + 1) * pow({b!r}D, {k} + 1))"
+        return f"({a9 * b / (b - b9)!r}D * (pow({b!r}D, {k} + 1) - pow({b9!r}D, {k} + 1)))"
+    if b == b9:
+        return F.lit(a9) * (k + 1) * F.pow(F.lit(b), k + 1)
+    return F.lit(a9 * b / (b - b9)) * (F.pow(F.lit(b), k + 1) - F.pow(F.lit(b9), k + 1))
+
+
+class _SignalChannel:
+    """EMA (smoothing ``alpha``) of fast EMA - slow EMA, in the same pass as the two EMAs.
+
+    With carries C_f, C_s of the inner EMAs and C of the signal, row k of a block is
+    ``Ls_k + P_f(k)*C_f - P_s(k)*C_s + b^(k+1)*C``, where Ls is the in-block EMA of the
+    zero-carry MACD and P are closed-form geometric sums (``_geo_cross``)."""
+
+    def __init__(self, name: str, fast: Ema, slow: Ema, alpha: float, with_prev: bool = False):
+        self.name, self.fast, self.slow, self.alpha, self.with_prev = name, fast, slow, alpha, with_prev
+        self.beta = 1.0 - alpha
+
+    def window_phases(self, wb: Window) -> list[dict[str, Column]]:
+        kb = F.col("_kb")
+        b = F.lit(self.beta)
+        m = F.col(f"_L_{self.fast.name}") - F.col(f"_L_{self.slow.name}")
+        local = F.pow(b, kb) * F.sum(F.lit(self.alpha) * F.col("_Msig") * F.pow(b, -kb)).over(wb.rowsBetween(_UNB, 0))
+        lag = {"_pLsig": F.lag("_Lsig", 1).over(wb)} if self.with_prev else {}
+        return [{}, {}, {"_Msig": m}, {"_Lsig": local}, lag]
+
+    def elem_aggs(self) -> list[Column]:
+        return [F.max_by("_Lsig", "_kb").alias("_s_sig")]
+
+    def state_fields(self) -> list[Column]:
+        n1 = F.col("_n") - 1
+        x0 = F.col(f"_fx_{self.fast.name}")
+        pf = _geo_cross(self.alpha, self.fast.beta, self.beta, n1)
+        ps = _geo_cross(self.alpha, self.slow.beta, self.beta, n1)
+        return [F.col("_s_sig").alias("s_sig"), (F.col("_s_sig") + pf * x0 - ps * x0).alias("y_sig")]
+
+    def combine_fields(self, a: str, b: str) -> list[str]:
+        n1 = f"({b}.n - 1)"
+        pf = _geo_cross(self.alpha, self.fast.beta, self.beta, n1)
+        ps = _geo_cross(self.alpha, self.slow.beta, self.beta, n1)
+        f, sl = self.fast.name, self.slow.name
+        decay = f"pow({self.beta!r}D, {b}.n)"
+        return [
+            f"'s_sig', {b}.s_sig + {pf} * {a}.s_{f} - {ps} * {a}.s_{sl} + {decay} * {a}.s_sig",
+            f"'y_sig', {b}.s_sig + {pf} * {a}.y_{f} - {ps} * {a}.y_{sl} + {decay} * {a}.y_sig",
+        ]
+
+    def _value(self, local: Column, k: Column) -> Column:
+        c = F.col("_c")
+        cf = F.coalesce(c[f"y_{self.fast.name}"], F.col(f"_f_{self.fast.name}"))
+        cs = F.coalesce(c[f"y_{self.slow.name}"], F.col(f"_f_{self.slow.name}"))
+        csig = F.coalesce(c["y_sig"], F.lit(0.0))
+        pf = _geo_cross(self.alpha, self.fast.beta, self.beta, k)
+        ps = _geo_cross(self.alpha, self.slow.beta, self.beta, k)
+        return local + pf * cf - ps * cs + F.pow(F.lit(self.beta), k + 1) * csig
+
+    def finalize_cols(self) -> dict[str, Column]:
+        kb = F.col("_kb")
+        c = F.col("_c")
+        x0 = F.col(f"_f_{self.fast.name}")
+        first = c.isNull() & (kb == 0)
+        out = {self.name: nan_to_null(F.when(first, x0 - x0).otherwise(self._value(F.col("_Lsig"), kb)))}
+        if self.with_prev:
+            prev = (
+                F.when(kb == 0, c["y_sig"])
+                .when(c.isNull() & (kb == 1), x0 - x0)
+                .otherwise(self._value(F.col("_pLsig"), kb - 1))
+            )
+            out[f"prev_{self.name}"] = nan_to_null(prev)
+        return out
+
+    def temp_cols(self) -> list[str]:
+        return ["_Msig", "_Lsig", "_pLsig", "_s_sig"]
+
+
+class _WilderChannel:
+    """Wilder averages of gains and losses of ``close`` in the same pass as the EMAs.
+
+    Inside a block the first row's gain is left out (it needs the previous block's
+    last close); the combine adds it from the neighbours' last/first close, and the
+    row finalisation adds it from the carry."""
+
+    def __init__(self, alpha: float, first_x: str, source: str = "close"):
+        self.alpha, self.beta, self.first_x, self.source = alpha, 1.0 - alpha, first_x, source
+
+    def window_phases(self, wb: Window) -> list[dict[str, Column]]:
+        kb = F.col("_kb")
+        x = _nan_coded(self.source)
+        lagx = F.col("_lagw")
+        up = F.when(kb == 0, F.lit(0.0)).otherwise(F.greatest(x - lagx, F.lit(0.0)))
+        down = F.when(kb == 0, F.lit(0.0)).otherwise(F.greatest(lagx - x, F.lit(0.0)))
+        run = wb.rowsBetween(_UNB, 0)
+        b = F.lit(self.beta)
+
+        def local(col: str) -> Column:
+            return F.pow(b, kb) * F.sum(F.lit(self.alpha) * F.col(col) * F.pow(b, -kb)).over(run)
+
+        lag = F.lag(x, 1).over(wb)
+        return [{}, {"_lagw": F.when(lag.isNull(), F.lit(NAN)).otherwise(lag)}, {"_gw": up, "_lw": down},
+                {"_Lg": local("_gw"), "_Ll": local("_lw")}]
+
+    def elem_aggs(self) -> list[Column]:
+        return [F.max_by("_Lg", "_kb").alias("_s_g"), F.max_by("_Ll", "_kb").alias("_s_l")]
+
+    def state_fields(self) -> list[Column]:
+        return [F.col("_s_g").alias("s_g"), F.col("_s_g").alias("y_g"),
+                F.col("_s_l").alias("s_l"), F.col("_s_l").alias("y_l"),
+                F.col(f"_fx_{self.first_x}").alias("f_close")]
+
+    def combine_fields(self, a: str, b: str) -> list[str]:
+        last = f"coalesce({a}.last_{self.source}, double('NaN'))"
+        g0 = f"greatest({b}.f_close - {last}, 0D)"
+        l0 = f"greatest({last} - {b}.f_close, 0D)"
+        head = f"pow({self.beta!r}D, {b}.n - 1)"
+        decay = f"pow({self.beta!r}D, {b}.n)"
+        out = []
+        for v, d in (("g", g0), ("l", l0)):
+            out.append(f"'s_{v}', {b}.s_{v} + {self.alpha!r}D * {d} * {head} + {decay} * {a}.s_{v}")
+            out.append(f"'y_{v}', {b}.s_{v} + {self.alpha!r}D * {d} * {head} + {decay} * {a}.y_{v}")
+        out.append(f"'f_close', {a}.f_close")
+        return out
+
+    def finalize_cols(self) -> dict[str, Column]:
+        kb = F.col("_kb")
+        c = F.col("_c")
+        x0 = F.col(f"_f_{self.first_x}")
+        last = F.coalesce(c[f"last_{self.source}"], F.lit(NAN))
+        b = F.lit(self.beta)
+        out = {}
+        for v, col, d in (("g", "_Lg", x0 - last), ("l", "_Ll", last - x0)):
+            head = F.when(c.isNull(), F.lit(0.0)).otherwise(F.greatest(d, F.lit(0.0)))
+            carry = F.coalesce(c[f"y_{v}"], F.lit(0.0))
+            val = F.col(col) + F.lit(self.alpha) * head * F.pow(b, kb) + F.pow(b, kb + 1) * carry
+            out[f"_avg_{'gain' if v == 'g' else 'loss'}"] = nan_to_null(val)
+        return out
+
+    def temp_cols(self) -> list[str]:
+        return ["_lagw", "_gw", "_lw", "_Lg", "_Ll", "_s_g", "_s_l"]
+
+
 class _LastChannel:
     """Previous row's value of ``source`` (null on the series' first row)."""
 
@@ -261,8 +406,8 @@ def _scan_pass(
     wb = block_window(keys)
     df = blocked
     phases = [ch.window_phases(wb) for ch in channels]
-    for i in range(3):
-        cols = {k: v for ph in phases for k, v in ph[i].items()}
+    for i in range(max((len(ph) for ph in phases), default=0)):
+        cols = {k: v for ph in phases if i < len(ph) for k, v in ph[i].items()}
         if cols:
             df = df.withColumns(cols)
     aggs = [F.count(F.lit(1)).alias("_n")]
@@ -365,11 +510,11 @@ def indicators(
 ) -> DataFrame:
     """Gold indicators on candle rows: SMA, EMA, MACD/signal/histogram and RSI.
 
-    Two scan passes over the same (key, bucket) layout: pass A (EMA fast/slow/trend,
-    SMA tail, previous close) and pass B (RSI averages of the gains/losses that
-    pass A's previous close defines, and the MACD signal line).
+    One scan pass: EMA fast/slow/trend, SMA tail, previous close, the MACD signal
+    line (an EMA of the EMA difference, composed in the same carries) and Wilder's
+    gain/loss averages (the first gain of a block is fixed up from the carry).
 
-    ``materialize`` writes each pass input once as a bucketed table (see
+    ``materialize`` writes the pass input once as a bucketed table (see
     ``scan.materialize``); the fold depth then follows the observed bucket span.
     Without it the depth is planned statically from ``min_timeframe``."""
     sma_name = f"sma_{sma_window}"
@@ -382,36 +527,26 @@ def indicators(
     if materialize:
         blocked, levels = _materialize(blocked, keys)
 
-    pass_a = [
-        _EmaChannels([Ema(ema_name, "close", a_ema), Ema("_ema_fast", "close", a_fast), Ema("_ema_slow", "close", a_slow)],
-                     with_prev=True),
+    fast, slow = Ema("_ema_fast", "close", a_fast), Ema("_ema_slow", "close", a_slow)
+    channels = [
+        _EmaChannels([Ema(ema_name, "close", a_ema), fast, slow], with_prev=True),
         _SmaChannel(sma_name, "close", sma_window, with_prev=True),
         _LastChannel("close"),
+        _SignalChannel("macd_signal", fast, slow, a_sig, with_prev=True),
+        _WilderChannel(a_rsi, fast.name),
     ]
-    a = _scan_pass(blocked, keys, pass_a, levels)
-    if materialize:
-        a, _ = _materialize(a, keys)
-    delta = F.when(F.col("_pos") == 0, F.lit(0.0)).otherwise(F.col("close") - F.col("prev_close"))
-    a = a.withColumn("_delta", delta).withColumnRenamed("_pos", "_pos_a")
-    d = F.col("_delta")
-    a = a.withColumns({
-        "_gain": F.when(d.isNull(), None).when(d > 0, d).otherwise(0.0),
-        "_loss": F.when(d.isNull(), None).when(d < 0, -d).otherwise(0.0),
-        "macd": F.col("_ema_fast") - F.col("_ema_slow"),
-        "prev_macd": F.col("prev__ema_fast") - F.col("prev__ema_slow"),
-    })
-    pass_b = [_EmaChannels([Ema("_avg_gain", "_gain", a_rsi), Ema("_avg_loss", "_loss", a_rsi),
-                            Ema("macd_signal", "macd", a_sig)], with_prev=True)]
-    b = _scan_pass(a, keys, pass_b, levels)
+    a = _scan_pass(blocked, keys, channels, levels)
     rsi_name = f"rsi_{rsi_period}"
     gain, loss = F.col("_avg_gain"), F.col("_avg_loss")
-    out = b.withColumns({
+    out = a.withColumns({
+        "macd": F.col("_ema_fast") - F.col("_ema_slow"),
+        "prev_macd": F.col("prev__ema_fast") - F.col("prev__ema_slow"),
         rsi_name: F.when(F.col("_pos") == 0, F.lit(None).cast("double"))
         .when(loss == 0, F.lit(100.0))
         .otherwise(F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + gain / loss)),
-        "macd_hist": F.col("macd") - F.col("macd_signal"),
         "idx": F.col("_pos").cast("int"),
     })
+    out = out.withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
     internal = ["_delta", "_gain", "_loss", "_avg_gain", "_avg_loss", "_ema_fast", "_ema_slow",
                 "prev__ema_fast", "prev__ema_slow", "prev__avg_gain", "prev__avg_loss", "_pos_a", "_pos",
                 "_bucket", "_sub", "_kb"]
