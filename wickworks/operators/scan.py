@@ -117,7 +117,10 @@ def materialize(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
     from wickworks.session import scratch_path
 
     spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    except (TypeError, ValueError):
+        n = spark.sparkContext.defaultParallelism
     tag = uuid.uuid4().hex
     obs = Observation(f"span_{tag}")
     (
