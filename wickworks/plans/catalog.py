@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from wickworks.operators import contract, quality, signals
 from wickworks.operators.candles import resample, ticks_to_candles, with_vwap
+from wickworks.operators.dedup import dedup_last
 from wickworks.operators.indicators import Ema, ema, indicators, row_index, sma
 from wickworks.plans import inputs
 from wickworks.plans.inputs import CANDLES_SQL, DAILY_SQL, DEDUP_SQL, DIRTY_SQL, LINE_DAILY_SQL
@@ -490,6 +491,19 @@ def q_line_gold(spark, sf):
     return present(df.select(*GOLD_COLS), ORDER_DECIMALS)
 
 
+def q_append_merge(spark, sf):
+    """Two ingestion runs appended to one store (B3), merged by keep-last on read."""
+    from wickworks.sinks.lake import write_lake
+    from wickworks.sources.lake import read_lake
+
+    root = _scratch(spark, "append-lake")
+    landed = inputs.landed(spark, sf)
+    for run in (1, 2):
+        write_lake(landed.where(F.col("seq") == run), root, mode="append")
+    merged = dedup_last(read_lake(spark, root).select(*OHLCV_COLUMNS), order=("ingestion_time",))
+    return present(merged)
+
+
 QUERIES: dict[str, Query] = {
     "candles_1h": q_candles_1h,
     "resample_1d": q_resample_1d,
@@ -541,6 +555,7 @@ QUERIES: dict[str, Query] = {
     "multi_timeframe": q_multi_timeframe,
     "line_candles": q_line_candles,
     "line_gold": q_line_gold,
+    "append_merge": q_append_merge,
 }
 
 
@@ -718,4 +733,5 @@ ORACLE: dict[str, str] = {
         GROUP BY 1, 2, 3""",
     "line_candles": f"SELECT event_time, symbol, timeframe, {_sel(['open', 'high', 'low', 'close', 'volume'], DOUBLE_COLS, ORDER_DECIMALS)}, source, ingestion_time FROM ({LINE_DAILY_SQL})",
     "line_gold": _gold_from(LINE_DAILY_SQL, _sel(GOLD_COLS, DOUBLE_COLS, ORDER_DECIMALS)),
+    "append_merge": f"SELECT {OHLCV_SELECT} FROM ({DEDUP_SQL})",
 }
