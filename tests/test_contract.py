@@ -115,3 +115,12 @@ def test_fetch_windows_calendar_months(spark):
     w = klines.fetch_windows(req, limit=12).orderBy("window_start").collect()
     assert [r.window_start for r in w] == [ms(2020, 1), ms(2021, 1), ms(2022, 1), ms(2023, 1)]
     assert [r.window_end for r in w] == [ms(2021, 1), ms(2022, 1), ms(2023, 1), ms(2024, 1)]
+
+
+def test_assert_valid_raises(spark):
+    ok = _frame(spark, [_row()])
+    assert contract.assert_valid(ok) is ok
+    with pytest.raises(ValueError, match="high < max"):
+        contract.assert_valid(_frame(spark, [_row(high=1.0)]))
+    with pytest.raises(ValueError, match="violate"):
+        contract.assert_valid(_frame(spark, [_row(open=-1.0, low=-2.0)]))

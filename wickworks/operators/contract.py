@@ -83,6 +83,19 @@ def validate(df: DataFrame, strict: bool = False) -> DataFrame:
     return df.where(valid_flag(df, strict))
 
 
+def assert_valid(df: DataFrame, strict: bool = True) -> DataFrame:
+    """Raise ``ValueError`` when any row breaks the rules (the row contract's raising
+    form, D-3); one aggregate action.  Returns ``df`` unchanged otherwise."""
+    missing = missing_columns(df)
+    if missing:
+        raise ValueError(f"Missing required columns: {set(missing)}")
+    bad = df.agg(F.count_if(~valid_flag(df, strict)).alias("n")).first()["n"]
+    if bad:
+        msgs = [r.message for r in validation_messages(df).orderBy("ord").collect()]
+        raise ValueError(f"{bad} rows violate the OHLCV contract: " + "; ".join(msgs))
+    return df
+
+
 def invalid_rows(df: DataFrame, strict: bool = False) -> DataFrame:
     """The quarantine side of ``validate`` (D-4)."""
     if missing_columns(df):
@@ -172,6 +185,7 @@ def time_range(df: DataFrame, start: str, end: str, col: str = "event_time") ->
 
 __all__ = [
     "OHLCV_COLUMNS",
+    "assert_valid",
     "check_interval",
     "empty_ohlcv",
     "invalid_rows",
