@@ -23,6 +23,9 @@ JOB_CONF = {
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Whole-stage methods above the JVM's 8000-byte JIT limit run as interpreted
+    # bytecode; at this limit Spark splits them into JIT-able expression code instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
