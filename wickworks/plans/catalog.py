@@ -133,7 +133,8 @@ def q_resample_1d(spark, sf):
 
 
 def _pages(spark, sf) -> DataFrame:
-    """Exchange-style JSON pages built from the hourly candles: one page per symbol and day."""
+    """Exchange-style JSON pages of hourly klines built from the event ticks (12-position arrays with
+    quote volume, trade count and taker-buy volume): one page per symbol and day."""
     ticks = event_ticks(spark, sf)
     c = ticks.withColumn("event_time", F.date_trunc("hour", "ts")).groupBy("symbol", "event_time").agg(
         F.min_by("price", F.struct("ts", "seq", "price")).alias("open"), F.max("price").alias("high"),
@@ -461,7 +462,7 @@ def q_stream_ema(spark, sf):
 
 
 def q_backfill(spark, sf):
-    """Landed pages of one symbol -> backfill job -> store, read back (one month window)."""
+    """Landed pages of one symbol -> backfill job -> store, read back (2024-01-03 .. 2024-01-20)."""
     from wickworks.plans import backfill
     from wickworks.sources.lake import read_lake
 
