@@ -7,7 +7,8 @@ import pytest
 from tests.oracle_check import compare
 
 FAST = ["candles_1h", "resample_1d", "kline_parse", "valid_rows", "violation_counts", "run_stats", "dedup_last",
-        "gold", "ma_cross", "missing_candles", "gap_fill", "json_records", "stream_candles"]
+        "gold", "ma_cross", "missing_candles", "gap_fill", "json_records", "stream_candles",
+        "append_merge", "backfill", "medallion_gold"]
 
 
 @pytest.mark.parametrize("sf", ["/root/testdata/sf0.001"])
