@@ -43,3 +43,8 @@ def test_nan_to_null(spark):
 def test_ntz_input_is_utc_wall_clock(spark):
     df = spark.createDataFrame([(datetime(2024, 1, 1, 5, 0),)], "t timestamp_ntz")
     assert df.select(W.to_utc_timestamp_col(df, "t").cast("string").alias("u")).first().u == "2024-01-01 05:00:00"
+
+
+def test_to_double_is_ansi_safe(spark):
+    df = spark.createDataFrame([("1.5",), ("abc",), (None,)], "s string")
+    assert [r.d for r in df.select(W.to_double("s").alias("d")).collect()] == [1.5, None, None]

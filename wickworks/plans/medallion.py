@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wickworks.functions.numeric import to_double
 from wickworks.operators.indicators import indicators
 from wickworks.schema import GOLD_COLUMNS, SERIES_KEY, SILVER_COLUMNS
 from wickworks.sinks.lake import write_table
@@ -21,7 +22,7 @@ def bronze_to_silver(bronze: DataFrame) -> DataFrame:
     """Typed silver rows; text that does not parse becomes null (ANSI-safe ``try_`` forms)."""
     cols = [F.col(c) for c in SERIES_KEY]
     cols.append(F.try_to_timestamp(F.col("event_time")).alias("event_time"))
-    cols += [F.col(c).try_cast("double").alias(c) for c in ("open", "high", "low", "close", "volume")]
+    cols += [to_double(c).alias(c) for c in ("open", "high", "low", "close", "volume")]
     cols += [F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month")]
     return bronze.select(*cols).select(*SILVER_COLUMNS)
 
