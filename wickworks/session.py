@@ -2,14 +2,15 @@
 
 ``local_session`` is for tests and the bench only; on a cluster the caller owns
 the session.  ``checkpoint_dir`` reads ``spark.checkpoint.dir`` from the session
-(the shared folder the cluster names) and only sets a scratch folder when the
-setting is missing, as in local tests.
+(the shared folder the cluster names).  Where the setting is missing, a local
+master gets a scratch folder and any other master an error: a folder of one
+machine is never used on a cluster.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -54,26 +55,23 @@ def apply_job_conf(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set to a fresh scratch folder only when unset."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Where the setting is missing, the folder given to ``setCheckpointDir`` is
+    used, else a fresh scratch folder on a local master; any other master
+    raises.
+    """
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="wickworks-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for written intermediates."""
-    base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    if "://" in base:
-        import uuid
-
-        return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    os.makedirs(base, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+    """The path of a fresh sub-folder of the shared folder (made by whoever writes to it)."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
