@@ -78,16 +78,28 @@ def split_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return np.concatenate(([0], np.cumsum(counts))).astype(np.int64), words
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(start of each text in words, 64-bit hash of each word)."""
+def word_hashes(texts: pa.Array, plain: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(start of each text in words, 64-bit hash of each word).
+
+    ``plain``: words are lower-cased and cut down to letters and digits; those
+    without any are left out.
+    """
     starts, words = split_words(texts)
     if not len(words):
         return starts, np.zeros(0, np.uint64)
     coded = pc.dictionary_encode(words)
     if isinstance(coded, pa.ChunkedArray):
         coded = coded.combine_chunks()
-    of = pd.util.hash_array(coded.dictionary.to_numpy(zero_copy_only=False), categorize=False)
-    return starts, of[coded.indices.to_numpy(zero_copy_only=False)]
+    names, codes = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
+    if plain:
+        names = pc.replace_substring_regex(pc.utf8_lower(names), r"[^\p{L}\p{N}]+", "")
+    hashes = pd.util.hash_array(names.to_numpy(zero_copy_only=False), categorize=False)[codes]
+    if plain:
+        full = pc.greater(pc.binary_length(names), 0).to_numpy(zero_copy_only=False)[codes]
+        if not full.all():
+            starts = np.concatenate(([0], np.cumsum(full)))[starts]
+            hashes = hashes[full]
+    return starts, hashes
 
 
 def mix(x: np.ndarray) -> np.ndarray:
