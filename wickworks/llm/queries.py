@@ -8,8 +8,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wickworks.llm import decontam, langid, resample
+from wickworks.llm import decontam, langid, lines, mixing, resample
 from wickworks.llm.base import table
 
 
@@ -25,10 +26,23 @@ def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = lines.dedup_lines(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_source_mixing": op1_source_mixing,
     "op3_language_id": op3_language_id,
     "op6_decontamination": op6_decontamination,
     "op7_importance_resampling": op7_importance_resampling,
+    "op10_line_dedup": op10_line_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op10_line_dedup": lines.op10_sql(),
+}
