@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wickworks.llm import decontam, langid, lines, mixing, resample
+from wickworks.llm import decontam, langid, lines, mixing, resample, rules
 from wickworks.llm.base import table
 
 
@@ -18,6 +18,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(table(spark, sf_dir, "documents"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
 
@@ -38,11 +42,13 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
     "op3_language_id": op3_language_id,
+    "op5_quality_rules": op5_quality_rules,
     "op6_decontamination": op6_decontamination,
     "op7_importance_resampling": op7_importance_resampling,
     "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE: dict[str, str] = {
+    "op5_quality_rules": rules.op5_sql(),
     "op10_line_dedup": lines.op10_sql(),
 }
