@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wickworks.llm import decontam, langid, lines, mixing, resample, rules
+from wickworks.llm import chosenpath, decontam, langid, lines, mixing, resample, rules
 from wickworks.llm.base import table
 
 
@@ -34,6 +34,10 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosenpath.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = lines.dedup_lines(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -45,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rules": op5_quality_rules,
     "op6_decontamination": op6_decontamination,
     "op7_importance_resampling": op7_importance_resampling,
+    "op8_jaccard_join": op8_jaccard_join,
     "op10_line_dedup": op10_line_dedup,
 }
 
