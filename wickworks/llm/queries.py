@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wickworks.llm import chosenpath, decontam, langid, lines, mixing, resample, rules
+from wickworks.llm import blocks, chosenpath, decontam, langid, lines, mixing, resample, rules
 from wickworks.llm.base import table
 
 
@@ -38,6 +38,11 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosenpath.jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = blocks.dedup_substrings(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = lines.dedup_lines(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -50,10 +55,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontamination": op6_decontamination,
     "op7_importance_resampling": op7_importance_resampling,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE: dict[str, str] = {
     "op5_quality_rules": rules.op5_sql(),
+    "op9_substring_dedup": blocks.op9_sql(),
     "op10_line_dedup": lines.op10_sql(),
 }
