@@ -10,10 +10,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wickworks.llm import blocks, chosenpath, decontam, langid, lines, mixing, resample, rules, suffix
+from wickworks.llm import blocks, chosenpath, decontam, langid, lines, mixing, resample, rules, suffix, warc
 from wickworks.llm.base import table
 
 
+def op2_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    folder, shards = warc.archive_pages(pages)
+    return warc.read_pages(pages, folder, shards).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(table(spark, sf_dir, "documents"))
 
@@ -53,8 +59,15 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
+    "op2_warc_roundtrip": op2_warc_roundtrip,
     "op3_language_id": op3_language_id,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_quality_rules": op5_quality_rules,
@@ -63,9 +76,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "pipeline": pipeline,
 }
 
 ORACLE: dict[str, str] = {
+    "op2_warc_roundtrip": warc.op2_sql(),
     "op5_quality_rules": rules.op5_sql(),
     "op9_substring_dedup": blocks.op9_sql(),
     "op10_line_dedup": lines.op10_sql(),
