@@ -49,6 +49,17 @@ def keyed_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     return docs.select(row_order(doc_id).alias("ord"), F.xxhash64(t).alias("th"), t.alias("text"))
 
 
+def hidden(docs: DataFrame) -> DataFrame:
+    """``docs`` with its columns named c0, c1, ..., so that no name of theirs is in the way."""
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+
+
+def shown(df: DataFrame, names: list[str], *new: str) -> DataFrame:
+    """Give ``hidden`` columns their names back, and add the columns ``new``, which replace those of their names."""
+    taken = {n.lower() for n in new}
+    return df.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names) if n.lower() not in taken], *new)
+
+
 def slices(lengths: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``limit`` units together; a longer row is alone."""
     start, total = 0, 0

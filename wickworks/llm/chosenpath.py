@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wickworks.llm.base import (
-    NULL_LAST, as_long, inside, keyed_texts, mix, row_order, shuffle_parts, text_slices, window_hashes, word_hashes, written,
+    NULL_LAST, as_long, hidden, inside, keyed_texts, mix, shown, shuffle_parts, text_slices, window_hashes, word_hashes, written,
 )
 from wickworks.llm.graph import components
 
@@ -318,7 +318,8 @@ def jaccard_join(docs: DataFrame, **options) -> DataFrame:
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` without near duplicates of a kept one: of each class the least (doc_id, text hash), once. All columns kept."""
-    low = join_classes(docs, **options).select(F.col("low_ord").alias("__ord"), F.col("low_th").alias("__th")).distinct()
-    keyed = docs.withColumns({"__ord": row_order(), "__th": F.xxhash64(F.coalesce("text", F.lit("")))})
-    first = keyed.withColumn("__i", F.row_number().over(Window.partitionBy("__ord", "__th").orderBy("__th"))).where("__i = 1")
-    return first.join(low, ["__ord", "__th"], "left_semi").select(*docs.columns)
+    low = join_classes(docs, **options).select(F.col("low_ord").alias("ord"), F.col("low_th").alias("th")).distinct()
+    id_, text = (F.col(f"c{docs.columns.index(c)}") for c in ("doc_id", "text"))
+    keyed = hidden(docs).withColumns({"ord": F.coalesce(id_.cast("long"), F.lit(NULL_LAST)), "th": F.xxhash64(F.coalesce(text, F.lit("")))})
+    first = keyed.withColumn("i", F.row_number().over(Window.partitionBy("ord", "th").orderBy(text))).where("i = 1")
+    return shown(first.join(low, ["ord", "th"], "left_semi"), docs.columns)

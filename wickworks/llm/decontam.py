@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wickworks.llm.base import inside, text_slices, window_hashes, word_hashes
+from wickworks.llm.base import hidden, inside, shown, text_slices, window_hashes, word_hashes
 
 SEED = 5
 COVERAGE = 0.5
@@ -148,28 +148,23 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", kee
 
     The benchmark is a stated query set: it goes to the executors in blocks of
     about ``block_tokens`` tokens, whatever its size, each block one narrow pass
-    over the documents.  Nothing is shuffled.
+    over the documents.  Nothing is shuffled.  Columns of the new names are
+    replaced.
     """
     keep = docs.columns if keep is None else keep
-    state = ["item_ids", "item_id", "coverage", "contaminated"]
-    clash = set(state) & set(keep)
-    if clash:
-        raise ValueError(f"columns in the way: {sorted(clash)}")
-    out = docs.select(
-        *[F.col(f"`{c}`") for c in keep],
-        F.lit(None).cast("array<bigint>").alias("item_ids"), F.lit(None).cast("bigint").alias("item_id"), F.lit(0.0).alias("coverage"),
-        F.col(f"`{text}`").alias("__text"),
-    )
-    sc = docs.sparkSession.sparkContext
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields)
     n_keep = len(keep)
+    rows = hidden(docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`")))
+    new = {"item_ids": F.lit(None).cast("array<bigint>"), "item_id": F.lit(None).cast("bigint"), "coverage": F.lit(0.0)}
+    out = rows.select(*rows.columns[:n_keep], *[c.alias(n) for n, c in new.items()], F.col(f"c{n_keep}").alias("body"))
+    sc = docs.sparkSession.sparkContext
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in out.schema.fields)
     for index in _blocks(benchmark, item_id, item_text, seed, block_tokens):
         shared = sc.broadcast(index)
 
         def tile(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
             for batch in batches:
-                for part in text_slices(batch, "__text", 1 << 23):
+                for part in text_slices(batch, "body", 1 << 23):
                     starts, hashes = word_hashes(part.column(n_keep + 3), plain=True)
                     hits = index.hits(window_hashes(hashes, seed))
                     hits[~inside(starts, seed)] = -1
@@ -186,7 +181,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", kee
                     yield part
 
         out = out.mapInArrow(tile, fields)
-    return out.withColumn("item_ids", F.array_sort(F.coalesce(F.col("item_ids"), F.expr("array()").cast("array<bigint>")))).withColumn("contaminated", F.col("coverage") > 0).drop("__text")
+    items = F.coalesce(F.col("item_ids"), F.expr("array()").cast("array<bigint>"))
+    return shown(out.withColumn("item_ids", items).withColumn("contaminated", F.col("coverage") > 0), keep, *new, "contaminated")
 
 
 def _near(hashes: np.ndarray, start: int, end: int, at: np.ndarray, seed: int) -> np.ndarray:
@@ -212,6 +208,6 @@ def _merge(part: pa.RecordBatch, found: dict[int, list[tuple[int, float]]], ids:
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that contain no benchmark item, all columns kept."""
-    renamed = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
-    found = contamination(renamed, benchmark, f"c{docs.columns.index('text')}", **options)
-    return found.where(~F.col("contaminated")).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    rows = hidden(docs)
+    found = contamination(rows, benchmark, rows.columns[docs.columns.index("text")], **options)
+    return shown(found.where(~F.col("contaminated")), docs.columns)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wickworks.llm.base import row_order, written
+from wickworks.llm.base import hidden, row_order, shown, written
 
 HAS_WORD = r"[^\x20\x09-\x0D]"
 
@@ -75,21 +75,22 @@ def dedup_lines(docs: DataFrame, gram: int = 2, window: int = 2, doc_id: str = "
     are, on the input, not on what is left.  Lines without a word stay and
     don't interrupt a run.  n_lines counts lines with a word.  Null texts stay
     null, with 0 lines.  Rows with equal doc_id count as one document, so a
-    repeated row isn't an earlier copy of itself.
+    repeated row isn't an earlier copy of itself.  Columns of the two new names
+    are replaced.
     """
-    clash = {"n_lines", "n_removed"} & set(docs.columns)
-    if clash:
-        raise ValueError(f"columns in the way: {sorted(clash)}")
-    gone = repeated_lines(docs, gram, window, doc_id, text).select(F.col("ord").alias("__o"), F.col("th").alias("__t"), F.col("gone").alias("__gone"))
-    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    joined = docs.withColumn("__ord", row_order(doc_id)).withColumn("__th", F.xxhash64(body)).join(gone, (F.col("__ord") == F.col("__o")) & (F.col("__th") == F.col("__t")), "left")
+    gone = repeated_lines(docs, gram, window, doc_id, text).withColumnsRenamed({"ord": "of_ord", "th": "of_th"})
+    rows, at = hidden(docs), docs.columns.index(text)
+    body = F.coalesce(F.col(f"c{at}"), F.lit(""))
+    rows = rows.withColumns({"ord": row_order(f"c{docs.columns.index(doc_id)}"), "th": F.xxhash64(body)})
+    joined = rows.join(gone, (F.col("ord") == F.col("of_ord")) & (F.col("th") == F.col("of_th")), "left")
     cut = _let(
         F.split(body, "\n", -1),
-        lambda ls: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), F.col("__gone")), lambda no: F.get(ls, no)), "\n"),
+        lambda ls: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), F.col("gone")), lambda no: F.get(ls, no)), "\n"),
     )
     n_lines = F.size(F.filter(F.split(body, "\n", -1), lambda x: x.rlike(HAS_WORD)))
-    columns = [F.when(F.col("__gone").isNull(), F.col(f"`{c}`")).otherwise(cut).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
-    return joined.select(*columns, n_lines.cast("long").alias("n_lines"), F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_removed"))
+    new = {"n_lines": n_lines.cast("long"), "n_removed": F.coalesce(F.size("gone"), F.lit(0)).cast("long")}
+    left = joined.withColumns(new).withColumn(f"c{at}", F.when(F.col("gone").isNull(), F.col(f"c{at}")).otherwise(cut))
+    return shown(left, docs.columns, *new)
 
 
 def op10_sql(span: int = 3) -> str:

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wickworks.llm.base import written
+from wickworks.llm.base import hidden, shown, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK = 64
@@ -172,15 +172,14 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, se
 
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: int = 1) -> DataFrame:
-    """The mix itself: each row of ``docs`` as often as ``mix`` takes it, with ``copy_no`` from 1."""
-    if "copy_no" in docs.columns:
-        raise ValueError("column in the way: copy_no")
-    sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", word_count(F.col("text")).alias("size"))
-    plan = planned(sized, weights, most, seed).where("all > 0")
+    """The mix itself: each row of ``docs`` as often as ``mix`` takes it, with ``copy_no`` from 1 (a column of that name is replaced)."""
+    id_, source, text = (F.col(f"c{docs.columns.index(c)}") for c in ("doc_id", "source", "text"))
+    rows = hidden(docs).withColumns({"doc_id": id_.cast("long"), "source": source, "size": word_count(text)})
+    plan = planned(rows.select("doc_id", "source", "size"), weights, most, seed).where("all > 0")
     # keys without nulls: the numbering and the join then need one shuffle
-    key = {"__k1": F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")), "__k2": F.concat(F.col("doc_id").isNull().cast("string"), F.coalesce(F.concat(F.lit("="), "source"), F.lit("null")))}
-    plan = plan.withColumns(key | {"__k3": F.col("size")}).select(*key, "__k3", F.col("m").alias("__m"), F.col("all").alias("__all"))
-    rows = docs.withColumns(key | {"__k3": word_count(F.col("text"))})
-    rows = rows.withColumn("__i", F.row_number().over(Window.partitionBy("__k1", "__k2", "__k3").orderBy(F.xxhash64("text"))) - 1).join(plan, ["__k1", "__k2", "__k3"])
-    copies = F.expr("CAST(floor(__all / __m) + IF(__i < __all % __m, 1, 0) AS BIGINT)")
-    return rows.withColumn("__copies", copies).where("__copies > 0").withColumn("copy_no", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*docs.columns, "copy_no")
+    named = F.when(F.col("source").isNull(), "null").otherwise(F.concat(F.lit("="), "source"))
+    key = {"k1": F.coalesce("doc_id", F.lit(0)), "k2": F.concat(F.col("doc_id").isNull().cast("string"), named), "k3": F.col("size")}
+    plan = plan.withColumns(key).select(*key, "m", "all")
+    rows = rows.withColumns(key).withColumn("i", F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64(text))) - 1)
+    taken = rows.join(plan, list(key)).withColumn("copies", _dealt("i")).where("copies > 0")
+    return shown(taken.withColumn("copy_no", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))), docs.columns, "copy_no")
