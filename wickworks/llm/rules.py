@@ -83,8 +83,8 @@ def features(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     return docs.select(F.col(doc_id).alias("doc_id"), _let(words, counts).alias("c")).select("doc_id", "c.*").withColumn("base_failed", failed)
 
 
-def stratum(n_words: Column = F.col("n_words")) -> Column:
-    return sum(((n_words >= least).cast("int") for least in STRATA), F.lit(0))
+def stratum() -> Column:
+    return sum(((F.col("n_words") >= least).cast("int") for least in STRATA), F.lit(0))
 
 
 def _ratio(rule: str) -> Column:
