@@ -22,13 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wickworks.llm.base import NULL_LAST, inside, keyed_texts, shuffle_parts, spans_of, text_slices, window_hashes, word_hashes
-from wickworks.llm.packed import Positions, by_text, joined, pack, places, unpack
+from wickworks.llm.packed import HOMING, PACKED, Positions, Stretch, at_home, by_text, homing, joined, numbers, rows_of, unpack
 
 WINDOW = 20
 STRETCH_BYTES = 16 << 20
 PART_BYTES = 32 << 20
-PACKED = "part int, settled boolean, blob binary"
-FOUND = "ord long, th long, at binary"
+SENT, SETTLED = 0, 1
 
 
 def _parts(texts: DataFrame) -> int:
@@ -36,15 +35,6 @@ def _parts(texts: DataFrame) -> int:
     return max(shuffle_parts(texts.sparkSession), -(-total // PART_BYTES))
 
 
-def _dealt(sent: Positions, key: np.ndarray, settled: Positions, parts: int) -> Iterator[pa.RecordBatch]:
-    """Rows of PACKED: ``sent`` by ``key``, and ``settled``, of which nothing is to be found out, anywhere."""
-    part = ((key >> np.uint64(32)) % np.uint64(parts)).astype(np.uint16 if parts < 1 << 16 else np.uint32)
-    rows = [(p, False, b) for p, b in pack(sent, part)]
-    if len(settled.row):
-        rows += [(p, True, b) for p, b in pack(settled, (settled.th[settled.row].view(np.uint64) % np.uint64(parts)).astype(part.dtype))]
-    yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.bool_(), pa.binary()))], names=["part", "settled", "blob"])
-
-
 def _groups(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """(order by key, number of the group of each in that order)."""
     order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0], kind="stable")
@@ -74,100 +64,110 @@ def later(p: Positions) -> tuple[np.ndarray, np.ndarray]:
     """Which windows have an equal one at a smaller (ord, place); and which are the least of theirs."""
     if not len(p.at):
         return np.zeros(0, bool), np.zeros(0, bool)
-    _, group = _groups(p.keys)
-    ords = p.ord[p.row]
-    order = np.lexsort((p.at, ords, *p.keys[::-1]))
-    first = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
-    low = order[first][group]
-    after = (ords[order] > ords[low]) | (ords[order] == ords[low]) & (p.at[order] > p.at[low])
+    order = np.lexsort((p.at, p.ord, *p.keys[::-1]))
+    new = np.zeros(len(order), bool)
+    new[0] = True
+    for k in p.keys:
+        new[1:] |= k[order[1:]] != k[order[:-1]]
+    low = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+    after = (p.ord[order] > p.ord[low]) | (p.ord[order] == p.ord[low]) & (p.at[order] > p.at[low])
     out = np.zeros(len(order), bool)
     out[order] = after
     return out, ~out
 
 
-def _stretches(batches: Iterator[pa.RecordBatch], make) -> Iterator[Positions]:
-    """Positions that ``make`` finds in slices of the texts, joined to stretches of input of bounded size."""
-    held, size = [], 0
+def _stretches(batches: Iterator[pa.RecordBatch], find, parts: int) -> Iterator[tuple[Stretch, Positions]]:
+    """Stretches of input of bounded size, with the positions that ``find`` sees in slices of their texts."""
+    held, ords, ths, n_docs, size = [], [], [], 0, 0
+
+    def whole() -> tuple[Stretch, Positions]:
+        p, ord_ = joined(held), np.concatenate(ords)
+        p.ord = ord_[p.doc]
+        return Stretch(ord_, np.concatenate(ths), parts), p
+
     for batch in batches:
+        names = batch.schema.names
         for part in text_slices(batch, "text", 1 << 22):
-            held.append(make(part))
-            size += part.column(part.schema.get_field_index("text")).nbytes
+            p = find(part)
+            p.doc = p.doc + n_docs
+            held.append(p)
+            ords.append(part.column(names.index("ord")).to_numpy())
+            ths.append(part.column(names.index("th")).to_numpy())
+            n_docs += part.num_rows
+            size += part.column(names.index("text")).nbytes
             if size >= STRETCH_BYTES:
-                yield joined(held)
-                held, size = [], 0
+                yield whole()
+                held, ords, ths, n_docs, size = [], [], [], 0, 0
     if held:
-        yield joined(held)
+        yield whole()
 
 
 def _probes(texts: DataFrame, block: int, parts: int) -> DataFrame:
     def find(part: pa.RecordBatch) -> Positions:
         starts, h = word_hashes(part.column(2))
         ok = np.flatnonzero(inside(starts, block))
-        key = window_hashes(h, block)[ok]
         row = np.searchsorted(starts, ok, side="right") - 1
-        return Positions(part.column(0).to_numpy(), part.column(1).to_numpy(), row, ok - starts[row], [key])
+        return Positions(row, ok - starts[row], [window_hashes(h, block)[ok]])
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for p in _stretches(batches, find):
+        for stretch, p in _stretches(batches, find, parts):
             hit, one = shared(p, block)
-            send = np.flatnonzero(~hit | one)
-            sent = p.take(send)
+            sent = p.take(np.flatnonzero(~hit | one))
             key = sent.keys[0]
-            sent.keys = [(key & np.uint64(0xFFFFFFFF)).astype(np.uint32)]
-            settled = p.take(np.flatnonzero(hit))
-            settled.keys = []
-            yield from _dealt(sent, key, settled, parts)
+            sent.keys, sent.ord = [(key & np.uint64(0xFFFFFFFF)).astype(np.uint32)], None
+            stretch.send(SENT, sent, key)
+            stretch.settle(SETTLED, p.take(np.flatnonzero(hit)))
+            yield stretch.batch()
 
     return texts.mapInArrow(probe, PACKED)
 
 
 def _settle(dealt: DataFrame, verdict) -> DataFrame:
-    """(ord, th, at): the settled positions, and those of the others that ``verdict`` picks in each part."""
+    """(ord, th, found): texts with their settled places, and those of the others that ``verdict`` picks in each part."""
 
     def settle(table: pa.Table) -> pa.Table:
-        blobs, settled = table.column("blob").to_pylist(), table.column("settled").to_pylist()
-        out = [unpack(b) for b, s in zip(blobs, settled) if s]
-        rest = [unpack(b) for b, s in zip(blobs, settled) if not s]
-        if rest:
-            p = joined(rest)
-            picked = p.take(np.flatnonzero(verdict(p)))
-            picked.keys = []
-            out.append(picked)
-        columns = [by_text(p) for p in out]
-        return pa.table([pa.concat_arrays([pa.array(c[i]) for c in columns]) for i in range(3)], names=["ord", "th", "at"])
+        rows = list(rows_of(table))
+        sent = [unpack(b, s) for s, k, b in rows if k == SENT]
+        found = []
+        if sent:
+            p = joined(sent)
+            found.append((SETTLED, p.take(np.flatnonzero(verdict(p)), bare=True)))
+        return homing(found, [r for r in rows if r[1] != SENT])
+
+    return by_text(at_home(dealt.groupBy("part").applyInArrow(settle, HOMING), {"at": (SETTLED,)}), ["at"])
+
 
-    found = dealt.groupBy("part").applyInArrow(settle, FOUND)
-    return found.groupBy("ord", "th").agg(F.collect_list("at").alias("at"))
+def places(found: list[dict] | None) -> np.ndarray:
+    """The places found in a text, each once, in order."""
+    return np.unique(numbers([x["at"] for x in found or []])).astype(np.int64)
 
 
 def _windows(hits: DataFrame, texts: DataFrame, window: int, block: int, parts: int) -> DataFrame:
     def find(part: pa.RecordBatch) -> Positions:
         names = part.schema.names
-        ords, ths, lists = (part.column(names.index(c)) for c in ("ord", "th", "at"))
         starts, h = word_hashes(part.column(names.index("text")))
         near = np.zeros(len(h) + 1, np.int64)
-        for start, blobs in zip(starts.tolist(), lists.to_pylist()):
-            at = places(blobs)
+        for start, found in zip(starts.tolist(), part.column(names.index("found")).to_pylist()):
+            at = places(found)
             np.add.at(near, start + np.maximum(at - (window - block), 0), 1)
             np.add.at(near, start + at + 1, -1)
         ok = np.flatnonzero((np.cumsum(near)[: max(0, len(h) - window + 1)] > 0) & inside(starts, window))
         row = np.searchsorted(starts, ok, side="right") - 1
-        keys = [window_hashes(h, window)[ok], (window_hashes(h, window, 0xC2B2AE3D27D4EB4F)[ok] >> np.uint64(32)).astype(np.uint32)]
-        return Positions(ords.to_numpy(), ths.to_numpy(), row, ok - starts[row], keys)
+        return Positions(row, ok - starts[row], [window_hashes(h, window)[ok], (window_hashes(h, window, 0xC2B2AE3D27D4EB4F)[ok] >> np.uint64(32)).astype(np.uint32)])
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for p in _stretches(batches, find):
+        for stretch, p in _stretches(batches, find, parts):
             gone, least = later(p)
-            settled = p.take(np.flatnonzero(gone))
-            settled.keys = []
             sent = p.take(np.flatnonzero(least))
-            yield from _dealt(sent, sent.keys[0], settled, parts)
+            stretch.send(SENT, sent, sent.keys[0])
+            stretch.settle(SETTLED, p.take(np.flatnonzero(gone)))
+            yield stretch.batch()
 
     return hits.join(texts, ["ord", "th"]).mapInArrow(extend, PACKED)
 
 
 def repeated_windows(texts: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(ord, th, at): begins of the windows in each text (ord, th, text) whose words begin earlier too."""
+    """(ord, th, found): begins of the windows in each text (ord, th, text) whose words begin earlier too (see ``places``)."""
     block, parts = window // 2, _parts(texts)
     hits = _settle(_probes(texts, block, parts), lambda p: shared(p, block)[0])
     return _settle(_windows(hits, texts, window, block, parts), lambda p: later(p)[0])
@@ -191,9 +191,9 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_i
             for part in text_slices(batch, "text", 1 << 22):
                 names = part.schema.names
                 left, counts, removed, spans = [], [], [], []
-                for body, blobs in zip(part.column(names.index("text")).to_pylist(), part.column(names.index("at")).to_pylist()):
+                for body, found in zip(part.column(names.index("text")).to_pylist(), part.column(names.index("found")).to_pylist()):
                     words = body.encode().split()
-                    at = places(blobs)
+                    at = places(found)
                     begin, end = spans_of(at, at + window)
                     keep, last = [], 0
                     for a, b in zip(begin.tolist(), end.tolist()):
@@ -209,7 +209,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_i
                     names=["ord", "text", "n_words", "n_removed", "spans"],
                 )
 
-    left = texts.join(gone, ["ord", "th"], "left").select("ord", "text", "at").mapInArrow(cut, "ord long, text string, n_words long, n_removed long, spans array<array<long>>")
+    left = texts.join(gone, ["ord", "th"], "left").select("ord", "text", "found").mapInArrow(cut, "ord long, text string, n_words long, n_removed long, spans array<array<long>>")
     return left.select(F.when(F.col("ord") != F.lit(NULL_LAST), F.col("ord")).alias("doc_id"), "text", "n_words", "n_removed", "spans")
 
 
