@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wickworks.llm.base import NULL_LAST, keyed_texts, mix, shuffle_parts, slices, spans_of, written
-from wickworks.llm.packed import Positions, by_text, joined, pack, unpack
+from wickworks.llm.packed import HOMING, PACKED, Positions, Stretch, at_home, by_text, homing, joined, numbers, rows_of, unpack
 
 LENGTH = 200
 GRAM = 40
@@ -242,60 +242,37 @@ def _group(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return order, np.cumsum(new)
 
 
-def _rows(found: list[tuple[int, Positions, np.ndarray]], parts: int) -> Iterator[pa.RecordBatch]:
-    """(part, kind, blob) rows of positions of several kinds, dealt by a number each."""
-    rows = []
-    for kind, p, by in found:
-        if len(p.at):
-            part = ((by >> np.uint64(32)) % np.uint64(parts)).astype(np.uint16 if parts < 1 << 16 else np.uint32)
-            rows += [(k, kind, blob) for k, blob in pack(p, part)]
-    yield _batch(rows)
-
-
-def _batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary()))], names=["part", "kind", "blob"])
-
-
-def _bare(p: Positions, index: np.ndarray) -> Positions:
-    out = p.take(index)
-    out.keys = []
-    return out
-
-
-def _text_number(p: Positions) -> np.ndarray:
-    return p.th[p.row].view(np.uint64)
-
-
-def _sift(p: Positions, parts: int, local_hot: int) -> Iterator[pa.RecordBatch]:
+def _sift(stretch: Stretch, p: Positions, local_hot: int) -> pa.RecordBatch:
     """Settle what one stretch of input shows by itself, and deal out the rest.
 
     keys: hash of the 40 bytes, two of the surroundings.  Sent anchors have a
     fourth key: 1 if their surroundings occur twice, 2 if their 40 bytes have
     too many different surroundings to be sorted together.
     """
-    order, cls = _group(p.keys)
-    size = np.bincount(cls)
-    first = np.flatnonzero(np.concatenate(([True], cls[1:] != cls[:-1])))
-    gram = p.keys[0][order[first]]  # of each class; classes of a gram adjoin
-    new = np.concatenate(([True], gram[1:] != gram[:-1]))
-    of = np.cumsum(new) - 1
-    hot = (np.bincount(of) > local_hot)[of]
-    again = size > 1
-    full = np.sort(order[again[cls]])
-    hot_open = np.sort(order[first[hot]])  # full or not: the others must be able to find them
-    send = ~hot | new  # one word for a hot gram
-    index = order[first[send]]
-    back = np.argsort(index)
-    sent = p.take(index[back])
-    sent.keys.append(np.where(hot[send], 2, again[send].astype(np.uint8))[back].astype(np.uint8))
-    f, o = _bare(p, full), _bare(p, hot_open)
-    yield from _rows([(ANCHORS, sent, sent.keys[0]), (FULL, f, _text_number(f)), (HOT_OPEN, o, _text_number(o))], parts)
+    if len(p.at):
+        order, cls = _group(p.keys)
+        again = np.bincount(cls) > 1
+        first = np.flatnonzero(np.concatenate(([True], cls[1:] != cls[:-1])))
+        gram = p.keys[0][order[first]]  # of each class; classes of a gram adjoin
+        new = np.concatenate(([True], gram[1:] != gram[:-1]))
+        of = np.cumsum(new) - 1
+        hot = (np.bincount(of) > local_hot)[of]
+        stretch.settle(FULL, p.take(np.sort(order[again[cls]])))
+        # of a hot gram one word is sent; full or not, the others must be able to find it
+        stretch.settle(HOT_OPEN, p.take(np.sort(order[first[hot]])))
+        send = ~hot | new
+        index, flag = order[first[send]], np.where(hot[send], 2, again[send])
+        back = np.argsort(index)
+        sent = p.take(index[back])
+        sent.keys.append(flag[back].astype(np.uint8))
+        stretch.send(ANCHORS, sent, sent.keys[0])
+    return stretch.batch()
 
 
 def _anchor_rows(texts: DataFrame, parts: int, local_hot: int) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling = _Rolling()
-        held, size = [], 0
+        held, ords, ths, n_docs, size = [], [], [], 0, 0
         for batch in batches:
             for piece, data, starts in _pieces(batch, PIECE):
                 at, gram = _found(data, starts, rolling)
@@ -304,24 +281,27 @@ def _anchor_rows(texts: DataFrame, parts: int, local_hot: int) -> DataFrame:
                 body = data.tobytes()
                 # how much precedes the anchor is part of what must be equal
                 around = _digest([bytes((c - a,)) + body[a:b] for a, c, b in zip(begin.tolist(), at.tolist(), end.tolist())])
-                held.append(Positions(piece.column(0).to_numpy(), piece.column(1).to_numpy(), row, at - starts[row], [gram, *_words_of(around)]))
+                held.append(Positions(row + n_docs, at - starts[row], [gram, *_words_of(around)]))
+                ords.append(piece.column(0).to_numpy())
+                ths.append(piece.column(1).to_numpy())
+                n_docs += piece.num_rows
                 size += len(data)
                 if size >= STRETCH_BYTES:
-                    yield from _sift(joined(held), parts, local_hot) if any(len(h.at) for h in held) else ()
-                    held, size = [], 0
-        if any(len(h.at) for h in held):
-            yield from _sift(joined(held), parts, local_hot)
+                    yield _sift(Stretch(np.concatenate(ords), np.concatenate(ths), parts), joined(held), local_hot)
+                    held, ords, ths, n_docs, size = [], [], [], 0, 0
+        if held:
+            yield _sift(Stretch(np.concatenate(ords), np.concatenate(ths), parts), joined(held), local_hot)
 
-    return texts.mapInArrow(find, "part int, kind int, blob binary")
+    return texts.mapInArrow(find, PACKED)
 
 
 def _judge_anchors(dealt: DataFrame, most: int) -> DataFrame:
-    """(ord, th, kind, at, gram): anchors by what is known: FULL, HOT_OPEN, or OPEN with the hash of their 40 bytes."""
+    """(ord, th, full, hot, open, open_key): each text's anchors by what is known; open ones with the hash of their 40 bytes."""
 
     def judge(table: pa.Table) -> pa.Table:
-        kinds, blobs = table.column("kind").to_pylist(), table.column("blob").to_pylist()
-        out = [(k, *by_text(unpack(b)), None) for k, b in zip(kinds, blobs) if k != ANCHORS]
-        sent = [unpack(b) for k, b in zip(kinds, blobs) if k == ANCHORS]
+        rows = list(rows_of(table))
+        sent = [unpack(b, s) for s, k, b in rows if k == ANCHORS]
+        found = []
         if sent:
             p = joined(sent)
             order, cls = _group(p.keys[:3])
@@ -330,59 +310,48 @@ def _judge_anchors(dealt: DataFrame, most: int) -> DataFrame:
             gram = p.keys[0][order[first]]
             of = np.cumsum(np.concatenate(([True], gram[1:] != gram[:-1]))) - 1
             n_classes = np.bincount(of)
-            hot = (np.bincount(of, np.maximum.reduceat(flag, first) == 2) > 0) | (n_classes > most)
-            full = (np.bincount(cls) > 1) | (np.maximum.reduceat(flag, first) == 1)
-            is_hot = hot[of][cls] & (flag != 2)
+            most_flag = np.maximum.reduceat(flag, first)
+            hot = (np.bincount(of, most_flag == 2) > 0) | (n_classes > most)
+            full = (np.bincount(cls) > 1) | (most_flag == 1)
             is_first = np.zeros(len(order), bool)
             is_first[first] = True
-            picked = {
-                FULL: full[cls] & (flag != 2),
-                HOT_OPEN: is_hot & is_first,
-                OPEN: ~hot[of][cls] & is_first & (n_classes[of][cls] > 1),
-            }
-            for kind, pick in picked.items():
-                index = np.sort(order[pick])
-                q = p.take(index)
-                out.append((kind, *by_text(q), q.keys[0] if kind == OPEN else None))
-        rows = [pa.table({"ord": pa.array(o), "th": pa.array(t), "kind": pa.array(np.full(len(o), k, np.int32)), "at": a, "gram": _hashes(a, g)}) for k, o, t, a, g in out]
-        return pa.concat_tables(rows)
-
-    return dealt.groupBy("part").applyInArrow(judge, "ord long, th long, kind int, at binary, gram binary")
+            is_open = ~hot[of][cls] & is_first & (n_classes[of][cls] > 1)
+            found.append((FULL, p.take(np.sort(order[full[cls] & (flag != 2)]), bare=True)))
+            found.append((HOT_OPEN, p.take(np.sort(order[hot[of][cls] & (flag != 2) & is_first]), bare=True)))
+            opened = p.take(np.sort(order[is_open]))
+            opened.keys = opened.keys[:1]
+            found.append((OPEN, opened))
+        return homing(found, [r for r in rows if r[1] != ANCHORS])
 
-
-def _hashes(at: pa.Array, gram: np.ndarray | None) -> pa.Array:
-    """The hashes that go along with the places of each text."""
-    if gram is None:
-        return pa.nulls(len(at), pa.binary())
-    offsets = np.frombuffer(at.buffers()[1], np.int32)[: len(at) + 1] * 2 if len(at) else np.zeros(1, np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(gram.tobytes())])
+    homed = dealt.groupBy("part").applyInArrow(judge, HOMING)
+    return at_home(homed, {"full": (FULL,), "hot": (HOT_OPEN,), "open": (OPEN,)}, ("open",))
 
 
 # --- what the anchors have around them ---------------------------------------
 
 
-def _open_rows(opened: DataFrame, texts: DataFrame, parts: int) -> DataFrame:
+def _open_rows(judged: DataFrame, texts: DataFrame, parts: int) -> DataFrame:
     """The surroundings of open anchors, and the hashes of all strings around hot ones, dealt out."""
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = batch.schema.names
-            ords, ths = (batch.column(names.index(c)).to_numpy() for c in ("ord", "th"))
-            # few texts at a time: very long ones would fill the memory
-            sizes = np.array([len(b) for t in batch.column(names.index("open")).to_pylist() for b in [b"".join(x["at"] for x in t)]], np.int64)
-            for a, b in slices(sizes, 1 << 18):
-                yield from _look(batch.slice(a, b - a), ords[a:b], ths[a:b], names, parts)
+            found = batch.column(batch.schema.names.index("found")).to_pylist()
+            weights = [sum(len(x["open"] or b"") + 16 * len(x["hot"] or b"") for x in f) for f in found]
+            for a, b in slices(np.array(weights), 1 << 18):  # the surroundings are a hundred times that
+                yield _look(batch.slice(a, b - a), found[a:b], parts)
 
-    lists = opened.groupBy("ord", "th").agg(F.collect_list(F.struct("kind", "at", "gram")).alias("open"))
-    return lists.join(texts, ["ord", "th"]).mapInArrow(look, "part int, kind int, blob binary")
+    asked = judged.where("hot IS NOT NULL OR open IS NOT NULL")
+    return by_text(asked, ["hot", "open", "open_key"]).join(texts, ["ord", "th"]).mapInArrow(look, PACKED)
 
 
-def _look(batch: pa.RecordBatch, ords: np.ndarray, ths: np.ndarray, names: list[str], parts: int) -> Iterator[pa.RecordBatch]:
+def _look(batch: pa.RecordBatch, found: list[list[dict]], parts: int) -> pa.RecordBatch:
+    names = batch.schema.names
+    stretch = Stretch(*(batch.column(names.index(c)).to_numpy() for c in ("ord", "th")), parts)
     rows, places, grams, before, bodies = [], [], [], [], []
-    hot_rows, hot_at, digests = [], [], []
-    for i, (text, found) in enumerate(zip(batch.column(names.index("text")).to_pylist(), batch.column(names.index("open")).to_pylist())):
+    hot_rows, hot_at, strings = [], [], []
+    for i, (text, lists) in enumerate(zip(batch.column(names.index("text")).to_pylist(), found)):
         body = text.encode()
-        hot = np.unique(np.frombuffer(b"".join(x["at"] for x in found if x["kind"] == HOT_OPEN), np.uint32).astype(np.int64))
+        hot = np.unique(numbers([x["hot"] for x in lists])).astype(np.int64)
         if len(hot):
             near = np.zeros(len(body) + 1, np.int64)
             np.add.at(near, np.maximum(0, hot - BACK), 1)
@@ -390,43 +359,35 @@ def _look(batch: pa.RecordBatch, ords: np.ndarray, ths: np.ndarray, names: list[
             begin = np.flatnonzero(np.cumsum(near)[: max(0, len(body) - LENGTH + 1)] > 0)
             hot_rows.append(np.full(len(begin), i))
             hot_at.append(begin)
-            digests += [body[a : a + LENGTH] for a in begin.tolist()]
-        at = np.frombuffer(b"".join(x["at"] for x in found if x["kind"] == OPEN), np.uint32).astype(np.int64)
-        gram = np.frombuffer(b"".join(x["gram"] for x in found if x["kind"] == OPEN), np.uint64)
-        at, first = np.unique(at, return_index=True)
-        for p, g in zip(at.tolist(), gram[first].tolist()):
+            strings += [body[a : a + LENGTH] for a in begin.tolist()]
+        at, first = np.unique(numbers([x["open"] for x in lists]), return_index=True)
+        gram = numbers([x["open_key"] for x in lists], np.uint64)[first]
+        for p, g in zip(at.tolist(), gram.tolist()):
             rows.append(i)
             places.append(p)
             grams.append(g)
             before.append(min(p, BACK))
             bodies.append(body[max(0, p - BACK) : p + LENGTH])
-    out = []
     if rows:
-        p = Positions(ords, ths, np.array(rows), np.array(places), [np.array(grams, np.uint64)])
-        part = ((p.keys[0] >> np.uint64(32)) % np.uint64(parts)).astype(np.uint32)
-        order = np.argsort(part, kind="stable")
-        cuts = np.concatenate(([0], np.flatnonzero(np.diff(part[order])) + 1, [len(order)]))
-        for (k, blob), a, b in zip(pack(p, part), cuts[:-1], cuts[1:]):
-            index = order[a:b].tolist()
-            sizes = np.array([[before[j], len(bodies[j])] for j in index], np.uint32)
-            out.append((k, CONTEXTS, np.int64(len(blob)).tobytes() + blob + sizes.tobytes() + b"".join([bodies[j] for j in index])))
-    if out:
-        yield _batch(out)
-    if digests:
-        q = Positions(ords, ths, np.concatenate(hot_rows), np.concatenate(hot_at), _words_of(_digest(digests)))
+        p = Positions(np.array(rows), np.array(places), [np.array(grams, np.uint64)])
+        sizes = np.array([before, [len(b) for b in bodies]], np.uint32).T
+        stretch.send(CONTEXTS, p, p.keys[0], lambda index: sizes[index].tobytes() + b"".join([bodies[j] for j in index.tolist()]))
+    if strings:
+        q = Positions(np.concatenate(hot_rows), np.concatenate(hot_at), _words_of(_digest(strings)))
         order, cls = _group(q.keys)
         again = np.bincount(cls) > 1
         first = np.flatnonzero(np.concatenate(([True], cls[1:] != cls[:-1])))
         back = np.argsort(order[first])
         sent = q.take(order[first][back])
         sent.keys.append(again.astype(np.uint8)[back])
-        covered = _bare(q, np.sort(order[again[cls]]))
-        yield from _rows([(WINDOWS, sent, sent.keys[0]), (COVERED, covered, _text_number(covered))], parts)
+        stretch.send(WINDOWS, sent, sent.keys[0])
+        stretch.settle(COVERED, q.take(np.sort(order[again[cls]])))
+    return stretch.batch()
 
 
-def _contexts(blob: bytes) -> tuple[Positions, list[tuple[bytes, bytes]]]:
+def _contexts(blob: bytes, stretch: int) -> tuple[Positions, list[tuple[bytes, bytes]]]:
     n = int(np.frombuffer(blob, np.int64, 1)[0])
-    p = unpack(blob[8 : 8 + n])
+    p = unpack(blob[8 : 8 + n], stretch)
     sizes = np.frombuffer(blob, np.uint32, 2 * len(p.at), 8 + n).reshape(-1, 2)
     at, out = 8 + n + sizes.nbytes, []
     for before, size in sizes.tolist():
@@ -436,12 +397,12 @@ def _contexts(blob: bytes) -> tuple[Positions, list[tuple[bytes, bytes]]]:
 
 
 def _covered(dealt: DataFrame) -> DataFrame:
-    """(ord, th, begin, end): stretches of texts under strings that occur elsewhere."""
+    """(ord, th, whole, begin, begin_key): strings of 200 bytes that occur elsewhere, by their begins; and other stretches, with their ends."""
 
     def sort(table: pa.Table) -> pa.Table:
-        kinds, blobs = table.column("kind").to_pylist(), table.column("blob").to_pylist()
-        out: list[tuple[Positions, np.ndarray]] = []
-        opened = [_contexts(b) for k, b in zip(kinds, blobs) if k == CONTEXTS]
+        rows = list(rows_of(table))
+        found = []
+        opened = [_contexts(b, s) for s, k, b in rows if k == CONTEXTS]
         if opened:
             p, contexts = joined([o[0] for o in opened]), [c for o in opened for c in o[1]]
             order = np.argsort(p.keys[0], kind="stable")
@@ -451,47 +412,30 @@ def _covered(dealt: DataFrame) -> DataFrame:
             for a, b in zip(cuts[:-1], cuts[1:]):
                 if b - a > 1:
                     index = order[a:b].tolist()
-                    for i, found in zip(index, reach([contexts[i] for i in index])):
-                        if found:
-                            begin[i], end[i] = p.at[i] - found[1], p.at[i] - found[0] + LENGTH
+                    for i, found_ in zip(index, reach([contexts[i] for i in index])):
+                        if found_:
+                            begin[i], end[i] = p.at[i] - found_[1], p.at[i] - found_[0] + LENGTH
             index = np.flatnonzero(end)
-            q = _bare(p, index)
-            q.at = begin[index]
-            out.append((q, end[index]))
-        windows = [unpack(b) for k, b in zip(kinds, blobs) if k == WINDOWS]
+            index = index[np.lexsort((begin[index], p.doc[index]))]
+            index = index[np.argsort(p.stretch[index], kind="stable")]
+            q = p.take(index, bare=True)
+            q.at, q.keys = begin[index], [end[index].astype(np.uint32)]
+            found.append((CONTEXTS, q))
+        windows = [unpack(b, s) for s, k, b in rows if k == WINDOWS]
         if windows:
             p = joined(windows)
             order, cls = _group(p.keys[:2])
             again = (np.bincount(cls) > 1) | (np.bincount(cls, p.keys[2][order]) > 0)
-            q = _bare(p, np.sort(order[again[cls]]))
-            out.append((q, q.at + LENGTH))
-        for k, b in zip(kinds, blobs):
-            if k == COVERED:
-                q = unpack(b)
-                out.append((q, q.at + LENGTH))
-        rows = []
-        for q, end in out:
-            o, t, begin = by_text(q)
-            rows.append(pa.table({"ord": pa.array(o), "th": pa.array(t), "begin": begin, "end": _like(begin, end)}))
-        return pa.concat_tables(rows)
+            found.append((COVERED, p.take(np.sort(order[again[cls]]), bare=True)))
+        return homing(found, [r for r in rows if r[1] not in (CONTEXTS, WINDOWS)])
 
-    return dealt.groupBy("part").applyInArrow(sort, "ord long, th long, begin binary, end binary")
-
-
-def _like(at: pa.Array, values: np.ndarray) -> pa.Array:
-    """More numbers of 32 bits in lists of the lengths of ``by_text``'s."""
-    if not len(at):
-        return pa.array([], pa.binary())
-    return pa.Array.from_buffers(pa.binary(), len(at), [None, at.buffers()[1], pa.py_buffer(values.astype(np.uint32).tobytes())])
+    homed = dealt.groupBy("part").applyInArrow(sort, HOMING)
+    return at_home(homed, {"whole": (COVERED,), "begin": (CONTEXTS,)}, ("begin",))
 
 
 # --- the operator -------------------------------------------------------------
 
 
-def _numbers(blobs: list[bytes] | None) -> np.ndarray:
-    return np.frombuffer(b"".join(b for b in blobs or [] if b), np.uint32).astype(np.int64)
-
-
 def dedup_suffixes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", local_hot: int = LOCAL_HOT, hot: int = HOT) -> DataFrame:
     """doc_id, kept, n_bytes, n_removed, spans: what is left of each row's text in UTF-8.
 
@@ -510,10 +454,10 @@ def dedup_suffixes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(shuffle_parts(docs.sparkSession), -(-total // PART_BYTES))
     judged = written(_judge_anchors(_anchor_rows(texts, parts, local_hot), hot), "suffix-anchors")
-    covered = _covered(_open_rows(judged.where(F.col("kind") != FULL), texts, parts))
-    full = judged.where(F.col("kind") == FULL).select("ord", "th", F.col("at").alias("full"), F.lit(None).cast("binary").alias("begin"), F.lit(None).cast("binary").alias("end"))
-    gone = full.unionByName(covered.select("ord", "th", F.lit(None).cast("binary").alias("full"), "begin", "end"))
-    gone = gone.groupBy("ord", "th").agg(F.collect_list(F.struct("full", "begin", "end")).alias("gone"))
+    covered = _covered(_open_rows(judged, texts, parts))
+    nothing = F.lit(None).cast("binary")
+    full = judged.where("full IS NOT NULL").select("ord", "th", "full", nothing.alias("whole"), nothing.alias("begin"), nothing.alias("begin_key"))
+    gone = by_text(full.unionByName(covered.withColumn("full", nothing)), ["full", "whole", "begin", "begin_key"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -522,11 +466,11 @@ def dedup_suffixes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             for a, b in slices(sizes, 1 << 22):
                 part = batch.slice(a, b - a)
                 kept, removed, spans = [], [], []
-                for body, found in zip(part.column(names.index("text")).to_pylist(), part.column(names.index("gone")).to_pylist()):
+                for body, found in zip(part.column(names.index("text")).to_pylist(), part.column(names.index("found")).to_pylist()):
                     body, found = body.encode(), found or []
-                    at = _numbers([x["full"] for x in found])
-                    begin = np.concatenate((np.maximum(0, at - BACK), _numbers([x["begin"] for x in found])))
-                    end = np.concatenate((np.minimum(len(body), at + LENGTH), _numbers([x["end"] for x in found])))
+                    at, whole, other, until = (numbers([x[c] for x in found]).astype(np.int64) for c in ("full", "whole", "begin", "begin_key"))
+                    begin = np.concatenate((np.maximum(0, at - BACK), whole, other))
+                    end = np.concatenate((np.minimum(len(body), at + LENGTH), whole + LENGTH, until))
                     begin, end = spans_of(begin, end)
                     left, last = [], 0
                     for i, j in zip(begin.tolist(), end.tolist()):
@@ -541,5 +485,5 @@ def dedup_suffixes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     names=["ord", "kept", "n_bytes", "n_removed", "spans"],
                 )
 
-    left = texts.join(gone, ["ord", "th"], "left").select("ord", "text", "gone").mapInArrow(cut, "ord long, kept binary, n_bytes long, n_removed long, spans array<array<long>>")
+    left = texts.join(gone, ["ord", "th"], "left").select("ord", "text", "found").mapInArrow(cut, "ord long, kept binary, n_bytes long, n_removed long, spans array<array<long>>")
     return left.select(F.when(F.col("ord") != F.lit(NULL_LAST), F.col("ord")).alias("doc_id"), "kept", "n_bytes", "n_removed", "spans")
