@@ -114,22 +114,31 @@ def _children(paths: np.ndarray, sig: np.ndarray, chance: float) -> tuple[np.nda
     return row, child
 
 
+def _sketches(sig: np.ndarray) -> np.ndarray:
+    """128 bits of each signature, as two numbers: a bit of its place's value each."""
+    bits = mix(sig.astype(np.uint64)[:, :, None] * np.uint64(64) + np.arange(SKETCH_WORDS, dtype=np.uint64)) & np.uint64(1)
+    return np.packbits(bits.astype(np.uint8).transpose(0, 2, 1), axis=2).view(np.int64)[:, :, 0]
+
+
 def _split(rows: DataFrame, threshold: float, places: int, runs: int | None = None) -> DataFrame:
-    """(path, cid, s1, s2): each class in the next buckets, from rows of (cid, sig[, path])."""
+    """Each class in the next buckets: (path, cid, s1, s2) of all runs from the root for rows (cid, sig),
+    or (path, cid, s1, s2, sig) for rows (cid, sig, path)."""
+    names = ["path", "cid", "s1", "s2", "sig"][: 4 if runs else 5]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for k in range(0, whole.num_rows, 4096):
                 batch = whole.slice(k, 4096)
                 sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, places)
-                bits = np.packbits((mix(sig.astype(np.uint64)[:, :, None] * np.uint64(64) + np.arange(SKETCH_WORDS, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8).transpose(0, 2, 1), axis=2).view(np.int64)[:, :, 0]
+                bits = _sketches(sig)
                 cid = batch.column(0).to_numpy()
                 starts = [np.full(len(cid), mix(np.array([r + 1], np.uint64))[0]) for r in range(runs)] if runs else [batch.column(2).to_numpy().view(np.uint64)]
                 for paths in starts:
                     row, child = _children(paths, sig, 1 / (threshold * places))
-                    yield pa.RecordBatch.from_arrays([pa.array(as_long(child)), pa.array(cid[row]), pa.array(bits[row, 0]), pa.array(bits[row, 1])], names=["path", "cid", "s1", "s2"])
+                    columns = [pa.array(as_long(child)), pa.array(cid[row]), pa.array(bits[row, 0]), pa.array(bits[row, 1])]
+                    yield pa.RecordBatch.from_arrays(columns if runs else [*columns, batch.column(1).take(pa.array(row))], names=names)
 
-    return rows.mapInArrow(deal, "path long, cid long, s1 long, s2 long")
+    return rows.mapInArrow(deal, "path long, cid long, s1 long, s2 long" + ("" if runs else ", sig binary"))
 
 
 def _leaders(linked: np.ndarray) -> np.ndarray:
@@ -176,25 +185,23 @@ def loose_groups(classes: DataFrame, threshold: float, recall: float, places: in
     """(id, comp): groups of classes (cid, sig) that hold all links found by chosen paths."""
     share = (1 + threshold) / 2  # chance that a bit of two sketches agrees at the threshold
     agree = math.floor(128 * share - 4.5 * math.sqrt(128 * share * (1 - share)))
-    rows = written(_split(classes.select("cid", "sig"), threshold, places, runs_for(recall, threshold, depth)), "paths")
-    edges = []
+    rows = _split(classes.select("cid", "sig"), threshold, places, runs_for(recall, threshold, depth))
+    small = None
     for level in range(1, depth + 1):
-        sizes = rows.groupBy("path").agg(F.count("*").alias("size")).where("size > 1")
-        sized = written(rows.join(sizes, "path"), "path-sizes")
-        small = sized.where(F.col("size") <= bucket).groupBy("path").agg(F.array_sort(F.collect_list(F.struct("cid", "s1", "s2"))).alias("members"))
-        edges.append(_bucket_edges(small.select("members").distinct(), agree))
-        large = sized.where(F.col("size") > bucket)
-        if large.isEmpty():
-            break
-        if level == depth:
-            first = large.groupBy("path").agg(F.min("cid").alias("a"))
-            edges.append(large.join(first, "path").select("a", F.col("cid").alias("b")))
+        # the few classes of large buckets carry their signatures from level to level
+        rows = written(rows, "paths")
+        sizes = written(rows.groupBy("path").agg(F.count("*").alias("size")).where("size > 1"), "path-sizes")
+        few = rows.join(sizes.where(F.col("size") <= bucket).select("path"), "path").select("path", "cid", "s1", "s2")
+        small = few if small is None else small.unionByName(few)
+        large = rows.join(sizes.where(F.col("size") > bucket).select("path"), "path")
+        if level == depth or sizes.where(F.col("size") > bucket).isEmpty():
             break
-        rows = written(_split(large.select("path", "cid").join(classes.select("cid", "sig"), "cid").select("cid", "sig", "path"), threshold, places), "paths")
-    out = edges[0]
-    for e in edges[1:]:
-        out = out.unionByName(e)
-    return components(out)
+        if level == 1:
+            large = large.join(classes.select("cid", "sig"), "cid")
+        rows = _split(large.select("cid", "sig", "path"), threshold, places)
+    edges = _bucket_edges(small.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("cid", "s1", "s2"))).alias("members")).select("members"), agree)
+    first = large.groupBy("path").agg(F.min("cid").alias("a"))
+    return components(edges.unionByName(large.join(first, "path").select("a", F.col("cid").alias("b"))))
 
 
 def _compare(a: list[np.ndarray], b: list[np.ndarray] | None, threshold: float) -> np.ndarray:
@@ -211,11 +218,13 @@ def _compare(a: list[np.ndarray], b: list[np.ndarray] | None, threshold: float)
         if alone:
             common = common + common.T
     else:
-        words, at = np.unique(np.concatenate(a + ([] if alone else b)), return_inverse=True)
+        _, at, uses = np.unique(np.concatenate(a + ([] if alone else b)), return_inverse=True, return_counts=True)
+        number = np.where(uses > 1, np.cumsum(uses > 1) - 1, -1)  # what only one set has is common to none
+        words, at = int((uses > 1).sum()), number[at]
         ra, rb = np.repeat(np.arange(len(a)), na), np.repeat(np.arange(len(b)), nb)
         pa_, pb_ = (at, at) if alone else (at[: len(ra)], at[len(ra) :])
         step = max(256, (8 << 20) // (len(a) + len(b)))
-        for lo in range(0, len(words), step):
+        for lo in range(0, words, step):
             ma, mb = np.zeros((len(a), step), np.float32), np.zeros((len(b), step), np.float32)
             for m, r, p in ((ma, ra, pa_), (mb, rb, pb_)):
                 here = (p >= lo) & (p < lo + step)
@@ -272,7 +281,7 @@ def join_classes(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHIN
 
     groups = loose_groups(classes, threshold, recall).withColumnRenamed("id", "cid")
     members = written(classes.join(groups, "cid").select("cid", "comp", "ord", "th", "n", "m"), "shingle-members")
-    weight = members.groupBy("comp").agg(F.greatest(F.ceil(F.sum("n") * 8 / tile_bytes), F.ceil(F.count("*") / 1024)).cast("int").alias("blocks"))
+    weight = members.groupBy("comp").agg(F.greatest(F.ceil(F.sum("n") * 8 / tile_bytes), F.ceil(F.count("*") / 4096)).cast("int").alias("blocks"))
     total = members.agg(F.sum("n")).first()[0] or 0
     deals = max(shuffle_parts(spark), -(-total * 8 // tile_bytes))
     members = members.join(weight, "comp").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
@@ -284,7 +293,8 @@ def join_classes(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHIN
                 whole = [h[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:])]
                 yield pa.RecordBatch.from_arrays([*part.columns[:5], pa.array(whole, pa.binary())], names=["cid", "comp", "m", "block", "blocks", "set"])
 
-    whole = members.select("ord", "th", "cid", "comp", "m", "block", "blocks").join(texts, ["ord", "th"]).select("cid", "comp", "m", "block", "blocks", "text")
+    # texts move once whatever the sizes: no broadcast here that a larger input would not have
+    whole = members.select("ord", "th", "cid", "comp", "m", "block", "blocks").join(texts.hint("merge"), ["ord", "th"]).select("cid", "comp", "m", "block", "blocks", "text")
     whole = whole.mapInArrow(cut, "cid long, comp long, m long, block int, blocks int, set binary")
     # a block meets itself and every other block of its group
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))

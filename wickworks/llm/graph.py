@@ -17,14 +17,14 @@ def components(edges: DataFrame) -> DataFrame:
     stay distributed.  An empty table gives an empty result; loops and repeated
     edges do no harm.
     """
-    graph = written(edges.where("a <> b").select("a", "b").distinct(), "cc-edges")
+    graph = written(edges.where("a <> b").select("a", "b"), "cc-edges")
     moves = []
     while not graph.isEmpty():
         both = graph.unionByName(graph.select(F.col("b").alias("a"), F.col("a").alias("b")))
         move = written(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("to")), "cc-moves")
         moves.append(move)
         to_a, to_b = move.select("a", F.col("to").alias("x")), move.select(F.col("a").alias("b"), F.col("to").alias("y"))
-        graph = written(graph.join(to_a, "a").join(to_b, "b").where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "cc-edges")
+        graph = written(graph.join(to_a, "a").join(to_b, "b").where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")), "cc-edges")
     if not moves:
         return graph.select(F.col("a").alias("id"), F.col("b").alias("comp"))
     out = moves[0].select(F.col("a").alias("id"), F.col("to").alias("comp"))

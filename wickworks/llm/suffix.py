@@ -13,7 +13,7 @@ common prefixes tell which strings of 200 bytes are repeated.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -224,12 +224,13 @@ def _found(data: np.ndarray, starts: np.ndarray, rolling: _Rolling) -> tuple[np.
     return at, np.concatenate([f[1] for f in found])[first]
 
 
-def _digest(parts: list[bytes]) -> np.ndarray:
+def _digest(strings: Iterable[bytes]) -> bytes:
     """12 bytes for each."""
-    return np.frombuffer(b"".join([hashlib.blake2b(p, digest_size=12).digest() for p in parts]), np.uint8).reshape(-1, 12)
+    return b"".join([hashlib.blake2b(s, digest_size=12).digest() for s in strings])
 
 
-def _words_of(digests: np.ndarray) -> list[np.ndarray]:
+def _words_of(digests: bytes) -> list[np.ndarray]:
+    digests = np.frombuffer(digests, np.uint8).reshape(-1, 12)
     return [np.ascontiguousarray(digests[:, :8]).view(np.uint64).ravel(), np.ascontiguousarray(digests[:, 8:]).view(np.uint32).ravel()]
 
 
@@ -280,7 +281,7 @@ def _anchor_rows(texts: DataFrame, parts: int, local_hot: int) -> DataFrame:
                 begin, end = np.maximum(starts[row], at - BACK), np.minimum(starts[row + 1], at + LENGTH)
                 body = data.tobytes()
                 # how much precedes the anchor is part of what must be equal
-                around = _digest([bytes((c - a,)) + body[a:b] for a, c, b in zip(begin.tolist(), at.tolist(), end.tolist())])
+                around = _digest(bytes((c - a,)) + body[a:b] for a, c, b in zip(begin.tolist(), at.tolist(), end.tolist()))
                 held.append(Positions(row + n_docs, at - starts[row], [gram, *_words_of(around)]))
                 ords.append(piece.column(0).to_numpy())
                 ths.append(piece.column(1).to_numpy())
@@ -348,7 +349,7 @@ def _look(batch: pa.RecordBatch, found: list[list[dict]], parts: int) -> pa.Reco
     names = batch.schema.names
     stretch = Stretch(*(batch.column(names.index(c)).to_numpy() for c in ("ord", "th")), parts)
     rows, places, grams, before, bodies = [], [], [], [], []
-    hot_rows, hot_at, strings = [], [], []
+    hot_rows, hot_at, digests = [], [], []
     for i, (text, lists) in enumerate(zip(batch.column(names.index("text")).to_pylist(), found)):
         body = text.encode()
         hot = np.unique(numbers([x["hot"] for x in lists])).astype(np.int64)
@@ -359,7 +360,7 @@ def _look(batch: pa.RecordBatch, found: list[list[dict]], parts: int) -> pa.Reco
             begin = np.flatnonzero(np.cumsum(near)[: max(0, len(body) - LENGTH + 1)] > 0)
             hot_rows.append(np.full(len(begin), i))
             hot_at.append(begin)
-            strings += [body[a : a + LENGTH] for a in begin.tolist()]
+            digests.append(_digest(body[a : a + LENGTH] for a in begin.tolist()))
         at, first = np.unique(numbers([x["open"] for x in lists]), return_index=True)
         gram = numbers([x["open_key"] for x in lists], np.uint64)[first]
         for p, g in zip(at.tolist(), gram.tolist()):
@@ -372,8 +373,8 @@ def _look(batch: pa.RecordBatch, found: list[list[dict]], parts: int) -> pa.Reco
         p = Positions(np.array(rows), np.array(places), [np.array(grams, np.uint64)])
         sizes = np.array([before, [len(b) for b in bodies]], np.uint32).T
         stretch.send(CONTEXTS, p, p.keys[0], lambda index: sizes[index].tobytes() + b"".join([bodies[j] for j in index.tolist()]))
-    if strings:
-        q = Positions(np.concatenate(hot_rows), np.concatenate(hot_at), _words_of(_digest(strings)))
+    if digests:
+        q = Positions(np.concatenate(hot_rows), np.concatenate(hot_at), _words_of(b"".join(digests)))
         order, cls = _group(q.keys)
         again = np.bincount(cls) > 1
         first = np.flatnonzero(np.concatenate(([True], cls[1:] != cls[:-1])))
