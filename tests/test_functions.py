@@ -48,3 +48,39 @@ def test_ntz_input_is_utc_wall_clock(spark):
 def test_to_double_is_ansi_safe(spark):
     df = spark.createDataFrame([("1.5",), ("abc",), (None,)], "s string")
     assert [r.d for r in df.select(W.to_double("s").alias("d")).collect()] == [1.5, None, None]
+
+
+def test_checkpoint_folder_is_required_off_a_local_master(spark, monkeypatch):
+    import types
+
+    import pytest
+
+    from wickworks import session
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    far = types.SimpleNamespace(sparkContext=Context(), conf=types.SimpleNamespace(get=lambda *_: None))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(far)
+    assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
+
+
+def test_null_series_key_and_wrong_targets_raise(spark):
+    import pytest
+
+    from wickworks.operators.candles import resample
+    from wickworks.operators.indicators import row_index
+    from wickworks.schema import OHLCV_SCHEMA
+    from wickworks.sources.klines import fetch_windows
+
+    rows = spark.sql("SELECT timestamp'2024-01-01' AS event_time, CAST(NULL AS STRING) AS symbol, '1h' AS timeframe, 's' AS source, 1D AS close")
+    with pytest.raises(Exception, match="null series key: symbol"):
+        row_index(rows).collect()
+    with pytest.raises(ValueError, match="can't be made"):
+        resample(spark.createDataFrame([], OHLCV_SCHEMA), "4h", "3d")
+    with pytest.raises(Exception, match="Invalid interval: 2m"):
+        fetch_windows(spark.createDataFrame([("a", "2m", 0, 10)], "symbol string, interval string, start_ms long, end_ms long")).collect()

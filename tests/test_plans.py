@@ -35,3 +35,19 @@ def test_gold_rows_not_reshuffled(spark):
     assert "wickworks_scan" in plan
     assert _row_shuffles(plan) == []
     assert "SinglePartition" not in plan
+
+
+def test_pass_table_is_read_twice_whatever_the_depth(spark):
+    """Block states are written once: the rows are scanned for them and for the result."""
+    from wickworks.operators.scan import FoldPlan, add_blocks, exclusive_carries, materialize
+
+    rows = spark.range(4000).selectExpr(
+        "timestamp_millis(1704067200000 + id * 60000) AS event_time", "'1m' AS timeframe", "'s' AS symbol", "CAST(id AS DOUBLE) AS x"
+    )
+    blocked, _ = materialize(add_blocks(rows, ["symbol", "timeframe"], ["event_time"], block_rows=16), ["symbol", "timeframe"])
+    elems = blocked.groupBy("symbol", "timeframe", "_bucket", "_sub").sum("x").withColumnRenamed("sum(x)", "s").selectExpr("symbol", "timeframe", "_bucket", "_sub", "struct(s) AS st")
+    for levels in (1, 2, 3):
+        carries = exclusive_carries(elems, ["symbol", "timeframe"], "st", lambda a, b: f"named_struct('s', {a}.s + {b}.s)", FoldPlan(levels, 64))
+        plan = carries._jdf.queryExecution().executedPlan().toString()
+        assert "wickworks_scan_" not in plan and "states-" in plan
+        assert carries.count() == elems.count()

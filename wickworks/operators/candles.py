@@ -65,10 +65,32 @@ def ticks_to_candles(
     return out.select(*OHLCV_COLUMNS)
 
 
-def resample(candles: DataFrame, timeframe: str, key: Sequence[str] = ("source", "symbol")) -> DataFrame:
-    """Candles -> coarser candles: open first, high max, low min, close last, volume sum."""
+def _check_multiple(source: str, target: str) -> None:
+    """Candles of ``source`` must tile slots of ``target`` exactly."""
+    calendar = {"1w": "1d", "1M": "1d"}  # a week or month is made of days
+    for tf in (source, target):
+        if tf not in TIMEFRAME_MS:
+            raise ValueError(f"Invalid interval: {tf}")
+    unit = TIMEFRAME_MS[calendar.get(target, target)]
+    if source != target and (source in calendar or unit % TIMEFRAME_MS[source]):
+        raise ValueError(f"{target} candles can't be made of {source} candles")
+
+
+def resample(candles: DataFrame, timeframe: str | Sequence[str], source_timeframe: str = "1h",
+             key: Sequence[str] = ("source", "symbol")) -> DataFrame:
+    """Candles -> coarser candles: open first, high max, low min, close last, volume sum.
+
+    Only the candles of ``source_timeframe`` are used, so that trades held in
+    several timeframes count once; ``timeframe`` (one, or several in one pass) must
+    be multiples of it."""
+    targets = [timeframe] if isinstance(timeframe, str) else list(timeframe)
+    for tf in targets:
+        _check_multiple(source_timeframe, tf)
+    slots = F.array(*[F.struct(F.lit(tf).alias("timeframe"), slot_start("event_time", tf).alias("start")) for tf in targets])
     out = (
-        candles.withColumn("_slot", slot_start("event_time", timeframe))
+        candles.where(F.col("timeframe") == source_timeframe)
+        .drop("timeframe")
+        .withColumn("_slot", F.explode(slots))
         .groupBy(*key, "_slot")
         .agg(
             F.min_by("open", "event_time").alias("open"),
@@ -78,8 +100,7 @@ def resample(candles: DataFrame, timeframe: str, key: Sequence[str] = ("source",
             F.sum("volume").alias("volume"),
             F.max("ingestion_time").alias("ingestion_time"),
         )
-        .withColumnRenamed("_slot", "event_time")
-        .withColumn("timeframe", F.lit(timeframe))
+        .withColumns({"event_time": F.col("_slot.start"), "timeframe": F.col("_slot.timeframe")})
     )
     return out.select(*OHLCV_COLUMNS)
 

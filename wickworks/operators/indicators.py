@@ -88,7 +88,8 @@ class _EmaChannels:
             xs[f"_x_{e.name}"] = _nan_coded(e.source)
             x = F.col(f"_x_{e.name}")
             if e.beta == 0.0:
-                lv = F.lit(e.alpha) * x
+                # the recurrence forgets x but, as for any other alpha, not that a null was there
+                lv = F.when(F.max(F.isnan(x)).over(run), F.lit(NAN)).otherwise(F.lit(e.alpha) * x)
             else:
                 b = F.lit(e.beta)
                 lv = F.pow(b, kb) * F.sum(F.lit(e.alpha) * x * F.pow(b, -kb)).over(run)

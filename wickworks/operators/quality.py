@@ -63,21 +63,30 @@ def expected_grid(df: DataFrame, keys: Sequence[str] = SERIES_KEY) -> DataFrame:
             )
         ),
     )
-    return slots.select(*keys, slot_time(F.col("_slot"), tf).alias("event_time"))
+    return slots.select(*keys, slot_time(F.col("_slot"), tf).alias("event_time"), "_slot")
 
 
 def missing_candles(df: DataFrame, keys: Sequence[str] = SERIES_KEY) -> DataFrame:
-    """Grid slots with no candle (P5): anti join on (series key, event_time)."""
-    present = df.select(*keys, "event_time")
-    return join_on_renamed(expected_grid(df, keys), present, list(keys) + ["event_time"], "left_anti")
+    """Grid slots with no candle (P5): anti join on (series key, slot).
+
+    A candle anywhere in a slot, off the grid's times or without a close, fills
+    the slot.  A series whose timeframe is no known code has no grid: it is
+    reported by one row with null event_time."""
+    known = timeframe_ms("timeframe").isNotNull()
+    present = df.where(known).select(*keys, slot_index(F.col("event_time"), F.col("timeframe")).alias("_slot"))
+    missing = join_on_renamed(expected_grid(df, keys), present, list(keys) + ["_slot"], "left_anti").drop("_slot")
+    unknown = df.where(~known).select(*keys).distinct().withColumn("event_time", F.lit(None).cast("timestamp"))
+    return missing.unionByName(unknown)
 
 
 def gap_fill(df: DataFrame, keys: Sequence[str] = SERIES_KEY) -> DataFrame:
     """Complete series (P6): a missing slot gets open=high=low=close = the previous
-    candle's close, volume 0 and ``is_filled`` true."""
-    grid = expected_grid(df, keys)
-    full = join_on_renamed(grid, df, list(keys) + ["event_time"], "left")
-    full = full.withColumn("is_filled", F.col("close").isNull())
+    candle's close, volume 0 and ``is_filled`` true.
+
+    Every candle of ``df`` comes back as it is: off-grid ones, those without a
+    close, and those of series whose timeframe has no grid."""
+    missing = missing_candles(df, keys).where("event_time IS NOT NULL").withColumn("is_filled", F.lit(True))
+    full = df.withColumn("is_filled", F.lit(False)).unionByName(missing, allowMissingColumns=True)
     full = series_ffill(full, ["close"], keys)
     fill = F.col("last_close")
     out = full.select(

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wickworks.functions.time import timeframe_ms
+from wickworks.session import scratch_path
 
 BLOCK_ROWS = 512
 FANOUT = 64
@@ -85,10 +86,16 @@ def add_blocks(
     timeframe_col: str | None = "timeframe",
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Adds ``_bucket``, ``_sub`` and ``_kb`` (row index inside the block, from 0)."""
+    """Adds ``_bucket``, ``_sub`` and ``_kb`` (row index inside the block, from 0).
+
+    A null series key raises: carries are joined on the key, and a scan that
+    restarted in every block would be silently wrong."""
     span = bucket_span_us(timeframe_col, block_rows)
     micros = F.unix_micros(F.col(time_col).cast("timestamp"))
-    df = df.withColumn("_bucket", ((micros - F.pmod(micros, span)) / span).cast("bigint"))
+    bucket = ((micros - F.pmod(micros, span)) / span).cast("bigint")
+    no_key = F.coalesce(*[F.when(F.col(k).isNull(), F.lit(k)) for k in keys])
+    error = F.raise_error(F.concat(F.lit("null series key: "), no_key)).cast("bigint")
+    df = df.withColumn("_bucket", F.when(no_key.isNotNull(), error).otherwise(bucket))
     w = Window.partitionBy(*keys, "_bucket").orderBy(*order_cols)
     df = df.withColumn("_k", F.row_number().over(w) - 1)
     return df.withColumns({
@@ -114,8 +121,6 @@ def materialize(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
 
     from pyspark.sql import Observation
 
-    from wickworks.session import scratch_path
-
     spark = df.sparkSession
     try:
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -222,6 +227,10 @@ def exclusive_carries(
     zipped = F.expr("transform(_items, (x, i) -> named_struct('it', x, 'pre', _f.pre[i]))")
 
     cur = elems.select(*keys, "_bucket", "_sub", F.col(state_col).cast(st_type).alias("_st"))
+    # one row per block, written once: every fold level reads these, not the rows again
+    path = scratch_path(cur.sparkSession, "states")
+    cur.write.parquet(path)
+    cur = cur.sparkSession.read.schema(cur.schema).parquet(path)
     item_cols = ["_bucket", "_sub"]
     base = "_bucket"
     folded = []

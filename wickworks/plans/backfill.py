@@ -1,49 +1,91 @@
 """Backfill job: landed exchange pages -> contract rows -> validation ->
-keep-last dedup -> partitioned store, with run statistics.
+keep-last dedup -> merge with the stored months -> partitioned store, with run
+statistics.
 
-One lazy plan from the page files to the store.  The run statistics (total and
-valid rows) are a separate aggregate action over the same rows: accumulator-
-based metrics in a shuffle-map stage can count a row twice when a lost executor
-forces a stage to re-run, an aggregate cannot.
+The pages are parsed once, into a staged table of flagged rows; the statistics
+and the merge both read that table.  The months that the run touches are merged
+with what the store holds of them and staged before they are replaced, so a
+range inside a month leaves the rest of it alone and a failed write loses
+nothing.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wickworks.operators import contract
 from wickworks.operators.dedup import dedup_last
+from wickworks.operators.scan import join_on_renamed
+from wickworks.schema import OHLCV_COLUMNS, SERIES_KEY
+from wickworks.session import scratch_path
 from wickworks.sinks.lake import write_lake
 from wickworks.sources import klines
+from wickworks.sources.lake import lake_files, read_lake
+
+MONTH = (*SERIES_KEY, "year", "month")
 
 
 def contract_rows(pages: DataFrame, symbol: Column | str, timeframe: str, source: str = "binance",
                   ingestion_time: Column | None = None) -> DataFrame:
-    """Pages (with a ``page`` column) -> contract rows with a landing ``seq`` for keep-last ties."""
+    """Pages (with a ``page`` column) -> contract rows with a landing ``seq`` for keep-last ties:
+    the page landed last wins, then the kline that stands last in it."""
     contract.check_interval(timeframe)
     rows = klines.explode_pages(pages)
-    rows = rows.withColumn("seq", F.col("kpos"))
-    return klines.klines_to_ohlcv(rows, symbol, timeframe, source, ingestion_time)
+    place = F.struct("landing", "kpos") if "landing" in rows.columns else F.col("kpos")
+    return klines.klines_to_ohlcv(rows.withColumn("seq", place), symbol, timeframe, source, ingestion_time)
+
+
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def run(spark: SparkSession, pages_path: str, lake_root: str, symbol: str, timeframe: str,
+def _months(df: DataFrame) -> DataFrame:
+    return df.select(*SERIES_KEY, F.year("event_time").alias("year"), F.month("event_time").alias("month")).distinct()
+
+
+def run(spark: SparkSession, pages_path: str, lake_root: str, symbol: str | None, timeframe: str,
         start: str, end: str, source: str = "binance", page_per_file: bool = True,
         max_rows_per_file: int = 200_000) -> dict:
-    """Backfill ``[start, end]`` (end date inclusive) of one symbol/timeframe from landed pages."""
+    """Backfill ``[start, end]`` (end date inclusive) of one timeframe from landed pages.
+
+    ``symbol`` None takes the symbols from the pages' ``symbol=`` folders.  A kline
+    of the run replaces a stored one of the same key.  A page that can't be parsed
+    counts as one invalid record and in ``unparsed_pages``."""
+    began = time.monotonic()
     pages = klines.read_pages(spark, pages_path, page_per_file)
-    rows = contract.time_range(contract_rows(pages, symbol, timeframe, source, F.current_timestamp()), start, end)
-    valid = contract.valid_flag(rows)
-    clean = dedup_last(rows.where(valid), order=("ingestion_time", "seq")).drop("seq", "file", "kpos")
-    write_lake(clean, lake_root, mode="overwrite", max_rows_per_file=max_rows_per_file)
-    m = rows.agg(F.count(F.lit(1)).alias("total"), F.count_if(valid).alias("valid")).first()
-    total, good = int(m["total"] or 0), int(m["valid"] or 0)
+    name = F.col("symbol").cast("string") if symbol is None else F.lit(symbol)
+    rows = contract_rows(pages.withColumn("unparsed", F.col("page").isNull()), name, timeframe, source, F.current_timestamp())
+    lost = F.col("event_time").isNull()  # no time: in no range, and to be counted
+    rows = contract.time_range(rows, start, end).unionByName(rows.where(lost))
+    rows = _staged(rows.withColumn("is_valid", contract.valid_flag(rows)).select(*OHLCV_COLUMNS, "seq", "unparsed", "is_valid"), "backfill-rows")
+    m = rows.agg(F.count("*").alias("total"), F.count_if("is_valid").alias("valid"), F.count_if("unparsed").alias("unparsed")).first()
+    errors = [r["message"] for r in contract.validation_messages(rows.select(*OHLCV_COLUMNS)).orderBy("ord").collect()] if m["total"] else []
+
+    new = rows.where("is_valid").select(*OHLCV_COLUMNS, "seq")
+    files = []
+    if m["valid"]:
+        touched = _months(new)
+        stored = join_on_renamed(read_lake(spark, lake_root), touched, MONTH, "left_semi").select(*OHLCV_COLUMNS)
+        both = stored.withColumn("run", F.lit(0)).unionByName(new.withColumn("run", F.lit(1)), allowMissingColumns=True)
+        merged = _staged(dedup_last(both, order=("run", "ingestion_time", "seq")).select(*OHLCV_COLUMNS), "backfill-months")
+        write_lake(merged, lake_root, mode="overwrite", max_rows_per_file=max_rows_per_file)
+        replaced = join_on_renamed(read_lake(spark, lake_root).select("*", "_metadata"), _months(merged), MONTH, "left_semi")
+        files = [r[0] for r in lake_files(replaced).collect()]
     return {
         "symbol": symbol,
         "timeframe": timeframe,
         "start_date": start,
         "end_date": end,
-        "total_records": total,
-        "valid_records": good,
-        "invalid_records": total - good,
+        "total_records": m["total"],
+        "valid_records": m["valid"],
+        "invalid_records": m["total"] - m["valid"],
+        "unparsed_pages": m["unparsed"],
+        "files_written": files,
+        "validation_errors": errors,
+        "duration_seconds": time.monotonic() - began,
     }

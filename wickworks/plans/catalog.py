@@ -132,10 +132,13 @@ def q_resample_1d(spark, sf):
     return present(resample(inputs.candles(spark, sf), "1d"))
 
 
-def _pages(spark, sf) -> DataFrame:
+def _pages(spark, sf, corrected: bool = False) -> DataFrame:
     """Exchange-style JSON pages of hourly klines built from the event ticks (12-position arrays with
-    quote volume, trade count and taker-buy volume): one page per symbol and day."""
+    quote volume, trade count and taker-buy volume): one page per symbol and day.  ``corrected``:
+    with prices rounded to 0.1, as a corrected feed sends them."""
     ticks = event_ticks(spark, sf)
+    if corrected:
+        ticks = ticks.withColumn("price", F.round("price", 1))
     c = ticks.withColumn("event_time", F.date_trunc("hour", "ts")).groupBy("symbol", "event_time").agg(
         F.min_by("price", F.struct("ts", "seq", "price")).alias("open"), F.max("price").alias("high"),
         F.min("price").alias("low"), F.max_by("price", F.struct("ts", "seq", "price")).alias("close"),
@@ -162,6 +165,16 @@ def _landed_pages(spark, sf) -> str:
     return root
 
 
+def _relanded_pages(spark, sf) -> str:
+    """Two landings of all symbols: every page, then the corrected pages from 2024-01-15 on and a damaged one."""
+    root = _scratch(spark, "pages")
+    first, second = _pages(spark, sf), _pages(spark, sf, corrected=True).where("day >= '2024-01-15'")
+    damaged = second.groupBy("symbol").agg(F.substring(F.max("value"), 1, 40).alias("value"))
+    for n, pages in ((1, first), (2, second), (3, damaged)):
+        pages.select("symbol", "value").write.partitionBy("symbol").text(f"{root}/landed_at={n}")
+    return root
+
+
 def _parsed_klines(spark, sf, extras=False) -> DataFrame:
     pages = klines.read_pages(spark, _landed_pages(spark, sf), page_per_file=False)
     pages = pages.withColumn("symbol", F.regexp_extract("file", r"symbol=([^/]+)/", 1))
@@ -190,6 +203,16 @@ def q_fetch_windows(spark, sf):
     return present(klines.fetch_windows(req))
 
 
+def q_fetch_windows_edge(spark, sf):
+    """Empty and reversed ranges have no windows; monthly pages step by calendar months."""
+    ev = spark.read.parquet(f"{sf}/events.parquet")
+    first = F.unix_millis(F.min(F.date_trunc("day", F.col("ts").cast("timestamp"))))
+    req = ev.groupBy(F.col("event_type").alias("symbol")).agg(first.alias("start_ms"), F.count("*").alias("n"))
+    span = F.element_at(F.array(F.lit(0), F.lit(-5), F.lit(1), F.lit(3_600_000)), (F.col("n") % 4 + 1).cast("int"))
+    req = req.withColumn("end_ms", F.col("start_ms") + span).withColumn("interval", F.explode(F.array(F.lit("1m"), F.lit("1M"))))
+    return present(klines.fetch_windows(req.drop("n"), 10))
+
+
 def q_valid_rows(spark, sf):
     return present(contract.validate(inputs.dirty(spark, sf)))
 
@@ -232,7 +255,7 @@ def q_partition_counts(spark, sf):
 
 
 def q_distinct_years(spark, sf):
-    return present(with_year_month(inputs.daily(spark, sf)).select("year").distinct())
+    return present(with_year_month(inputs.daily(spark, sf)).select("year").distinct().orderBy("year"))
 
 
 def q_row_index(spark, sf):
@@ -255,6 +278,18 @@ def q_ema_50(spark, sf):
     return present(df.select(*SERIES_KEY, "event_time", "close", "ema_50"))
 
 
+def _with_gaps(spark, sf) -> DataFrame:
+    """Candles of which every 97th hour of the epoch has no close."""
+    hour = F.floor(F.unix_millis("event_time") / 3_600_000)
+    return inputs.candles(spark, sf).withColumn("close", F.when(hour % 97 != 0, F.col("close")))
+
+
+def q_ema_nulls(spark, sf):
+    """From a series' first null on the EMA is null, for alpha = 1 too."""
+    df = ema(_with_gaps(spark, sf), [Ema("ema_50", "close", ema_alpha(50)), Ema("ema_1", "close", 1.0)])
+    return present(df.select(*SERIES_KEY, "event_time", "close", "ema_50", "ema_1"))
+
+
 def q_macd(spark, sf):
     df = with_year_month(indicators(inputs.candles(spark, sf), min_timeframe="1h"))
     return present(df.select(*SERIES_KEY, "event_time", "macd", "macd_signal", "macd_hist"))
@@ -329,6 +364,30 @@ def q_gap_fill(spark, sf):
     return present(quality.gap_fill(inputs.candles(spark, sf)).drop("ingestion_time"))
 
 
+def _dirty_grid(spark, sf) -> DataFrame:
+    """Candles with times off the grid, missing closes, and one symbol under an unknown timeframe code."""
+    hour = F.floor(F.unix_millis("event_time") / 3_600_000)
+    return inputs.candles(spark, sf).withColumns({
+        "event_time": F.when(hour % 5 == 0, F.col("event_time") + F.expr("INTERVAL 61 SECONDS")).otherwise(F.col("event_time")),
+        "close": F.when(hour % 7 != 0, F.col("close")),
+        "timeframe": F.when(F.col("symbol") == "click", "1s").otherwise(F.col("timeframe")),
+    })
+
+
+def q_missing_candles_dirty(spark, sf):
+    return present(quality.missing_candles(_dirty_grid(spark, sf)))
+
+
+def q_gap_fill_dirty(spark, sf):
+    return present(quality.gap_fill(_dirty_grid(spark, sf)).drop("ingestion_time"))
+
+
+def q_resample_mixed(spark, sf):
+    """A store that holds 1h and 4h candles of the same trades: days are made of the hours alone."""
+    hours = inputs.candles(spark, sf)
+    return present(resample(hours.unionByName(resample(hours, "4h")), "1d"))
+
+
 def q_completeness(spark, sf):
     return present(quality.completeness(inputs.candles(spark, sf)))
 
@@ -380,10 +439,22 @@ def q_lake_info(spark, sf):
 
 
 def q_lake_files(spark, sf):
+    """Data files by partition directory (files hold 500 rows at most)."""
     from wickworks.sources.lake import lake_files, read_lake
 
     root = _lake_of_candles(spark, sf)
-    return lake_files(read_lake(spark, root))
+    folder = F.regexp_extract("file_path", r"(source=.*)/[^/]*$", 1)
+    return present(lake_files(read_lake(spark, root)).groupBy(folder.alias("folder")).agg(F.count("*").alias("files")))
+
+
+def q_write_dedup(spark, sf):
+    """Overlapping runs written at once, the writer keeping the last of each key."""
+    from wickworks.sinks.lake import write_lake
+    from wickworks.sources.lake import read_lake
+
+    root = _scratch(spark, "dedup-lake")
+    write_lake(inputs.landed(spark, sf), root, mode="overwrite", keep_last=True)
+    return present(read_lake(spark, root).select(*OHLCV_COLUMNS))
 
 
 def q_csv_roundtrip(spark, sf):
@@ -461,6 +532,17 @@ def q_stream_ema(spark, sf):
     return present(out)
 
 
+def q_stream_ema_nulls(spark, sf):
+    """The stream's EMA of closes with nulls equals the batch one."""
+    from wickworks.streaming.candles import stream_ema
+
+    landed = _scratch(spark, "stream-gaps-in")
+    c = _with_gaps(spark, sf)
+    c.write.parquet(landed)
+    out = _run_stream(spark, stream_ema(spark.readStream.schema(c.schema).parquet(landed), ema_alpha(50), "ema_50"), "stream-ema-gaps")
+    return present(out)
+
+
 def q_backfill(spark, sf):
     """Landed pages of one symbol -> backfill job -> store, read back (2024-01-03 .. 2024-01-20)."""
     from wickworks.plans import backfill
@@ -472,13 +554,44 @@ def q_backfill(spark, sf):
     return present(read_lake(spark, lake).select(*[c for c in OHLCV_COLUMNS if c != "ingestion_time"]))
 
 
+BACKFILL_COLS = [c for c in OHLCV_COLUMNS if c != "ingestion_time"]
+
+
+def q_backfill_reland(spark, sf):
+    """All symbols from two landings in one run: a kline landed again replaces the one landed before."""
+    from wickworks.plans import backfill
+    from wickworks.sources.lake import read_lake
+
+    lake = _scratch(spark, "reland-lake")
+    backfill.run(spark, _relanded_pages(spark, sf), lake, None, "1h", "2024-01-01", "2024-12-31", source="exchange", page_per_file=False)
+    return present(read_lake(spark, lake).select(*BACKFILL_COLS))
+
+
+def q_backfill_merge(spark, sf):
+    """A whole range, then a corrected run over two days of it: the rest of the month stays."""
+    from wickworks.plans import backfill
+    from wickworks.sources.lake import read_lake
+
+    lake, again = _scratch(spark, "merge-lake"), _scratch(spark, "pages")
+    _pages(spark, sf, corrected=True).select("symbol", "value").write.partitionBy("symbol").text(again)
+    backfill.run(spark, _landed_pages(spark, sf), lake, None, "1h", "2024-01-01", "2024-12-31", source="exchange", page_per_file=False)
+    backfill.run(spark, again, lake, None, "1h", "2024-01-10", "2024-01-11", source="exchange", page_per_file=False)
+    return present(read_lake(spark, lake).select(*BACKFILL_COLS))
+
+
+def q_backfill_stats(spark, sf):
+    """The run's statistics; the damaged page of each symbol is counted, not lost."""
+    from wickworks.plans import backfill
+
+    stats = backfill.run(spark, _relanded_pages(spark, sf), _scratch(spark, "stats-lake"), None, "1h", "2024-01-01", "2024-12-31",
+                         source="exchange", page_per_file=False, max_rows_per_file=500)
+    row = (*(stats[c] for c in ("total_records", "valid_records", "invalid_records", "unparsed_pages")), len(stats["files_written"]), stats["validation_errors"][0])
+    return spark.createDataFrame([row], "total_records long, valid_records long, invalid_records long, unparsed_pages long, files long, first_error string")
+
+
 def q_multi_timeframe(spark, sf):
-    """One frame over several timeframes (1h, 4h, 1d), keyed by timeframe, with per-series counts."""
-    ticks = event_ticks(spark, sf)
-    allc = None
-    for tf in ("1h", "4h", "1d"):
-        c = ticks_to_candles(ticks, tf)
-        allc = c if allc is None else allc.unionByName(c)
+    """One frame over several timeframes (1h, 4h, 1d) from one scan, with per-series counts."""
+    allc = resample(inputs.candles(spark, sf), ("1h", "4h", "1d"))
     return present(allc.groupBy(*SERIES_KEY).agg(F.count(F.lit(1)).alias("candles"), F.sum("volume").alias("volume")))
 
 
@@ -511,6 +624,7 @@ QUERIES: dict[str, Query] = {
     "kline_parse": q_kline_parse,
     "kline_vwap": q_kline_vwap,
     "fetch_windows": q_fetch_windows,
+    "fetch_windows_edge": q_fetch_windows_edge,
     "valid_rows": q_valid_rows,
     "invalid_rows": q_invalid_rows,
     "strict_rows": q_strict_rows,
@@ -527,6 +641,7 @@ QUERIES: dict[str, Query] = {
     "chunk_no": q_chunk_no,
     "sma_200": q_sma_200,
     "ema_50": q_ema_50,
+    "ema_nulls": q_ema_nulls,
     "macd": q_macd,
     "rsi_14": q_rsi_14,
     "gold": q_gold,
@@ -541,11 +656,15 @@ QUERIES: dict[str, Query] = {
     "top_30": q_top_30,
     "missing_candles": q_missing_candles,
     "gap_fill": q_gap_fill,
+    "missing_candles_dirty": q_missing_candles_dirty,
+    "gap_fill_dirty": q_gap_fill_dirty,
+    "resample_mixed": q_resample_mixed,
     "completeness": q_completeness,
     "parquet_roundtrip": q_parquet_roundtrip,
     "partition_read": q_partition_read,
     "lake_info": q_lake_info,
     "lake_files": q_lake_files,
+    "write_dedup": q_write_dedup,
     "csv_roundtrip": q_csv_roundtrip,
     "json_records": q_json_records,
     "medallion_gold": q_medallion_gold,
@@ -553,6 +672,10 @@ QUERIES: dict[str, Query] = {
     "stream_dedup": q_stream_dedup,
     "stream_ema": q_stream_ema,
     "backfill": q_backfill,
+    "backfill_reland": q_backfill_reland,
+    "backfill_merge": q_backfill_merge,
+    "backfill_stats": q_backfill_stats,
+    "stream_ema_nulls": q_stream_ema_nulls,
     "multi_timeframe": q_multi_timeframe,
     "line_candles": q_line_candles,
     "line_gold": q_line_gold,
@@ -582,7 +705,62 @@ GOLD_SELECT = _sel(GOLD_COLS, DOUBLE_COLS)
 _LAGGED = """, lag(ema_50) OVER w AS p_e, lag(sma_200) OVER w AS p_s, lag(macd) OVER w AS p_m, lag(macd_signal) OVER w AS p_g
   FROM g WINDOW w AS (PARTITION BY source, symbol, timeframe ORDER BY event_time)"""
 
+_ALL = CANDLES_SQL.format(where="", price="value")
+_CORRECTED = CANDLES_SQL.format(where="", price="round(value, 1)")
+_BACKFILL_SELECT = f"event_time, symbol, timeframe, {', '.join(f'{r6(c)} AS {c}' for c in ('open', 'high', 'low', 'close', 'volume'))}, 'exchange' AS source"
+_GAPPY = f"SELECT * REPLACE (CASE WHEN CAST(floor(epoch_ms(event_time) / 3600000) AS BIGINT) % 97 <> 0 THEN close END AS close) FROM ({_ALL})"
+_STICKY = "coalesce(max(CASE WHEN close IS NULL THEN 1 END) OVER (PARTITION BY source, symbol, timeframe ORDER BY event_time), 0) = 1"
+# the EMA up to the first null, by the recursive definition over a close that stands in for it afterwards
+_EMA_NULLS = f"""SELECT g.*, q.close AS real_close, q.gone FROM g JOIN
+    (SELECT source, symbol, timeframe, event_time, close, {_STICKY} AS gone FROM ({_GAPPY})) q USING (source, symbol, timeframe, event_time)"""
+_DIRTY_GRID = f"""SELECT * REPLACE (
+    CASE WHEN hr % 5 = 0 THEN event_time + INTERVAL 61 SECOND ELSE event_time END AS event_time,
+    CASE WHEN hr % 7 <> 0 THEN close END AS close, CASE WHEN symbol = 'click' THEN '1s' ELSE timeframe END AS timeframe)
+    FROM (SELECT *, CAST(floor(epoch_ms(event_time) / 3600000) AS BIGINT) AS hr FROM ({_ALL}))"""
+_DIRTY_MISSING = """SELECT source, symbol, timeframe, make_timestamp(slot * 3600000000) AS event_time FROM (
+      SELECT source, symbol, timeframe, unnest(generate_series(min(hr), max(hr))) AS slot FROM c WHERE timeframe = '1h' GROUP BY 1, 2, 3)
+    ANTI JOIN (SELECT source, symbol, timeframe, hr AS slot FROM c) USING (source, symbol, timeframe, slot)"""
+
 ORACLE: dict[str, str] = {
+    "fetch_windows_edge": """WITH req AS (
+          SELECT event_type AS symbol, epoch_ms(min(date_trunc('day', ts))) AS start_ms, count(*) AS n FROM events GROUP BY 1),
+        r AS (SELECT symbol, start_ms, start_ms + ([0, -5, 1, 3600000])[CAST(n % 4 + 1 AS INTEGER)] AS end_ms FROM req),
+        w AS (SELECT symbol, interval, end_ms, unnest(CASE WHEN start_ms >= end_ms THEN [] WHEN interval = '1M' THEN [start_ms]
+                ELSE generate_series(start_ms, end_ms - 1, 600000) END) AS window_start FROM r, (VALUES ('1m'), ('1M')) t(interval))
+        SELECT symbol, interval, CAST(window_start AS BIGINT) AS window_start,
+          CAST(CASE WHEN interval = '1M' THEN end_ms ELSE least(window_start + 600000, end_ms) END AS BIGINT) AS window_end, CAST(10 AS BIGINT) AS "limit" FROM w""",
+    "ema_nulls": gold_sql(_ALL, extra=f"""SELECT source, symbol, timeframe, event_time, {r6('real_close')} AS close,
+        {r6('CASE WHEN NOT gone THEN ema_50 END')} AS ema_50, {r6('CASE WHEN NOT gone THEN close END')} AS ema_1 FROM ({_EMA_NULLS})"""),
+    "stream_ema_nulls": gold_sql(_ALL, extra=f"""SELECT source, symbol, timeframe, event_time, {r6('real_close')} AS close,
+        {r6('CASE WHEN NOT gone THEN ema_50 END')} AS ema_50 FROM ({_EMA_NULLS})"""),
+    "missing_candles_dirty": f"""WITH c AS ({_DIRTY_GRID}) {_DIRTY_MISSING}
+        UNION ALL SELECT DISTINCT source, symbol, timeframe, CAST(NULL AS TIMESTAMP) FROM c WHERE timeframe <> '1h'""",
+    "gap_fill_dirty": f"""WITH c AS ({_DIRTY_GRID}), m AS ({_DIRTY_MISSING}),
+        u AS (SELECT source, symbol, timeframe, event_time, open, high, low, close, volume, false AS is_filled FROM c
+              UNION ALL SELECT source, symbol, timeframe, event_time, NULL, NULL, NULL, NULL, 0, true FROM m),
+        j AS (SELECT *, last_value(close IGNORE NULLS) OVER (PARTITION BY source, symbol, timeframe ORDER BY event_time
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS lc FROM u)
+        SELECT event_time, symbol, timeframe, {', '.join(f"{r6(f'CASE WHEN is_filled THEN lc ELSE {c} END')} AS {c}" for c in ('open', 'high', 'low', 'close'))},
+          {r6('volume')} AS volume, source, is_filled FROM j""",
+    "resample_mixed": f"""SELECT date_trunc('day', event_time) AS event_time, symbol, '1d' AS timeframe,
+        {r6('arg_min(open, event_time)')} AS open, {r6('max(high)')} AS high, {r6('min(low)')} AS low,
+        {r6('arg_max(close, event_time)')} AS close, {r6('sum(volume)')} AS volume, source, max(ingestion_time) AS ingestion_time
+        FROM ({_ALL}) GROUP BY source, symbol, date_trunc('day', event_time)""",
+    "lake_files": f"""SELECT 'source=' || source || '/symbol=' || symbol || '/timeframe=' || timeframe || '/year=' || year(event_time)
+          || '/month=' || strftime(any_value(event_time), '%m') AS folder, CAST(ceil(count(*) / 500) AS BIGINT) AS files
+        FROM ({_ALL}) GROUP BY source, symbol, timeframe, year(event_time), month(event_time)""",
+    "write_dedup": f"SELECT {OHLCV_SELECT} FROM ({DEDUP_SQL})",
+    "backfill_reland": f"""SELECT {_BACKFILL_SELECT} FROM (SELECT * FROM ({_ALL}) WHERE event_time < TIMESTAMP '2024-01-15'
+        UNION ALL SELECT * FROM ({_CORRECTED}) WHERE event_time >= TIMESTAMP '2024-01-15')""",
+    "backfill_merge": f"""SELECT {_BACKFILL_SELECT} FROM (
+        SELECT * FROM ({_ALL}) WHERE event_time < TIMESTAMP '2024-01-10' OR event_time >= TIMESTAMP '2024-01-12'
+        UNION ALL SELECT * FROM ({_CORRECTED}) WHERE event_time >= TIMESTAMP '2024-01-10' AND event_time < TIMESTAMP '2024-01-12')""",
+    "backfill_stats": f"""WITH c AS ({_ALL}), s AS (SELECT count(DISTINCT symbol) AS n FROM c WHERE event_time >= TIMESTAMP '2024-01-15')
+        SELECT (SELECT count(*) FROM c) + (SELECT count(*) FROM c WHERE event_time >= TIMESTAMP '2024-01-15') + n AS total_records,
+          (SELECT count(*) FROM c) + (SELECT count(*) FROM c WHERE event_time >= TIMESTAMP '2024-01-15') AS valid_records,
+          n AS invalid_records, n AS unparsed_pages,
+          CAST((SELECT sum(ceil(k / 500)) FROM (SELECT count(*) AS k FROM c GROUP BY symbol, year(event_time), month(event_time))) AS BIGINT) AS files,
+          'Column ''event_time'' has ' || n || ' null values' AS first_error FROM s""",
     "candles_1h": f"SELECT {OHLCV_SELECT} FROM ({CANDLES_SQL.format(where='', price='value')})",
     "resample_1d": f"""SELECT date_trunc('day', event_time) AS event_time, symbol, '1d' AS timeframe,
         {r6('arg_min(open, event_time)')} AS open, {r6('max(high)')} AS high, {r6('min(low)')} AS low,

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wickworks.functions.time import to_utc_timestamp_col
+from wickworks.operators.dedup import dedup_last
 from wickworks.schema import DEFAULT_MAX_ROWS_PER_FILE, OHLCV_COLUMNS, SERIES_KEY
 
 
@@ -26,11 +28,17 @@ def write_lake(
     mode: str = "append",
     max_rows_per_file: int = DEFAULT_MAX_ROWS_PER_FILE,
     partitions: tuple[str, ...] = ("source", "symbol", "timeframe", "year", "month"),
+    keep_last: bool = False,
 ) -> None:
     """Write contract rows to ``root/source=/symbol=/timeframe=/year=/month=``.
 
     ``mode="overwrite"`` replaces only the partitions present in ``df``
-    (dynamic partition overwrite); ``append`` adds files next to the existing ones."""
+    (dynamic partition overwrite); ``append`` adds files next to the existing ones.
+    ``keep_last`` leaves one row per key (the last by ingestion_time and ``seq``,
+    if there is one).  Times are brought to UTC (C3, C4)."""
+    df = df.withColumns({c: to_utc_timestamp_col(df, c) for c in ("event_time", "ingestion_time")})
+    if keep_last:
+        df = dedup_last(df)
     out = with_partition_columns(df.select(*OHLCV_COLUMNS))
     (
         out.repartition(*partitions)

@@ -23,20 +23,32 @@ PAGE_TYPE = "array<array<string>>"
 
 
 def read_pages(spark: SparkSession, path: str, page_per_file: bool = True) -> DataFrame:
-    """Landed pages: ``page`` (array<array<string>>) and ``file``.
+    """Landed pages: ``page`` (array<array<string>>, null if it can't be parsed), ``file``,
+    ``landing`` (sorts pages in the order they landed) and the partition columns of the path.
 
     ``page_per_file=True`` reads each file as one JSON document (one request's
-    response per file); ``False`` reads JSON Lines, one page per line."""
-    raw = spark.read.text(path, wholetext=page_per_file)
+    response per file); ``False`` reads JSON Lines, one page per line.  The landing
+    order is the ``landed_at=`` folder if there is one, then the file's time, its
+    name, and the page's place in it.  Blank pages are left out."""
+    raw = spark.read.text(path, wholetext=page_per_file).where(F.trim("value") != "")
+    run = F.col("landed_at") if "landed_at" in raw.columns else F.lit(None).cast("int")
+    place = (F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    landing = F.struct(run.alias("run"), F.col("_metadata.file_modification_time").alias("modified"),
+                       F.col("_metadata.file_path").alias("file"), *place)
     return raw.select(
-        F.from_json("value", PAGE_TYPE).alias("page"), F.col("_metadata.file_path").alias("file")
+        F.from_json("value", PAGE_TYPE).alias("page"), F.col("_metadata.file_path").alias("file"), landing.alias("landing"),
+        *[c for c in raw.columns if c != "value"],
     )
 
 
 def explode_pages(pages: DataFrame, page_col: str = "page") -> DataFrame:
-    """Pages -> one row per kline ``k`` (array<string>), keeping the other columns."""
+    """Pages -> one row per kline ``k`` (array<string>), keeping the other columns.
+
+    A page that can't be parsed gives one row with null ``k``, which fails
+    validation and so is counted, not lost."""
     others = [c for c in pages.columns if c != page_col]
-    return pages.select(*others, F.posexplode(page_col).alias("kpos", "k"))
+    corrupt = F.array(F.lit(None).cast("array<string>"))
+    return pages.select(*others, F.posexplode(F.coalesce(F.col(page_col), corrupt)).alias("kpos", "k"))
 
 
 def _pos(k: Column, name: str) -> Column:
@@ -90,9 +102,13 @@ def fetch_windows(requests: DataFrame, limit: int = MAX_PAGE_LIMIT) -> DataFrame
 
     Input columns: symbol, interval, start_ms, end_ms.  The windows of one request
     are generated by ``sequence`` in the task that holds the request row (about
-    one row per 1000 candles)."""
+    one row per 1000 candles).  A request whose range is empty has no windows; an
+    unknown interval raises."""
     limit = min(limit, MAX_PAGE_LIMIT)
-    step = timeframe_ms(F.col("interval")) * F.lit(limit)
+    known = timeframe_ms(F.col("interval"))
+    unknown = F.raise_error(F.concat(F.lit("Invalid interval: "), F.coalesce("interval", F.lit("null"))))
+    step = F.coalesce(known, unknown.cast("bigint")) * F.lit(limit)
+    requests = requests.where((F.col("start_ms") < F.col("end_ms")) | known.isNull())
     months = F.make_ym_interval(F.lit(0), F.lit(limit))
     # "1M" pages step by calendar months, not by the 30-day constant
     monthly = F.transform(

@@ -13,8 +13,10 @@ Sinks are file sinks under the shared checkpoint folder, never the driver.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,13 +55,15 @@ def stream_ema(candles: DataFrame, alpha: float, name: str = "ema", source: str
                keys: Sequence[str] = SERIES_KEY) -> DataFrame:
     """EMA per series over a candle stream; state = (last EMA value, last event time).
 
-    Rows of a micro-batch are applied in event-time order; a row at or before the
-    last applied event time arrives too late for a recurrence and is dropped."""
+    Rows of a micro-batch are applied in event-time order, of equal times the last
+    to arrive.  As in the batch EMA a null stays: from the first null on, all
+    values of the series are null.  A row at or before the last applied event time
+    arrives too late for a recurrence and is dropped."""
     keys = list(keys)
     out_schema = ", ".join([f"{k} string" for k in keys] + ["event_time timestamp", f"{source} double", f"{name} double"])
 
     def step(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(pdfs)).sort_values("event_time").drop_duplicates("event_time", keep="last")
+        pdf = pd.concat(list(pdfs)).sort_values("event_time", kind="stable").drop_duplicates("event_time", keep="last")
         prev = None
         if state.exists:
             prev, last_time = state.get
@@ -71,7 +75,8 @@ def stream_ema(candles: DataFrame, alpha: float, name: str = "ema", source: str
             y = pd.concat([pd.Series([prev]), x], ignore_index=True).ewm(alpha=alpha, adjust=False).mean().iloc[1:]
         else:
             y = x.ewm(alpha=alpha, adjust=False).mean()
-        y = y.to_numpy()
+        gap = x.isna().to_numpy() | (prev is not None and math.isnan(prev))
+        y = np.where(np.logical_or.accumulate(gap), np.nan, y.to_numpy())
         state.update((float(y[-1]), pdf["event_time"].iloc[-1].to_pydatetime()))
         out = pdf[keys + ["event_time", source]].copy()
         out[name] = y
