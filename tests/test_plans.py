@@ -51,3 +51,13 @@ def test_pass_table_is_read_twice_whatever_the_depth(spark):
         plan = carries._jdf.queryExecution().executedPlan().toString()
         assert "wickworks_scan_" not in plan and "states-" in plan
         assert carries.count() == elems.count()
+
+
+def test_pass_tables_can_be_released(spark):
+    from wickworks.operators.indicators import row_index
+    from wickworks.operators.scan import PASS_TABLE, release
+
+    rows = spark.sql("SELECT timestamp'2024-01-01' AS event_time, 'a' AS symbol, '1h' AS timeframe, 's' AS source, 1D AS close")
+    assert row_index(rows).count() == 1
+    assert release(spark) > 0
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith(PASS_TABLE)] and release(spark) == 0

@@ -30,13 +30,14 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wickworks.functions.time import timeframe_ms
 from wickworks.session import scratch_path
 
+PASS_TABLE = "wickworks_scan_"
 BLOCK_ROWS = 512
 FANOUT = 64
 # Time range the static depth is planned for; data outside it stays correct,
@@ -136,12 +137,29 @@ def materialize(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
         .option("path", scratch_path(spark, "scan"))
         .bucketBy(n, *keys, "_bucket")
         .sortBy(*keys, "_bucket", "_sub", "_kb")
-        .saveAsTable(f"wickworks_scan_{tag}")
+        .saveAsTable(f"{PASS_TABLE}{tag}")
     )
     m = obs.get
     lo, hi, subs = m.get("lo"), m.get("hi"), m.get("subs")
     span = 1 if lo is None or hi is None else int(hi) - int(lo) + 1
-    return spark.table(f"wickworks_scan_{tag}"), FoldPlan.for_span(span, 1 + int(subs or 0))
+    return spark.table(f"{PASS_TABLE}{tag}"), FoldPlan.for_span(span, 1 + int(subs or 0))
+
+
+def release(spark: SparkSession) -> int:
+    """Drop the pass tables of this session's scans and delete their files; how many there were.
+
+    Call it once the results of the scans are written: frames built on them can't
+    be read afterwards."""
+    jvm, n = spark._jvm, 0
+    for t in spark.catalog.listTables():
+        if t.name.startswith(PASS_TABLE):
+            rows = spark.sql(f"DESCRIBE TABLE EXTENDED {t.name}").where("col_name = 'Location'").collect()
+            spark.sql(f"DROP TABLE {t.name}")
+            for r in rows:
+                p = jvm.org.apache.hadoop.fs.Path(r["data_type"])
+                p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+            n += 1
+    return n
 
 
 class FoldPlan:
@@ -167,10 +185,6 @@ class FoldPlan:
         return FoldPlan(levels, first)
 
 
-def levels_for_span(span: int, fanout: int = FANOUT) -> "FoldPlan":
-    return FoldPlan.for_span(span, 1, fanout)
-
-
 def block_window(keys: Sequence[str]) -> Window:
     return Window.partitionBy(*keys, "_bucket", "_sub").orderBy("_kb")
 
