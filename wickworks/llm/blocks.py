@@ -25,8 +25,8 @@ from wickworks.llm.base import NULL_LAST, inside, keyed_texts, shuffle_parts, sp
 from wickworks.llm.packed import HOMING, PACKED, Positions, Stretch, at_home, by_text, homing, joined, numbers, rows_of, unpack
 
 WINDOW = 20
-STRETCH_BYTES = 16 << 20
-PART_BYTES = 32 << 20
+STRETCH_BYTES = 6 << 20
+PART_BYTES = 12 << 20
 SENT, SETTLED = 0, 1
 
 
@@ -87,9 +87,9 @@ def _stretches(batches: Iterator[pa.RecordBatch], find, parts: int) -> Iterator[
 
     for batch in batches:
         names = batch.schema.names
-        for part in text_slices(batch, "text", 1 << 22):
+        for part in text_slices(batch, "text"):
             p = find(part)
-            p.doc = p.doc + n_docs
+            p.doc += np.int32(n_docs)
             held.append(p)
             ords.append(part.column(names.index("ord")).to_numpy())
             ths.append(part.column(names.index("th")).to_numpy())
@@ -107,7 +107,7 @@ def _probes(texts: DataFrame, block: int, parts: int) -> DataFrame:
         starts, h = word_hashes(part.column(2))
         ok = np.flatnonzero(inside(starts, block))
         row = np.searchsorted(starts, ok, side="right") - 1
-        return Positions(row, ok - starts[row], [window_hashes(h, block)[ok]])
+        return Positions(row.astype(np.int32), (ok - starts[row]).astype(np.int32), [window_hashes(h, block)[ok]])
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for stretch, p in _stretches(batches, find, parts):
@@ -153,7 +153,7 @@ def _windows(hits: DataFrame, texts: DataFrame, window: int, block: int, parts:
             np.add.at(near, start + at + 1, -1)
         ok = np.flatnonzero((np.cumsum(near)[: max(0, len(h) - window + 1)] > 0) & inside(starts, window))
         row = np.searchsorted(starts, ok, side="right") - 1
-        return Positions(row, ok - starts[row], [window_hashes(h, window)[ok], (window_hashes(h, window, 0xC2B2AE3D27D4EB4F)[ok] >> np.uint64(32)).astype(np.uint32)])
+        return Positions(row.astype(np.int32), (ok - starts[row]).astype(np.int32), [window_hashes(h, window)[ok], (window_hashes(h, window, 0xC2B2AE3D27D4EB4F)[ok] >> np.uint64(32)).astype(np.uint32)])
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for stretch, p in _stretches(batches, find, parts):
@@ -188,7 +188,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_i
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch, "text", 1 << 22):
+            for part in text_slices(batch, "text"):
                 names = part.schema.names
                 left, counts, removed, spans = [], [], [], []
                 for body, found in zip(part.column(names.index("text")).to_pylist(), part.column(names.index("found")).to_pylist()):

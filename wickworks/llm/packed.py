@@ -55,8 +55,8 @@ def _planes(x: np.ndarray) -> bytes:
 
 
 def _gaps(x: np.ndarray, first: np.ndarray) -> np.ndarray:
-    out = x.astype(np.int64)
-    out[1:] -= np.where(first[1:], 0, x[:-1])
+    out = x.astype(np.int32)
+    out[1:] -= np.where(first[1:], 0, out[:-1])
     return out
 
 
@@ -92,7 +92,7 @@ def unpack(blob: bytes, stretch: int) -> Positions:
     begin = (np.cumsum(counts) - counts)[:n_docs]
     at = sums - np.repeat(sums[begin] - gaps[begin], counts)
     keys = [read({1: np.uint8, 2: np.uint16, 4: np.uint32, 8: np.uint64}[s], n) for s in sizes]
-    return Positions(np.repeat(docs, counts), at, keys, None if ords is None else np.repeat(ords, counts), np.full(n, stretch, np.int64))
+    return Positions(np.repeat(docs.astype(np.int32), counts), at.astype(np.int32), keys, None if ords is None else np.repeat(ords, counts), np.full(n, stretch, np.int64))
 
 
 def _runs(x: np.ndarray) -> Iterator[tuple[int, int]]:

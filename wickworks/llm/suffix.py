@@ -27,8 +27,8 @@ LENGTH = 200
 GRAM = 40
 BACK = LENGTH - GRAM  # how far before its anchor a string may begin
 SHALLOW = 8
-STRETCH_BYTES = 16 << 20
-PART_BYTES = 32 << 20
+STRETCH_BYTES = 8 << 20
+PART_BYTES = 16 << 20
 PIECE = 900_000  # bytes looked at together; a place in them takes 20 bits
 LOCAL_HOT = 512  # different surroundings of 40 bytes in one stretch of input
 HOT = 20_000  # ... in one part
