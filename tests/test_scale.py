@@ -49,7 +49,7 @@ def test_hot_series_ema_exact(spark):
 
 def test_stream_ema_state_across_batches(spark, tmp_dir):
     """Candles land in three files; one file per micro-batch; EMA state carries over."""
-    from wickworks.streaming.candles import read_sink, run_to_parquet, stream_ema
+    from wickworks.streaming.candles import read_ema, read_late, run_ema
 
     src = os.path.join(tmp_dir, "in")
     c = _series(spark, 300, "S", tf="1m")
@@ -58,17 +58,17 @@ def test_stream_ema_state_across_batches(spark, tmp_dir):
             .write.mode("append").parquet(src)
     stream = spark.readStream.schema(c.schema).option("maxFilesPerTrigger", 1).parquet(src)
     out_dir = os.path.join(tmp_dir, "out")
-    run_to_parquet(stream_ema(stream, ema_alpha(50), "ema_50"), out_dir, os.path.join(tmp_dir, "ck"))
-    got = read_sink(spark, out_dir).orderBy("event_time").collect()
-    assert len(got) == 300
+    run_ema(stream, out_dir, os.path.join(tmp_dir, "ck"), ema_alpha(50), "ema_50")
+    got = read_ema(spark, out_dir).orderBy("event_time").collect()
+    assert len(got) == 300 and read_late(spark, out_dir).count() == 0
     y = None
     for i, r in enumerate(got):
         y = r.close if i == 0 else (2 / 51) * r.close + (1 - 2 / 51) * y
         assert abs(r.ema_50 - y) < 1e-9
 
 
-def test_stream_ema_drops_late_rows(spark, tmp_dir):
-    from wickworks.streaming.candles import read_sink, run_to_parquet, stream_ema
+def test_stream_ema_counts_late_rows(spark, tmp_dir):
+    from wickworks.streaming.candles import read_ema, read_late, run_ema
 
     src = os.path.join(tmp_dir, "in")
     c = _series(spark, 100, "S", tf="1m")
@@ -78,8 +78,9 @@ def test_stream_ema_drops_late_rows(spark, tmp_dir):
         .coalesce(1).write.mode("append").parquet(src)
     stream = spark.readStream.schema(c.schema).option("maxFilesPerTrigger", 1).parquet(src)
     out_dir = os.path.join(tmp_dir, "out")
-    run_to_parquet(stream_ema(stream, 0.1, "e"), out_dir, os.path.join(tmp_dir, "ck"))
-    got = read_sink(spark, out_dir).orderBy("event_time").collect()
+    run_ema(stream, out_dir, os.path.join(tmp_dir, "ck"), 0.1, "e")
+    got = read_ema(spark, out_dir).orderBy("event_time").collect()
+    assert read_late(spark, out_dir).collect()[0]["late"] == 10
     assert len(got) == 100 and max(r.close for r in got) < 1e5
     y = None
     for i, r in enumerate(got):

@@ -304,6 +304,13 @@ def q_gold(spark, sf):
     return present(gold_frame(spark, sf).select(*GOLD_COLS))
 
 
+def q_gold_1m(spark, sf):
+    """Minutes and days in one frame: the fold has several levels."""
+    ticks = event_ticks(spark, sf)
+    df = ticks_to_candles(ticks, "1m").unionByName(ticks_to_candles(ticks, "1d"))
+    return present(with_year_month(indicators(df)).select(*GOLD_COLS))
+
+
 def q_indicator_params(spark, sf):
     df = indicators(inputs.candles(spark, sf), sma_window=20, ema_period=20, macd_fast=5, macd_slow=35,
                     macd_signal=5, rsi_period=7, min_timeframe="1h")
@@ -521,26 +528,23 @@ def q_stream_dedup(spark, sf):
     return present(out.select("symbol", "event_time"))
 
 
-def q_stream_ema(spark, sf):
-    from wickworks.streaming.candles import stream_ema
+def _stream_ema_50(spark, candles) -> DataFrame:
+    from wickworks.streaming.candles import read_ema, run_ema
 
-    landed = _scratch(spark, "stream-candles-in")
-    c = inputs.candles(spark, sf)
-    c.write.mode("overwrite").parquet(landed)
-    stream = spark.readStream.schema(c.schema).parquet(landed)
-    out = _run_stream(spark, stream_ema(stream, ema_alpha(50), "ema_50"), "stream-ema")
-    return present(out)
+    landed, out = _scratch(spark, "stream-candles-in"), _scratch(spark, "stream-ema-out")
+    candles.write.parquet(landed)
+    stream = spark.readStream.schema(candles.schema).parquet(landed)
+    run_ema(stream, out, _scratch(spark, "stream-ema-ckpt"), ema_alpha(50), "ema_50")
+    return present(read_ema(spark, out))
+
+
+def q_stream_ema(spark, sf):
+    return _stream_ema_50(spark, inputs.candles(spark, sf))
 
 
 def q_stream_ema_nulls(spark, sf):
     """The stream's EMA of closes with nulls equals the batch one."""
-    from wickworks.streaming.candles import stream_ema
-
-    landed = _scratch(spark, "stream-gaps-in")
-    c = _with_gaps(spark, sf)
-    c.write.parquet(landed)
-    out = _run_stream(spark, stream_ema(spark.readStream.schema(c.schema).parquet(landed), ema_alpha(50), "ema_50"), "stream-ema-gaps")
-    return present(out)
+    return _stream_ema_50(spark, _with_gaps(spark, sf))
 
 
 def q_backfill(spark, sf):
@@ -645,6 +649,7 @@ QUERIES: dict[str, Query] = {
     "macd": q_macd,
     "rsi_14": q_rsi_14,
     "gold": q_gold,
+    "gold_1m": q_gold_1m,
     "indicator_params": q_indicator_params,
     "daily_gold": q_daily_gold,
     "ma_cross": q_ma_cross,
@@ -839,6 +844,8 @@ ORACLE: dict[str, str] = {
     "macd": _gold_from(CANDLES_SQL.format(where="", price="value"), f"source, symbol, timeframe, event_time, {r6('macd')} AS macd, {r6('macd_signal')} AS macd_signal, {r6('macd_hist')} AS macd_hist"),
     "rsi_14": _gold_from(CANDLES_SQL.format(where="", price="value"), f"source, symbol, timeframe, event_time, {r6('close')} AS close, {r6('rsi_14')} AS rsi_14"),
     "gold": _gold_from(DEDUP_SQL, GOLD_SELECT),
+    "gold_1m": _gold_from(" UNION ALL ".join(_ALL.replace("'1h' AS timeframe", f"'{tf}' AS timeframe").replace("date_trunc('hour'", f"date_trunc('{unit}'")
+                                             for tf, unit in (("1m", "minute"), ("1d", "day"))), GOLD_SELECT),
     "indicator_params": gold_sql(CANDLES_SQL.format(where="", price="value"), 20, 20, 5, 35, 5, 7,
                                  extra="SELECT source, symbol, timeframe, event_time, "
                                  + _sel(["sma_20", "ema_20", "rsi_7", "macd", "macd_signal", "macd_hist"], DOUBLE_COLS) + " FROM g"),

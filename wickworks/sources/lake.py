@@ -38,7 +38,7 @@ BRONZE_SCHEMA = T.StructType(
 )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     """Is there something at ``path``, in the file system that Spark reads it from?"""
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -47,7 +47,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def read_lake(spark: SparkSession, root: str) -> DataFrame:
     """The whole store with partition columns; empty typed frame when nothing is there."""
-    if not _exists(spark, root):
+    if not exists(spark, root):
         return spark.createDataFrame([], LAKE_SCHEMA)
     return (
         spark.read.schema(LAKE_SCHEMA)

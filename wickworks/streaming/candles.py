@@ -4,25 +4,23 @@
   mode (a candle is emitted once the watermark passes its end).
 * ``stream_dedup``: the contract key deduplicated within the watermark (a stream
   keeps the first arrival; the batch store keeps the last).
-* ``stream_ema``: EMA per series with the running value held in state
-  (``applyInPandasWithState``); rows of a micro-batch are applied in event
-  order.
+* ``run_ema``: EMA per series, each micro-batch the batch scan carried on from the
+  last value per series.
 
 Sinks are file sinks under the shared checkpoint folder, never the driver.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
+from wickworks.operators.indicators import Ema, ema
 from wickworks.schema import OHLCV_COLUMNS, SERIES_KEY
+from wickworks.session import scratch_path
+from wickworks.sources.lake import exists
 
 
 def stream_candles(ticks: DataFrame, timeframe: str = "1 hour", tf_code: str = "1h", delay: str = "1 hour") -> DataFrame:
@@ -51,40 +49,54 @@ def stream_dedup(rows: DataFrame, keys: Sequence[str], time_col: str = "event_ti
     return rows.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def stream_ema(candles: DataFrame, alpha: float, name: str = "ema", source: str = "close",
-               keys: Sequence[str] = SERIES_KEY) -> DataFrame:
-    """EMA per series over a candle stream; state = (last EMA value, last event time).
+def run_ema(stream: DataFrame, path: str, checkpoint: str, alpha: float, name: str = "ema", source: str = "close",
+            keys: Sequence[str] = SERIES_KEY) -> None:
+    """EMA per series over a candle stream, for what is available now; see ``read_ema`` and ``read_late``.
 
-    Rows of a micro-batch are applied in event-time order, of equal times the last
-    to arrive.  As in the batch EMA a null stays: from the first null on, all
-    values of the series are null.  A row at or before the last applied event time
-    arrives too late for a recurrence and is dropped."""
+    Each micro-batch is the batch EMA (a blocked scan, however long a series) over
+    its rows and, ahead of them, one row per series that holds the last value: the
+    recurrence goes on from there, nulls included.  Of rows with equal times the
+    last to arrive counts.  A row at or before a series' last time comes too late
+    for a recurrence; it is counted.  Results, counts and series states are written
+    under the batch's number, so a repeated batch replaces itself."""
     keys = list(keys)
-    out_schema = ", ".join([f"{k} string" for k in keys] + ["event_time timestamp", f"{source} double", f"{name} double"])
-
-    def step(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(pdfs)).sort_values("event_time", kind="stable").drop_duplicates("event_time", keep="last")
-        prev = None
-        if state.exists:
-            prev, last_time = state.get
-            pdf = pdf[pdf["event_time"] > pd.Timestamp(last_time)]
-        if pdf.empty:
-            return
-        x = pdf[source].astype("float64").reset_index(drop=True)
-        if prev is not None:
-            y = pd.concat([pd.Series([prev]), x], ignore_index=True).ewm(alpha=alpha, adjust=False).mean().iloc[1:]
-        else:
-            y = x.ewm(alpha=alpha, adjust=False).mean()
-        gap = x.isna().to_numpy() | (prev is not None and math.isnan(prev))
-        y = np.where(np.logical_or.accumulate(gap), np.nan, y.to_numpy())
-        state.update((float(y[-1]), pdf["event_time"].iloc[-1].to_pydatetime()))
-        out = pdf[keys + ["event_time", source]].copy()
-        out[name] = y
-        yield out
-
-    return candles.groupBy(*keys).applyInPandasWithState(
-        step, out_schema, "last double, last_time timestamp", "append", GroupStateTimeout.NoTimeout
-    )
+    value, states = F.col(source).cast("double").alias(source), f"{checkpoint}/series"
+
+    def step(batch: DataFrame, n: int) -> None:
+        spark = batch.sparkSession
+        ddl = ", ".join([f"{k} string" for k in keys] + ["last double", "last_time timestamp"])
+        before = f"{states}/batch={n - 1}"
+        known = spark.read.schema(ddl).parquet(before) if n and exists(spark, before) else spark.createDataFrame([], ddl)
+        arrived = batch.select(*keys, "event_time", value).withColumn("_at", F.monotonically_increasing_id())
+        rows = arrived.groupBy(*keys, "event_time").agg(F.max_by(source, "_at").alias(source), F.count("*").alias("n"))
+        rows = rows.join(known, keys, "left").withColumn("late", F.coalesce(F.col("event_time") <= F.col("last_time"), F.lit(False)))
+        staged = scratch_path(spark, "ema-batch")
+        rows.write.parquet(staged)
+        rows = spark.read.schema(rows.schema).parquet(staged)
+        rows.where("late").groupBy(*keys).agg(F.sum("n").alias("late")).write.mode("overwrite").parquet(f"{path}/late/batch={n}")
+        fresh = rows.where("NOT late").select(*keys, "event_time", source, F.lit(False).alias("_old"))
+        old = known.select(*keys, F.col("last_time").alias("event_time"), F.col("last").alias(source), F.lit(True).alias("_old"))
+        old = old.join(fresh.select(*keys).distinct(), keys, "left_semi")
+        values = ema(fresh.unionByName(old), [Ema(name, source, alpha)], keys, "timeframe" if "timeframe" in keys else None)
+        out = f"{path}/rows/batch={n}"
+        values.where("NOT _old").select(*keys, "event_time", source, name).write.mode("overwrite").parquet(out)
+        done = spark.read.schema(values.select(*keys, "event_time", source, name).schema).parquet(out)
+        last = done.groupBy(*keys).agg(F.max_by(name, "event_time").alias("last"), F.max("event_time").alias("last_time"))
+        last.unionByName(known.join(last, keys, "left_anti")).write.mode("overwrite").parquet(f"{states}/batch={n}")
+
+    q = stream.writeStream.foreachBatch(step).option("checkpointLocation", f"{checkpoint}/stream").trigger(availableNow=True).start()
+    q.awaitTermination()
+
+
+def read_ema(spark: SparkSession, path: str) -> DataFrame:
+    """The rows that ``run_ema`` wrote."""
+    return spark.read.parquet(f"{path}/rows").drop("batch")
+
+
+def read_late(spark: SparkSession, path: str) -> DataFrame:
+    """Rows per series that came too late for ``run_ema``."""
+    late = spark.read.parquet(f"{path}/late").drop("batch")
+    return late.groupBy(*[c for c in late.columns if c != "late"]).agg(F.sum("late").alias("late"))
 
 
 def run_to_parquet(stream: DataFrame, path: str, checkpoint: str) -> None:
