@@ -333,3 +333,30 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     keyed = hidden(docs).withColumns({"ord": F.coalesce(id_.cast("long"), F.lit(NULL_LAST)), "th": F.xxhash64(F.coalesce(text, F.lit("")))})
     first = keyed.withColumn("i", F.row_number().over(Window.partitionBy("ord", "th").orderBy(text))).where("i = 1")
     return shown(first.join(low, ["ord", "th"], "left_semi"), docs.columns)
+
+
+def op8_sql(size: int = SHINGLE) -> str:
+    """DuckDB SQL of op8's rows, by comparing all texts that share a shingle."""
+    return f"""
+    WITH RECURSIVE w AS (
+      SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+    ), s AS (
+      SELECT DISTINCT doc_id, array_to_string(words[i:i + {size - 1}], ' ') AS g FROM w, unnest(range(1, greatest(len(words) - {size - 2}, 2))) AS u(i) WHERE len(words) > 0
+    ), n AS (
+      SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+    ), p AS (
+      SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (g) WHERE a.doc_id < b.doc_id GROUP BY 1, 2
+    ), l AS (
+      SELECT a, b FROM p JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b WHERE 5 * c >= 4 * (x.n + y.n - c)
+    ), e AS (
+      SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+    ), reached AS (
+      SELECT a AS doc_id, a AS x FROM e UNION SELECT doc_id, b FROM reached JOIN e ON a = x
+    ), classes AS (
+      SELECT doc_id, min(x) AS class_id FROM reached GROUP BY doc_id
+    ), links AS (
+      SELECT a AS doc_id, count(*) AS n FROM e GROUP BY a
+    )
+    SELECT doc_id, coalesce(class_id, doc_id) AS class_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links
+    FROM documents LEFT JOIN classes USING (doc_id) LEFT JOIN links USING (doc_id)
+    """

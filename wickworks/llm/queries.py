@@ -81,7 +81,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op2_warc_roundtrip": warc.op2_sql(),
+    "op4_suffix_dedup": suffix.op4_sql(),
     "op5_quality_rules": rules.op5_sql(),
+    "op8_jaccard_join": chosenpath.op8_sql(),
     "op9_substring_dedup": blocks.op9_sql(),
     "op10_line_dedup": lines.op10_sql(),
 }

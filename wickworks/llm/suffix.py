@@ -488,3 +488,29 @@ def dedup_suffixes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     left = texts.join(gone, ["ord", "th"], "left").select("ord", "text", "found").mapInArrow(cut, "ord long, kept binary, n_bytes long, n_removed long, spans array<array<long>>")
     return left.select(F.when(F.col("ord") != F.lit(NULL_LAST), F.col("ord")).alias("doc_id"), "kept", "n_bytes", "n_removed", "spans")
+
+
+def op4_sql() -> str:
+    """DuckDB SQL of op4's rows, over the texts in hexadecimal."""
+    return f"""
+    WITH t AS (
+      SELECT doc_id, row_number() OVER () AS r, hex(encode(coalesce(text, ''))) AS h FROM documents
+    ), w AS (
+      SELECT r, i, md5(substr(h, 2 * i + 1, {2 * LENGTH})) AS k FROM t, unnest(range(length(h) // 2 - {LENGTH - 1})) AS u(i) WHERE length(h) >= {2 * LENGTH}
+    ), twice AS (
+      SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY k) AS n FROM w) WHERE n > 1
+    ), numbered AS (
+      SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS run FROM (
+        SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + {LENGTH} THEN 0 ELSE 1 END AS new FROM twice)
+    ), spans AS (
+      SELECT r, min(i) AS a, max(i) + {LENGTH} AS b FROM numbered GROUP BY r, run
+    ), between_spans AS (
+      SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS z FROM spans
+    ), cut AS (
+      SELECT r, string_agg(substr(h, 2 * z + 1, 2 * (a - z)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS kept, count(*) AS n, sum(b - a) AS removed
+      FROM between_spans JOIN t USING (r) GROUP BY r
+    )
+    SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n, 0) AS BIGINT) AS n_spans,
+      sha256(unhex(coalesce(kept, h))) AS kept_sha256
+    FROM t LEFT JOIN cut USING (r)
+    """
