@@ -225,6 +225,21 @@ def q_strict_rows(spark, sf):
     return present(contract.validate(inputs.dirty(spark, sf), strict=True))
 
 
+def q_missing_column(spark, sf):
+    """A frame without a required column is not filtered, and says what is missing (D-2, K4)."""
+    rows = inputs.dirty(spark, sf).drop("volume")
+    passed = contract.validate(rows).count()
+    return present(contract.validation_messages(rows).select("message", F.lit(passed).cast("long").alias("rows")))
+
+
+def q_strict_dates(spark, sf):
+    """Order dates as text, parsed strictly (L5), and the end of each day."""
+    from wickworks.functions.time import parse_date_strict
+
+    text = spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("text"))
+    return present(text.select("o_orderkey", parse_date_strict("text").alias("day")))
+
+
 def q_violation_counts(spark, sf):
     return present(contract.violation_counts(inputs.dirty(spark, sf)))
 
@@ -464,6 +479,18 @@ def q_write_dedup(spark, sf):
     return present(read_lake(spark, root).select(*OHLCV_COLUMNS))
 
 
+def q_utc_write(spark, sf):
+    """Times that come as text with an offset are stored as UTC."""
+    from wickworks.sinks.lake import write_lake
+    from wickworks.sources.lake import read_lake
+
+    root = _scratch(spark, "utc-lake")
+    c = inputs.candles(spark, sf)
+    local = F.concat(F.date_format(F.col("event_time") + F.expr("INTERVAL 2 HOURS"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00"))
+    write_lake(c.withColumn("event_time", local), root, mode="overwrite")
+    return present(read_lake(spark, root).select(*OHLCV_COLUMNS))
+
+
 def q_csv_roundtrip(spark, sf):
     from wickworks.plans.medallion import bronze_to_silver
     from wickworks.sinks.lake import write_csv_partitioned
@@ -632,6 +659,8 @@ QUERIES: dict[str, Query] = {
     "valid_rows": q_valid_rows,
     "invalid_rows": q_invalid_rows,
     "strict_rows": q_strict_rows,
+    "missing_column": q_missing_column,
+    "strict_dates": q_strict_dates,
     "violation_counts": q_violation_counts,
     "validation_messages": q_validation_messages,
     "run_stats": q_run_stats,
@@ -670,6 +699,7 @@ QUERIES: dict[str, Query] = {
     "lake_info": q_lake_info,
     "lake_files": q_lake_files,
     "write_dedup": q_write_dedup,
+    "utc_write": q_utc_write,
     "csv_roundtrip": q_csv_roundtrip,
     "json_records": q_json_records,
     "medallion_gold": q_medallion_gold,
@@ -754,6 +784,9 @@ ORACLE: dict[str, str] = {
     "lake_files": f"""SELECT 'source=' || source || '/symbol=' || symbol || '/timeframe=' || timeframe || '/year=' || year(event_time)
           || '/month=' || strftime(any_value(event_time), '%m') AS folder, CAST(ceil(count(*) / 500) AS BIGINT) AS files
         FROM ({_ALL}) GROUP BY source, symbol, timeframe, year(event_time), month(event_time)""",
+    "missing_column": f"SELECT 'Missing required columns: {{''volume''}}' AS message, count(*) AS rows FROM ({DIRTY_SQL})",
+    "strict_dates": "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders",
+    "utc_write": f"SELECT {OHLCV_SELECT} FROM ({_ALL})",
     "write_dedup": f"SELECT {OHLCV_SELECT} FROM ({DEDUP_SQL})",
     "backfill_reland": f"""SELECT {_BACKFILL_SELECT} FROM (SELECT * FROM ({_ALL}) WHERE event_time < TIMESTAMP '2024-01-15'
         UNION ALL SELECT * FROM ({_CORRECTED}) WHERE event_time >= TIMESTAMP '2024-01-15')""",
