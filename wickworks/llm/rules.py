@@ -14,6 +14,8 @@ Everything here is DataFrame functions.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -97,8 +99,6 @@ def _fires(rule: str, cutoff: Column) -> Column:
 
 def binomial_cdf(k: Column, n: Column, p: float) -> Column:
     """P(at most k of n) for a binomial of chance p; 1 where k is over the mean."""
-    import math
-
     odds = math.log(p / (1 - p))
     start = F.struct((n * math.log(1 - p)).cast("double").alias("term"), F.lit(0.0).alias("sum"))
 
