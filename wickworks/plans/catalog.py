@@ -233,11 +233,11 @@ def q_missing_column(spark, sf):
 
 
 def q_strict_dates(spark, sf):
-    """Order dates as text, parsed strictly (L5), and the end of each day."""
+    """Order dates as text, parsed strictly (L5), and the day that ends each."""
     from wickworks.functions.time import parse_date_strict
 
     text = spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("text"))
-    return present(text.select("o_orderkey", parse_date_strict("text").alias("day")))
+    return present(text.select("o_orderkey", F.date_add(parse_date_strict("text"), 1).cast("string").alias("next_day")))
 
 
 def q_violation_counts(spark, sf):
@@ -785,7 +785,7 @@ ORACLE: dict[str, str] = {
           || '/month=' || strftime(any_value(event_time), '%m') AS folder, CAST(ceil(count(*) / 500) AS BIGINT) AS files
         FROM ({_ALL}) GROUP BY source, symbol, timeframe, year(event_time), month(event_time)""",
     "missing_column": f"SELECT 'Missing required columns: {{''volume''}}' AS message, count(*) AS rows FROM ({DIRTY_SQL})",
-    "strict_dates": "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders",
+    "strict_dates": "SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) + 1 AS VARCHAR) AS next_day FROM orders",
     "utc_write": f"SELECT {OHLCV_SELECT} FROM ({_ALL})",
     "write_dedup": f"SELECT {OHLCV_SELECT} FROM ({DEDUP_SQL})",
     "backfill_reland": f"""SELECT {_BACKFILL_SELECT} FROM (SELECT * FROM ({_ALL}) WHERE event_time < TIMESTAMP '2024-01-15'
