@@ -11,6 +11,7 @@ Tokens are runs of letters and digits, and runs of other signs.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -116,8 +117,9 @@ def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, doc
 
     Returns doc_id, log_weight, noisy (log weight with Gumbel noise), selected:
     a row per input row.  ``share`` of all rows is selected, by default the
-    share of good rows among the labelled, none if nothing is labelled; ties
-    with the last selected are selected too.  A null or empty text has log
+    share of good rows among the labelled and two standard errors more, so that
+    a chance shortfall of good labels doesn't cut off good texts; none if
+    nothing is labelled.  Ties with the last selected are selected too.  A null or empty text has log
     weight 0.  Label rows with a null in them are ignored; a document labelled
     more than once is good if all its labels are.
     """
@@ -125,7 +127,9 @@ def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, doc
     texts = keyed_texts(docs, doc_id, text)
     ratios = log_ratios(texts, of.where("quality = 1").select("ord"), **options)
     if share is None:
-        share = of.agg(F.avg(F.when(F.col("quality") == 1, 1.0).otherwise(0.0))).first()[0] or 0.0
+        good, n = of.agg(F.count_if(F.col("quality") == 1), F.count("*")).first()
+        p = good / n if n else 0.0
+        share = min(1.0, p + 2 * math.sqrt(p * (1 - p) / n)) if n else 0.0
     table = written(scored(texts, ratios, seed), "resample-scores")
     least = kth_largest(table, "noisy", round(share * table.count()))
     chosen = F.col("noisy") >= least if least is not None else F.lit(False)
