@@ -27,6 +27,8 @@ JOB_CONF = {
     # Whole-stage methods above the JVM's 8000-byte JIT limit run as interpreted
     # bytecode; at this limit Spark splits them into JIT-able expression code instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Rows that a Python worker gets at once: whole texts are long, and memory goes with them.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 
