@@ -53,20 +53,21 @@ def test_reruns_agree_whatever_the_partitions(spark):
     assert key(docs) == key(docs.repartition(7).orderBy(F.desc("doc_id")))
 
 
-def test_expectation_is_kept(spark):
-    """Over many seeds a document is taken as often as its source's rate says."""
-    docs = frame(spark, [(i, "w " * (1 + i % 7), "en", "ab"[i % 2]) for i in range(40)])
-    times, seeds = {}, 8
+def test_seeds_choose_others_at_the_same_rate(spark):
+    """Whole copies are certain, the rest is drawn anew by each seed, and each source's words stay."""
+    docs = frame(spark, [(i, "w " * (1 + i % 7), "en", "ab"[i % 2]) for i in range(60)])
+    drawn, seeds = {}, 6
     for seed in range(seeds):
+        words = {}
         for r in mixing.mix(docs, weights=(1, 3), seed=seed).collect():
-            times[r["doc_id"]] = times.get(r["doc_id"], 0) + r["copies"]
             rate = r["target"] / r["source_size"]
             assert r["copies"] in (int(rate), int(rate) + 1)
-    for source in (0, 1):
-        ids = [i for i in times if i % 2 == source]
-        assert 0.2 < sum(times[i] for i in ids) / seeds / len(ids) < 2
-        if source == 0:
-            assert max(times[i] for i in ids) <= seeds and min(times[i] for i in ids) < seeds
+            words[r["source_size"], r["target"]] = words.get((r["source_size"], r["target"]), 0) + r["taken"]
+            drawn.setdefault(r["doc_id"], []).append(r["copies"] > int(rate))
+        assert all(abs(taken - target) <= 7 for (_, target), taken in words.items())
+    share = sum(map(sum, drawn.values())) / seeds / len(drawn)
+    assert 0.35 < share < 0.65  # rates are 1/2 and 3/2 as the sources are alike
+    assert sum(0 < sum(d) < seeds for d in drawn.values()) > len(drawn) / 2
 
 
 def test_mix_of_edge_rows(spark):
