@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from wickworks.llm import chosenpath, decontam, langid, lines, mixing
 from wickworks.llm.base import table, written
+from wickworks.session import apply_job_conf
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,12 +41,22 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs)
 
 
+def _configured(stage):
+    """``stage`` under the session settings that the operators assume."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        apply_job_conf(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("language_id", identify_language),
-    ("line_dedup", dedup_lines),
-    ("near_duplicates", join_near_duplicates),
-    ("decontamination", decontaminate),
-    ("source_mixing", mix_sources),
+    ("language_id", _configured(identify_language)),
+    ("line_dedup", _configured(dedup_lines)),
+    ("near_duplicates", _configured(join_near_duplicates)),
+    ("decontamination", _configured(decontaminate)),
+    ("source_mixing", _configured(mix_sources)),
 ]
 
 # Languages, benchmark tiles and the random mix have no SQL: tests/llm checks run() against brute force.

@@ -164,7 +164,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", kee
         def tile(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
             for batch in batches:
-                for part in text_slices(batch, "body", 1 << 23):
+                for part in text_slices(batch, "body", 1 << 22):
                     starts, hashes = word_hashes(part.column(n_keep + 3), plain=True)
                     hits = index.hits(window_hashes(hashes, seed))
                     hits[~inside(starts, seed)] = -1
