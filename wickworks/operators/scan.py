@@ -241,10 +241,10 @@ def exclusive_carries(
     zipped = F.expr("transform(_items, (x, i) -> named_struct('it', x, 'pre', _f.pre[i]))")
 
     cur = elems.select(*keys, "_bucket", "_sub", F.col(state_col).cast(st_type).alias("_st"))
-    # one row per block, written once: every fold level reads these, not the rows again
-    path = scratch_path(cur.sparkSession, "states")
-    cur.write.parquet(path)
-    cur = cur.sparkSession.read.schema(cur.schema).parquet(path)
+    if levels > 1:  # one row per block, written once: every fold level reads these, not the rows again
+        path = scratch_path(cur.sparkSession, "states")
+        cur.write.parquet(path)
+        cur = cur.sparkSession.read.schema(cur.schema).parquet(path)
     item_cols = ["_bucket", "_sub"]
     base = "_bucket"
     folded = []
