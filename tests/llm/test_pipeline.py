@@ -123,6 +123,52 @@ def test_line_columns_and_nothing(spark):
     assert lines.dedup_lines(docs.limit(0)).count() == 0
 
 
+def brute_long_lines(docs, span, long_words):
+    """[(doc_id, n_lines, n_removed, text)]: runs of ``span`` lines, or of fewer lines and ``long_words`` words, that begin earlier go."""
+    first, runs, out = {}, [], []
+    for i, (d, text) in enumerate(docs):
+        ls = text.split("\n")
+        at = [j for j, x in enumerate(ls) if words(x)]
+        for size in range(1, span + 1):
+            for s in range(len(at) - size + 1):
+                run = [ls[j] for j in at[s : s + size]]
+                if size == span or sum(len(words(x)) for x in run) >= long_words:
+                    runs.append((i, d, s, at[s : s + size], tuple(run)))
+                    first[tuple(run)] = min(first.get(tuple(run), (d, s)), (d, s))
+    gone = [set() for _ in docs]
+    for i, d, s, at, run in runs:
+        if first[run] < (d, s):
+            gone[i].update(at)
+    for (d, text), g in zip(docs, gone):
+        ls = text.split("\n")
+        out.append((d, sum(bool(words(x)) for x in ls), len(g), "\n".join(x for j, x in enumerate(ls) if j not in g)))
+    return out
+
+
+def test_long_lines_go_however_few(spark):
+    """The pipeline's stage removes later copies of one or two lines of 50 words together; shorter ones stay."""
+    import corpus_pipeline
+
+    passage = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    texts = [
+        passage("a", 50) + "\nshort", passage("b", 30) + "\n\n" + passage("c", 20), passage("d", 49) + "\nend",
+        "own\n" + passage("a", 50) + "\nshort\nrest", "own too\n" + passage("b", 30) + "\n" + passage("c", 20) + "\nrest too", passage("d", 49) + "\nafter\nshort",
+    ]
+    kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.STAGES[1][1](spark, frame(spark, texts), "").collect()}
+    assert kept == {0: texts[0], 1: texts[1], 2: texts[2], 3: "own\nrest", 4: "own too\nrest too", 5: texts[5]}
+
+
+@pytest.mark.parametrize("gram,window,long_words", [(2, 2, 5), (1, 1, 3), (2, 3, 6)])
+def test_long_runs_match_brute_force(spark, gram, window, long_words):
+    rng = random.Random(gram + window)
+    line = lambda: rng.choice(["a", "b c", "", " ", "d e f", "g h i j k", "l m n o p q r", f"own {rng.randrange(99)}"])
+    docs = [(i, "\n".join(line() for _ in range(rng.randrange(1, 9)))) for i in range(80)]
+    got = lines.dedup_lines(frame(spark, [(*d, "en", "s") for d in docs]), gram, window, long_words=long_words).collect()
+    want = brute_long_lines(docs, gram + window - 1, long_words)
+    assert sorted((r["doc_id"], r["n_lines"], r["n_removed"], r["text"]) for r in got) == want
+    assert gram + window < 3 or sum(w[2] for w in want) > sum(b[1] for b in brute_lines(docs, gram + window - 1))
+
+
 # --- WARC -----------------------------------------------------------------------------
 
 PAGES = "page_id long, url string, html string"

@@ -7,6 +7,9 @@ fingerprints are joined; from a shared fingerprint the match is extended both
 ways over the lines of the windows that chose it, and adjoining matches grow
 into runs.  Of a repeated run the earliest copy stays, later ones go.
 
+Shorter runs count too from ``long_words`` words on: each such run is its own
+fingerprint, as winnowing of grams of its length in windows of 1.
+
 Everything here is DataFrame functions.
 """
 
@@ -18,6 +21,8 @@ from pyspark.sql import functions as F
 from wickworks.llm.base import hidden, row_order, shown, written
 
 HAS_WORD = r"[^\x20\x09-\x0D]"
+# Number of words from which a run is long enough, however few its lines.
+LONG_WORDS = 50
 
 
 def _let(value: Column, body) -> Column:
@@ -30,8 +35,8 @@ def text_lines(text: Column) -> Column:
     return F.transform(F.split(F.coalesce(text, F.lit("")), "\n", -1), lambda line, no: F.struct(no.alias("no"), line.alias("line")))
 
 
-def windows(docs: DataFrame, gram: int, window: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row per run of ``gram + window - 1`` lines with a word.
+def windows(docs: DataFrame, gram: int, window: int, doc_id: str = "doc_id", text: str = "text", long_words: int | None = LONG_WORDS) -> DataFrame:
+    """A row per run of ``gram + window - 1`` lines with a word, and per shorter run of ``long_words`` words or more.
 
     (ord, th): the document; s: number of the run's first line among those with
     a word; lines: their places in the text; fp, at: the fingerprint chosen in
@@ -39,25 +44,38 @@ def windows(docs: DataFrame, gram: int, window: int, doc_id: str = "doc_id", tex
     """
     span = gram + window - 1
     full = F.filter(text_lines(F.col(text)), lambda x: x["line"].rlike(HAS_WORD))
-    hashed = F.transform(full, lambda x: F.struct(x["no"].alias("no"), F.xxhash64(x["line"]).alias("a"), F.xxhash64(F.lit(1), x["line"]).alias("b")))
+    n_words = lambda line: F.lit(0) if long_words is None else F.regexp_count(line, F.lit(f"{HAS_WORD}+"))
+    hashed = F.transform(full, lambda x: F.struct(x["no"].alias("no"), F.xxhash64(x["line"]).alias("a"), F.xxhash64(F.lit(1), x["line"]).alias("b"), n_words(x["line"]).alias("n")))
 
-    def run(a: Column, s: Column) -> Column:
-        grams = [F.struct(F.xxhash64(*[F.get(a, s + j + m)["a"] for m in range(gram)]).alias("fp"), (-(s + j)).alias("back")) for j in range(window)]
+    def run(a: Column, s: Column, size: int, gram: int) -> Column:
+        grams = [F.struct(F.xxhash64(*[F.get(a, s + j + m)["a"] for m in range(gram)]).alias("fp"), (-(s + j)).alias("back")) for j in range(size - gram + 1)]
         least = F.array_min(F.array(*grams))  # of equal hashes the rightmost
         return F.struct(
-            s.alias("s"), F.transform(F.slice(a, s + 1, span), lambda x: x["no"]).alias("lines"),
+            s.alias("s"), F.transform(F.slice(a, s + 1, size), lambda x: x["no"]).alias("lines"),
             least["fp"].alias("fp"), (-least["back"]).alias("at"),
-            F.xxhash64(*[F.get(a, s + m)["a"] for m in range(span)]).alias("w1"), F.xxhash64(F.lit(2), *[F.get(a, s + m)["b"] for m in range(span)]).alias("w2"),
+            F.xxhash64(*[F.get(a, s + m)["a"] for m in range(size)]).alias("w1"), F.xxhash64(F.lit(2), *[F.get(a, s + m)["b"] for m in range(size)]).alias("w2"),
         )
 
-    runs = _let(hashed, lambda a: F.when(F.size(a) >= span, F.transform(F.sequence(F.lit(0), F.size(a) - span), lambda s: run(a, s))))
+    def starts(a: Column, size: int) -> Column:
+        return F.when(F.size(a) >= size, F.sequence(F.lit(0), F.size(a) - size)).otherwise(F.array().cast("array<int>"))
+
+    def long_starts(a: Column, size: int) -> Column:
+        return F.filter(starts(a, size), lambda s: sum((F.get(a, s + m)["n"] for m in range(size)), F.lit(0)) >= long_words)
+
+    def runs_at(a: Column, begin: Column, size: int, gram: int) -> Column:
+        return F.transform(begin, lambda s: run(a, s, size, gram))
+
+    def runs(a: Column) -> Column:
+        short = [] if long_words is None else [runs_at(a, long_starts(a, n), n, n) for n in range(1, span)]
+        return F.concat(runs_at(a, starts(a, span), span, gram), *short)
+
     keyed = docs.select(row_order(doc_id).alias("ord"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("th"), F.col(text).alias(text))
-    return keyed.select("ord", "th", F.explode(runs).alias("r")).select("ord", "th", "r.*")
+    return keyed.select("ord", "th", F.explode(_let(hashed, runs)).alias("r")).select("ord", "th", "r.*")
 
 
-def repeated_lines(docs: DataFrame, gram: int = 2, window: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_lines(docs: DataFrame, gram: int = 2, window: int = 2, doc_id: str = "doc_id", text: str = "text", long_words: int | None = LONG_WORDS) -> DataFrame:
     """(ord, th, gone): places of the lines in later copies of repeated runs, for documents that have any."""
-    all_runs = written(windows(docs, gram, window, doc_id, text), "line-windows")
+    all_runs = written(windows(docs, gram, window, doc_id, text, long_words), "line-windows")
     place = F.struct("ord", "at")
     shared = all_runs.groupBy("fp").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low <> high").select("fp")
     runs = all_runs.join(shared, "fp", "left_semi")
@@ -66,19 +84,20 @@ def repeated_lines(docs: DataFrame, gram: int = 2, window: int = 2, doc_id: str
     return later.select("ord", "th", F.explode("lines").alias("no")).groupBy("ord", "th").agg(F.collect_set("no").alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, gram: int = 2, window: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, gram: int = 2, window: int = 2, doc_id: str = "doc_id", text: str = "text", long_words: int | None = LONG_WORDS) -> DataFrame:
     """``docs`` with ``text`` cut, and the columns ``n_lines`` and ``n_removed``.
 
     A line with a word goes if it lies in a run of ``gram + window - 1`` or more
-    consecutive lines with a word that also begins earlier: in a smaller doc_id
-    (null is last), or earlier in the same document.  Lines are compared as they
-    are, on the input, not on what is left.  Lines without a word stay and
-    don't interrupt a run.  n_lines counts lines with a word.  Null texts stay
+    consecutive lines with a word, or of ``long_words`` or more words on however
+    few lines (None: only the lines count), that also begins earlier: in a
+    smaller doc_id (null is last), or earlier in the same document.  Lines are
+    compared as they are, on the input, not on what is left.  Lines without a
+    word stay and don't interrupt a run.  n_lines counts lines with a word.  Null texts stay
     null, with 0 lines.  Rows with equal doc_id count as one document, so a
     repeated row isn't an earlier copy of itself.  Columns of the two new names
     are replaced.
     """
-    gone = repeated_lines(docs, gram, window, doc_id, text).withColumnsRenamed({"ord": "of_ord", "th": "of_th"})
+    gone = repeated_lines(docs, gram, window, doc_id, text, long_words).withColumnsRenamed({"ord": "of_ord", "th": "of_th"})
     rows, at = hidden(docs), docs.columns.index(text)
     body = F.coalesce(F.col(f"c{at}"), F.lit(""))
     rows = rows.withColumns({"ord": row_order(f"c{docs.columns.index(doc_id)}"), "th": F.xxhash64(body)})
