@@ -68,6 +68,29 @@ def test_runs_grow_with_recall():
     assert chosenpath.runs_for(0.99, 0.8, 1) < chosenpath.runs_for(0.99, 0.8, 3) < chosenpath.runs_for(0.999, 0.8, 3)
 
 
+def test_sketches_pass_pairs_at_the_threshold():
+    assert chosenpath.least_agreement(0.8) == 89
+    rng = np.random.default_rng(5)
+    loss = cuts = 0
+    for _ in range(20):
+        a = rng.integers(0, 2**32, (2000, 64), dtype=np.uint32)
+        b = np.where(rng.random((2000, 64)) < 0.8, a, rng.integers(0, 2**32, (2000, 64), dtype=np.uint32))
+        bits = 128 - np.bitwise_count((chosenpath._sketches(a) ^ chosenpath._sketches(b)).view(np.uint64)).sum(axis=1).astype(int)
+        loss, cuts = loss + (bits < chosenpath.least_agreement(0.8)).sum(), cuts + (bits < 99).sum()
+    assert loss == 0 < cuts  # 99 is the cutoff of 128 independent bits
+
+
+def test_runs_reach_the_recall_with_one_signature():
+    runs = chosenpath.runs_for(0.99, 0.8, 6)
+    rng = np.random.default_rng(6)
+    agree = rng.binomial(64, 0.8, 200_000)
+    p = np.ones(len(agree))
+    for _ in range(6):
+        p = 1 - (1 - p / (0.8 * 64)) ** agree
+    assert (1 - (1 - p) ** runs).mean() > 0.9895 > (1 - (1 - p) ** 18).mean()
+    assert chosenpath.recall_of(runs - 1, 0.8, 0.8, 6) < 0.99 <= chosenpath.recall_of(runs, 0.8, 0.8, 6)
+
+
 def test_signatures_estimate_jaccard():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 2**63, 900, dtype=np.uint64)

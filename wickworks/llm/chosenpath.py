@@ -36,6 +36,8 @@ SKETCH_WORDS = 2
 BUCKET = 256
 DEPTH = 6
 RECALL = 0.99
+# Chance that sketches rule out a pair at the threshold, in all runs alike.
+SKETCH_LOSS = 1e-7
 TILE_BYTES = 8 << 20
 
 
@@ -93,16 +95,42 @@ def _sets(texts: DataFrame, size: int, places: int) -> DataFrame:
     return texts.mapInArrow(sign, "ord long, th long, n long, k1 long, k2 long, sig binary")
 
 
-def runs_for(recall: float, threshold: float, depth: int) -> int:
-    """Runs after which a pair at the threshold has met at ``depth`` with chance ``recall``.
+def recall_of(runs: int, similarity: float, threshold: float, depth: int, places: int = PLACES) -> float:
+    """Chance that a pair of that Jaccard similarity meets at ``depth`` in one of ``runs`` runs.
 
-    A pair's common paths branch with mean 1 a level: the chance of one at
-    least is 1 - exp(-p) of the chance p on the level below.
+    All runs read the same signatures, so the mean is taken over the number of
+    places at which the pair agrees: each of them is followed with the chance
+    1 / (threshold * places) on each path.
     """
-    p = 1.0
+    agree = np.arange(places + 1)
+    share = np.array([math.comb(places, k) * similarity**k * (1 - similarity) ** (places - k) for k in agree])
+    p = np.ones(places + 1)
     for _ in range(depth):
-        p = 1 - math.exp(-p)
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - p)))
+        p = 1 - (1 - p / (threshold * places)) ** agree
+    return float((share * (1 - (1 - p) ** runs)).sum())
+
+
+def runs_for(recall: float, threshold: float, depth: int, places: int = PLACES) -> int:
+    """Runs after which a pair at the threshold has met at ``depth`` with chance ``recall``."""
+    best = recall_of(1 << 20, threshold, threshold, depth, places)
+    if recall >= best:
+        raise ValueError(f"signatures of {places} places reach a recall of {best:.6f} at most")
+    high = 1
+    while recall_of(high, threshold, threshold, depth, places) < recall:
+        high *= 2
+    return next(r for r in range(max(1, high // 2), high + 1) if recall_of(r, threshold, threshold, depth, places) >= recall)
+
+
+def least_agreement(threshold: float, loss: float = SKETCH_LOSS, places: int = PLACES) -> int:
+    """The number of sketch bits at which two sets at the threshold agree but for a chance of ``loss``.
+
+    The bits of a place go together: all agree where its values do, else each by chance.
+    """
+    one = [(1 - threshold) * math.comb(SKETCH_WORDS, k) / 2**SKETCH_WORDS + (k == SKETCH_WORDS) * threshold for k in range(SKETCH_WORDS + 1)]
+    chance = np.ones(1)
+    for _ in range(places):
+        chance = np.convolve(chance, one)
+    return int(np.searchsorted(np.cumsum(chance), loss, side="right"))
 
 
 def _children(paths: np.ndarray, sig: np.ndarray, chance: float) -> tuple[np.ndarray, np.ndarray]:
@@ -183,9 +211,8 @@ def _bucket_edges(buckets: DataFrame, agree: int) -> DataFrame:
 
 def loose_groups(classes: DataFrame, threshold: float, recall: float, places: int = PLACES, bucket: int = BUCKET, depth: int = DEPTH) -> DataFrame:
     """(id, comp): groups of classes (cid, sig) that hold all links found by chosen paths."""
-    share = (1 + threshold) / 2  # chance that a bit of two sketches agrees at the threshold
-    agree = math.floor(128 * share - 4.5 * math.sqrt(128 * share * (1 - share)))
-    rows = _split(classes.select("cid", "sig"), threshold, places, runs_for(recall, threshold, depth))
+    agree = least_agreement(threshold, places=places)
+    rows = _split(classes.select("cid", "sig"), threshold, places, runs_for(recall, threshold, depth, places))
     small = None
     for level in range(1, depth + 1):
         # the few classes of large buckets carry their signatures from level to level
