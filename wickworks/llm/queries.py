@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wickworks.llm import blocks, chosenpath, decontam, gains, langid, lines, mixing, resample, rules, suffix, warc
+from wickworks.llm import blocks, chosenpath, decontam, gains, langid, lines, mixing, resample, rules, suffix, trie, warc
 from wickworks.llm.base import table
 
 
@@ -59,6 +59,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(trie.rebuilt(trie.ordered(table(spark, sf_dir, "conversations"))))
+
+
 def op13_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = gains.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
     return drawn.select(F.col("doc_id").cast("long").alias("doc_id"), "n_features", "weight", "score", "rank")
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_target_resampling": op13_target_resampling,
     "pipeline": pipeline,
 }
@@ -92,5 +97,6 @@ ORACLE: dict[str, str] = {
     "op8_jaccard_join": chosenpath.op8_sql(),
     "op9_substring_dedup": blocks.op9_sql(),
     "op10_line_dedup": lines.op10_sql(),
+    "op12_prefix_trie": trie.op12_sql(),
     "op13_target_resampling": gains.op13_sql(),
 }
