@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wickworks.llm import blocks, chosenpath, decontam, gains, langid, lines, mixing, resample, rules, suffix, trie, warc
+from wickworks.llm import blocks, chosenpath, decontam, gains, improbable, langid, lines, mixing, resample, rules, suffix, trie, warc
 from wickworks.llm.base import table
 
 
@@ -59,6 +59,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = improbable.with_edits(table(spark, sf_dir, "documents"))
+    return found.withColumns({c: F.base64(c) for c in ("fingerprint", "edited_fingerprint")})
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(trie.rebuilt(trie.ordered(table(spark, sf_dir, "conversations"))))
 
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op11_fingerprints": op11_fingerprints,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_target_resampling": op13_target_resampling,
     "pipeline": pipeline,
