@@ -290,7 +290,7 @@ def with_edits(docs: DataFrame, ranks: np.ndarray | None = None, doc_id: str = "
         if last is not None:
             yield open_row(last, part, 2)
 
-    table = written(dealt.mapInArrow(run, PAIR + edge), "edits")
+    table = written(dealt.mapInArrow(run, PAIR + edge), "edits", "zstd")  # filters are mostly zeros
     ranges = [r["part"] for r in table.where("at = 1").select("part").orderBy("part").collect()]  # a row for each range
     following = spark.createDataFrame(list(zip(ranges, ranges[1:] + ranges[:1])), "part long, next long")
     first = table.where("at = 1").select(F.col("part").alias("next"), F.col("text").alias("next_text"), F.col("fingerprint").alias("next_fingerprint"))
