@@ -274,7 +274,8 @@ def prefix_trie(rows: DataFrame, width: int = WIDTH, queue: int = QUEUE) -> Data
     """
     rows = written(prefixes(rows), "trie-prefixes")
     nodes = rows.groupBy(*KEY).agg(F.count("*").alias("n_convs"), F.min("conv").alias("conv_id"), F.min("chars").alias("chars"))
-    nodes = written(_sharded(rows, nodes.withColumn("level", _level(F.col("n_convs"), width))), "trie-nodes")
+    nodes = written(nodes.withColumn("level", _level(F.col("n_convs"), width)), "trie-members")  # read anew, so that a join can split a common prefix
+    nodes = written(_sharded(rows, nodes), "trie-nodes")
     top = nodes.agg(F.max("level")).first()[0]
     zero = F.lit(0).cast("long")
     nodes = nodes.withColumns({"node": F.lit(True), "n_children": zero, "n_leaves": zero, "saved_tokens": zero})
