@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not pathlib.Path(DATA).is_dir(), reason="no test
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_same_rows_as_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels", "benchmark"):
+    for t in ("documents", "pages", "labels", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     theirs = con.sql(ORACLE[name])
     df = QUERIES[name](spark, DATA)
@@ -26,4 +26,4 @@ def test_same_rows_as_sql(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert [k.split("_")[0] for k in QUERIES] == [*[f"op{n}" for n in range(1, 11)], "pipeline"]
+    assert [k.split("_")[0] for k in QUERIES] == [*[f"op{n}" for n in range(1, 14)], "pipeline"]
