@@ -33,7 +33,9 @@ from pyspark.sql import functions as F
 from wickworks.functions.numeric import nan_to_null
 from wickworks.operators.scan import (
     add_blocks,
+    after_initial,
     attach_carries,
+    block_ends,
     block_window,
     exclusive_carries,
     levels_for,
@@ -53,6 +55,7 @@ from wickworks.schema import (
     ema_alpha,
     wilder_alpha,
 )
+from wickworks.session import scratch_path
 
 NAN = float("nan")
 _UNB = Window.unboundedPreceding
@@ -402,8 +405,13 @@ def _scan_pass(
     keys: Sequence[str],
     channels: Sequence,
     levels: int,
-) -> DataFrame:
-    """Window stage, block states, carries, finalisation for a set of channels."""
+    initial: DataFrame | None = None,
+    with_ends: bool = False,
+) -> DataFrame | tuple[DataFrame, DataFrame]:
+    """Window stage, block states, carries, finalisation for a set of channels.
+
+    ``initial``: states (keys, ``state``) that series go on from.  ``with_ends``:
+    also returns the state after each block (``scan.block_ends``)."""
     wb = block_window(keys)
     df = blocked
     phases = [ch.window_phases(wb) for ch in channels]
@@ -412,13 +420,18 @@ def _scan_pass(
         if cols:
             df = df.withColumns(cols)
     aggs = [F.count(F.lit(1)).alias("_n")]
+    if with_ends:
+        aggs.append(F.max("event_time").alias("last_time"))
     for ch in channels:
         aggs += ch.elem_aggs()
     elems = df.groupBy(*keys, "_bucket", "_sub").agg(*aggs)
     fields = [F.col("_n").alias("n")]
     for ch in channels:
         fields += ch.state_fields()
-    elems = elems.select(*keys, "_bucket", "_sub", F.struct(*fields).alias("_st"))
+    ends = [F.col("last_time")] if with_ends else []
+    elems = elems.select(*keys, "_bucket", "_sub", F.struct(*fields).alias("_st"), *ends)
+    if with_ends:  # one row per block, read by the fold and for the ends
+        elems = _written(elems, "block-states")
 
     def combine(a: str, b: str) -> str:
         out = [f"'n', {a}.n + {b}.n"]
@@ -427,6 +440,11 @@ def _scan_pass(
         return "named_struct(" + ", ".join(out) + ")"
 
     carries = exclusive_carries(elems, keys, "_st", combine, levels)
+    if initial is not None:
+        carries = after_initial(carries, initial, keys, combine)
+    if with_ends:
+        carries = _written(carries, "block-carries")
+        after = block_ends(elems, carries, keys, combine)
     for ch in channels:
         if hasattr(ch, "carry_fields"):
             carries = carries.withColumn("_carry", F.when(F.col("_carry").isNotNull(), ch.carry_fields(F.col("_carry"))))
@@ -438,7 +456,14 @@ def _scan_pass(
     drop = ["_c"]
     for ch in channels:
         drop += ch.temp_cols()
-    return df.drop(*[c for c in drop if c in df.columns])
+    df = df.drop(*[c for c in drop if c in df.columns])
+    return (df, after) if with_ends else df
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _prepare(df: DataFrame, keys: Sequence[str], alphas: Sequence[float], timeframe_col: str | None,
@@ -518,40 +543,72 @@ def indicators(
     ``materialize`` writes the pass input once as a bucketed table (see
     ``scan.materialize``); the fold depth then follows the observed bucket span.
     Without it the depth is planned statically from ``min_timeframe``."""
-    sma_name = f"sma_{sma_window}"
-    ema_name = f"ema_{ema_period}"
-    a_fast, a_slow = ema_alpha(macd_fast), ema_alpha(macd_slow)
-    a_sig, a_rsi, a_ema = ema_alpha(macd_signal), wilder_alpha(rsi_period), ema_alpha(ema_period)
-    block = safe_block_rows([a_fast, a_slow, a_sig, a_rsi, a_ema])
-    levels = _levels(min_timeframe, block)
-    blocked = add_blocks(df, keys, ["event_time"], "event_time", timeframe_col, block)
+    gold = _Gold(sma_window, ema_period, macd_fast, macd_slow, macd_signal, rsi_period)
+    levels = _levels(min_timeframe, gold.block)
+    blocked = add_blocks(df, keys, ["event_time"], "event_time", timeframe_col, gold.block)
     if materialize:
         blocked, levels = _materialize(blocked, keys)
+    return gold.finished(_scan_pass(blocked, keys, gold.channels, levels), keep_internal)
+
+
+def indicators_from(
+    df: DataFrame,
+    states: DataFrame | None = None,
+    keys: Sequence[str] = SERIES_KEY,
+    timeframe_col: str | None = "timeframe",
+    per_month: bool = False,
+    keep_internal: bool = False,
+    **periods: int,
+) -> tuple[DataFrame, DataFrame]:
+    """Gold indicators of rows that go on from earlier ones, and the states to go on from later.
+
+    ``states``: one row (keys, ``state``) per series that has earlier rows, all of
+    them before its rows in ``df``; a series without one starts here.  Returns the
+    rows as ``indicators`` does, equal to those of a computation over all rows, and
+    (keys, ``_bucket``, ``_sub``, ``last_time``, ``state``): the state after each
+    block, of which the last of a series (or of a month, with ``per_month``) is
+    kept to go on from.  A state holds all channels: rows so far, EMAs, signal
+    line, Wilder averages, last close and the last closes of the SMA.  ``periods``
+    are those of ``indicators``, the same for all parts of a series."""
+    gold = _Gold(**periods)
+    blocked, levels = _materialize(add_blocks(df, keys, ["event_time"], "event_time", timeframe_col, gold.block, per_month), keys)
+    rows, ends = _scan_pass(blocked, keys, gold.channels, levels, states, with_ends=True)
+    return gold.finished(rows, keep_internal), ends
+
+
+class _Gold:
+    """The channels of the gold pass, and its finished columns."""
+
+    def __init__(self, sma_window: int = SMA_WINDOW, ema_period: int = EMA_PERIOD, macd_fast: int = MACD_FAST,
+                 macd_slow: int = MACD_SLOW, macd_signal: int = MACD_SIGNAL, rsi_period: int = RSI_PERIOD):
+        self.sma_name, self.ema_name, self.rsi_name = f"sma_{sma_window}", f"ema_{ema_period}", f"rsi_{rsi_period}"
+        a_fast, a_slow = ema_alpha(macd_fast), ema_alpha(macd_slow)
+        a_sig, a_rsi, a_ema = ema_alpha(macd_signal), wilder_alpha(rsi_period), ema_alpha(ema_period)
+        self.block = safe_block_rows([a_fast, a_slow, a_sig, a_rsi, a_ema])
+        fast, slow = Ema("_ema_fast", "close", a_fast), Ema("_ema_slow", "close", a_slow)
+        self.channels = [
+            _EmaChannels([Ema(self.ema_name, "close", a_ema), fast, slow], with_prev=True),
+            _SmaChannel(self.sma_name, "close", sma_window, with_prev=True),
+            _LastChannel("close"),
+            _SignalChannel("macd_signal", fast, slow, a_sig, with_prev=True),
+            _WilderChannel(a_rsi, fast.name),
+        ]
 
-    fast, slow = Ema("_ema_fast", "close", a_fast), Ema("_ema_slow", "close", a_slow)
-    channels = [
-        _EmaChannels([Ema(ema_name, "close", a_ema), fast, slow], with_prev=True),
-        _SmaChannel(sma_name, "close", sma_window, with_prev=True),
-        _LastChannel("close"),
-        _SignalChannel("macd_signal", fast, slow, a_sig, with_prev=True),
-        _WilderChannel(a_rsi, fast.name),
-    ]
-    a = _scan_pass(blocked, keys, channels, levels)
-    rsi_name = f"rsi_{rsi_period}"
-    gain, loss = F.col("_avg_gain"), F.col("_avg_loss")
-    out = a.withColumns({
-        "macd": F.col("_ema_fast") - F.col("_ema_slow"),
-        "prev_macd": F.col("prev__ema_fast") - F.col("prev__ema_slow"),
-        rsi_name: F.when(F.col("_pos") == 0, F.lit(None).cast("double"))
-        .when(loss == 0, F.lit(100.0))
-        .otherwise(F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + gain / loss)),
-        "idx": F.col("_pos").cast("int"),
-    })
-    out = out.withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
-    internal = ["_delta", "_gain", "_loss", "_avg_gain", "_avg_loss", "_ema_fast", "_ema_slow",
-                "prev__ema_fast", "prev__ema_slow", "prev__avg_gain", "prev__avg_loss", "_pos_a", "_pos",
-                "_bucket", "_sub", "_kb"]
-    out = out.drop(*[c for c in internal if c in out.columns])
-    if not keep_internal:
-        out = out.drop("idx", "prev_close", f"prev_{ema_name}", f"prev_{sma_name}", "prev_macd", "prev_macd_signal")
-    return out
+    def finished(self, rows: DataFrame, keep_internal: bool) -> DataFrame:
+        gain, loss = F.col("_avg_gain"), F.col("_avg_loss")
+        out = rows.withColumns({
+            "macd": F.col("_ema_fast") - F.col("_ema_slow"),
+            "prev_macd": F.col("prev__ema_fast") - F.col("prev__ema_slow"),
+            self.rsi_name: F.when(F.col("_pos") == 0, F.lit(None).cast("double"))
+            .when(loss == 0, F.lit(100.0))
+            .otherwise(F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + gain / loss)),
+            "idx": F.col("_pos").cast("int"),
+        })
+        out = out.withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
+        internal = ["_delta", "_gain", "_loss", "_avg_gain", "_avg_loss", "_ema_fast", "_ema_slow",
+                    "prev__ema_fast", "prev__ema_slow", "prev__avg_gain", "prev__avg_loss", "_pos_a", "_pos",
+                    "_bucket", "_sub", "_kb"]
+        out = out.drop(*[c for c in internal if c in out.columns])
+        if not keep_internal:
+            out = out.drop("idx", "prev_close", f"prev_{self.ema_name}", f"prev_{self.sma_name}", "prev_macd", "prev_macd_signal")
+        return out

@@ -44,6 +44,7 @@ FANOUT = 64
 # the top group just holds more than FANOUT elements.
 PLANNED_RANGE_US = 130 * 365 * 86_400 * 1_000_000  # 1970 .. 2100
 DEFAULT_TIMEFRAME_MS = 3_600_000
+MONTH_US = 31 * 86_400 * 1_000_000  # the longest month
 
 # combine(a, b) -> SQL text of the state struct for "a then b" (a, b are SQL references).
 # Written as SQL text so that the fold lambdas are parsed once instead of being
@@ -86,14 +87,23 @@ def add_blocks(
     time_col: str = "event_time",
     timeframe_col: str | None = "timeframe",
     block_rows: int = BLOCK_ROWS,
+    per_month: bool = False,
 ) -> DataFrame:
     """Adds ``_bucket``, ``_sub`` and ``_kb`` (row index inside the block, from 0).
 
+    ``per_month``: no block reaches over the end of a calendar month, so that the
+    state after a block is the state after a month for the last block of each.
+
     A null series key raises: carries are joined on the key, and a scan that
     restarted in every block would be silently wrong."""
     span = bucket_span_us(timeframe_col, block_rows)
     micros = F.unix_micros(F.col(time_col).cast("timestamp"))
-    bucket = ((micros - F.pmod(micros, span)) / span).cast("bigint")
+    if per_month:
+        into = micros - F.unix_micros(F.date_trunc("month", F.col(time_col).cast("timestamp")))
+        month = F.year(time_col) * 12 + F.month(time_col) - 1
+        bucket = month * F.ceil(F.lit(MONTH_US) / span) + F.floor(into / span)
+    else:
+        bucket = ((micros - F.pmod(micros, span)) / span).cast("bigint")
     no_key = F.coalesce(*[F.when(F.col(k).isNull(), F.lit(k)) for k in keys])
     error = F.raise_error(F.concat(F.lit("null series key: "), no_key)).cast("bigint")
     df = df.withColumn("_bucket", F.when(no_key.isNotNull(), error).otherwise(bucket))
@@ -279,6 +289,21 @@ def exclusive_carries(
     raise AssertionError("unreachable")
 
 
+def after_initial(carries: DataFrame, initial: DataFrame, keys: Sequence[str], combine: Combine) -> DataFrame:
+    """``carries`` of series that go on from a state: ``initial`` holds one row (keys, ``state``) per such series."""
+    st_type = carries.schema["_carry"].dataType
+    known = initial.select(*keys, F.col("state").cast(st_type).alias("_init"))
+    joined = join_on_renamed(carries, known, keys, "left")
+    return joined.withColumn("_carry", F.expr(_combine_opt(combine, "_init", "_carry", st_type.simpleString()))).drop("_init")
+
+
+def block_ends(elems: DataFrame, carries: DataFrame, keys: Sequence[str], combine: Combine) -> DataFrame:
+    """(keys, ``_bucket``, ``_sub``, ``last_time``, ``state``): the state of the series after each block."""
+    st_type = carries.schema["_carry"].dataType
+    both = join_on_renamed(elems.withColumn("_st", F.col("_st").cast(st_type)), carries, [*keys, "_bucket", "_sub"])
+    return both.select(*keys, "_bucket", "_sub", "last_time", F.expr(_combine_opt(combine, "_carry", "_st", st_type.simpleString())).alias("state"))
+
+
 def attach_carries(rows: DataFrame, carries: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Join element carries back to the rows as column ``_c``.
 

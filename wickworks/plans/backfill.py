@@ -3,10 +3,10 @@ keep-last dedup -> merge with the stored months -> partitioned store, with run
 statistics.
 
 The pages are parsed once, into a staged table of flagged rows; the statistics
-and the merge both read that table.  The months that the run touches are merged
-with what the store holds of them and staged before they are replaced, so a
-range inside a month leaves the rest of it alone and a failed write loses
-nothing.
+and the merge both read that table.  The months that the run touches, and only
+they, are read from the store, merged and staged before they are replaced
+(``plans.merge``): a range inside a month leaves the rest of it alone, and the
+staged folder in the result completes a run whose last write failed.
 """
 
 from __future__ import annotations
@@ -17,15 +17,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wickworks.operators import contract
-from wickworks.operators.dedup import dedup_last
-from wickworks.operators.scan import join_on_renamed
-from wickworks.schema import OHLCV_COLUMNS, SERIES_KEY
+from wickworks.plans.merge import Merged, merge_months
+from wickworks.schema import OHLCV_COLUMNS
 from wickworks.session import scratch_path
-from wickworks.sinks.lake import write_lake
 from wickworks.sources import klines
-from wickworks.sources.lake import lake_files, read_lake
-
-MONTH = (*SERIES_KEY, "year", "month")
 
 
 def contract_rows(pages: DataFrame, symbol: Column | str, timeframe: str, source: str = "binance",
@@ -44,10 +39,6 @@ def _staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _months(df: DataFrame) -> DataFrame:
-    return df.select(*SERIES_KEY, F.year("event_time").alias("year"), F.month("event_time").alias("month")).distinct()
-
-
 def run(spark: SparkSession, pages_path: str, lake_root: str, symbol: str | None, timeframe: str,
         start: str, end: str, source: str = "binance", page_per_file: bool = True,
         max_rows_per_file: int = 200_000) -> dict:
@@ -67,15 +58,9 @@ def run(spark: SparkSession, pages_path: str, lake_root: str, symbol: str | None
     errors = [r["message"] for r in contract.validation_messages(rows.select(*OHLCV_COLUMNS)).orderBy("ord").collect()] if m["total"] else []
 
     new = rows.where("is_valid").select(*OHLCV_COLUMNS, "seq")
-    files = []
+    merged = Merged()
     if m["valid"]:
-        touched = _months(new)
-        stored = join_on_renamed(read_lake(spark, lake_root), touched, MONTH, "left_semi").select(*OHLCV_COLUMNS)
-        both = stored.withColumn("run", F.lit(0)).unionByName(new.withColumn("run", F.lit(1)), allowMissingColumns=True)
-        merged = _staged(dedup_last(both, order=("run", "ingestion_time", "seq")).select(*OHLCV_COLUMNS), "backfill-months")
-        write_lake(merged, lake_root, mode="overwrite", max_rows_per_file=max_rows_per_file)
-        replaced = join_on_renamed(read_lake(spark, lake_root).select("*", "_metadata"), _months(merged), MONTH, "left_semi")
-        files = [r[0] for r in lake_files(replaced).collect()]
+        merged = merge_months(spark, lake_root, new, max_rows_per_file)
     return {
         "symbol": symbol,
         "timeframe": timeframe,
@@ -85,7 +70,8 @@ def run(spark: SparkSession, pages_path: str, lake_root: str, symbol: str | None
         "valid_records": m["valid"],
         "invalid_records": m["total"] - m["valid"],
         "unparsed_pages": m["unparsed"],
-        "files_written": files,
+        "files_written": merged.files,
+        "staged": merged.staged,
         "validation_errors": errors,
         "duration_seconds": time.monotonic() - began,
     }

@@ -574,6 +574,86 @@ def q_stream_ema_nulls(spark, sf):
     return _stream_ema_50(spark, _with_gaps(spark, sf))
 
 
+def _slices(candles: DataFrame, cuts: list[str]) -> list[DataFrame]:
+    """The candles before the first time of ``cuts``, between it and the next, ..., and from the last on."""
+    t = F.col("event_time")
+    at = [F.lit(c).cast("timestamp") for c in cuts]
+    return [candles.where(t < at[0]), *[candles.where((t >= a) & (t < b)) for a, b in zip(at, at[1:])], candles.where(t >= at[-1])]
+
+
+def q_stream_gold(spark, sf):
+    """All gold indicators over four micro-batches; each run goes on from the states of the one before."""
+    from wickworks.streaming.carried import read_gold_stream, run_gold
+
+    candles = inputs.deduped(spark, sf)
+    landed, out, checkpoint = (_scratch(spark, f"stream-gold-{x}") for x in ("in", "out", "ckpt"))
+    for part in _slices(candles, ["2024-01-04", "2024-01-09 12:00", "2024-01-22"]):
+        part.write.mode("append").parquet(landed)
+        run_gold(spark.readStream.schema(candles.schema).parquet(landed), out, checkpoint)
+    return present(with_year_month(read_gold_stream(spark, out)).select(*GOLD_COLS))
+
+
+def q_stream_gold_late(spark, sf):
+    """Rows per series that came after the series had gone on past them, by run: nothing is lost unseen."""
+    from wickworks.streaming.carried import read_late_candles, run_gold
+
+    candles = inputs.candles(spark, sf)
+    landed, out, checkpoint = (_scratch(spark, f"stream-late-{x}") for x in ("in", "out", "ckpt"))
+    first, second, third = _slices(candles, ["2024-01-04", "2024-01-20"])
+    for part in (first, third, second):
+        part.write.mode("append").parquet(landed)
+        run_gold(spark.readStream.schema(candles.schema).parquet(landed), out, checkpoint, sma_window=20, ema_period=20)
+    return present(read_late_candles(spark, out))
+
+
+def q_gold_incremental(spark, sf):
+    """A store that grows by two appends, the second of which corrects months of the first: gold is updated
+    from the first touched month on each time."""
+    from wickworks.plans.incremental import read_gold, update_gold
+    from wickworks.plans.merge import merge_months
+
+    lake, gold = _scratch(spark, "incremental-lake"), _scratch(spark, "incremental-gold")
+    daily, t = inputs.daily(spark, sf), F.col("event_time")
+    wrong = daily.where((t >= "1997-06-01") & (t < "1999-01-01")).withColumn("close", F.when(t >= "1998-03-10", F.col("open")).otherwise(F.col("close")))
+    for rows in (daily.where(t < "1997-06-15"), wrong, daily.where(t >= "1998-03-01")):
+        staged = _scratch(spark, "incremental-run")
+        rows.write.parquet(staged)
+        update_gold(spark, lake, gold, merge_months(spark, lake, spark.read.schema(rows.schema).parquet(staged)).months)
+    return present(read_gold(spark, gold).select(*GOLD_COLS), ORDER_DECIMALS)
+
+
+HEARTBEAT = "heartbeat"
+
+
+def q_stream_keep_last(spark, sf):
+    """Two ingestion runs of one stream: the last version of each candle, as the batch store keeps it.
+
+    A heartbeat row of a later time moves the watermark past the last candle."""
+    from wickworks.streaming.candles import read_sink, run_to_parquet, stream_keep_last
+
+    rows = inputs.landed(spark, sf)
+    landed, out = _scratch(spark, "stream-landed"), _scratch(spark, "stream-last")
+    late = F.expr("make_interval(0, 0, 0, 2)")
+    beat = rows.agg((F.max("event_time") + late).alias("event_time")).withColumn("symbol", F.lit(HEARTBEAT))
+    beat = beat.withColumns({"source": F.lit(HEARTBEAT), "timeframe": F.lit("1h")})
+    rows.write.parquet(landed)
+    beat.select(*[F.col(f.name).cast(f.dataType) if f.name in beat.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields]).write.mode("append").parquet(landed)
+    run_to_parquet(stream_keep_last(spark.readStream.schema(rows.schema).parquet(landed)), out, _scratch(spark, "stream-last-ckpt"))
+    return present(read_sink(spark, out).where(F.col("source") != HEARTBEAT).select(*OHLCV_COLUMNS))
+
+
+def q_stream_candles_upsert(spark, sf):
+    """Ticks in three deliveries, the second with ticks of candles that the first had: every candle of the whole."""
+    from wickworks.streaming.upsert import read_candles, run_candles
+
+    ticks = event_ticks(spark, sf)
+    landed, out, checkpoint = (_scratch(spark, f"upsert-{x}") for x in ("in", "out", "ckpt"))
+    for part in (F.col("seq") % 3 == 0, F.col("seq") % 3 == 2, F.col("seq") % 3 == 1):
+        ticks.where(part).write.mode("append").parquet(landed)
+        run_candles(spark.readStream.schema(ticks.schema).parquet(landed), out, checkpoint, "1h", compact_every=2)
+    return present(read_candles(spark, out))
+
+
 def q_backfill(spark, sf):
     """Landed pages of one symbol -> backfill job -> store, read back (2024-01-03 .. 2024-01-20)."""
     from wickworks.plans import backfill
@@ -711,6 +791,11 @@ QUERIES: dict[str, Query] = {
     "backfill_merge": q_backfill_merge,
     "backfill_stats": q_backfill_stats,
     "stream_ema_nulls": q_stream_ema_nulls,
+    "stream_gold": q_stream_gold,
+    "stream_gold_late": q_stream_gold_late,
+    "gold_incremental": q_gold_incremental,
+    "stream_keep_last": q_stream_keep_last,
+    "stream_candles_upsert": q_stream_candles_upsert,
     "multi_timeframe": q_multi_timeframe,
     "line_candles": q_line_candles,
     "line_gold": q_line_gold,
@@ -877,6 +962,13 @@ ORACLE: dict[str, str] = {
     "macd": _gold_from(CANDLES_SQL.format(where="", price="value"), f"source, symbol, timeframe, event_time, {r6('macd')} AS macd, {r6('macd_signal')} AS macd_signal, {r6('macd_hist')} AS macd_hist"),
     "rsi_14": _gold_from(CANDLES_SQL.format(where="", price="value"), f"source, symbol, timeframe, event_time, {r6('close')} AS close, {r6('rsi_14')} AS rsi_14"),
     "gold": _gold_from(DEDUP_SQL, GOLD_SELECT),
+    "stream_gold": _gold_from(DEDUP_SQL, GOLD_SELECT),
+    "stream_gold_late": f"""SELECT source, symbol, timeframe, count(*) AS late FROM ({_ALL}) c
+        WHERE event_time >= TIMESTAMP '2024-01-04' AND event_time < TIMESTAMP '2024-01-20'
+          AND EXISTS (SELECT 1 FROM ({_ALL}) d WHERE d.symbol = c.symbol AND d.event_time >= TIMESTAMP '2024-01-20') GROUP BY ALL""",
+    "gold_incremental": _gold_from(DAILY_SQL, _sel(GOLD_COLS, DOUBLE_COLS, ORDER_DECIMALS)),
+    "stream_keep_last": f"SELECT {OHLCV_SELECT} FROM ({DEDUP_SQL})",
+    "stream_candles_upsert": f"SELECT {OHLCV_SELECT} FROM ({_ALL})",
     "gold_1m": _gold_from(" UNION ALL ".join(_ALL.replace("'1h' AS timeframe", f"'{tf}' AS timeframe").replace("date_trunc('hour'", f"date_trunc('{unit}'")
                                              for tf, unit in (("1m", "minute"), ("1d", "day"))), GOLD_SELECT),
     "indicator_params": gold_sql(CANDLES_SQL.format(where="", price="value"), 20, 20, 5, 35, 5, 7,

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wickworks.schema import LAKE_PARTITIONS, OHLCV_COLUMNS, OHLCV_SCHEMA
+from wickworks.schema import LAKE_PARTITIONS, OHLCV_COLUMNS, OHLCV_SCHEMA, SERIES_KEY
 
 LAKE_SCHEMA = T.StructType(
     [f for f in OHLCV_SCHEMA.fields if f.name not in LAKE_PARTITIONS]
@@ -101,5 +101,7 @@ def read_bronze_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Silver or gold Parquet table."""
-    return spark.read.parquet(path)
+    """Silver or gold Parquet table (A6, A7); the series key stays text, whatever a folder's name looks like."""
+    found = spark.read.parquet(path)
+    text = [T.StructField(f.name, T.StringType()) if f.name in SERIES_KEY else f for f in found.schema.fields]
+    return spark.read.schema(T.StructType(text)).parquet(path)

@@ -4,8 +4,10 @@
   mode (a candle is emitted once the watermark passes its end).
 * ``stream_dedup``: the contract key deduplicated within the watermark (a stream
   keeps the first arrival; the batch store keeps the last).
+* ``stream_keep_last``: the newest version of each contract key, once the watermark
+  has passed it, as the batch store keeps it.
 * ``run_ema``: EMA per series, each micro-batch the batch scan carried on from the
-  last value per series.
+  last value per series (``streaming.carried`` has all gold indicators).
 
 Sinks are file sinks under the shared checkpoint folder, never the driver.
 """
@@ -18,9 +20,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wickworks.operators.indicators import Ema, ema
+from wickworks.operators.dedup import dedup_last
 from wickworks.schema import OHLCV_COLUMNS, SERIES_KEY
 from wickworks.session import scratch_path
-from wickworks.sources.lake import exists
+from wickworks.streaming.versions import forget_before, state_before
 
 
 def stream_candles(ticks: DataFrame, timeframe: str = "1 hour", tf_code: str = "1h", delay: str = "1 hour") -> DataFrame:
@@ -49,6 +52,19 @@ def stream_dedup(rows: DataFrame, keys: Sequence[str], time_col: str = "event_ti
     return rows.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+def stream_keep_last(rows: DataFrame, keys: Sequence[str] = (*SERIES_KEY, "event_time"), order: Sequence[str] = ("ingestion_time", "seq"),
+                     time_col: str = "event_time", delay: str = "1 hour") -> DataFrame:
+    """The newest version per key (F10 on a stream), in append mode: ``dedup_last`` with a watermark.
+
+    ``time_col`` must be among ``keys``.  The state holds one version per open
+    key; when the watermark passes a key's time its last version is emitted, and
+    its state goes.  A version that comes after that is late and is dropped by
+    Spark's late-row filter, which counts it (``numRowsDroppedByWatermark``)."""
+    if time_col not in keys:
+        raise ValueError(f"{time_col} must be a key: a version is final when the watermark passes it")
+    return dedup_last(rows.withWatermark(time_col, delay), keys, order)
+
+
 def run_ema(stream: DataFrame, path: str, checkpoint: str, alpha: float, name: str = "ema", source: str = "close",
             keys: Sequence[str] = SERIES_KEY) -> None:
     """EMA per series over a candle stream, for what is available now; see ``read_ema`` and ``read_late``.
@@ -65,8 +81,8 @@ def run_ema(stream: DataFrame, path: str, checkpoint: str, alpha: float, name: s
     def step(batch: DataFrame, n: int) -> None:
         spark = batch.sparkSession
         ddl = ", ".join([f"{k} string" for k in keys] + ["last double", "last_time timestamp"])
-        before = f"{states}/batch={n - 1}"
-        known = spark.read.schema(ddl).parquet(before) if n and exists(spark, before) else spark.createDataFrame([], ddl)
+        known = state_before(spark, states, n)
+        known = spark.createDataFrame([], ddl) if known is None else known.select(*keys, "last", "last_time")
         arrived = batch.select(*keys, "event_time", value).withColumn("_at", F.monotonically_increasing_id())
         rows = arrived.groupBy(*keys, "event_time").agg(F.max_by(source, "_at").alias(source), F.count("*").alias("n"))
         rows = rows.join(known, keys, "left").withColumn("late", F.coalesce(F.col("event_time") <= F.col("last_time"), F.lit(False)))
@@ -83,6 +99,7 @@ def run_ema(stream: DataFrame, path: str, checkpoint: str, alpha: float, name: s
         done = spark.read.schema(values.select(*keys, "event_time", source, name).schema).parquet(out)
         last = done.groupBy(*keys).agg(F.max_by(name, "event_time").alias("last"), F.max("event_time").alias("last_time"))
         last.unionByName(known.join(last, keys, "left_anti")).write.mode("overwrite").parquet(f"{states}/batch={n}")
+        forget_before(spark, states, n - 1)
 
     q = stream.writeStream.foreachBatch(step).option("checkpointLocation", f"{checkpoint}/stream").trigger(availableNow=True).start()
     q.awaitTermination()
