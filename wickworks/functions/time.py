@@ -76,7 +76,8 @@ def day_number(ts: Column | str) -> Column:
 def to_utc_timestamp_col(df, name: str) -> Column:
     """The column ``name`` of ``df`` as a UTC timestamp (C3, C4): zoned text is converted
     from its offset, text or timestamps without a zone are taken as UTC wall clock,
-    numbers are epoch milliseconds."""
+    numbers are epoch milliseconds.  Text that can't be read becomes null: see
+    ``unreadable_time``."""
     from pyspark.sql import types as T
 
     dt = df.schema[name].dataType
@@ -90,3 +91,11 @@ def to_utc_timestamp_col(df, name: str) -> Column:
     if isinstance(dt, T.DateType):
         return c.cast("timestamp")
     return c
+
+
+def unreadable_time(df, *names: str) -> Column:
+    """Is there text in one of the columns ``names`` that is no time?  (A null is no text.)"""
+    found = F.lit(False)
+    for name in names:
+        found = found | (F.col(name).isNotNull() & to_utc_timestamp_col(df, name).isNull())
+    return found

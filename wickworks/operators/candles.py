@@ -86,23 +86,40 @@ def resample(candles: DataFrame, timeframe: str | Sequence[str], source_timefram
     targets = [timeframe] if isinstance(timeframe, str) else list(timeframe)
     for tf in targets:
         _check_multiple(source_timeframe, tf)
+    rows = candles.where(F.col("timeframe") == source_timeframe).drop("timeframe")
+    if len(targets) == 1:
+        return _folded(rows.withColumn("_slot", slot_start("event_time", targets[0])), F.lit(targets[0]), F.col("_slot"), key)
     slots = F.array(*[F.struct(F.lit(tf).alias("timeframe"), slot_start("event_time", tf).alias("start")) for tf in targets])
-    out = (
-        candles.where(F.col("timeframe") == source_timeframe)
-        .drop("timeframe")
-        .withColumn("_slot", F.explode(slots))
-        .groupBy(*key, "_slot")
-        .agg(
-            F.min_by("open", "event_time").alias("open"),
-            F.max("high").alias("high"),
-            F.min("low").alias("low"),
-            F.max_by("close", "event_time").alias("close"),
-            F.sum("volume").alias("volume"),
-            F.max("ingestion_time").alias("ingestion_time"),
-        )
-        .withColumns({"event_time": F.col("_slot.start"), "timeframe": F.col("_slot.timeframe")})
+    return _folded(rows.withColumn("_slot", F.explode(slots)), F.col("_slot.timeframe"), F.col("_slot.start"), key)
+
+
+def _folded(rows: DataFrame, timeframe: Column, start: Column, key: Sequence[str]) -> DataFrame:
+    """One candle per key and ``_slot``."""
+    out = rows.groupBy(*key, "_slot").agg(
+        F.min_by("open", "event_time").alias("open"),
+        F.max("high").alias("high"),
+        F.min("low").alias("low"),
+        F.max_by("close", "event_time").alias("close"),
+        F.sum("volume").alias("volume"),
+        F.max("ingestion_time").alias("ingestion_time"),
     )
-    return out.select(*OHLCV_COLUMNS)
+    return out.withColumns({"event_time": start, "timeframe": timeframe}).select(*OHLCV_COLUMNS)
+
+
+def cascade(candles: DataFrame, timeframes: Sequence[str], source_timeframe: str = "1m", key: Sequence[str] = ("source", "symbol")) -> DataFrame:
+    """Candles of several timeframes, each made of the next finer ones.
+
+    Every timeframe must be a multiple of the one before it, the first of
+    ``source_timeframe``.  The source is read once and reduced once: a level's
+    input is the level below, whose shuffle is reused (a chain of hash
+    aggregations, no row is copied per target)."""
+    out, finer, of = None, candles, source_timeframe
+    for tf in timeframes:
+        finer = resample(finer, tf, of, key)
+        out, of = finer if out is None else out.unionByName(finer), tf
+    if out is None:
+        raise ValueError("no timeframe to make")
+    return out
 
 
 def with_vwap(df: DataFrame, quote_volume: str = "quote_volume", volume: str = "volume") -> DataFrame:

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wickworks.operators import contract, quality, signals
-from wickworks.operators.candles import resample, ticks_to_candles, with_vwap
+from wickworks.operators import bitmaps, contract, gaps, quality, signals
+from wickworks.operators.candles import cascade, resample, ticks_to_candles, with_vwap
 from wickworks.operators.dedup import dedup_last
 from wickworks.operators.indicators import Ema, ema, indicators, row_index, sma
 from wickworks.plans import inputs
@@ -158,6 +158,15 @@ def _pages(spark, sf, corrected: bool = False) -> DataFrame:
     return pages
 
 
+def _damaged_pages(spark, sf) -> DataFrame:
+    """The pages as rows of klines, some with a price that is no number, a time that is none, or cut after three fields."""
+    rows = klines.explode_pages(_pages(spark, sf).select("symbol", F.from_json("value", klines.PAGE_TYPE).alias("page")))
+    hour = F.floor(F.get("k", F.lit(0)).cast("bigint") / 3_600_000)
+    at = lambda i, text: F.transform("k", lambda x, j: F.when(j == i, F.lit(text)).otherwise(x))
+    bad = F.when(hour % 50 == 7, at(1, "abc")).when(hour % 70 == 9, at(0, "x")).when(hour % 90 == 11, F.slice("k", 1, 3)).otherwise(F.col("k"))
+    return rows.withColumn("k", bad)
+
+
 def _landed_pages(spark, sf) -> str:
     """Write the pages as landed files (one folder per symbol, JSON Lines) and return the root."""
     root = _scratch(spark, "pages")
@@ -187,6 +196,12 @@ def q_kline_parse(spark, sf):
     return present(_parsed_klines(spark, sf).select(*OHLCV_COLUMNS))
 
 
+def q_kline_dirty(spark, sf):
+    """A damaged kline has null fields and fails validation by itself."""
+    rows = klines.klines_to_ohlcv(_damaged_pages(spark, sf), F.col("symbol"), "1h", "exchange", F.to_timestamp(F.lit("2024-03-01 00:00:00")))
+    return present(rows.withColumn("is_valid", contract.valid_flag(rows)).select(*OHLCV_COLUMNS, "is_valid"))
+
+
 def q_kline_vwap(spark, sf):
     df = with_vwap(_parsed_klines(spark, sf, extras=True))
     return present(df.select("event_time", "symbol", "quote_volume", "trades", "taker_buy_volume", "vwap"))
@@ -404,6 +419,40 @@ def q_gap_fill_dirty(spark, sf):
     return present(quality.gap_fill(_dirty_grid(spark, sf)).drop("ingestion_time"))
 
 
+def q_gap_ranges(spark, sf):
+    return present(gaps.gap_ranges(inputs.candles(spark, sf)))
+
+
+def q_gap_ranges_dirty(spark, sf):
+    """Candles off the grid fill their slots; days of orders have long gaps; an unknown timeframe is reported."""
+    return present(gaps.gap_ranges(_dirty_grid(spark, sf).unionByName(inputs.daily(spark, sf))))
+
+
+def q_candle_runs(spark, sf):
+    return present(gaps.candle_runs(inputs.candles(spark, sf).unionByName(inputs.daily(spark, sf))))
+
+
+def q_repair_windows(spark, sf):
+    return present(gaps.repair_windows(inputs.candles(spark, sf), limit=2))
+
+
+def q_completeness_bitmap(spark, sf):
+    """``completeness`` from slot bitmaps of two loads that overlap in time."""
+    candles = inputs.candles(spark, sf)
+    loads = [candles.where(F.col("event_time") < F.lit("2024-01-12").cast("timestamp")), candles.where(F.col("event_time") >= F.lit("2024-01-12").cast("timestamp"))]
+    return present(bitmaps.completeness_of(bitmaps.merge_bitmaps(*[bitmaps.slot_bitmaps(x) for x in loads])))
+
+
+def q_missing_by_month(spark, sf):
+    return present(bitmaps.months_of(bitmaps.slot_bitmaps(inputs.daily(spark, sf).unionByName(inputs.candles(spark, sf)))))
+
+
+def q_candle_cascade(spark, sf):
+    """Minutes to five minutes to hours to days, each from the next finer ones."""
+    minutes = ticks_to_candles(event_ticks(spark, sf), "1m")
+    return present(cascade(minutes, ("5m", "1h", "1d")))
+
+
 def q_resample_mixed(spark, sf):
     """A store that holds 1h and 4h candles of the same trades: days are made of the hours alone."""
     hours = inputs.candles(spark, sf)
@@ -491,6 +540,19 @@ def q_utc_write(spark, sf):
     return present(read_lake(spark, root).select(*OHLCV_COLUMNS))
 
 
+def q_write_bad_time(spark, sf):
+    """Rows whose time is no time are set apart as they came; the others are stored."""
+    from wickworks.sinks.lake import write_lake
+    from wickworks.sources.lake import read_lake
+
+    root, apart = _scratch(spark, "bad-time-lake"), _scratch(spark, "bad-time-rows")
+    hour = F.floor(F.unix_millis("event_time") / 3_600_000)
+    text = F.when(hour % 20 == 3, F.lit("garbage")).otherwise(F.date_format("event_time", "yyyy-MM-dd HH:mm:ss"))
+    write_lake(inputs.candles(spark, sf).withColumn("event_time", text), root, mode="overwrite", bad_times=apart)
+    rows = read_lake(spark, root).select("symbol", F.date_format("event_time", "yyyy-MM-dd HH:mm:ss").alias("time"), "close")
+    return present(rows.unionByName(spark.read.parquet(apart).select("symbol", F.col("event_time").alias("time"), "close")))
+
+
 def q_csv_roundtrip(spark, sf):
     from wickworks.plans.medallion import bronze_to_silver
     from wickworks.sinks.lake import write_csv_partitioned
@@ -792,6 +854,15 @@ QUERIES: dict[str, Query] = {
     "backfill_stats": q_backfill_stats,
     "stream_ema_nulls": q_stream_ema_nulls,
     "stream_gold": q_stream_gold,
+    "kline_dirty": q_kline_dirty,
+    "gap_ranges": q_gap_ranges,
+    "gap_ranges_dirty": q_gap_ranges_dirty,
+    "candle_runs": q_candle_runs,
+    "repair_windows": q_repair_windows,
+    "completeness_bitmap": q_completeness_bitmap,
+    "missing_by_month": q_missing_by_month,
+    "candle_cascade": q_candle_cascade,
+    "write_bad_time": q_write_bad_time,
     "stream_gold_late": q_stream_gold_late,
     "gold_incremental": q_gold_incremental,
     "stream_keep_last": q_stream_keep_last,
@@ -841,7 +912,55 @@ _DIRTY_MISSING = """SELECT source, symbol, timeframe, make_timestamp(slot * 3600
       SELECT source, symbol, timeframe, unnest(generate_series(min(hr), max(hr))) AS slot FROM c WHERE timeframe = '1h' GROUP BY 1, 2, 3)
     ANTI JOIN (SELECT source, symbol, timeframe, hr AS slot FROM c) USING (source, symbol, timeframe, slot)"""
 
+# hourly and daily slots of candles, with the slot of the candle before
+_SLOTTED = """SELECT *, lag(slot) OVER (PARTITION BY source, symbol, timeframe ORDER BY slot) AS p FROM (
+    SELECT DISTINCT source, symbol, timeframe, CAST(floor(epoch_ms(event_time) / unit) AS BIGINT) AS slot, unit
+    FROM (SELECT *, CASE timeframe WHEN '1h' THEN 3600000 WHEN '1d' THEN 86400000 END AS unit FROM ({rows})) WHERE unit IS NOT NULL)"""
+_GAPS = """SELECT source, symbol, timeframe, make_timestamp((p + 1) * unit * 1000) AS gap_start,
+    make_timestamp((slot - 1) * unit * 1000) AS gap_end, slot - p - 1 AS n_missing FROM ({slots}) WHERE slot > p + 1"""
+_TWO = f"SELECT * FROM ({_ALL}) UNION ALL BY NAME SELECT * FROM ({DAILY_SQL})"
+
+
+def _coarse_sql(tf: str, start: str) -> str:
+    return f"""SELECT {start} AS event_time, event_type AS symbol, '{tf}' AS timeframe,
+        {r6('arg_min(value, (ts, event_id, value))')} AS open, {r6('max(value)')} AS high, {r6('min(value)')} AS low,
+        {r6('arg_max(value, (ts, event_id, value))')} AS close, {r6('sum(value)')} AS volume, 'events' AS source, max(ts) AS ingestion_time
+        FROM events GROUP BY ALL"""
+
+
 ORACLE: dict[str, str] = {
+    "gap_ranges": _GAPS.format(slots=_SLOTTED.format(rows=_ALL)),
+    "gap_ranges_dirty": _GAPS.format(slots=_SLOTTED.format(rows=f"SELECT * FROM ({_DIRTY_GRID}) UNION ALL BY NAME SELECT * FROM ({DAILY_SQL})"))
+    + f" UNION ALL SELECT DISTINCT source, symbol, timeframe, CAST(NULL AS TIMESTAMP), CAST(NULL AS TIMESTAMP), CAST(NULL AS BIGINT) FROM ({_DIRTY_GRID}) WHERE timeframe = '1s'",
+    "candle_runs": f"""SELECT source, symbol, timeframe, make_timestamp(min(slot) * unit * 1000) AS run_start,
+        make_timestamp(max(slot) * unit * 1000) AS run_end, count(*) AS n_candles
+        FROM (SELECT *, slot - row_number() OVER (PARTITION BY source, symbol, timeframe ORDER BY slot) AS island FROM ({_SLOTTED.format(rows=_TWO)}))
+        GROUP BY source, symbol, timeframe, unit, island""",
+    "repair_windows": f"""WITH g AS (SELECT symbol, (p + 1) * 3600000 AS start_ms, slot * 3600000 AS end_ms FROM ({_SLOTTED.format(rows=_ALL)}) WHERE slot > p + 1),
+        w AS (SELECT symbol, end_ms, unnest(generate_series(start_ms, end_ms - 1, 7200000)) AS window_start FROM g)
+        SELECT symbol, '1h' AS interval, CAST(window_start AS BIGINT) AS window_start, CAST(least(window_start + 7200000, end_ms) AS BIGINT) AS window_end,
+          CAST(2 AS BIGINT) AS "limit" FROM w""",
+    "completeness_bitmap": f"""SELECT source, symbol, timeframe, min(event_time) AS first_event, max(event_time) AS last_event, count(*) AS present,
+        CAST(floor(epoch_ms(max(event_time)) / 3600000) - floor(epoch_ms(min(event_time)) / 3600000) + 1 AS BIGINT) AS expected,
+        CAST((date_diff('day', CAST(min(event_time) AS DATE), CAST(max(event_time) AS DATE)) + 1) * 24 AS BIGINT) AS estimated,
+        {r6('count(*) / (floor(epoch_ms(max(event_time)) / 3600000) - floor(epoch_ms(min(event_time)) / 3600000) + 1)')} AS ratio,
+        CAST(floor(epoch_ms(max(event_time)) / 3600000) - floor(epoch_ms(min(event_time)) / 3600000) + 1 AS BIGINT) - count(*) AS missing
+        FROM ({_ALL}) GROUP BY 1, 2, 3""",
+    "missing_by_month": f"""WITH c AS ({_TWO}),
+        r AS (SELECT source, symbol, timeframe, unnest(generate_series(min(event_time), max(event_time), CASE timeframe WHEN '1h' THEN INTERVAL 1 HOUR ELSE INTERVAL 1 DAY END)) AS event_time
+              FROM c GROUP BY source, symbol, timeframe)
+        SELECT r.source, r.symbol, r.timeframe, year(r.event_time) AS year, month(r.event_time) AS month, count(*) AS n_slots, count(*) - count(c.event_time) AS n_missing
+        FROM r LEFT JOIN c ON r.source = c.source AND r.symbol = c.symbol AND r.timeframe = c.timeframe AND r.event_time = c.event_time GROUP BY ALL""",
+    "candle_cascade": " UNION ALL ".join(_coarse_sql(tf, start) for tf, start in (
+        ("5m", "time_bucket(INTERVAL 5 MINUTE, ts)"), ("1h", "date_trunc('hour', ts)"), ("1d", "date_trunc('day', ts)"))),
+    "write_bad_time": f"""SELECT symbol, CASE WHEN CAST(floor(epoch_ms(event_time) / 3600000) AS BIGINT) % 20 = 3 THEN 'garbage'
+        ELSE strftime(event_time, '%Y-%m-%d %H:%M:%S') END AS time, {r6('close')} AS close FROM ({_ALL})""",
+    "kline_dirty": f"""SELECT CASE WHEN NOT bad_time THEN event_time END AS event_time, symbol, timeframe, {r6('CASE WHEN NOT bad_open THEN open END')} AS open,
+        {r6('high')} AS high, {r6('CASE WHEN NOT cut THEN low END')} AS low, {r6('CASE WHEN NOT cut THEN close END')} AS close,
+        {r6('CASE WHEN NOT cut THEN volume END')} AS volume, 'exchange' AS source, TIMESTAMP '2024-03-01 00:00:00' AS ingestion_time,
+        NOT (bad_open OR bad_time OR cut) AS is_valid
+        FROM (SELECT *, hr % 50 = 7 AS bad_open, hr % 50 <> 7 AND hr % 70 = 9 AS bad_time, hr % 50 <> 7 AND hr % 70 <> 9 AND hr % 90 = 11 AS cut
+              FROM (SELECT *, CAST(floor(epoch_ms(event_time) / 3600000) AS BIGINT) AS hr FROM ({_ALL})))""",
     "fetch_windows_edge": """WITH req AS (
           SELECT event_type AS symbol, epoch_ms(min(date_trunc('day', ts))) AS start_ms, count(*) AS n FROM events GROUP BY 1),
         r AS (SELECT symbol, start_ms, start_ms + ([0, -5, 1, 3600000])[CAST(n % 4 + 1 AS INTEGER)] AS end_ms FROM req),

@@ -68,6 +68,6 @@ def merge_months(spark: SparkSession, root: str, new: DataFrame, max_rows_per_fi
     staged = scratch_path(spark, "merged-months")
     merged = dedup_last(both, order=("run", "ingestion_time", "seq")).select(*OHLCV_COLUMNS)
     merged.write.parquet(staged)
-    write_lake(spark.read.schema(merged.schema).parquet(staged), root, mode="overwrite", max_rows_per_file=max_rows_per_file)
+    write_lake(spark.read.schema(merged.schema).parquet(staged), root, mode="overwrite", max_rows_per_file=max_rows_per_file, keep_last=False)
     files = [r[0] for r in lake_files(in_months(read_lake(spark, root), months)).collect()]
     return Merged(months, files, staged)

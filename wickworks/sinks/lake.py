@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wickworks.functions.time import to_utc_timestamp_col
+from wickworks.functions.time import to_utc_timestamp_col, unreadable_time
 from wickworks.operators.dedup import dedup_last
 from wickworks.schema import DEFAULT_MAX_ROWS_PER_FILE, OHLCV_COLUMNS, SERIES_KEY
 
@@ -28,15 +28,28 @@ def write_lake(
     mode: str = "append",
     max_rows_per_file: int = DEFAULT_MAX_ROWS_PER_FILE,
     partitions: tuple[str, ...] = ("source", "symbol", "timeframe", "year", "month"),
-    keep_last: bool = False,
+    keep_last: bool = True,
+    bad_times: str | None = None,
 ) -> None:
     """Write contract rows to ``root/source=/symbol=/timeframe=/year=/month=``.
 
     ``mode="overwrite"`` replaces only the partitions present in ``df``
     (dynamic partition overwrite); ``append`` adds files next to the existing ones.
     ``keep_last`` leaves one row per key (the last by ingestion_time and ``seq``,
-    if there is one).  Times are brought to UTC (C3, C4)."""
-    df = df.withColumns({c: to_utc_timestamp_col(df, c) for c in ("event_time", "ingestion_time")})
+    if there is one); False for rows that have one per key already.  Times are
+    brought to UTC (C3, C4).  A row with text that is no time ends the write with
+    an error; with the folder ``bad_times`` such rows are appended there as they
+    came (Parquet), and the others are written."""
+    times = ("event_time", "ingestion_time")
+    bad = unreadable_time(df, *times)
+    if bad_times is not None:
+        df.where(bad).write.mode("append").parquet(bad_times)
+        df = df.where(~bad)
+    elif any(df.schema[c].dataType.typeName() == "string" for c in times):
+        what = F.concat_ws(", ", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in times])
+        error = F.raise_error(F.concat(F.lit("no time that can be read: "), what)).cast("boolean")
+        df = df.where(F.when(bad, error).otherwise(F.lit(True)))
+    df = df.withColumns({c: to_utc_timestamp_col(df, c) for c in times})
     if keep_last:
         df = dedup_last(df)
     out = with_partition_columns(df.select(*OHLCV_COLUMNS))

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wickworks.functions.numeric import to_double
 from wickworks.functions.time import from_epoch_ms, timeframe_ms
 from wickworks.schema import KLINE_POSITIONS, MAX_PAGE_LIMIT, OHLCV_COLUMNS
 
@@ -52,7 +53,7 @@ def explode_pages(pages: DataFrame, page_col: str = "page") -> DataFrame:
 
 
 def _pos(k: Column, name: str) -> Column:
-    return F.element_at(k, KLINE_POSITIONS[name] + 1)
+    return F.get(k, F.lit(KLINE_POSITIONS[name]))
 
 
 def klines_to_ohlcv(
@@ -67,30 +68,32 @@ def klines_to_ohlcv(
     """Kline arrays -> contract rows (C1): open time ms -> UTC time, prices -> double.
 
     ``symbol``/``timeframe``/``source`` may be literals or columns; one
-    ``ingestion_time`` per run (default: the query's current time)."""
+    ``ingestion_time`` per run (default: the query's current time).  A field that is
+    missing or can't be read is null: such a kline fails validation, and the others
+    of its page don't."""
     kc = F.col(k)
 
     def lit_or_col(v):
         return v if isinstance(v, Column) else F.lit(v)
 
     cols = {
-        "event_time": from_epoch_ms(_pos(kc, "open_time").cast("bigint")),
+        "event_time": from_epoch_ms(_pos(kc, "open_time").try_cast("bigint")),
         "symbol": lit_or_col(symbol),
         "timeframe": lit_or_col(timeframe),
-        "open": _pos(kc, "open").cast("double"),
-        "high": _pos(kc, "high").cast("double"),
-        "low": _pos(kc, "low").cast("double"),
-        "close": _pos(kc, "close").cast("double"),
-        "volume": _pos(kc, "volume").cast("double"),
+        "open": to_double(_pos(kc, "open")),
+        "high": to_double(_pos(kc, "high")),
+        "low": to_double(_pos(kc, "low")),
+        "close": to_double(_pos(kc, "close")),
+        "volume": to_double(_pos(kc, "volume")),
         "source": lit_or_col(source),
         "ingestion_time": ingestion_time if ingestion_time is not None else F.current_timestamp(),
     }
     out = [cols[c].alias(c) for c in OHLCV_COLUMNS]
     if extras:
         out += [
-            _pos(kc, "quote_volume").cast("double").alias("quote_volume"),
-            _pos(kc, "trades").cast("bigint").alias("trades"),
-            _pos(kc, "taker_buy_volume").cast("double").alias("taker_buy_volume"),
+            to_double(_pos(kc, "quote_volume")).alias("quote_volume"),
+            _pos(kc, "trades").try_cast("bigint").alias("trades"),
+            to_double(_pos(kc, "taker_buy_volume")).alias("taker_buy_volume"),
         ]
     keep = [c for c in klines.columns if c not in cols and c != k]
     return klines.select(*keep, *out)
