@@ -1,5 +1,8 @@
+import random
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.cases import edge_rows, frame, jaccard_classes, random_texts
 from wickworks.llm import chosenpath, decontam
@@ -8,8 +11,6 @@ from wickworks.llm.graph import components
 
 def near_texts(seed, n=50):
     """Random texts, and copies of them with a few words changed."""
-    import random
-
     rng = random.Random(seed)
     out = random_texts(seed, n, 3000, 200)
     for i in range(0, n, 3):
@@ -39,6 +40,25 @@ def test_many_near_copies_in_small_buckets_and_tiles(spark):
     assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in got} == dict(enumerate(want))
 
 
+def test_large_buckets_lose_no_link(spark):
+    rng = random.Random(12)
+    base = [f"b{i}" for i in range(150)]
+    texts = []
+    for _ in range(160):  # copies of one text with few and many changes, and strangers that share its beginning
+        body = list(base)
+        for _ in range(rng.choice((1, 2, 4, 6))):
+            body[rng.randrange(len(body))] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(body))
+    texts += [" ".join(base[:60] + [f"s{i}_{j}" for j in range(100)]) for i in range(60)]
+    want = jaccard_classes(texts)
+    sets = chosenpath._sets(chosenpath.keyed_texts(frame(spark, texts)), 5, 64)
+    classes = sets.select(F.col("ord").alias("cid"), "sig")
+    for leaders in (16, 2):
+        group = {r["id"]: r["comp"] for r in chosenpath.loose_groups(classes, 0.8, 0.99, bucket=8, leaders=leaders).collect()}
+        apart = sum(group.get(i, -i - 1) != group.get(lead, -lead - 1) for i, (lead, _) in enumerate(want))
+        assert apart <= 2 and len({group.get(i, -i - 1) for i in range(160, 220)}) >= 30
+
+
 def test_jaccard_join_of_edge_rows(spark):
     rows = edge_rows()
     got = sorted(((r["doc_id"], r["class_id"], r["n_links"]) for r in chosenpath.jaccard_join(frame(spark, rows)).collect()), key=str)
@@ -101,8 +121,6 @@ def test_signatures_estimate_jaccard():
 
 
 def test_components(spark):
-    import random
-
     rng = random.Random(4)
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(30)] + [(7, 7)]
     lead = {x: x for e in edges for x in e}
@@ -138,8 +156,6 @@ def brute_tiles(item, text, shortest):
 
 
 def test_tiles_match_brute_force():
-    import random
-
     rng = random.Random(11)
     for _ in range(60):
         item = np.array([rng.randrange(1, 9) for _ in range(rng.randrange(5, 30))], np.uint64)

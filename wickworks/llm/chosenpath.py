@@ -3,11 +3,13 @@
 Documents with equal shingle sets are one class; classes have minhash
 signatures.  From the root, a class follows a few of the signature's places,
 chosen at random but alike for all classes on the same path, and meets in a
-bucket those with equal values there.  Large buckets are split again the same
-way; small ones are compared by brute force on bit sketches; a bucket that is
-still large at the deepest level holds classes alike nearly everywhere and is
-kept together.  Runs with other random choices are repeated as often as the
-target recall asks for.
+bucket those with equal values there.  Small buckets are compared by brute force
+on bit sketches.  Of a large bucket a few classes lead: those near a leader are
+settled by a tie to it, as whatever they are linked to lies within reach of that
+leader and is tied to it too; the rest is split again the same way.  A bucket
+that is still large at the deepest level holds classes alike nearly everywhere
+and is kept together.  Runs with other random choices are repeated as often as
+the target recall asks for.
 
 That yields groups that hold every link found.  Inside a group all pairs are
 then compared on their whole sets, in tiles of bounded size, and only counts
@@ -39,6 +41,11 @@ RECALL = 0.99
 # Chance that sketches rule out a pair at the threshold, in all runs alike.
 SKETCH_LOSS = 1e-7
 TILE_BYTES = 8 << 20
+# Large buckets: leaders (on average), places at which a settled class may differ from its leader, and
+# the chance that a pair at the threshold differs at more places than a tie reaches beyond that.
+LEADERS = 16
+SETTLED = 12
+REACH_LOSS = 1e-4
 
 
 def shingles(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -133,6 +140,12 @@ def least_agreement(threshold: float, loss: float = SKETCH_LOSS, places: int = P
     return int(np.searchsorted(np.cumsum(chance), loss, side="right"))
 
 
+def most_apart(threshold: float, loss: float = REACH_LOSS, places: int = PLACES) -> int:
+    """The number of places that two signatures at the threshold differ at, more only with a chance of ``loss``."""
+    share = [math.comb(places, k) * (1 - threshold) ** k * threshold ** (places - k) for k in range(places + 1)]
+    return int(np.searchsorted(np.cumsum(share), 1 - loss))
+
+
 def _children(paths: np.ndarray, sig: np.ndarray, chance: float) -> tuple[np.ndarray, np.ndarray]:
     """(number of the row, path of the child) for the places that each path chooses."""
     places = np.arange(sig.shape[1], dtype=np.uint64)
@@ -209,11 +222,48 @@ def _bucket_edges(buckets: DataFrame, agree: int) -> DataFrame:
     return buckets.mapInArrow(compare, "a long, b long")
 
 
-def loose_groups(classes: DataFrame, threshold: float, recall: float, places: int = PLACES, bucket: int = BUCKET, depth: int = DEPTH) -> DataFrame:
+def _settled(large: DataFrame, sizes: DataFrame, threshold: float, places: int, leaders: int) -> DataFrame:
+    """(path, cid, s1, s2, sig, settled, ties) of the classes of large buckets: the leaders that each is tied to, and is it near one.
+
+    The places at which signatures differ are a distance: a class linked to a
+    settled one is at most ``SETTLED`` and ``most_apart`` places away from its
+    leader, which is as far as ties reach.  A class is tied to the first leader
+    of each set of leaders that are themselves within reach of one another.
+    """
+    reach = places - min(places, SETTLED + most_apart(threshold, places=places))
+    unit = 1 << 30
+    chosen = F.pmod(F.xxhash64("cid", "path"), F.lit(unit)) < F.lit(leaders * unit) / F.col("size")
+    lead = large.select("path", "cid", "sig").join(sizes, "path").where(chosen)
+    lead = written(lead.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("cid", "sig"))).alias("leaders")), "path-leaders")  # a few a bucket, however large it is
+
+    def tie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sig = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint32).reshape(-1, places)
+            path, lists = batch.column(0).to_numpy(), batch.column(5)
+            settled, ties = np.zeros(len(sig), bool), [[] for _ in range(len(sig))]
+            _, first, at = np.unique(path, return_index=True, return_inverse=True)
+            for k, i in enumerate(first):
+                found = lists[int(i)].as_py()
+                if not found:
+                    continue
+                rows = np.flatnonzero(at == k)
+                cid, of = np.array([x["cid"] for x in found]), np.frombuffer(b"".join(x["sig"] for x in found), np.uint32).reshape(-1, places)
+                heads = _leaders((of[:, None] == of[None]).sum(axis=2) >= reach)
+                alike = (sig[rows][:, None] == of[None]).sum(axis=2)
+                settled[rows] = alike.max(axis=1) >= places - SETTLED
+                for r, near in zip(rows, alike >= reach):
+                    ties[r] = cid[np.unique(heads[near])].tolist()
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(settled), pa.array(ties, pa.list_(pa.int64()))], names=[*batch.schema.names[:5], "settled", "ties"])
+
+    both = large.select("path", "cid", "s1", "s2", "sig").join(lead, "path", "left")
+    return written(both.mapInArrow(tie, "path long, cid long, s1 long, s2 long, sig binary, settled boolean, ties array<long>"), "path-ties")
+
+
+def loose_groups(classes: DataFrame, threshold: float, recall: float, places: int = PLACES, bucket: int = BUCKET, depth: int = DEPTH, leaders: int = LEADERS) -> DataFrame:
     """(id, comp): groups of classes (cid, sig) that hold all links found by chosen paths."""
     agree = least_agreement(threshold, places=places)
     rows = _split(classes.select("cid", "sig"), threshold, places, runs_for(recall, threshold, depth, places))
-    small = None
+    small = ties = None
     for level in range(1, depth + 1):
         # the few classes of large buckets carry their signatures from level to level
         rows = written(rows, "paths")
@@ -225,10 +275,17 @@ def loose_groups(classes: DataFrame, threshold: float, recall: float, places: in
             break
         if level == 1:
             large = large.join(classes.select("cid", "sig"), "cid")
-        rows = _split(large.select("cid", "sig", "path"), threshold, places)
+        seen = _settled(large, sizes.where(F.col("size") > bucket), threshold, places, leaders)
+        tied = seen.select(F.explode("ties").alias("a"), F.col("cid").alias("b"))
+        ties = tied if ties is None else ties.unionByName(tied)
+        left = seen.where("NOT settled").drop("settled", "ties")
+        still = written(left.groupBy("path").agg(F.count("*").alias("size")), "path-sizes")
+        small = small.unionByName(left.join(still.where(F.col("size") <= bucket).select("path"), "path").select("path", "cid", "s1", "s2"))
+        rows = _split(left.join(still.where(F.col("size") > bucket).select("path"), "path").select("cid", "sig", "path"), threshold, places)
     edges = _bucket_edges(small.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("cid", "s1", "s2"))).alias("members")).select("members"), agree)
     first = large.groupBy("path").agg(F.min("cid").alias("a"))
-    return components(edges.unionByName(large.join(first, "path").select("a", F.col("cid").alias("b"))))
+    edges = edges.unionByName(large.join(first, "path").select("a", F.col("cid").alias("b")))
+    return components(edges if ties is None else edges.unionByName(ties))
 
 
 def _compare(a: list[np.ndarray], b: list[np.ndarray] | None, threshold: float) -> np.ndarray:
