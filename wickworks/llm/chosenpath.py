@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -223,7 +224,7 @@ def _bucket_edges(buckets: DataFrame, agree: int) -> DataFrame:
 
 
 def _settled(large: DataFrame, sizes: DataFrame, threshold: float, places: int, leaders: int) -> DataFrame:
-    """(path, cid, s1, s2, sig, settled, ties) of the classes of large buckets: the leaders that each is tied to, and is it near one.
+    """(path, cid, sig, settled, ties) of the classes of large buckets: the leaders that each is tied to, and is it near one.
 
     The places at which signatures differ are a distance: a class linked to a
     settled one is at most ``SETTLED`` and ``most_apart`` places away from its
@@ -238,8 +239,8 @@ def _settled(large: DataFrame, sizes: DataFrame, threshold: float, places: int,
 
     def tie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sig = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint32).reshape(-1, places)
-            path, lists = batch.column(0).to_numpy(), batch.column(5)
+            sig = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint32).reshape(-1, places)
+            path, lists = batch.column(0).to_numpy(), batch.column(3)
             settled, ties = np.zeros(len(sig), bool), [[] for _ in range(len(sig))]
             _, first, at = np.unique(path, return_index=True, return_inverse=True)
             for k, i in enumerate(first):
@@ -253,10 +254,12 @@ def _settled(large: DataFrame, sizes: DataFrame, threshold: float, places: int,
                 settled[rows] = alike.max(axis=1) >= places - SETTLED
                 for r, near in zip(rows, alike >= reach):
                     ties[r] = cid[np.unique(heads[near])].tolist()
-            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(settled), pa.array(ties, pa.list_(pa.int64()))], names=[*batch.schema.names[:5], "settled", "ties"])
+            rest = pc.if_else(pa.array(settled), pa.scalar(None, pa.binary()), batch.column(2))  # a settled class needs its signature no more
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], rest, pa.array(settled), pa.array(ties, pa.list_(pa.int64()))], names=["path", "cid", "sig", "settled", "ties"])
 
-    both = large.select("path", "cid", "s1", "s2", "sig").join(lead, "path", "left")
-    return written(both.mapInArrow(tie, "path long, cid long, s1 long, s2 long, sig binary, settled boolean, ties array<long>"), "path-ties")
+    # sort-merge at every size: what a small input would broadcast, a large one can't
+    both = large.select("path", "cid", "sig").join(lead.hint("merge"), "path", "left")
+    return written(both.mapInArrow(tie, "path long, cid long, sig binary, settled boolean, ties array<long>"), "path-ties")
 
 
 def loose_groups(classes: DataFrame, threshold: float, recall: float, places: int = PLACES, bucket: int = BUCKET, depth: int = DEPTH, leaders: int = LEADERS) -> DataFrame:
@@ -274,14 +277,11 @@ def loose_groups(classes: DataFrame, threshold: float, recall: float, places: in
         if level == depth or sizes.where(F.col("size") > bucket).isEmpty():
             break
         if level == 1:
-            large = large.join(classes.select("cid", "sig"), "cid")
-        seen = _settled(large, sizes.where(F.col("size") > bucket), threshold, places, leaders)
+            large = large.join(classes.select("cid", "sig").hint("merge"), "cid")
+        seen = _settled(written(large, "path-large"), sizes.where(F.col("size") > bucket), threshold, places, leaders)
         tied = seen.select(F.explode("ties").alias("a"), F.col("cid").alias("b"))
         ties = tied if ties is None else ties.unionByName(tied)
-        left = seen.where("NOT settled").drop("settled", "ties")
-        still = written(left.groupBy("path").agg(F.count("*").alias("size")), "path-sizes")
-        small = small.unionByName(left.join(still.where(F.col("size") <= bucket).select("path"), "path").select("path", "cid", "s1", "s2"))
-        rows = _split(left.join(still.where(F.col("size") > bucket).select("path"), "path").select("cid", "sig", "path"), threshold, places)
+        rows = _split(seen.where("NOT settled").select("cid", "sig", "path"), threshold, places)
     edges = _bucket_edges(small.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("cid", "s1", "s2"))).alias("members")).select("members"), agree)
     first = large.groupBy("path").agg(F.min("cid").alias("a"))
     edges = edges.unionByName(large.join(first, "path").select("a", F.col("cid").alias("b")))
