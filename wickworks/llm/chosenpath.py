@@ -47,6 +47,8 @@ TILE_BYTES = 8 << 20
 LEADERS = 16
 SETTLED = 12
 REACH_LOSS = 1e-4
+# Leaders of all large buckets of a level are broadcast up to this size.
+LEADER_BYTES = 32 << 20
 
 
 def shingles(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -257,8 +259,9 @@ def _settled(large: DataFrame, sizes: DataFrame, threshold: float, places: int,
             rest = pc.if_else(pa.array(settled), pa.scalar(None, pa.binary()), batch.column(2))  # a settled class needs its signature no more
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], rest, pa.array(settled), pa.array(ties, pa.list_(pa.int64()))], names=["path", "cid", "sig", "settled", "ties"])
 
-    # sort-merge at every size: what a small input would broadcast, a large one can't
-    both = large.select("path", "cid", "sig").join(lead.hint("merge"), "path", "left")
+    # the leaders of some thousand buckets are small, whatever the buckets' sizes; those of more are joined by a shuffle
+    most = F.broadcast(lead) if sizes.count() * leaders * (places * 4 + 8) <= LEADER_BYTES else lead.hint("merge")
+    both = large.select("path", "cid", "sig").join(most, "path", "left")
     return written(both.mapInArrow(tie, "path long, cid long, sig binary, settled boolean, ties array<long>"), "path-ties")
 
 
