@@ -47,7 +47,7 @@ TILE_BYTES = 8 << 20
 LEADERS = 16
 SETTLED = 12
 REACH_LOSS = 1e-4
-# Leaders of all large buckets of a level are broadcast up to this size.
+# Leaders of a level's large buckets, and the members of the first level's, are broadcast up to this size.
 LEADER_BYTES = 32 << 20
 
 
@@ -165,24 +165,34 @@ def _sketches(sig: np.ndarray) -> np.ndarray:
 
 
 def _split(rows: DataFrame, threshold: float, places: int, runs: int | None = None) -> DataFrame:
-    """Each class in the next buckets: (path, cid, s1, s2) of all runs from the root for rows (cid, sig),
-    or (path, cid, s1, s2, sig) for rows (cid, sig, path)."""
-    names = ["path", "cid", "s1", "s2", "sig"][: 4 if runs else 5]
+    """Each class in the next buckets: (path, cid) of all runs from the root for rows (cid, sig),
+    or (path, cid, sig) for rows (cid, sig, path)."""
+    names = ["path", "cid", "sig"][: 2 if runs else 3]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for k in range(0, whole.num_rows, 4096):
                 batch = whole.slice(k, 4096)
                 sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, places)
-                bits = _sketches(sig)
                 cid = batch.column(0).to_numpy()
                 starts = [np.full(len(cid), mix(np.array([r + 1], np.uint64))[0]) for r in range(runs)] if runs else [batch.column(2).to_numpy().view(np.uint64)]
                 for paths in starts:
                     row, child = _children(paths, sig, 1 / (threshold * places))
-                    columns = [pa.array(as_long(child)), pa.array(cid[row]), pa.array(bits[row, 0]), pa.array(bits[row, 1])]
+                    columns = [pa.array(as_long(child)), pa.array(cid[row])]
                     yield pa.RecordBatch.from_arrays(columns if runs else [*columns, batch.column(1).take(pa.array(row))], names=names)
 
-    return rows.mapInArrow(deal, "path long, cid long, s1 long, s2 long" + ("" if runs else ", sig binary"))
+    return rows.mapInArrow(deal, "path long, cid long" + ("" if runs else ", sig binary"))
+
+
+def _sketched(classes: DataFrame, places: int) -> DataFrame:
+    """(cid, s1, s2) of classes (cid, sig)."""
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = _sketches(np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, places))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits[:, 0]), pa.array(bits[:, 1])], names=["cid", "s1", "s2"])
+
+    return classes.select("cid", "sig").mapInArrow(sketch, "cid long, s1 long, s2 long")
 
 
 def _leaders(linked: np.ndarray) -> np.ndarray:
@@ -274,17 +284,20 @@ def loose_groups(classes: DataFrame, threshold: float, recall: float, places: in
         # the few classes of large buckets carry their signatures from level to level
         rows = written(rows, "paths")
         sizes = written(rows.groupBy("path").agg(F.count("*").alias("size")).where("size > 1"), "path-sizes")
-        few = rows.join(sizes.where(F.col("size") <= bucket).select("path"), "path").select("path", "cid", "s1", "s2")
+        few = rows.join(sizes.where(F.col("size") <= bucket).select("path"), "path").select("path", "cid")
         small = few if small is None else small.unionByName(few)
         large = rows.join(sizes.where(F.col("size") > bucket).select("path"), "path")
         if level == depth or sizes.where(F.col("size") > bucket).isEmpty():
             break
+        big = sizes.where(F.col("size") > bucket)
         if level == 1:
-            large = large.join(classes.select("cid", "sig").hint("merge"), "cid")
-        seen = _settled(written(large, "path-large"), sizes.where(F.col("size") > bucket), threshold, places, leaders)
+            fits = big.agg(F.sum("size")).first()[0] * 16 <= LEADER_BYTES
+            large = (F.broadcast(large) if fits else large.hint("merge")).join(classes.select("cid", "sig"), "cid")
+        seen = _settled(written(large.select("path", "cid", "sig"), "path-large"), big, threshold, places, leaders)
         tied = seen.select(F.explode("ties").alias("a"), F.col("cid").alias("b"))
         ties = tied if ties is None else ties.unionByName(tied)
         rows = _split(seen.where("NOT settled").select("cid", "sig", "path"), threshold, places)
+    small = small.join(_sketched(classes, places).hint("merge"), "cid")
     edges = _bucket_edges(small.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("cid", "s1", "s2"))).alias("members")).select("members"), agree)
     first = large.groupBy("path").agg(F.min("cid").alias("a"))
     edges = edges.unionByName(large.join(first, "path").select("a", F.col("cid").alias("b")))
