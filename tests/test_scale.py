@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from wickworks.operators.indicators import Ema, ema
+from wickworks.operators.indicators import Ema, ema, indicators
 from wickworks.operators.scan import add_blocks, materialize
 from wickworks.schema import OHLCV_SCHEMA, SERIES_KEY, ema_alpha
 
@@ -86,3 +86,19 @@ def test_stream_ema_counts_late_rows(spark, tmp_dir):
     for i, r in enumerate(got):
         y = r.close if i == 0 else 0.1 * r.close + 0.9 * y
         assert abs(r.e - y) < 1e-9
+
+
+def test_pass_table_gets_more_buckets_when_its_rows_need_them(spark, monkeypatch):
+    from wickworks.operators import scan
+
+    rows = spark.range(3000).selectExpr("timestamp_seconds(id * 60) AS event_time", "'S' AS symbol", "'s' AS source", "'1m' AS timeframe", "CAST(id % 97 AS double) AS close")
+    want = {r["event_time"]: r["idx"] for r in indicators(rows, keep_internal=True).collect()}
+    before = scan.pass_tables(spark)
+    monkeypatch.setattr(scan, "ROWS_PER_BUCKET", 300)
+    got = indicators(rows, keep_internal=True)
+    made = scan.pass_tables(spark) - before
+    assert len(made) == 1
+    shown = spark.sql(f"DESCRIBE TABLE EXTENDED {made.pop()}").where("col_name = 'Num Buckets'").first()["data_type"]
+    assert int(shown) == 10 and {r["event_time"]: r["idx"] for r in got.collect()} == want
+    scan.release(spark, keep=before)
+    assert scan.pass_tables(spark) == before

@@ -445,10 +445,8 @@ def _scan_pass(
     if with_ends:
         carries = _written(carries, "block-carries")
         after = block_ends(elems, carries, keys, combine)
-    for ch in channels:
-        if hasattr(ch, "carry_fields"):
-            carries = carries.withColumn("_carry", F.when(F.col("_carry").isNotNull(), ch.carry_fields(F.col("_carry"))))
-    df = attach_carries(df, carries, keys)
+    finish = next((ch.carry_fields for ch in channels if hasattr(ch, "carry_fields")), None)
+    df = attach_carries(df, carries, keys, finish)
     fin = {"_pos": F.coalesce(F.col("_c")["n"], F.lit(0)) + F.col("_kb")}
     for ch in channels:
         fin.update(ch.finalize_cols())

@@ -40,6 +40,8 @@ from wickworks.session import scratch_path
 PASS_TABLE = "wickworks_scan_"
 BLOCK_ROWS = 512
 FANOUT = 64
+# Rows of a pass table per bucket (one task each) on average, over which it gets more buckets.
+ROWS_PER_BUCKET = 4_000_000
 # Time range the static depth is planned for; data outside it stays correct,
 # the top group just holds more than FANOUT elements.
 PLANNED_RANGE_US = 130 * 365 * 86_400 * 1_000_000  # 1970 .. 2100
@@ -115,7 +117,7 @@ def add_blocks(
     }).drop("_k")
 
 
-def materialize(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
+def materialize(df: DataFrame, keys: Sequence[str]) -> "tuple[DataFrame, FoldPlan]":
     """Write the blocked rows once, bucketed by (key, bucket), to the shared checkpoint
     folder (``spark.checkpoint.dir``) and continue from that table.
 
@@ -125,9 +127,12 @@ def materialize(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
     * the bucketed scan reports hash partitioning on (key, bucket), so the block
       windows and the carry join run without another shuffle of the rows.
 
-    Also returns the observed bucket span (max - min + 1 over all rows, gathered
-    by ``observe`` during the write, no extra job), which bounds the number of
-    blocks per series and so the fold depth."""
+    There are as many buckets as shuffle partitions; a table of more than
+    ``ROWS_PER_BUCKET`` rows a bucket is written once more with as many as it needs.
+
+    Also returns the fold plan for the observed bucket span (max - min + 1 over all
+    rows, gathered by ``observe`` during the write, no extra job), which bounds the
+    number of blocks per series and so the fold depth."""
     import uuid
 
     from pyspark.sql import Observation
@@ -137,39 +142,55 @@ def materialize(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     except (TypeError, ValueError):
         n = spark.sparkContext.defaultParallelism
-    tag = uuid.uuid4().hex
-    obs = Observation(f"span_{tag}")
-    (
-        df.repartition(n, *keys, "_bucket")
-        .observe(obs, F.min("_bucket").alias("lo"), F.max("_bucket").alias("hi"), F.max("_sub").alias("subs"))
-        .write.mode("overwrite")
-        .format("parquet")
-        .option("path", scratch_path(spark, "scan"))
-        .bucketBy(n, *keys, "_bucket")
-        .sortBy(*keys, "_bucket", "_sub", "_kb")
-        .saveAsTable(f"{PASS_TABLE}{tag}")
-    )
-    m = obs.get
+
+    def write(rows: DataFrame, buckets: int) -> tuple[str, dict]:
+        tag = uuid.uuid4().hex
+        obs = Observation(f"span_{tag}")
+        (
+            rows.repartition(buckets, *keys, "_bucket")
+            .observe(obs, F.min("_bucket").alias("lo"), F.max("_bucket").alias("hi"), F.max("_sub").alias("subs"), F.count(F.lit(1)).alias("rows"))
+            .write.mode("overwrite")
+            .format("parquet")
+            .option("path", scratch_path(spark, "scan"))
+            .bucketBy(buckets, *keys, "_bucket")
+            .sortBy(*keys, "_bucket", "_sub", "_kb")
+            .saveAsTable(f"{PASS_TABLE}{tag}")
+        )
+        return f"{PASS_TABLE}{tag}", obs.get
+
+    name, m = write(df, n)
+    needed = -(-int(m.get("rows") or 0) // ROWS_PER_BUCKET)
+    if needed > n:  # too few buckets for that many rows: deal them out once more
+        small, (name, m) = name, write(spark.table(name), needed)
+        drop_pass(spark, small)
     lo, hi, subs = m.get("lo"), m.get("hi"), m.get("subs")
     span = 1 if lo is None or hi is None else int(hi) - int(lo) + 1
-    return spark.table(f"{PASS_TABLE}{tag}"), FoldPlan.for_span(span, 1 + int(subs or 0))
+    return spark.table(name), FoldPlan.for_span(span, 1 + int(subs or 0))
+
+
+def pass_tables(spark: SparkSession) -> set[str]:
+    """Names of the pass tables of this session's scans."""
+    return {t.name for t in spark.catalog.listTables() if t.name.startswith(PASS_TABLE)}
+
+
+def drop_pass(spark: SparkSession, name: str) -> None:
+    """Drop a pass table and delete its files."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
+    spark.sql(f"DROP TABLE {name}")
+    for r in rows:
+        p = spark._jvm.org.apache.hadoop.fs.Path(r["data_type"])
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def release(spark: SparkSession) -> int:
-    """Drop the pass tables of this session's scans and delete their files; how many there were.
+def release(spark: SparkSession, keep: Sequence[str] | set[str] = ()) -> int:
+    """Drop the pass tables of this session's scans, but for ``keep``, and delete their files; how many there were.
 
     Call it once the results of the scans are written: frames built on them can't
     be read afterwards."""
-    jvm, n = spark._jvm, 0
-    for t in spark.catalog.listTables():
-        if t.name.startswith(PASS_TABLE):
-            rows = spark.sql(f"DESCRIBE TABLE EXTENDED {t.name}").where("col_name = 'Location'").collect()
-            spark.sql(f"DROP TABLE {t.name}")
-            for r in rows:
-                p = jvm.org.apache.hadoop.fs.Path(r["data_type"])
-                p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-            n += 1
-    return n
+    names = pass_tables(spark) - set(keep)
+    for name in names:
+        drop_pass(spark, name)
+    return len(names)
 
 
 class FoldPlan:
@@ -304,14 +325,17 @@ def block_ends(elems: DataFrame, carries: DataFrame, keys: Sequence[str], combin
     return both.select(*keys, "_bucket", "_sub", "last_time", F.expr(_combine_opt(combine, "_carry", "_st", st_type.simpleString())).alias("state"))
 
 
-def attach_carries(rows: DataFrame, carries: DataFrame, keys: Sequence[str]) -> DataFrame:
+def attach_carries(rows: DataFrame, carries: DataFrame, keys: Sequence[str], finish: Callable[[Column], Column] | None = None) -> DataFrame:
     """Join element carries back to the rows as column ``_c``.
 
     Carries are packed per (key, bucket) so that the join keys equal the rows'
-    existing hash partitioning: the big side is not shuffled again."""
+    existing hash partitioning: the big side is not shuffled again.  ``finish``
+    extends each carry, after the shuffle and once per block."""
     packed = carries.groupBy(*keys, "_bucket").agg(
         F.sort_array(F.collect_list(F.struct("_sub", F.col("_carry").alias("c")))).alias("_carr")
     )
+    if finish is not None:
+        packed = packed.withColumn("_carr", F.transform("_carr", lambda x: F.struct(x["_sub"].alias("_sub"), F.when(x["c"].isNotNull(), finish(x["c"])).alias("c"))))
     out = join_on_renamed(rows, packed, list(keys) + ["_bucket"], "left")
     return out.withColumn("_c", F.element_at(F.col("_carr"), F.col("_sub") + 1)["c"]).drop("_carr")
 

@@ -509,6 +509,35 @@ def q_lake_info(spark, sf):
     return present(lake_info(read_lake(spark, root)).drop("file_count"))
 
 
+def q_lake_info_files(spark, sf):
+    """Store statistics with the number of files (500 rows at most in each)."""
+    from wickworks.sources.lake import lake_info, read_lake
+
+    return present(lake_info(read_lake(spark, _lake_of_candles(spark, sf))))
+
+
+def q_typed_frame(spark, sf):
+    """Candles that come as text, without ingestion time: contract types and order (C2), stamped with the run's UTC time."""
+    text = inputs.candles(spark, sf).drop("ingestion_time")
+    text = text.select("volume", *[F.col(c).cast("string").alias(c) for c in text.columns if c != "volume"], F.lit(1).alias("extra"))
+    typed = contract.to_contract(text)
+    names = F.lit(", ".join(f"{f.name} {f.dataType.simpleString()}" for f in typed.schema.fields))
+    near = F.abs(F.unix_seconds("ingestion_time") - F.unix_seconds(F.current_timestamp())) < 86_400
+    return present(typed.select("event_time", "symbol", "open", "high", "low", "close", "volume", names.alias("types"), near.alias("stamped")))
+
+
+def q_empty_input(spark, sf):
+    """No row in, no row out, with the columns that rows would have (D-11)."""
+    none = inputs.candles(spark, sf).where(F.col("event_time") < F.lit("1900-01-01").cast("timestamp"))
+    frames = {
+        "validate": contract.validate(none), "dedup_last": dedup_last(none), "indicators": indicators(none), "resample": resample(none, "1d"),
+        "missing_candles": quality.missing_candles(none), "gap_fill": quality.gap_fill(none), "gap_ranges": gaps.gap_ranges(none),
+        "slot_bitmaps": bitmaps.slot_bitmaps(none), "candle_geometry": signals.candle_geometry(none),
+    }
+    rows = [(k, f.count(), len(f.columns)) for k, f in frames.items()]
+    return spark.createDataFrame(rows, "operator string, rows long, columns long")
+
+
 def q_lake_files(spark, sf):
     """Data files by partition directory (files hold 500 rows at most)."""
     from wickworks.sources.lake import lake_files, read_lake
@@ -854,6 +883,9 @@ QUERIES: dict[str, Query] = {
     "backfill_stats": q_backfill_stats,
     "stream_ema_nulls": q_stream_ema_nulls,
     "stream_gold": q_stream_gold,
+    "lake_info_files": q_lake_info_files,
+    "typed_frame": q_typed_frame,
+    "empty_input": q_empty_input,
     "kline_dirty": q_kline_dirty,
     "gap_ranges": q_gap_ranges,
     "gap_ranges_dirty": q_gap_ranges_dirty,
@@ -929,6 +961,16 @@ def _coarse_sql(tf: str, start: str) -> str:
 
 
 ORACLE: dict[str, str] = {
+    "lake_info_files": f"""SELECT source, symbol, timeframe, CAST(sum(n) AS BIGINT) AS total_rows, min(lo) AS first_event, max(hi) AS last_event,
+        CAST(sum(ceil(n / 500)) AS BIGINT) AS file_count
+        FROM (SELECT source, symbol, timeframe, count(*) AS n, min(event_time) AS lo, max(event_time) AS hi FROM ({_ALL})
+              GROUP BY source, symbol, timeframe, year(event_time), month(event_time)) GROUP BY ALL""",
+    "typed_frame": f"""SELECT event_time, symbol, {', '.join(f'{r6(c)} AS {c}' for c in ('open', 'high', 'low', 'close', 'volume'))},
+        'event_time timestamp, symbol string, timeframe string, open double, high double, low double, close double, volume double, source string, ingestion_time timestamp' AS types,
+        true AS stamped FROM ({_ALL})""",
+    "empty_input": f"""SELECT operator, (SELECT count(*) FROM ({_ALL}) WHERE event_time < TIMESTAMP '1900-01-01') AS rows, CAST(n AS BIGINT) AS columns FROM (VALUES
+        ('validate', 10), ('dedup_last', 10), ('indicators', 16), ('resample', 10), ('missing_candles', 4), ('gap_fill', 11), ('gap_ranges', 6),
+        ('slot_bitmaps', 10), ('candle_geometry', 17)) t(operator, n)""",
     "gap_ranges": _GAPS.format(slots=_SLOTTED.format(rows=_ALL)),
     "gap_ranges_dirty": _GAPS.format(slots=_SLOTTED.format(rows=f"SELECT * FROM ({_DIRTY_GRID}) UNION ALL BY NAME SELECT * FROM ({DAILY_SQL})"))
     + f" UNION ALL SELECT DISTINCT source, symbol, timeframe, CAST(NULL AS TIMESTAMP), CAST(NULL AS TIMESTAMP), CAST(NULL AS BIGINT) FROM ({_DIRTY_GRID}) WHERE timeframe = '1s'",

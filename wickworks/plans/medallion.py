@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from wickworks.functions.numeric import to_double
 from wickworks.operators.indicators import indicators
+from wickworks.operators.scan import pass_tables, release
 from wickworks.schema import GOLD_COLUMNS, SERIES_KEY, SILVER_COLUMNS
 from wickworks.sinks.lake import write_table
 from wickworks.sources.lake import read_bronze_csv, read_table
@@ -33,7 +34,9 @@ def silver_to_gold(silver: DataFrame, min_timeframe: str | None = None) -> DataF
 
 def run(spark: SparkSession, bronze_path: str, silver_path: str, gold_path: str,
         min_timeframe: str | None = None) -> DataFrame:
-    """Run both steps; returns the gold table as read back from ``gold_path``."""
+    """Run both steps; returns the gold table as read back from ``gold_path``.  The scan's own table is dropped once gold is written."""
     write_table(bronze_to_silver(read_bronze_csv(spark, bronze_path)), silver_path)
+    before = pass_tables(spark)
     write_table(silver_to_gold(read_table(spark, silver_path), min_timeframe), gold_path)
+    release(spark, keep=before)
     return read_table(spark, gold_path)
