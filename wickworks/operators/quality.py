@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from wickworks.functions.time import candles_per_day, timeframe_ms
 from wickworks.operators.scan import join_on_renamed, series_ffill
 from wickworks.schema import OHLCV_COLUMNS, SERIES_KEY
+from wickworks.session import scratch_path
 
 CHUNK = 4096
 
@@ -84,7 +85,11 @@ def gap_fill(df: DataFrame, keys: Sequence[str] = SERIES_KEY) -> DataFrame:
     candle's close, volume 0 and ``is_filled`` true.
 
     Every candle of ``df`` comes back as it is: off-grid ones, those without a
-    close, and those of series whose timeframe has no grid."""
+    close, and those of series whose timeframe has no grid.  ``df`` is written once,
+    as the grid, the slots held and the fill each read it."""
+    path = scratch_path(df.sparkSession, "gap-fill")
+    df.write.parquet(path)
+    df = df.sparkSession.read.schema(df.schema).parquet(path)
     missing = missing_candles(df, keys).where("event_time IS NOT NULL").withColumn("is_filled", F.lit(True))
     full = df.withColumn("is_filled", F.lit(False)).unionByName(missing, allowMissingColumns=True)
     full = series_ffill(full, ["close"], keys)
