@@ -1,15 +1,20 @@
 """Line dedup by winnowing.
 
-Each run of ``gram`` lines has a hash; in each window of ``window`` such runs
-the least hash is a fingerprint, so that any repeat of ``gram + window - 1``
-lines or more shares one (the guarantee of winnowing).  Positions with equal
-fingerprints are joined; from a shared fingerprint the match is extended both
-ways over the lines of the windows that chose it, and adjoining matches grow
-into runs.  Of a repeated run the earliest copy stays, later ones go.
+Each ``gram`` consecutive lines have a hash; in each window of ``window`` such
+hashes the least is chosen as a fingerprint, so that any repeat of
+``gram + window - 1`` lines or more shares one (the guarantee of winnowing).
+A chosen place is one row, however many windows chose it.  Places with equal
+fingerprints are candidates; a place is extended over the lines before and
+after it to the windows that chose it, and joined with the earliest place that
+agrees in these lines too.  Adjoining matches grow into the repeated runs, of
+which the earliest copy stays and later ones go.
 
 Shorter runs count too from ``long_words`` words on: each such run is its own
 fingerprint, as winnowing of grams of its length in windows of 1.
 
+A fingerprint that very many lines share is dealt by document into ``DEALS``
+parts before every shuffle, and each part is aggregated first.
+
 Everything here is DataFrame functions.
 """
 
@@ -23,6 +28,8 @@ from wickworks.llm.base import hidden, row_order, shown, written
 HAS_WORD = r"[^\x20\x09-\x0D]"
 # Number of words from which a run is long enough, however few its lines.
 LONG_WORDS = 50
+# Parts of a key that many places share.
+DEALS = 16
 
 
 def _let(value: Column, body) -> Column:
@@ -35,53 +42,90 @@ def text_lines(text: Column) -> Column:
     return F.transform(F.split(F.coalesce(text, F.lit("")), "\n", -1), lambda line, no: F.struct(no.alias("no"), line.alias("line")))
 
 
-def windows(docs: DataFrame, gram: int, window: int, doc_id: str = "doc_id", text: str = "text", long_words: int | None = LONG_WORDS) -> DataFrame:
-    """A row per run of ``gram + window - 1`` lines with a word, and per shorter run of ``long_words`` words or more.
+def _full_lines(text: Column) -> Column:
+    return F.filter(text_lines(text), lambda x: x["line"].rlike(HAS_WORD))
+
+
+def fingerprints(docs: DataFrame, gram: int, window: int, doc_id: str = "doc_id", text: str = "text", long_words: int | None = LONG_WORDS) -> DataFrame:
+    """A row per chosen place.
 
-    (ord, th): the document; s: number of the run's first line among those with
-    a word; lines: their places in the text; fp, at: the fingerprint chosen in
-    the run and its place; w1, w2: hashes of the whole run.
+    (ord, th): the document; fp, at: the fingerprint and the number of its
+    first line among those with a word; size: lines of the runs it stands for;
+    ways: for each window that chose it the lines between the window's begin
+    and the place, and two hashes of the fingerprint extended to that window.
     """
     span = gram + window - 1
-    full = F.filter(text_lines(F.col(text)), lambda x: x["line"].rlike(HAS_WORD))
     n_words = lambda line: F.lit(0) if long_words is None else F.regexp_count(line, F.lit(f"{HAS_WORD}+"))
-    hashed = F.transform(full, lambda x: F.struct(x["no"].alias("no"), F.xxhash64(x["line"]).alias("a"), F.xxhash64(F.lit(1), x["line"]).alias("b"), n_words(x["line"]).alias("n")))
+    hashed = F.transform(_full_lines(F.col(text)), lambda x: F.struct(F.xxhash64(x["line"]).alias("a"), F.xxhash64(F.lit(1), x["line"]).alias("b"), n_words(x["line"]).alias("n")))
+
+    def from_to(last: Column) -> Column:
+        return F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+
+    def extended(a: Column, at: Column, before: int, size: int) -> Column:
+        lines = [F.get(a, at - before + m) for m in range(size)]
+        return F.struct(F.lit(before).alias("before"), F.xxhash64(F.lit(size), *[x["a"] for x in lines]).alias("k1"), F.xxhash64(F.lit(-size), *[x["b"] for x in lines]).alias("k2"))
 
-    def run(a: Column, s: Column, size: int, gram: int) -> Column:
-        grams = [F.struct(F.xxhash64(*[F.get(a, s + j + m)["a"] for m in range(gram)]).alias("fp"), (-(s + j)).alias("back")) for j in range(size - gram + 1)]
-        least = F.array_min(F.array(*grams))  # of equal hashes the rightmost
-        return F.struct(
-            s.alias("s"), F.transform(F.slice(a, s + 1, size), lambda x: x["no"]).alias("lines"),
-            least["fp"].alias("fp"), (-least["back"]).alias("at"),
-            F.xxhash64(*[F.get(a, s + m)["a"] for m in range(size)]).alias("w1"), F.xxhash64(F.lit(2), *[F.get(a, s + m)["b"] for m in range(size)]).alias("w2"),
-        )
+    def place(fp: Column, at: Column, size: int, ways: Column) -> Column:
+        return F.struct(fp.alias("fp"), at.alias("at"), F.lit(size).alias("size"), ways.alias("ways"))
 
-    def starts(a: Column, size: int) -> Column:
-        return F.when(F.size(a) >= size, F.sequence(F.lit(0), F.size(a) - size)).otherwise(F.array().cast("array<int>"))
+    def chosen(a: Column) -> Column:
+        grams = F.transform(from_to(F.size(a) - gram), lambda i: F.xxhash64(*[F.get(a, i + m)["a"] for m in range(gram)]))
 
-    def long_starts(a: Column, size: int) -> Column:
-        return F.filter(starts(a, size), lambda s: sum((F.get(a, s + m)["n"] for m in range(size)), F.lit(0)) >= long_words)
+        def places(g: Column) -> Column:
+            def least(s: Column) -> Column:  # of equal hashes the rightmost
+                return -F.array_min(F.array(*[F.struct(F.get(g, s + j).alias("fp"), (-(s + j)).alias("back")) for j in range(window)]))["back"]
 
-    def runs_at(a: Column, begin: Column, size: int, gram: int) -> Column:
-        return F.transform(begin, lambda s: run(a, s, size, gram))
+            def ways(at: Column, of: Column) -> Column:
+                each = [F.when(F.get(of, F.when(at >= d, at - d).otherwise(F.lit(-1))) == at, extended(a, at, d, span)) for d in range(window)]
+                return F.filter(F.array(*each), lambda w: w.isNotNull())
 
-    def runs(a: Column) -> Column:
-        short = [] if long_words is None else [runs_at(a, long_starts(a, n), n, n) for n in range(1, span)]
-        return F.concat(runs_at(a, starts(a, span), span, gram), *short)
+            return _let(
+                F.transform(from_to(F.size(a) - span), least),
+                lambda of: F.transform(F.array_distinct(of), lambda at: place(F.get(g, at), at, span, ways(at, of))),
+            )
+
+        return _let(grams, places)
+
+    def long_runs(a: Column, size: int) -> Column:
+        enough = F.filter(from_to(F.size(a) - size), lambda s: sum((F.get(a, s + m)["n"] for m in range(size)), F.lit(0)) >= long_words)
+        return F.transform(enough, lambda s: place(F.xxhash64(*[F.get(a, s + m)["a"] for m in range(size)]), s, size, F.array(extended(a, s, 0, size))))
+
+    def all_places(a: Column) -> Column:
+        return F.concat(chosen(a), *([] if long_words is None else [long_runs(a, n) for n in range(1, span)]))
 
     keyed = docs.select(row_order(doc_id).alias("ord"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("th"), F.col(text).alias(text))
-    return keyed.select("ord", "th", F.explode(_let(hashed, runs)).alias("r")).select("ord", "th", "r.*")
+    return keyed.select("ord", "th", F.explode(_let(hashed, all_places)).alias("p")).select("ord", "th", "p.*")
+
+
+def _earliest(places: DataFrame, key: list[str], at: str) -> DataFrame:
+    """``places`` whose key is found at several places, with the ``first`` of these, as (ord, at).
+
+    No shuffle brings all places of a key together: they are dealt by document,
+    and what is joined back is one row per key and part.
+    """
+    dealt = places.withColumn("deal", F.pmod(F.xxhash64("ord"), F.lit(DEALS)).cast("byte"))
+    here = F.struct("ord", at)
+    part = dealt.groupBy(*key, "deal").agg(F.min(here).alias("low"), F.max(here).alias("high"))
+    whole = part.groupBy(*key).agg(F.min("low").alias("first"), F.max("high").alias("last"), F.collect_set("deal").alias("deals")).where("first <> last")
+    return dealt.join(whole.select(*key, "first", F.explode("deals").alias("deal")), [*key, "deal"]).drop("deal")
+
+
+def matches(docs: DataFrame, gram: int = 2, window: int = 2, doc_id: str = "doc_id", text: str = "text", long_words: int | None = LONG_WORDS) -> DataFrame:
+    """(ord, th, s, size, of_ord, of_s): ``size`` lines from number ``s`` on, and the earliest place of the same lines.
+
+    Lines are numbered among those with a word.
+    """
+    chosen = written(fingerprints(docs, gram, window, doc_id, text, long_words), "line-fingerprints")
+    shared = _earliest(chosen, ["fp"], "at").select("ord", "th", "at", "size", F.explode("ways").alias("w"))
+    extended = shared.select("ord", "th", (F.col("at") - F.col("w.before")).alias("s"), "size", "w.k1", "w.k2")
+    joined = _earliest(written(extended, "line-extensions"), ["k1", "k2"], "s").where(F.struct("ord", "s") > F.col("first"))
+    return joined.select("ord", "th", "s", "size", F.col("first.ord").alias("of_ord"), F.col("first.s").alias("of_s"))
 
 
 def repeated_lines(docs: DataFrame, gram: int = 2, window: int = 2, doc_id: str = "doc_id", text: str = "text", long_words: int | None = LONG_WORDS) -> DataFrame:
-    """(ord, th, gone): places of the lines in later copies of repeated runs, for documents that have any."""
-    all_runs = written(windows(docs, gram, window, doc_id, text, long_words), "line-windows")
-    place = F.struct("ord", "at")
-    shared = all_runs.groupBy("fp").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low <> high").select("fp")
-    runs = all_runs.join(shared, "fp", "left_semi")
-    first = runs.groupBy("w1", "w2").agg(F.min(F.struct("ord", "s")).alias("first"), F.max(F.struct("ord", "s")).alias("last")).where("first <> last").select("w1", "w2", "first")
-    later = runs.join(first, ["w1", "w2"]).where(F.struct("ord", "s") > F.col("first"))
-    return later.select("ord", "th", F.explode("lines").alias("no")).groupBy("ord", "th").agg(F.collect_set("no").alias("gone"))
+    """(ord, th, gone): numbers of the lines in later copies of repeated runs, for documents that have any."""
+    later = matches(docs, gram, window, doc_id, text, long_words)
+    return later.select("ord", "th", F.explode(F.sequence("s", F.col("s") + F.col("size") - 1)).alias("line")).groupBy("ord", "th").agg(F.collect_set("line").alias("gone"))
 
 
 def dedup_lines(docs: DataFrame, gram: int = 2, window: int = 2, doc_id: str = "doc_id", text: str = "text", long_words: int | None = LONG_WORDS) -> DataFrame:
@@ -102,9 +146,10 @@ def dedup_lines(docs: DataFrame, gram: int = 2, window: int = 2, doc_id: str = "
     body = F.coalesce(F.col(f"c{at}"), F.lit(""))
     rows = rows.withColumns({"ord": row_order(f"c{docs.columns.index(doc_id)}"), "th": F.xxhash64(body)})
     joined = rows.join(gone, (F.col("ord") == F.col("of_ord")) & (F.col("th") == F.col("of_th")), "left")
+    places = _let(_full_lines(body), lambda full: F.transform(F.col("gone"), lambda i: F.get(full, i)["no"]))
     cut = _let(
         F.split(body, "\n", -1),
-        lambda ls: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), F.col("gone")), lambda no: F.get(ls, no)), "\n"),
+        lambda ls: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), places), lambda no: F.get(ls, no)), "\n"),
     )
     n_lines = F.size(F.filter(F.split(body, "\n", -1), lambda x: x.rlike(HAS_WORD)))
     new = {"n_lines": n_lines.cast("long"), "n_removed": F.coalesce(F.size("gone"), F.lit(0)).cast("long")}
@@ -112,21 +157,28 @@ def dedup_lines(docs: DataFrame, gram: int = 2, window: int = 2, doc_id: str = "
     return shown(left, docs.columns, *new)
 
 
-def op10_sql(span: int = 3) -> str:
+def op10_sql(span: int = 3, long_words: int = LONG_WORDS) -> str:
     """DuckDB SQL of op10's rows."""
-    following = " || chr(10) || ".join(["line", *[f"lead(line, {j}) OVER d" for j in range(1, span)]])
+
+    def runs(size: int) -> str:
+        over = lambda c: [c, *[f"lead({c}, {j}) OVER d" for j in range(1, size)]]
+        text, words = " || chr(10) || ".join(over("line")), " + ".join(over("n_words"))
+        return f"SELECT doc_id, s, {size} AS size, {text} AS run, {words} AS run_words FROM f WINDOW d AS (PARTITION BY doc_id ORDER BY s)"
+
     return f"""
     WITH l AS (
       SELECT doc_id, i AS no, ls[i + 1] AS line
       FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents), unnest(range(len(ls))) AS t(i)
     ), f AS (
-      SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY no) AS s FROM l WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')
+      SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY no) AS s, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS n_words
+      FROM l WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')
     ), w AS (
-      SELECT doc_id, s, {following} AS run FROM f WINDOW d AS (PARTITION BY doc_id ORDER BY s)
+      {" UNION ALL ".join(runs(n) for n in range(1, span + 1))}
     ), later AS (
-      SELECT doc_id, s, row_number() OVER (PARTITION BY run ORDER BY doc_id, s) AS n FROM w WHERE run IS NOT NULL
+      SELECT doc_id, s, size, row_number() OVER (PARTITION BY size, run ORDER BY doc_id, s) AS n
+      FROM w WHERE run IS NOT NULL AND (size = {span} OR run_words >= {long_words})
     ), gone AS (
-      SELECT DISTINCT doc_id, s + j AS s FROM later, unnest(range({span})) AS t(j) WHERE n > 1
+      SELECT DISTINCT doc_id, s + j AS s FROM later, unnest(range(size)) AS t(j) WHERE n > 1
     ), marked AS (
       SELECT l.doc_id, l.no, l.line, f.s IS NOT NULL AS is_full, g.s IS NOT NULL AS is_gone
       FROM l LEFT JOIN f ON f.doc_id = l.doc_id AND f.no = l.no LEFT JOIN gone g ON g.doc_id = f.doc_id AND g.s = f.s
