@@ -42,6 +42,29 @@ def test_long_and_unknown_words_stay_finite():
     assert np.isfinite(got).all() and abs(got[0] - (math.log(0.5) + 5000 * math.log(0.4))) < 1e-6 * 5000
 
 
+def test_long_words_count_in_full():
+    pieces = langid.Pieces(["▁", "a", "b", "ab", "ba"])
+    table = np.array([0.1, 0.01, 0.02, 0.003, 0.004, 0.0, 1e-9])[:, None]
+    words = ["ab" * 200, "é" * 300 + "ab", "abba" * 20]  # sums far below the smallest double
+    counts = langid.expected_counts(words, np.array([1.0, 2.0, 3.0]), pieces, table)
+    assert abs(counts[0] - 6) < 1e-9 and counts[-1] == pytest.approx(600)
+    for i in range(5):  # the derivative of the log likelihood, times p
+        bumped = table.copy()
+        bumped[i] *= 1.0001
+        slope = (langid.log_likelihoods(words, pieces, bumped) - langid.log_likelihoods(words, pieces, table))[:, 0] @ [1, 2, 3] / 1e-4
+        assert counts[i] == pytest.approx(slope, rel=1e-3)
+    stretched = langid.expected_counts(["a" * 5000], np.ones(1), langid.Pieces(["▁", "a"]), np.array([0.5, 0.4, 0.0, 1e-6])[:, None])
+    assert np.allclose(stretched, [1, 5000, 0, 0])
+
+
+def test_languages_of_long_words_are_told_apart(spark):
+    rng = random.Random(4)
+    token = lambda lang: "".join(rng.choice(["der", "und", "ich", "sch"] if lang == "de" else ["the", "ing", "and", "tion"]) for _ in range(25))[:70]
+    rows = [(i, " ".join(token(lang) for _ in range(5)), lang, "s") for i in range(40) for lang in (("de", "en")[i % 2],)]
+    got = langid.language_id(frame(spark, rows)).collect()
+    assert all(r["lang_pred"] == ("de", "en")[r["doc_id"] % 2] and r["score"] > 0.9 for r in got)
+
+
 def test_held_out_documents_are_told_apart(spark):
     rng = random.Random(1)
     lists = {"en": "the of and to in that is was for with on are".split(), "de": "der die und das von zu mit sich auf für ist nicht".split(), "fr": "le de la et les des en un que est pour dans".split()}

@@ -116,6 +116,25 @@ def test_lines_match_brute_force(spark, gram, window):
     assert sorted(((r["doc_id"], r["n_lines"], r["n_removed"], r["text"]) for r in got), key=str) == sorted([(r[0], *w) for r, w in zip(rows, want)], key=str)
 
 
+def test_places_join_the_earliest_that_agrees_around_them(spark):
+    """A shared fingerprint isn't enough: the places are extended to 3 lines, and the earliest equal run is found among them."""
+    texts = ["x\np\nq\ny", "z\np\nq\nw", "z\np\nq\nw", "k\n\nz\np\nq\nw\nl"]
+    got = {(r["ord"], r["s"], r["size"], r["of_ord"], r["of_s"]) for r in lines.matches(frame(spark, texts)).collect()}
+    assert got == {(2, 0, 3, 1, 0), (2, 1, 3, 1, 1), (3, 1, 3, 1, 0), (3, 2, 3, 1, 1)}
+    places = lines.fingerprints(frame(spark, texts), 2, 2).groupBy("ord", "at").count()
+    assert places.where("count > 1").count() == 0
+
+
+def test_hot_fingerprints_are_dealt_out(spark):
+    """No key of a shuffle holds more than a document's share of a run that all documents have."""
+    docs = frame(spark, ["same\nthree\nlines\n" + f"own {i}" for i in range(400)])
+    assert lines.dedup_lines(docs).where("n_removed = 3").count() == 399
+    shared = lines._earliest(lines.fingerprints(docs, 2, 2), ["fp"], "at")
+    assert shared.count() == 400 and shared.select("first.ord").distinct().count() == 1
+    keys = shared._jdf.queryExecution().optimizedPlan().toString()
+    assert "deal" in keys
+
+
 def test_line_columns_and_nothing(spark):
     docs = frame(spark, ["a\nb\nc", "a\nb\nc"]).withColumnRenamed("n_chars", "n_lines").withColumnRenamed("source", "ord")
     cut = lines.dedup_lines(docs)

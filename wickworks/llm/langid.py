@@ -26,6 +26,8 @@ WORD_START = "▁"  # fixed value: the vocabulary's mark of a word's beginning
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 CACHED_WORDS = 400_000
 TRAINED_WORDS = 50_000
+# Letters of a word that training goes through at once; longer words count in parts.
+STRETCH = 1024
 
 
 def vocabulary(path: str = VOCABULARY) -> list[str]:
@@ -93,8 +95,8 @@ class Pieces:
         return found
 
 
-def _by_length(words: list[str], block: int = 20_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(places in ``words``, code points with the word mark before them), of equal lengths."""
+def _by_length(words: list[str], block: int = 20_000, mark: str = WORD_START) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(places in ``words``, code points with ``mark`` before them), of equal lengths."""
     lengths = np.array([len(w) for w in words], np.int64)
     order = np.argsort(lengths, kind="stable")
     cuts = np.concatenate(([0], np.flatnonzero(np.diff(lengths[order])) + 1, [len(order)]))
@@ -103,8 +105,8 @@ def _by_length(words: list[str], block: int = 20_000) -> Iterator[tuple[np.ndarr
         step = max(1, min(block, 400_000 // (n + 1)))
         for c in range(a, b, step):
             at = order[c : min(b, c + step)]
-            text = "".join(WORD_START + words[i] for i in at)
-            yield at, np.frombuffer(text.encode("utf-32-le"), np.uint32).reshape(len(at), n + 1).astype(np.uint64)
+            text = "".join(mark + words[i] for i in at)
+            yield at, np.frombuffer(text.encode("utf-32-le"), np.uint32).reshape(len(at), n + len(mark)).astype(np.uint64)
 
 
 def _forward(found: dict, n: int, length: int, p: np.ndarray, longest: int) -> tuple[list, np.ndarray]:
@@ -139,22 +141,35 @@ def log_likelihoods(words: list[str], pieces: Pieces, p: np.ndarray) -> np.ndarr
 
 
 def expected_counts(words: list[str], weights: np.ndarray, pieces: Pieces, p: np.ndarray) -> np.ndarray:
-    """Expected uses of each piece over all segmentations (p: one language, one column)."""
+    """Expected uses of each piece over all segmentations (p: one language, one column).
+
+    Sums of every length stay in range: forward sums are kept as logarithms, and
+    a piece's share in the sum of the place where it ends takes their stead on
+    the way back.  A word of more than ``STRETCH`` letters counts in stretches
+    of so many, over whose borders no piece reaches.
+    """
     out = np.zeros(pieces.size + 2)
-    for at, points in _by_length(words, 10_000):
+    parts = [(w[k : k + STRETCH], n) for word, n in zip(words, weights) for w in (WORD_START + word,) for k in range(0, len(w), STRETCH)]
+    weights = np.array([n for _, n in parts], float)
+    for at, points in _by_length([w for w, _ in parts], 10_000, ""):
         n, length = points.shape
-        if length > 64:  # such strings say nothing of a language's pieces
-            continue
         found = pieces.find(points)
-        alpha = [np.ones(n)]
+        logs, share = np.zeros((length + 1, n)), {}
         for j in range(1, length + 1):
-            alpha.append(sum((alpha[i] * p[found[i, j], 0] for i in range(max(0, j - pieces.longest), j) if (i, j) in found), np.zeros(n)))
-        beta: list = [None] * length + [np.ones(n)]
-        for i in range(length - 1, -1, -1):
-            beta[i] = sum((beta[j] * p[found[i, j], 0] for j in range(i + 1, min(length, i + pieces.longest) + 1) if (i, j) in found), np.zeros(n))
-        of = weights[at] / np.maximum(alpha[length], 1e-290)
-        for (i, j), ids in found.items():
-            out += np.bincount(ids, alpha[i] * p[ids, 0] * beta[j] * of, minlength=len(out))
+            ends = [i for i in range(max(0, j - pieces.longest), j) if (i, j) in found]
+            most = logs[ends].max(axis=0)
+            terms = [np.exp(logs[i] - most) * p[found[i, j], 0] for i in ends]
+            total = np.maximum(sum(terms), 1e-290)
+            logs[j] = most + np.log(total)
+            share.update(((i, j), t / total) for i, t in zip(ends, terms))
+        cut = np.zeros((length + 1, n))  # probability that a piece ends here
+        cut[length] = weights[at]
+        for j in range(length, 0, -1):
+            for i in range(max(0, j - pieces.longest), j):
+                if (i, j) in found:
+                    used = share[i, j] * cut[j]
+                    cut[i] += used
+                    out += np.bincount(found[i, j], used, minlength=len(out))
     out[pieces.size] = 0
     return out
 
@@ -203,7 +218,7 @@ class Model:
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", vocabulary_path: str = VOCABULARY, rounds: int = 2, smoothing: float = 0.1, max_langs: int = 1000) -> Model:
     """Fit the piece probabilities of each language on the labelled ``docs``.
 
-    All labelled texts count, in full.  The model has languages x pieces numbers
+    All labelled texts count, in full, words of any length among them.  The model has languages x pieces numbers
     and is what the driver holds; more than ``max_langs`` languages raise.  No
     labelled text: a model without languages.
     """
