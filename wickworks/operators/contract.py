@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from wickworks.functions.numeric import nan_to_null
 from wickworks.schema import OHLCV_COLUMNS, OHLCV_SCHEMA, PRICE_COLUMNS, REQUIRED_COLUMNS, TIMEFRAME_MS
 
-# Violation rules in message order: (rule id, message suffix).
+# Violation rules in message order, (rule id, message suffix).
 VIOLATIONS = [
     ("high_below_body", "records have high < max(open, close)"),
     ("low_above_body", "records have low > min(open, close)"),

@@ -9,6 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# ---------------------------------------------------------------------------
+# The contract's version, columns and types, the store's layout,
+# and the interval tables.
+
 SCHEMA_VERSION = "v1"
 
 OHLCV_COLUMNS = [
@@ -57,9 +61,6 @@ GOLD_COLUMNS = SILVER_COLUMNS + INDICATOR_COLUMNS
 # Extra kline fields (positions 7, 8, 9 of an exchange kline array).
 KLINE_EXTRA_COLUMNS = ["quote_volume", "trades", "taker_buy_volume"]
 
-# ---------------------------------------------------------------------------
-# Fixed values that must equal the reference's.
-#
 # Interval code -> milliseconds.  "1M" is the exchange's approximate 30 days;
 # calendar-correct month arithmetic uses INTERVAL 1 MONTH instead.
 TIMEFRAME_MS = {
