@@ -147,9 +147,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", kee
     null id are reported in ``coverage`` and ``contaminated`` only.
 
     The benchmark is a stated query set: it goes to the executors in blocks of
-    about ``block_tokens`` tokens, whatever its size, each block one narrow pass
-    over the documents.  Nothing is shuffled.  Columns of the new names are
-    replaced.
+    about ``block_tokens`` tokens, each one narrow pass over the documents.  All
+    passes run in one stage, so an executor holds every block's index at once:
+    its memory grows with the benchmark.  Nothing is shuffled.  Columns of the
+    new names are replaced.
     """
     keep = docs.columns if keep is None else keep
     n_keep = len(keep)
