@@ -126,7 +126,7 @@ def test_places_join_the_earliest_that_agrees_around_them(spark):
 
 
 def test_hot_fingerprints_are_dealt_out(spark):
-    """No key of a shuffle holds more than a document's share of a run that all documents have."""
+    """A run that all documents have: every place finds the earliest, and the plan joins by key and deal."""
     docs = frame(spark, ["same\nthree\nlines\n" + f"own {i}" for i in range(400)])
     assert lines.dedup_lines(docs).where("n_removed = 3").count() == 399
     shared = lines._earliest(lines.fingerprints(docs, 2, 2), ["fp"], "at")
