@@ -1,7 +1,9 @@
+import hashlib
 import math
 import random
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -143,6 +145,81 @@ def test_few_labels_certify_nothing_and_many_do(spark):
     assert all(kept[i] == bool(i % 4) for i in kept)
 
 
+def labelled_texts(n=4000):
+    """Texts of two strata, whose bad ones have symbols, repeated lines or short words; some good ones have a few, too."""
+    rng = random.Random(9)
+    rows, labels = [], []
+    for i in range(n):
+        bad = rng.random() < 0.3
+        size = rng.choice([60, 200])
+        words = ["".join(rng.choice("abcdefgh") for _ in range(rng.choice([4, 5, 9]))) for _ in range(size)]
+        kind = rng.randrange(3) if bad else 3 if rng.random() < 0.9 else rng.randrange(3)
+        share = 0.4 if bad else 0.12
+        if kind == 0:
+            words = [w + "#%" if rng.random() < share else w for w in words]
+        elif kind == 1:
+            words = [w[:1] if rng.random() < share * 2 else w for w in words]
+        lines = [" ".join(words[j : j + 6]) for j in range(0, size, 6)]
+        if kind == 2:
+            lines += lines[:1] * (8 if bad else 1)
+        rows.append((i, "\n".join(lines), "en", "s"))
+        if rng.random() < 0.9:
+            labels.append((i, int(not bad)))
+    return rows, labels
+
+
+def brute_cutoffs(found, quality):
+    """{stratum: settings in use} from (doc_id, counts) and labels, step by step."""
+    out = {}
+    ratio = lambda d, rule: d[rules.RULES[rule][0]] / max(d["n_words"], 1)
+    fires = lambda d, rule, cut: ratio(d, rule) >= cut if rules.RULES[rule][1] else ratio(d, rule) <= cut
+    for band in range(len(rules.STRATA) + 1):
+        mine = [d for d in found if d["doc_id"] in quality and not d["base_failed"] and sum(d["n_words"] >= x for x in rules.STRATA) == band]
+        first = lambda d: hashlib.md5(str(d["doc_id"]).encode()).hexdigest()[0] < "4"
+        order, test = [d for d in mine if first(d)], [d for d in mine if not first(d)]
+        steps = []
+        for rule, (_, _, cuts) in rules.RULES.items():
+            for i, cut in enumerate(cuts):
+                hit = [quality[d["doc_id"]] for d in order if fires(d, rule, cut)]
+                if hit.count(0) > hit.count(1):
+                    steps.append((hit.count(1), -hit.count(0), rule, i, cut))
+        steps.sort()
+        n, best = sum(quality[d["doc_id"]] for d in test), (0, None)
+        for k in range(1, len(steps) + 1):
+            hit = [quality[d["doc_id"]] for d in test if any(fires(d, s[2], s[4]) for s in steps[:k])]
+            good = hit.count(1)
+            p = sum(math.comb(n, x) * rules.ALPHA**x * (1 - rules.ALPHA) ** (n - x) for x in range(good + 1))
+            if p > rules.DELTA / (len(rules.STRATA) + 1):
+                break
+            if hit.count(0) - good > best[0]:
+                best = (hit.count(0) - good, steps[:k])
+        if best[1]:
+            out[band] = [(s[2], s[4]) for s in best[1]]
+    return out, fires
+
+
+def test_verdicts_match_brute_force_and_sql(spark, tmp_path):
+    rows, labels = labelled_texts()
+    docs, marks = frame(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int")
+    got = {r["doc_id"]: r for r in rules.judge(docs, marks).collect()}
+    found = [r.asDict() for r in rules.features(docs).collect()]
+    used, fires = brute_cutoffs(found, dict(labels))
+    assert sorted(used) == [0, 1] and len({rule for s in used.values() for rule, _ in s}) > 1
+    for d in found:
+        band = sum(d["n_words"] >= x for x in rules.STRATA)
+        assert got[d["doc_id"]]["kept"] == (not d["base_failed"] and not any(fires(d, *s) for s in used.get(band, []))), d
+    lost = [got[i]["kept"] for i, q in labels if q and not got[i]["base_failed"]]
+    caught = [got[i]["kept"] for i, q in labels if not q and not got[i]["base_failed"]]
+    assert lost.count(False) <= rules.ALPHA * len(lost) and caught.count(False) > 0.5 * len(caught)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    marks.write.parquet(f"{tmp_path}/labels.parquet")
+    con = duckdb.connect()
+    for t in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    theirs = con.sql(rules.op5_sql()).select("doc_id, kept").fetchall()
+    assert sorted(theirs) == sorted((i, r["kept"]) for i, r in got.items())
+
+
 def test_rules_of_nothing(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, kept int")
     labels = spark.createDataFrame([], "doc_id long, quality int")

@@ -1,13 +1,20 @@
 """Quality rules with risk-controlled thresholds.
 
-Each rule compares a ratio of a text's counts with a cutoff.  Labelled texts,
-split by length into strata, are the holdout: going from the mildest cutoff of
-a fixed list to the harshest, a cutoff is certified while the exact binomial
-test rejects that it throws away more than ``alpha / rules`` of the good texts
-of the stratum, at level ``delta / (rules * strata)``; the first failure ends
-the list.  So, with probability ``1 - delta``, no stratum loses more than
-``alpha`` of its good texts to the rules, whichever certified cutoffs are used.
-Of them, the one is used that catches the most bad texts beyond the good ones.
+Each rule compares a ratio of a text's counts with a cutoff.  Labelled texts
+are split by length into strata and, by a hash of their id, into a quarter that
+orders the settings (a rule and a cutoff) of each stratum and a holdout of the
+rest that tests them.  The order is that of the good texts lost, then of the bad
+ones caught; settings that don't catch more bad than good ones are left out.
+Step k of a stratum's sequence rejects what any of its first k settings does.
+Going along it, a step is certified while the exact binomial test over the
+holdout rejects that it throws away more than ``alpha`` of the good texts, at
+level ``delta / strata``; the first failure ends the sequence.  The holdout has
+no part in the order, so a fixed sequence needs no further correction within a
+stratum, and Bonferroni's is taken over the strata: with probability
+``1 - delta``, no stratum loses more than ``alpha`` of its good texts to the
+rules together, whichever certified step is used.  Of them, the one is used that
+catches the most bad texts beyond the good ones.  A verdict needs some
+``log(delta / strata) / log(1 - alpha)`` good texts in the stratum's holdout.
 
 Everything here is DataFrame functions.
 """
@@ -109,32 +116,46 @@ def binomial_cdf(k: Column, n: Column, p: float) -> Column:
     return F.when(k > n * p, F.lit(1.0)).otherwise(F.aggregate(F.sequence(F.lit(0).cast("long"), k), start, step, lambda a: a["sum"]))
 
 
+def _orders(doc_id: Column) -> Column:
+    """Does a labelled text order the settings (a quarter of them), or is it of the holdout?"""
+    return F.substring(F.md5(doc_id.cast("string")), 1, 1) < "4"
+
+
 def certified(labelled: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """(stratum, rule, cutoff, n_good, good, bad): the cutoff in use, where there is one.
+    """(stratum, rule, cutoff, n_good, good, bad): the settings in use, where there are any.
 
     ``labelled``: ``features`` with ``quality`` 1 or 0; texts that fail the base
-    rules don't count.  n_good: good texts of the stratum; good, bad: how many
-    good and bad ones the cutoff throws away.
+    rules don't count.  n_good: good texts of the stratum's holdout; good, bad:
+    how many good and bad ones of it the certified settings together throw away.
+    Of a rule's settings the harshest is returned, which holds the others.
     """
-    fired = F.array(*[F.struct(F.lit(rule).alias("rule"), F.lit(i).alias("i"), F.lit(c).alias("cutoff"), _fires(rule, F.lit(c)).alias("fires")) for rule, (_, _, cuts) in RULES.items() for i, c in enumerate(cuts)])
-    each = labelled.where("NOT base_failed").select(stratum().alias("stratum"), (F.col("quality") == 1).alias("is_good"), F.explode(fired).alias("f")).select("stratum", "is_good", "f.*")
-    sums = each.groupBy("stratum", "rule", "i", "cutoff").agg(
-        F.count_if("is_good").alias("n_good"), F.count_if(F.col("is_good") & F.col("fires")).alias("good"), F.count_if(~F.col("is_good") & F.col("fires")).alias("bad")
-    )
-    level = delta / (len(RULES) * (len(STRATA) + 1))
-    passes = binomial_cdf(F.col("good"), F.col("n_good"), alpha / len(RULES)) <= level
-    tested = sums.withColumn("certified", F.min(passes).over(Window.partitionBy("stratum", "rule").orderBy("i")))
-    worth = F.struct((F.col("bad") - F.col("good")).alias("gain"), (-F.col("i")).alias("mild"), "cutoff", "n_good", "good", "bad")
-    best = tested.where("certified AND bad > good").groupBy("stratum", "rule").agg(F.max(worth).alias("b"))
-    return best.select("stratum", "rule", "b.cutoff", "b.n_good", "b.good", "b.bad")
+    settings = F.array(*[F.struct(F.lit(rule).alias("rule"), F.lit(i).alias("i"), F.lit(c).alias("cutoff"), _fires(rule, F.lit(c)).alias("fires")) for rule, (_, _, cuts) in RULES.items() for i, c in enumerate(cuts)])
+    counted = labelled.where("NOT base_failed").select(stratum().alias("stratum"), (F.col("quality") == 1).alias("is_good"), _orders(F.col("doc_id")).alias("orders"), F.filter(settings, lambda s: s["fires"]).alias("fired"))
+    tried = counted.where("orders").select("stratum", "is_good", F.explode("fired").alias("f")).groupBy("stratum", "f.rule", "f.i", "f.cutoff")
+    sums = tried.agg(F.count_if("is_good").alias("lost"), F.count_if(~F.col("is_good")).alias("caught")).where("caught > lost")
+    steps = sums.withColumn("step", F.row_number().over(Window.partitionBy("stratum").orderBy("lost", F.desc("caught"), "rule", "i")))
+    # a text leaves at the first step that rejects it; there are settings x strata steps at most
+    paths = steps.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws(":", "rule", "i"), "step"))).alias("path"))
+    left = F.array_min(F.transform("fired", lambda f: F.col("path")[F.concat_ws(":", f["rule"], f["i"])]))
+    holdout = counted.where("NOT orders").join(paths, "stratum").select("stratum", "is_good", left.alias("step"))
+    left_at = holdout.groupBy("stratum", "step").agg(F.count_if("is_good").alias("g"), F.count_if(~F.col("is_good")).alias("b"))
+    sizes = left_at.groupBy("stratum").agg(F.sum("g").alias("n_good"))
+    along = Window.partitionBy("stratum").orderBy("step")
+    totals = steps.join(left_at, ["stratum", "step"], "left").withColumns({"good": F.sum(F.coalesce("g", F.lit(0))).over(along), "bad": F.sum(F.coalesce("b", F.lit(0))).over(along)}).join(sizes, "stratum")
+    passes = binomial_cdf(F.col("good"), F.col("n_good"), alpha) <= delta / (len(STRATA) + 1)
+    tested = totals.withColumn("certified", F.min(passes).over(along))
+    worth = F.struct((F.col("bad") - F.col("good")).alias("gain"), (-F.col("step")).alias("early"), "n_good", "good", "bad")
+    best = tested.where("certified AND bad > good").groupBy("stratum").agg(F.max(worth).alias("b"))
+    used = steps.join(best, "stratum").where("step <= -b.early").groupBy("stratum", "rule").agg(F.max_by("cutoff", "i").alias("cutoff"), F.first("b").alias("b"))
+    return used.select("stratum", "rule", "cutoff", "b.n_good", "b.good", "b.bad")
 
 
 def judge(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA, doc_id: str = "doc_id", text: str = "text", quality: str = "quality") -> DataFrame:
     """``features`` and ``kept`` of each row of ``docs``.
 
     kept is false if base_failed, else true unless a rule fires at its certified
-    cutoff in the text's stratum.  Where too few labels certify a cutoff, the
-    rule rests.  Label rows with a null are ignored; a document labelled more
+    cutoff in the text's stratum.  Where too few labels certify a step, the
+    rules rest.  Label rows with a null are ignored; a document labelled more
     than once is good if all its labels are.
     """
     found = written(features(docs, doc_id, text), "rule-features")
@@ -149,7 +170,7 @@ def judge(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float
 
 def op5_sql(alpha: float = ALPHA, delta: float = DELTA) -> str:
     """DuckDB SQL of op5's rows."""
-    chance, level = alpha / len(RULES), delta / (len(RULES) * (len(STRATA) + 1))
+    chance, level = alpha, delta / (len(STRATA) + 1)
     rules = " UNION ALL ".join(f"SELECT '{r}' AS rule, {i} AS i, CAST({c} AS DOUBLE) AS cutoff" for r, (_, _, cuts) in RULES.items() for i, c in enumerate(cuts))
     ratio = "CASE rule " + " ".join(f"WHEN '{r}' THEN CAST({col} AS DOUBLE) / greatest(n_words, 1)" for r, (col, _, _) in RULES.items()) + " END"
     fires = "CASE WHEN rule IN (" + ", ".join(f"'{r}'" for r, (_, high, _) in RULES.items() if high) + f") THEN {ratio} >= cutoff ELSE {ratio} <= cutoff END"
@@ -175,17 +196,29 @@ def op5_sql(alpha: float = ALPHA, delta: float = DELTA) -> str:
     ), rules AS ({rules}
     ), known AS (
       SELECT doc_id, min(quality) AS quality FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id
+    ), l AS (
+      SELECT row_number() OVER () AS row, f.*, quality = 1 AS is_good, substr(md5(CAST(doc_id AS VARCHAR)), 1, 1) < '4' AS orders FROM f JOIN known USING (doc_id) WHERE NOT base_failed
+    ), hits AS (
+      SELECT row, stratum, is_good, orders, rule, i, cutoff FROM l, rules WHERE {fires}
+    ), steps AS (
+      SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY lost, caught DESC, rule, i) AS step
+      FROM (SELECT stratum, rule, i, cutoff, count(*) FILTER (WHERE is_good) AS lost, count(*) FILTER (WHERE NOT is_good) AS caught FROM hits WHERE orders GROUP BY ALL)
+      WHERE caught > lost
+    ), gone AS (
+      SELECT h.row, h.stratum, h.is_good, min(step) AS step FROM hits h JOIN steps USING (stratum, rule, i) WHERE NOT orders GROUP BY ALL
     ), s AS (
-      SELECT stratum, rule, i, cutoff, count(*) FILTER (WHERE quality = 1) AS n, count(*) FILTER (WHERE quality = 1 AND {fires}) AS good, count(*) FILTER (WHERE quality <> 1 AND {fires}) AS bad
-      FROM f JOIN known USING (doc_id), rules WHERE NOT base_failed GROUP BY ALL
+      SELECT stratum, step, (SELECT count(*) FROM l WHERE NOT orders AND is_good AND l.stratum = steps.stratum) AS n,
+        (SELECT count(*) FROM gone g WHERE g.stratum = steps.stratum AND g.step <= steps.step AND is_good) AS good,
+        (SELECT count(*) FROM gone g WHERE g.stratum = steps.stratum AND g.step <= steps.step AND NOT is_good) AS bad
+      FROM steps
     ), p AS (
       SELECT *, CASE WHEN good > n * {chance} THEN 1.0 ELSE list_sum(list_transform(range(good + 1), lambda x: exp(lgamma(n + 1) - CASE WHEN x > 0 THEN lgamma(x + 1) ELSE 0 END - CASE WHEN n > x THEN lgamma(n - x + 1) ELSE 0 END + x * ln({chance}) + (n - x) * ln(1 - {chance})))) END <= {level!r} AS passes FROM s
-    ), certified AS (
-      SELECT *, bool_and(passes) OVER (PARTITION BY stratum, rule ORDER BY i) AS ok FROM p
+    ), ok AS (
+      SELECT *, bool_and(passes) OVER (PARTITION BY stratum ORDER BY step) AS certified FROM p
     ), best AS (
-      SELECT stratum, rule, cutoff, row_number() OVER (PARTITION BY stratum, rule ORDER BY bad - good DESC, i) AS n FROM certified WHERE ok AND bad > good
+      SELECT stratum, step AS last, row_number() OVER (PARTITION BY stratum ORDER BY bad - good DESC, step) AS n FROM ok WHERE certified AND bad > good
     ), caught AS (
-      SELECT stratum, rule, cutoff FROM best WHERE n = 1
+      SELECT stratum, rule, cutoff FROM steps JOIN best USING (stratum) WHERE best.n = 1 AND step <= last
     )
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
       NOT base_failed AND NOT EXISTS (SELECT 1 FROM caught WHERE caught.stratum = f.stratum AND {fires}) AS kept
