@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wickworks.llm.base import hidden, inside, shown, text_slices, window_hashes, word_hashes
+from wickworks.llm.base import hidden, inside, remove, shown, text_slices, window_hashes, word_hashes
+from wickworks.session import scratch_path
 
 SEED = 5
 COVERAGE = 0.5
@@ -147,10 +148,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", kee
     null id are reported in ``coverage`` and ``contaminated`` only.
 
     The benchmark is a stated query set: it goes to the executors in blocks of
-    about ``block_tokens`` tokens, each one narrow pass over the documents.  All
-    passes run in one stage, so an executor holds every block's index at once:
-    its memory grows with the benchmark.  Nothing is shuffled.  Columns of the
-    new names are replaced.
+    about ``block_tokens`` tokens, each one narrow pass over the documents.
+    Between two passes the rows are written as a table and the block before is
+    dropped from the executors, so that they and the driver hold one block's
+    index at a time, however large the benchmark; of the tables only the last is
+    kept.  Nothing is shuffled.  Columns of the new names are replaced.
     """
     keep = docs.columns if keep is None else keep
     n_keep = len(keep)
@@ -159,7 +161,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", kee
     out = rows.select(*rows.columns[:n_keep], *[c.alias(n) for n, c in new.items()], F.col(f"c{n_keep}").alias("body"))
     sc = docs.sparkSession.sparkContext
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in out.schema.fields)
+    shared, before = None, None
     for index in _blocks(benchmark, item_id, item_text, seed, block_tokens):
+        if shared is not None:
+            path = scratch_path(docs.sparkSession, "tiled-blocks")
+            out.write.parquet(path)
+            out = docs.sparkSession.read.schema(out.schema).parquet(path)
+            shared.destroy()
+            if before is not None:
+                remove(docs.sparkSession, before)
+            before = path
         shared = sc.broadcast(index)
 
         def tile(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
