@@ -1,4 +1,5 @@
 import gzip
+import hashlib
 import io
 import pathlib
 import random
@@ -227,6 +228,34 @@ def test_pages_come_back_through_the_index(spark):
     assert sorted(r["page_id"] for r in warc.read_pages(few, folder, shards).collect()) == [5, 77]
 
 
+def test_revisits_are_held_against_their_responses(spark):
+    body, other = "same text " * 30, "other text" * 30
+    url = "http://a.example.com/\x85x\ty"  # its header is not its key
+
+    def read(rows, asked):
+        pages = spark.createDataFrame(rows, PAGES)
+        made = warc.with_revisits(pages).where("ord <> 7")  # page 7's record is lost
+        folder = warc.qualified(spark, warc.scratch_path(spark, "warc-test"))
+        shards = warc.write_index(warc.write_archive(made, f"{folder}/archive"), f"{folder}/index")
+        return warc.read_pages(spark.createDataFrame(asked, "page_id long, url string"), folder, shards, payloads=False).collect()
+
+    rows = [(1, url, body), (2, "b.org", body), (3, None, body), (3, None, other), (9, "c.org", other)]
+    # revisits alone: their responses are read though they weren't asked for
+    got = {(r["page_id"], r["refers_to"], r["payload_bytes"], r["payload_digest"], r["payload"]) for r in read(rows, [(2, "b.org"), (9, "c.org")])}
+    assert got == {(2, 1, 300, hashlib.sha256(body.encode()).hexdigest(), None), (9, 3, 300, hashlib.sha256(other.encode()).hexdigest(), None)}
+    with pytest.raises(ValueError, match="page 8: response 7 is missing"):
+        read([*rows, (7, "d.org", "x" * 200), (8, "e.org", "x" * 200)], [(1, url), (8, "e.org")])
+
+
+def test_damaged_records_raise(spark):
+    page = spark.createDataFrame([(1, "u", "text " * 40)], PAGES)
+    folder = warc.qualified(spark, warc.scratch_path(spark, "warc-test"))
+    made = warc.with_revisits(page).withColumn("digest", F.lit("0" * 64))
+    shards = warc.write_index(warc.write_archive(made, f"{folder}/archive"), f"{folder}/index")
+    with pytest.raises(ValueError, match="page 1: damaged"):
+        warc.read_pages(page, folder, shards)
+
+
 def test_archive_is_plain_warc(spark):
     pages = spark.createDataFrame(page_rows()[:20], PAGES)
     folder, _ = warc.archive_pages(pages)

@@ -17,7 +17,7 @@ from wickworks.llm.base import table
 def op2_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     folder, shards = warc.archive_pages(pages)
-    return warc.read_pages(pages, folder, shards).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc.read_pages(pages, folder, shards, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

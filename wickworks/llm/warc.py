@@ -16,6 +16,7 @@ most.
 
 from __future__ import annotations
 
+import hashlib
 import struct
 import uuid
 import zlib
@@ -81,7 +82,7 @@ def _plain(url: str | None) -> str:
     return "".join(c if c.isprintable() else "%%%02X" % ord(c) for c in url or "")
 
 
-def record(ord_: int, url: str | None, payload: bytes, digest: str, refers_to: int | None, refers_url: str | None, date: str) -> bytes:
+def record(ord_: int, url: str | None, payload: bytes, digest: str, refers_to: int | None, refers_url: str | None, refers_key: str | None, date: str) -> bytes:
     """One WARC record, compressed as a gzip member."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = http + payload if refers_to is None else http
@@ -96,7 +97,7 @@ def record(ord_: int, url: str | None, payload: bytes, digest: str, refers_to: i
         "Content-Length": str(len(block)),
     }
     if refers_to is not None:
-        fields |= {"WARC-Profile": PROFILE, "WARC-Refers-To": f"<urn:page:{_name(refers_to)}>", "WARC-Refers-To-Target-URI": _plain(refers_url)}
+        fields |= {"WARC-Profile": PROFILE, "WARC-Refers-To": f"<urn:page:{_name(refers_to)}>", "WARC-Refers-To-Target-URI": _plain(refers_url), "X-Refers-To-Key": refers_key}
     head = VERSION + b"\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields.items()).encode() + b"\r\n"
     return _gzip(head + block + b"\r\n\r\n")
 
@@ -155,12 +156,12 @@ def write_archive(pages: DataFrame, folder: str, date: str = "2025-01-01T00:00:0
         files, done = _Files(folder, ".warc.gz", file_bytes, begin), []
         for batch in batches:
             for row in batch.to_pylist():
-                data = record(row["ord"], row["url"], row["payload"].encode(), row["digest"], row["refers_to"], row["refers_url"], date)
+                data = record(row["ord"], row["url"], row["payload"].encode(), row["digest"], row["refers_to"], row["refers_url"], row["refers_key"], date)
                 done.append((row["key"], row["ord"], *files.add(data), len(data)))
         files.close()  # nothing is named before all is in its place
         yield pa.RecordBatch.from_pylist([dict(zip(("key", "ord", "file", "offset", "length"), d)) for d in done], schema=_CAPTURE)
 
-    rows = pages.select(url_key(F.col("url")).alias("key"), "*")
+    rows = pages.select(url_key(F.col("url")).alias("key"), "*", url_key(F.col("refers_url")).alias("refers_key"))
     return written(rows.mapInArrow(write, "key string, ord long, file string, offset long, length long"), "warc-captures")
 
 
@@ -281,15 +282,20 @@ def lookup(requests: DataFrame, folder: str, shards: list[tuple[bytes, int, str]
     return dealt.mapInArrow(find, "key string, ord long, file string, offset long, length long")
 
 
-def fetch(captures: DataFrame, folder: str) -> DataFrame:
-    """(ord, url, record_type, refers_to, refers_url, payload, stated_bytes, stated_digest) read from the archives by range.
+def fetch(captures: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
+    """(ord, url, record_type, refers_to, refers_key, payload, payload_bytes, payload_digest, stated_bytes, stated_digest) read from the archives by range.
 
-    A revisit has no payload; the stated size and digest are its record's.
+    Size and digest of the payload are those of what was read; the stated ones
+    are the record's.  A revisit has no payload.  Without ``payloads`` that column
+    is null, and what was read stays in the task.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, path = fs.FileSystem.from_uri(folder)
-        schema = pa.schema([("ord", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("refers_url", pa.string()), ("payload", pa.binary()), ("stated_bytes", pa.int64()), ("stated_digest", pa.string())])
+        schema = pa.schema([
+            ("ord", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("refers_key", pa.string()), ("payload", pa.binary()),
+            ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("stated_bytes", pa.int64()), ("stated_digest", pa.string()),
+        ])
         for batch in batches:
             rows = batch.to_pylist()
             for name, group in groupby(rows, lambda r: r["file"]):
@@ -301,17 +307,18 @@ def fetch(captures: DataFrame, folder: str) -> DataFrame:
                         is_response = fields["WARC-Type"] == "response"
                         out.append({
                             "ord": r["ord"], "url": fields["WARC-Target-URI"], "record_type": fields["WARC-Type"], "refers_to": int(refers) if refers else None,
-                            "refers_url": fields.get("WARC-Refers-To-Target-URI"), "payload": payload if is_response else None,
+                            "refers_key": fields.get("X-Refers-To-Key"), "payload": payload if payloads and is_response else None,
+                            "payload_bytes": len(payload) if is_response else None, "payload_digest": hashlib.sha256(payload).hexdigest() if is_response else None,
                             "stated_bytes": int(fields["X-Payload-Length"]), "stated_digest": fields["WARC-Payload-Digest"].removeprefix("sha256:"),
                         })
-                        size += len(payload)
+                        size += len(payload) if payloads else 0
                         if size >= READ_BYTES:
                             yield pa.RecordBatch.from_pylist(out, schema=schema)
                             out, size = [], 0
                 yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     near = captures.select("ord", "file", "offset", "length").repartition(shuffle_parts(captures.sparkSession), "file", F.floor(F.col("offset") / F.lit(READ_BYTES // 8)))
-    return near.sortWithinPartitions("file", "offset").mapInArrow(read, "ord long, url string, record_type string, refers_to long, refers_url string, payload binary, stated_bytes long, stated_digest string")
+    return near.sortWithinPartitions("file", "offset").mapInArrow(read, "ord long, url string, record_type string, refers_to long, refers_key string, payload binary, payload_bytes long, payload_digest string, stated_bytes long, stated_digest string")
 
 
 def archive_pages(pages: DataFrame, folder: str | None = None, page_id: str = "page_id", url: str = "url", html: str = "html", file_bytes: int = FILE_BYTES, block_lines: int = BLOCK_LINES) -> tuple[str, list[tuple[bytes, int, str]]]:
@@ -322,22 +329,34 @@ def archive_pages(pages: DataFrame, folder: str | None = None, page_id: str = "p
     return folder, write_index(captures, f"{folder}/index", block_lines)
 
 
-def read_pages(requests: DataFrame, folder: str, shards: list[tuple[bytes, int, str]], page_id: str = "page_id", url: str = "url") -> DataFrame:
+def read_pages(requests: DataFrame, folder: str, shards: list[tuple[bytes, int, str]], page_id: str = "page_id", url: str = "url", payloads: bool = True) -> DataFrame:
     """Read the records of the pages (page_id, url) back through the index.
 
-    Returns page_id, url, record_type, refers_to, payload (null for a revisit),
-    payload_bytes, payload_digest (of the full payload), a row per record; pages
-    that aren't in the archive give none.  Size and digest of a response are
-    taken from what was read; a response that differs from its record's digest
-    raises.
+    Returns page_id, url, record_type, refers_to, payload (null for a revisit,
+    or without ``payloads``), payload_bytes, payload_digest (of the full
+    payload), a row per record; pages that aren't in the archive give none.
+    Size and digest are taken from what was read: for a response from its
+    record, for a revisit from the response that it refers to, which is looked
+    up through the index and read as well.  A record that is missing or isn't as
+    its headers, or those of its revisits, state raises ``ValueError``.
+
+    The records read are written as a table.  Responses that are referred to are
+    read once each, however many records refer to them, and compared with the
+    distinct statements of their revisits, so a common page is no hot key.
     """
     asked = requests.select(url_key(F.col(url)).alias("key"), row_order(page_id).alias("ord"))
-    rows = fetch(lookup(asked, f"{folder}/index", shards), f"{folder}/archive")
-    digest = F.sha2("payload", 256)
-    checked = F.when(F.col("payload").isNull() | (digest == F.col("stated_digest")), F.col("stated_digest")).otherwise(F.raise_error(F.concat(F.lit("damaged record of page "), F.col("ord").cast("string"))))
+    rows = written(fetch(lookup(asked, f"{folder}/index", shards), f"{folder}/archive", payloads), "warc-records")
+    stated = rows.where("refers_to IS NOT NULL").groupBy("refers_key", "refers_to", "stated_digest", "stated_bytes").agg(F.min("ord").alias("ord"))
+    referred = fetch(lookup(stated.select(F.col("refers_key").alias("key"), F.col("refers_to").alias("ord")), f"{folder}/index", shards), f"{folder}/archive", payloads=False)
+    found = referred.select(F.col("ord").alias("refers_to"), F.col("payload_digest").alias("stated_digest"), F.col("payload_bytes").alias("found_bytes")).distinct()
+    lost = stated.join(found, ["refers_to", "stated_digest"], "left").where("found_bytes IS NULL OR found_bytes <> stated_bytes").select("ord", F.concat(F.lit("response "), F.col("refers_to").cast("string"), F.lit(" is missing or differs")).alias("why"))
+    damaged = rows.where("payload_digest <> stated_digest OR payload_bytes <> stated_bytes").select("ord", F.lit("damaged record").alias("why"))
+    for bad in damaged.unionByName(lost).limit(1).collect():
+        raise ValueError(f"page {_name(bad['ord'])}: {bad['why']}")
+    # now a revisit's statement is what its response was found to be
     return rows.select(
         F.when(F.col("ord") != F.lit(NULL_LAST), F.col("ord")).alias("page_id"), "url", "record_type", "refers_to", "payload",
-        F.coalesce(F.octet_length("payload").cast("long"), F.col("stated_bytes")).alias("payload_bytes"), checked.alias("payload_digest"),
+        F.coalesce("payload_bytes", "stated_bytes").alias("payload_bytes"), F.coalesce("payload_digest", "stated_digest").alias("payload_digest"),
     )
 
 
