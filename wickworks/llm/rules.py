@@ -134,10 +134,10 @@ def certified(labelled: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -
     tried = counted.where("orders").select("stratum", "is_good", F.explode("fired").alias("f")).groupBy("stratum", "f.rule", "f.i", "f.cutoff")
     sums = tried.agg(F.count_if("is_good").alias("lost"), F.count_if(~F.col("is_good")).alias("caught")).where("caught > lost")
     steps = sums.withColumn("step", F.row_number().over(Window.partitionBy("stratum").orderBy("lost", F.desc("caught"), "rule", "i")))
-    # a text leaves at the first step that rejects it; there are settings x strata steps at most
+    # a text leaves at the first step that rejects it; broadcast: a row a stratum, of all settings at most
     paths = steps.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws(":", "rule", "i"), "step"))).alias("path"))
     left = F.array_min(F.transform("fired", lambda f: F.col("path")[F.concat_ws(":", f["rule"], f["i"])]))
-    holdout = counted.where("NOT orders").join(paths, "stratum").select("stratum", "is_good", left.alias("step"))
+    holdout = counted.where("NOT orders").join(F.broadcast(paths), "stratum").select("stratum", "is_good", left.alias("step"))
     left_at = holdout.groupBy("stratum", "step").agg(F.count_if("is_good").alias("g"), F.count_if(~F.col("is_good")).alias("b"))
     sizes = left_at.groupBy("stratum").agg(F.sum("g").alias("n_good"))
     along = Window.partitionBy("stratum").orderBy("step")
