@@ -271,6 +271,19 @@ def test_archive_is_plain_warc(spark):
     assert records == 20
 
 
+def test_index_is_written_once(spark):
+    pages = spark.createDataFrame(page_rows(), PAGES)
+    folder = warc.qualified(spark, warc.scratch_path(spark, "warc-test"))
+    captures = warc.write_archive(warc.with_revisits(pages), f"{folder}/archive")
+    at = pathlib.Path(folder.removeprefix("file://"))
+    before = set(at.parent.iterdir())
+    shards = warc.write_index(captures, f"{folder}/index", block_lines=7)
+    assert set(at.parent.iterdir()) == before  # no table of a file a shard beside it
+    assert len(shards) > 1 and sorted(s[2] for s in shards) == sorted(x.name for x in (at / "index").iterdir())
+    lookup = warc.lookup(captures.select("key", "ord"), f"{folder}/index", shards)
+    assert sorted(lookup.collect()) == sorted(captures.select(lookup.columns).collect())
+
+
 def test_url_keys(spark):
     urls = ["http://a.Example.com/x?y#z", "https://u:p@b.c:8080/", "example.org", "//h.i/j", None, "", "ftp://x"]
     got = [r["k"] for r in spark.createDataFrame([(u,) for u in urls], "u string").select(warc.url_key(F.col("u")).alias("k")).collect()]

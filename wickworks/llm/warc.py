@@ -204,8 +204,9 @@ def write_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES
 
     parts = shuffle_parts(captures.sparkSession)
     ordered = captures.repartitionByRange(parts, "key", "ord").sortWithinPartitions("key", "ord", "file", "offset")
-    shards = written(ordered.mapInArrow(write, "key binary, ord long, file string"), "warc-shards")
-    return sorted((bytes(r["key"]), r["ord"], r["file"]) for r in shards.collect())
+    # a row a partition: read by the driver at once, without a table of as many files
+    shards = ordered.mapInArrow(write, "key binary, ord long, file string").collect()
+    return sorted((bytes(r["key"]), r["ord"], r["file"]) for r in shards)
 
 
 class _Shard:
